@@ -10,17 +10,16 @@ from pyspark.sql import functions as F
 NAME_ENTITIES = (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&amp;", "&"))
 
 
-def pack_vector(entries: Column) -> Column:
-    """Array of (rank, key, value) structs to text, in rank order."""
-    ordered = F.array_sort(entries)
-    return F.array_join(
-        F.transform(ordered, lambda e: F.concat_ws(":", e[1].cast("string"), e[2].cast("string"))), ","
-    )
+def entry(rank: Column, text: Column, value: Column | None = None) -> Column:
+    """One element for ``packed``: ``text`` or ``text:value`` at a place in the list."""
+    if value is not None:
+        text = F.concat(text, F.lit(":"), value.cast("string"))
+    return F.struct(rank.alias("rank"), text.alias("text"))
 
 
-def pack_keys(entries: Column) -> Column:
-    """Array of (rank, key) structs to comma-joined keys, in rank order."""
-    return F.array_join(F.transform(F.array_sort(entries), lambda e: e[1].cast("string")), ",")
+def packed(entries: Column) -> Column:
+    """Array of ``entry`` structs as comma-joined text in rank order."""
+    return F.array_join(F.sort_array(entries)["text"], ",")
 
 
 def unpack_vector(text: Column) -> Column:

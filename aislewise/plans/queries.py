@@ -156,7 +156,7 @@ def vector_codec(spark, sf_dir):
     """Item vectors packed to ``other:score,...`` text and unpacked again."""
     ranked = alsoview.also_view_item(_interactions(spark, sf_dir))
     packed = ranked.groupBy("item").agg(
-        V.pack_vector(F.collect_list(F.struct("rank", "other", "score"))).alias("vector")
+        V.packed(F.collect_list(V.entry(F.col("rank"), F.col("other"), F.col("score")))).alias("vector")
     )
     return packed.select("item", "vector", F.inline(V.unpack_vector(F.col("vector")))).select(
         "item", "vector", "pos", F.col("key").alias("other"), F.col("value").alias("score")
