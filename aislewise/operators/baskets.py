@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from aislewise.operators.skew import fan_out
+
 CAP_PER_MONTH = 300
 SHORT_RANGE_CAP = 900
 SIMILARITY_CAP = 1000
@@ -46,13 +48,15 @@ def basket_pairs(
     basket are spread over many tasks.
     """
     if bounded:
-        return baskets.join(_other(baskets, unit), keys)
+        rows = fan_out(baskets, keys)
+        return rows.join(_other(rows, unit), keys)
     sizes = baskets.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > block_items)
     blocks = sizes.select(*keys, F.ceil(F.col("n") / block_items).cast("int").alias("blocks"))
     sized = baskets.join(blocks, keys, "left").withColumn("blocks", F.coalesce("blocks", F.lit(1)))
     one = sized.withColumn("block", F.pmod(F.xxhash64(*unit), F.col("blocks")).cast("int")).drop("blocks")
     other = sized.withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).drop("blocks")
-    return one.join(_other(other, unit), [*keys, "block"]).drop("block")
+    at = [*keys, "block"]
+    return fan_out(one, at).join(fan_out(_other(other, unit), at), at).drop("block")
 
 
 def cooccurrence(

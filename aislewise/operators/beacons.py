@@ -14,7 +14,7 @@ def parse_beacons(lines: DataFrame) -> DataFrame:
     All input columns stay. Rows without a readable site are dropped. The JSON struct is
     expanded by a generator, so filters on its fields do not repeat the parsing.
     """
-    beacons = lines.where(L.is_beacon(F.col("line")) & ~L.is_bot(F.col("line")))
+    beacons = lines.where(L.is_beacon(F.col("line")) & ~L.is_stats_bot(F.col("line")))
     parsed = beacons.select("*", F.inline(F.array(L.payload(F.col("line")))))
     return parsed.where(F.col("Site").isNotNull()).select(
         *[F.col(c) for c in lines.columns],

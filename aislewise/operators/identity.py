@@ -18,7 +18,7 @@ def click_events(lines: DataFrame, cart_actions: list[str] | None = None) -> Dat
     line = F.col("line")
     kept = [c for c in lines.columns if c != "line"]
     clicks = lines.where(
-        (line.contains(L.VIEW_PATH) | line.contains(L.BEACON_PATH)) & ~L.is_bot(line, L.BOTS_RECOMMEND)
+        (line.contains(L.VIEW_PATH) | line.contains(L.BEACON_PATH)) & ~L.is_recommend_bot(line)
     )
     # The generator keeps the decoded text from being computed again by the filter.
     requests = clicks.select(
@@ -39,7 +39,7 @@ def uid_eid_pairs(lines: DataFrame) -> DataFrame:
     """(..., uid, eid) of identity requests that carry both."""
     line = F.col("line")
     kept = [c for c in lines.columns if c != "line"]
-    requests = lines.where(line.contains(L.UIDMAP_PATH) & ~L.is_bot(line, L.BOTS_RECOMMEND))
+    requests = lines.where(line.contains(L.UIDMAP_PATH) & ~L.is_recommend_bot(line))
     return requests.select(
         *kept, L.uidmap_field(line, "uid").alias("uid"), L.uidmap_field(line, "eid").alias("eid")
     ).where((F.col("uid") != "") & (F.col("eid") != ""))
@@ -81,13 +81,13 @@ def uid_eid_sets(lines: DataFrame) -> DataFrame:
     """
     line = F.col("line")
     identity = lines.where(
-        F.regexp_extract(line, '"GET (/emon/uidmap.htm)[^"]+"', 1).startswith("/") & ~L.is_bot(line)
+        F.regexp_extract(line, '"GET (/emon/uidmap.htm)[^"]+"', 1).startswith("/") & ~L.is_stats_bot(line)
     ).select(
         L.uidmap_field(line, "uid", closed=True).alias("uid"),
         F.lit("eid").alias("kind"),
         L.uidmap_field(line, "eid", closed=True).alias("value"),
     )
-    beacons = lines.where(L.is_beacon(line) & ~L.is_bot(line)).select(
+    beacons = lines.where(L.is_beacon(line) & ~L.is_stats_bot(line)).select(
         F.inline(F.array(L.payload(line)))
     ).select(F.col("Uid").alias("uid"), F.lit("action").alias("kind"), F.col("Action").alias("value"))
     both = identity.where((F.col("uid") != "") & (F.col("value") != "")).unionByName(

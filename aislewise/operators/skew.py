@@ -9,6 +9,16 @@ MAX_HOT_KEYS = 10_000
 MIN_PIECE_ROWS = 1_000_000
 
 
+def fan_out(df: DataFrame, keys: list[str]) -> DataFrame:
+    """Partitions ``df`` by ``keys`` into ``spark.sql.shuffle.partitions`` parts that stay.
+
+    For the input of a join that multiplies rows: adaptive execution would merge partitions
+    by their small input size and leave few tasks with all of the output.
+    """
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.repartition(parts, *keys)
+
+
 def hot_key_pieces(
     df: DataFrame, keys: list[str], max_hot: int = MAX_HOT_KEYS, min_piece_rows: int = MIN_PIECE_ROWS
 ) -> DataFrame:

@@ -115,7 +115,7 @@ def score_product(
     hot = skew.hot_key_pieces(users, ["item"], min_piece_rows=min_piece_rows)
     left = skew.cut_hot_keys(users.select("user", "item", "milli"), hot, ["item"], F.col("user"))
     right = skew.copy_for_pieces(item_vectors.select("item", "other", "cnt"), hot, ["item"])
-    return left.join(right, ["item", "piece"]).select(
+    return skew.fan_out(left, ["item", "piece"]).join(right, ["item", "piece"]).select(
         "user", "item", "other", (F.col("milli") * F.col("cnt")).alias("milli")
     )
 
@@ -151,8 +151,21 @@ def user_recommend(
     users: DataFrame, item_vectors: DataFrame, as_of: date, top: int = TOP_ITEMS,
     recommend_unbought: bool = False, min_piece_rows: int = skew.MIN_PIECE_ROWS,
 ) -> DataFrame:
-    """(user, rank, item, milli): the ``top`` items per user."""
-    candidates = user_recommend_candidates(users, item_vectors, min_piece_rows)
-    kept = purchase_cycle_filter(candidates, users, as_of, recommend_unbought)
+    """(user, rank, item, milli): the ``top`` items per user.
+
+    Same as ``purchase_cycle_filter`` on the candidates. Items within their buying cycle are
+    marked in the aggregation that sums the scores: an anti join would be moved before it
+    and shuffle every single product.
+    """
+    products = score_product(users, item_vectors, min_piece_rows).select(
+        "user", "other", "milli", F.lit(False).alias("waiting")
+    )
+    waiting = in_buying_cycle(users, as_of, recommend_unbought).select(
+        "user", F.col("item").alias("other"), F.lit(0).cast("bigint").alias("milli"), F.lit(True).alias("waiting")
+    )
+    sums = products.unionByName(waiting).groupBy("user", "other").agg(
+        F.sum("milli").alias("milli"), F.bool_or("waiting").alias("waiting")
+    )
+    kept = sums.where(~F.col("waiting")).drop("waiting")
     ranked = top_k_per_group(kept, ["user"], [F.desc("milli"), F.asc("other")], top)
     return ranked.select("user", "rank", F.col("other").alias("item"), "milli")

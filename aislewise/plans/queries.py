@@ -6,11 +6,10 @@ ranks as INT.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
-from datetime import date
-
 import io
 import zipfile
+from collections.abc import Callable, Iterator
+from datetime import date
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -22,7 +21,8 @@ from aislewise.functions import periods as P
 from aislewise.functions import vectors as V
 from aislewise.operators import alsoview, apitraffic, baskets, beacons, dimensions, identity
 from aislewise.operators import logstats, mostview, orders, ranking, storerank, userrec
-from aislewise.session import scratch_path
+from aislewise.plans import recommend
+from aislewise.session import materialize, scratch_path
 from aislewise.sources import fixtures as X
 from aislewise.sources import readers, writers
 
@@ -80,12 +80,9 @@ def _order_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
                        F.col("dt").alias("buy_date"))
 
 
-def _users(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return userrec.user_vector(_daily(spark, sf_dir), FIRST_DAY, AS_OF)
-
-
-def _vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return userrec.item_vector_merge(userrec.item_vector_daily(_daily(spark, sf_dir)))
+def _users_and_vectors(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Both inputs of the score product, as the recommendation job stores them."""
+    return recommend.store_vectors(_daily(spark, sf_dir), FIRST_DAY, AS_OF)
 
 
 def _daily_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -171,8 +168,8 @@ def bot_filter(spark, sf_dir):
     line = F.col("line")
     return _log(spark, sf_dir).select(
         "event_id",
-        L.is_bot(line).cast("int").alias("stats_bot"),
-        L.is_bot(line, L.BOTS_RECOMMEND).cast("int").alias("recommend_bot"),
+        L.is_stats_bot(line).cast("int").alias("stats_bot"),
+        L.is_recommend_bot(line).cast("int").alias("recommend_bot"),
     )
 
 
@@ -329,13 +326,13 @@ def cooccurrence_uncapped(spark, sf_dir):
 
 @query
 def score_product(spark, sf_dir):
-    return userrec.score_product(_users(spark, sf_dir), _vectors(spark, sf_dir))
+    return userrec.score_product(*_users_and_vectors(spark, sf_dir))
 
 
 @query
 def purchase_cycle_filter(spark, sf_dir):
     """Every user vector row that may be recommended again on the run date."""
-    users = _users(spark, sf_dir)
+    users = userrec.user_vector(_daily(spark, sf_dir), FIRST_DAY, AS_OF)
     rows = users.select("user", F.col("item").alias("other"), "milli")
     return userrec.purchase_cycle_filter(rows, users, AS_OF)
 
@@ -378,7 +375,7 @@ def item_vector_daily(spark, sf_dir):
 
 @query
 def item_vector_merge(spark, sf_dir):
-    return _vectors(spark, sf_dir)
+    return userrec.item_vector_merge(userrec.item_vector_daily(_daily(spark, sf_dir)))
 
 
 @query
@@ -389,7 +386,7 @@ def item_vector_merge_top(spark, sf_dir):
 
 @query
 def user_vector(spark, sf_dir):
-    return _users(spark, sf_dir).select(
+    return userrec.user_vector(_daily(spark, sf_dir), FIRST_DAY, AS_OF).select(
         "user", "item", (F.col("milli") / 1000).alias("score"), "avg_day", day_text("last_buy"))
 
 
@@ -479,7 +476,7 @@ def most_view_region_orders(spark, sf_dir):
 
 @query
 def user_recommend_candidates(spark, sf_dir):
-    return userrec.user_recommend_candidates(_users(spark, sf_dir), _vectors(spark, sf_dir)).select(
+    return userrec.user_recommend_candidates(*_users_and_vectors(spark, sf_dir)).select(
         "user", "other", (F.col("milli") / 1000).alias("score"))
 
 
@@ -489,28 +486,28 @@ def _scored(recommended: DataFrame) -> DataFrame:
 
 @query
 def user_recommend(spark, sf_dir):
-    return _scored(userrec.user_recommend(_users(spark, sf_dir), _vectors(spark, sf_dir), AS_OF))
+    return _scored(userrec.user_recommend(*_users_and_vectors(spark, sf_dir), AS_OF))
 
 
 @query
 def user_recommend_unbought(spark, sf_dir):
-    return _scored(userrec.user_recommend(
-        _users(spark, sf_dir), _vectors(spark, sf_dir), AS_OF, recommend_unbought=True))
+    users, item_vectors = _users_and_vectors(spark, sf_dir)
+    return _scored(userrec.user_recommend(users, item_vectors, AS_OF, recommend_unbought=True))
 
 
 @query
 def user_recommend_similarity(spark, sf_dir):
     """Item vectors from view history instead of daily co-occurrence."""
-    vectors = alsoview.item_similarity(_interactions(spark, sf_dir)).withColumnRenamed("score", "cnt")
-    return _scored(userrec.user_recommend(_users(spark, sf_dir), vectors, AS_OF))
+    users = materialize(userrec.user_vector(_daily(spark, sf_dir), FIRST_DAY, AS_OF), "users")
+    item_vectors = recommend.similarity_vectors(_interactions(spark, sf_dir))
+    return _scored(userrec.user_recommend(users, item_vectors, AS_OF))
 
 
 @query
 def user_recommend_orders(spark, sf_dir):
-    daily = _order_daily(spark, sf_dir)
-    users = userrec.user_vector(daily, ORDERS_FIRST_DAY, ORDERS_AS_OF)
-    vectors = userrec.item_vector_merge(userrec.item_vector_daily(daily), min_cnt=0)
-    return _scored(userrec.user_recommend(users, vectors, ORDERS_AS_OF))
+    users, item_vectors = recommend.store_vectors(
+        _order_daily(spark, sf_dir), ORDERS_FIRST_DAY, ORDERS_AS_OF, min_cnt=0)
+    return _scored(userrec.user_recommend(users, item_vectors, ORDERS_AS_OF))
 
 
 # -- log statistics ------------------------------------------------------------

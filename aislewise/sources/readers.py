@@ -34,6 +34,16 @@ def split_paths(paths: str | list[str]) -> list[str]:
     return [p.strip() for p in paths.split(",") if p.strip()] if isinstance(paths, str) else list(paths)
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Spreads a scan with fewer splits than cores over all cores.
+
+    Such a scan holds less than one split per core, so the exchange is small by
+    construction; a larger scan is left as it is.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def read_access_log(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     """Log lines as column ``line``; a ``dt=yyyy-MM-dd`` folder level becomes a DATE column.
 
