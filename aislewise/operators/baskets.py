@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from aislewise.operators.skew import fan_out
+from aislewise.operators.skew import MAX_HOT_KEYS, fan_out
 
 CAP_PER_MONTH = 300
 SHORT_RANGE_CAP = 900
@@ -26,11 +26,18 @@ def basket_limit(months: int) -> int:
 def basket_cap(baskets: DataFrame, keys: list[str], cap: int) -> DataFrame:
     """Baskets of fewer than ``cap`` units.
 
-    Sizes are counted with map-side combining and the few full baskets are anti-joined
-    away, so a hot user's rows are never brought together.
+    Sizes are counted with map-side combining. Full baskets that hold more than one in
+    ``MAX_HOT_KEYS`` of all rows are fewer than that many, so they are dropped by a
+    broadcast, and no hot user's rows are ever moved together. The others follow by a
+    plain anti join on the basket keys.
     """
-    full = baskets.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= cap)
-    return baskets.join(full.select(*keys), keys, "left_anti")
+    sizes = baskets.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
+    total = sizes.agg(F.sum("n")).scalar()
+    full = sizes.where(F.col("n") >= cap)
+    hottest = full.where(F.col("n") * MAX_HOT_KEYS > total)
+    return baskets.join(F.broadcast(hottest.select(*keys)), keys, "left_anti").join(
+        full.select(*keys), keys, "left_anti"
+    )
 
 
 def _other(df: DataFrame, names: list[str]) -> DataFrame:

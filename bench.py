@@ -30,7 +30,7 @@ def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
     cpus = os.environ.get("BENCH_CPUS", "8")
     spark = build_session("bench", master=f"local[{cpus}]", **{
-        "spark.sql.shuffle.partitions": str(2 * int(cpus)),
+        "spark.sql.shuffle.partitions": cpus,
         "spark.driver.memory": "16g",
         "spark.ui.enabled": "false",
         "spark.ui.showConsoleProgress": "false",
