@@ -63,4 +63,4 @@ def api_traffic_job(
 ) -> None:
     lines = readers.read_access_log(spark, log_paths)
     traffic = apitraffic.api_traffic_per_minute(apitraffic.api_line_fields(lines, domain, year))
-    writers.write_tsv(apitraffic.api_traffic_lines(traffic), output)
+    writers.write_lines(apitraffic.api_traffic_lines(traffic), output)

@@ -3,16 +3,25 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 
 def write_tsv(df: DataFrame, path: str, header: bool = False, gzip: bool = False) -> None:
-    """Overwrite ``path`` with TAB-separated text; arrays and structs must be packed before."""
+    """Overwrite ``path`` with TAB-separated text; arrays and structs must be packed before.
+
+    Values must hold no TAB; missing ones are written empty.
+    """
     writer = df.write.mode("overwrite").option("sep", "\t").option("header", header)
-    # Values hold no TAB, so nothing is quoted and missing values stay empty.
     writer = writer.option("quote", "").option("emptyValue", "").option("nullValue", "")
     writer.option("compression", "gzip" if gzip else "none").csv(path)
 
 
+def write_lines(df: DataFrame, path: str, gzip: bool = False) -> None:
+    """Overwrite ``path`` with one TAB-joined line per row, for cells that hold TABs themselves."""
+    line = F.concat_ws("\t", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in df.columns])
+    df.select(line).write.mode("overwrite").option("compression", "gzip" if gzip else "none").text(path)
+
+
 def write_table(df: DataFrame, path: str, by_day: bool = False) -> None:
     """Overwrite a parquet table; with ``by_day`` only the ``dt`` partitions that are written."""
     writer = df.write.mode("overwrite")
