@@ -45,6 +45,40 @@ def uid_eid_pairs(lines: DataFrame) -> DataFrame:
     ).where((F.col("uid") != "") & (F.col("eid") != ""))
 
 
+def shopper_requests(lines: DataFrame) -> DataFrame:
+    """Clicks and identity pairs of one pass over the log, as (..., kind, uid, value).
+
+    ``value`` is the item of a view or cart click, or the eid of kind ``eid``: the same rows
+    as ``click_events`` and ``uid_eid_pairs`` together, for jobs that need both.
+    """
+    line = F.col("line")
+    kept = [c for c in lines.columns if c != "line"]
+    is_map = line.contains(L.UIDMAP_PATH)
+    hits = lines.where(
+        (line.contains(L.VIEW_PATH) | line.contains(L.BEACON_PATH) | is_map) & ~L.is_recommend_bot(line)
+    )
+    decoded = hits.select(*kept, "line", F.explode(F.array(L.click_request(line))).alias("request"))
+    click = F.struct(
+        L.click_kind(line).alias("kind"), L.click_uid(F.col("request")).alias("uid"),
+        L.click_item(F.col("request")).alias("value"),
+    )
+    pair = F.struct(
+        F.lit("eid").alias("kind"), F.when(is_map, L.uidmap_field(line, "uid")).alias("uid"),
+        F.when(is_map, L.uidmap_field(line, "eid")).alias("value"),
+    )
+    return decoded.select(*kept, F.inline(F.array(click, pair))).where(
+        F.col("kind").isNotNull() & (F.col("uid") != "") & (F.col("value") != "")
+    )
+
+
+def clicks_of(requests: DataFrame) -> DataFrame:
+    return requests.where(F.col("kind") != "eid").withColumnRenamed("value", "item")
+
+
+def pairs_of(requests: DataFrame) -> DataFrame:
+    return requests.where(F.col("kind") == "eid").drop("kind").withColumnRenamed("value", "eid")
+
+
 def purchases_on_day(purchases: DataFrame, day: str | None = None) -> DataFrame:
     """(dt, user, item) of purchases, of one day (yyyyMMdd) or of all."""
     day_text = F.substring("order_no", 1, 8)
@@ -80,17 +114,20 @@ def uid_eid_sets(lines: DataFrame) -> DataFrame:
     Long rows rather than one array per uid, since a shared uid has no bound on its eids.
     """
     line = F.col("line")
-    identity = lines.where(
-        F.regexp_extract(line, '"GET (/emon/uidmap.htm)[^"]+"', 1).startswith("/") & ~L.is_stats_bot(line)
-    ).select(
-        L.uidmap_field(line, "uid", closed=True).alias("uid"),
-        F.lit("eid").alias("kind"),
-        L.uidmap_field(line, "eid", closed=True).alias("value"),
+    kept = lines.where((line.contains(L.UIDMAP_PATH) | L.is_beacon(line)) & ~L.is_stats_bot(line))
+    parsed = kept.select("line", F.inline(F.array(L.payload(line))))
+    is_identity = line.rlike('"GET ' + L.UIDMAP_PATH + '[^"]+"')
+    seen = F.array(
+        F.struct(
+            F.when(is_identity, L.uidmap_field(line, "uid", closed=True)).alias("uid"),
+            F.lit("eid").alias("kind"),
+            F.when(is_identity, L.uidmap_field(line, "eid", closed=True)).alias("value"),
+        ),
+        F.struct(F.col("Uid").alias("uid"), F.lit("action").alias("kind"), F.col("Action").alias("value")),
     )
-    beacons = lines.where(L.is_beacon(line) & ~L.is_stats_bot(line)).select(
-        F.inline(F.array(L.payload(line)))
-    ).select(F.col("Uid").alias("uid"), F.lit("action").alias("kind"), F.col("Action").alias("value"))
-    both = identity.where((F.col("uid") != "") & (F.col("value") != "")).unionByName(
-        beacons.where(F.col("uid").isNotNull() & F.col("value").isNotNull())
+    # An empty match of the identity request means the field was not there.
+    found = parsed.select(F.inline(seen)).where(
+        F.col("uid").isNotNull() & F.col("value").isNotNull()
+        & ~((F.col("kind") == "eid") & ((F.col("uid") == "") | (F.col("value") == "")))
     )
-    return both.distinct()
+    return found.distinct()

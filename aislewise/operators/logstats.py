@@ -119,16 +119,14 @@ def store_page_counts(
         return found.where(F.col("store_no") != "").groupBy(*keys, "site", "store_no").agg(
             F.count(F.lit(1)).alias("cnt")
         )
-    item = F.when(
-        F.col("url_store") == "", H.item_of_sku(F.try_element_at("prod", F.lit(1)))
-    )
+    # The item matters only without a store in the URL; one join then serves both cases, and
+    # the log is parsed once.
+    item = F.when(F.col("url_store") == "", H.item_of_sku(F.try_element_at("prod", F.lit(1))))
     per_item = views.groupBy(*keys, "site", "url_store", item.alias("item")).agg(
         F.count(F.lit(1)).alias("n")
     )
-    with_url = per_item.where(F.col("url_store") != "").select(
-        *keys, "site", F.col("url_store").alias("store_no"), "n"
-    )
-    with_item = item_store_lookup(
-        per_item.where((F.col("url_store") == "") & F.col("item").isNotNull()), item_dim, six_chars_only=True
-    ).select(*keys, "site", F.col("item_store").alias("store_no"), "n")
-    return with_url.unionByName(with_item).groupBy(*keys, "site", "store_no").agg(F.sum("n").alias("cnt"))
+    placed = item_store_lookup(per_item, item_dim, six_chars_only=True)
+    store = F.when(F.col("url_store") != "", F.col("url_store")).otherwise(F.col("item_store"))
+    return placed.select(*keys, "site", store.alias("store_no"), "n").where(
+        F.col("store_no").isNotNull()
+    ).groupBy(*keys, "site", "store_no").agg(F.sum("n").alias("cnt"))

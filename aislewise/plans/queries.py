@@ -63,12 +63,8 @@ def _interactions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _daily(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lines = _log(spark, sf_dir).select("dt", "line")
-    return userrec.user_item_daily(
-        identity.click_events(lines),
-        identity.uid_eid_pairs(lines),
-        identity.purchases_on_day(X.purchases(_events(spark, sf_dir))),
-    )
+    bought = identity.purchases_on_day(X.purchases(_events(spark, sf_dir)))
+    return recommend.daily_counters(_log(spark, sf_dir).select("dt", "line"), bought)
 
 
 def _order_daily(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -54,6 +54,16 @@ def most_view_job(
     writers.write_tsv(ranked_lines(ranked, "grp", "item"), output)
 
 
+def daily_counters(lines: DataFrame, purchases: DataFrame) -> DataFrame:
+    """User-item counters of log lines (dt, line) and purchases (dt, user, item).
+
+    The log is read and parsed once; clicks and identity pairs are then taken from the
+    stored requests, which are far smaller than the lines.
+    """
+    requests = materialize(identity.shopper_requests(lines), "shopper-requests")
+    return userrec.user_item_daily(identity.clicks_of(requests), identity.pairs_of(requests), purchases)
+
+
 def user_item_daily_job(
     spark: SparkSession, log_paths: str | list[str], purchase_paths: str | list[str], table: str,
     day: str | None = None,
@@ -63,11 +73,8 @@ def user_item_daily_job(
     lines = readers.read_access_log(spark, log_paths).select(
         F.to_date(F.lit(run_day), "yyyyMMdd").alias("dt"), "line"
     )
-    daily = userrec.user_item_daily(
-        identity.click_events(lines),
-        identity.uid_eid_pairs(lines),
-        identity.purchases_on_day(readers.read_purchases(spark, purchase_paths), run_day),
-    )
+    bought = identity.purchases_on_day(readers.read_purchases(spark, purchase_paths), run_day)
+    daily = daily_counters(lines, bought)
     writers.write_table(daily, table, by_day=True)
 
 

@@ -164,6 +164,17 @@ def test_identity_pairs(spark):
     assert rows(identity.uid_eid_sets(lines(spark, *texts))) == [(UID, "eid", EID)]
 
 
+def test_one_pass_gives_the_same_clicks_and_pairs(spark, sf_dir):
+    from aislewise.sources import fixtures as X
+
+    log = X.access_log(X.table(spark, sf_dir, "events"))
+    requests = identity.shopper_requests(log)
+    assert rows(identity.clicks_of(requests), "event_id", "uid", "item", "kind") == rows(
+        identity.click_events(log), "event_id", "uid", "item", "kind")
+    assert rows(identity.pairs_of(requests), "event_id", "uid", "eid") == rows(
+        identity.uid_eid_pairs(log), "event_id", "uid", "eid")
+
+
 def test_uid_sets_keep_eids_and_actions_apart(spark):
     texts = (
         line(f"/emon/uidmap.htm?uid={UID},eid={EID},v="), line(f"/emon/uidmap.htm?uid={UID},eid={EID},v="),
