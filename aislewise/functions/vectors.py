@@ -30,7 +30,7 @@ def unpack_vector(text: Column) -> Column:
         lambda s, i: F.struct(
             (i + 1).cast("int").alias("pos"),
             F.split_part(s, F.lit(":"), F.lit(1)).alias("key"),
-            F.split_part(s, F.lit(":"), F.lit(2)).cast("bigint").alias("value"),
+            F.split_part(s, F.lit(":"), F.lit(2)).try_cast("bigint").alias("value"),
         ),
     )
 

@@ -87,7 +87,7 @@ def read_wide_counts(wide: DataFrame, keys: list[str]) -> DataFrame:
     entries = F.explode(F.array(*[
         F.struct(
             F.lit(site).alias("site"), F.col(f"{site}_store_no").alias("store_no"),
-            F.col(f"{site}_cnt").cast("bigint").alias("cnt"),
+            F.col(f"{site}_cnt").try_cast("bigint").alias("cnt"),
         ) for site in RANK_SITES
     ])).alias("e")
     return wide.select(*keys, entries).select(*keys, "e.*").where(

@@ -14,8 +14,8 @@ from aislewise.functions import logline as L
 from aislewise.operators import identity
 from aislewise.operators.beacons import parse_beacons, with_device
 
-UID = "6a1e2f13f280138235919ec1a40d097b5eb476de"
-EID = "6f74f330a89c0fd7376283aa15236a863fe312a2"
+UID = "0123456789abcdef0123456789abcdef01234567"
+EID = "fedcba98765432100123456789abcdef01234567"
 
 
 def beacon(site="24h", page="store", action="pageview", prod=("DGBO3J-A81426340-000",), referer="/",
@@ -29,7 +29,7 @@ def beacon(site="24h", page="store", action="pageview", prod=("DGBO3J-A81426340-
 
 def line(path, referer="/", agent="Mozilla/5.0 (Windows NT 6.1)", ip="10.1.2.3"):
     return (
-        f"Sep  4 00:00:05 ec1web11 apache2: {ip} - - [04/Sep/2014:00:00:05 +0800] "
+        f"Sep  4 00:00:05 web7 apache2: {ip} - - [04/Sep/2014:00:00:05 +0800] "
         f'"GET {path} HTTP/1.1" 200 26 "http://shop.example.tw{referer}" "{agent}" uid=- ecc=-'
     )
 
