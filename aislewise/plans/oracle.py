@@ -480,7 +480,11 @@ FROM daily""",
     "user_recommend": f"{_REC} {_recommended()}",
     "user_recommend_unbought": f"{_REC} {_recommended('(SELECT * FROM waiting WHERE buy > 0)')}",
     "user_recommend_similarity": f"""
-WITH {EV}, {DAILY}, {UV}, {IA}, {_baskets('va', 1000)}, iv AS (SELECT item, other, score AS cnt FROM sim), {CAND}
+WITH {EV}, {DAILY}, {UV}, {IA}, {_baskets('va', 1000)},
+iv AS (
+  SELECT item, other, score AS cnt FROM sim WHERE score > 1
+  QUALIFY row_number() OVER (PARTITION BY item ORDER BY score DESC, other) <= 1000),
+{CAND}
 {_recommended()}""",
     "user_recommend_orders": f"WITH {ORDER_DAILY}, {ORDER_UV}, {_merged(min_cnt=0)}, {CAND} {_recommended()}",
     "page_view_hits": f"WITH {EV}, {BC}, {HITS} SELECT * FROM hits",

@@ -495,7 +495,8 @@ def user_recommend_unbought(spark, sf_dir):
 def user_recommend_similarity(spark, sf_dir):
     """Item vectors from view history instead of daily co-occurrence."""
     users = materialize(userrec.user_vector(_daily(spark, sf_dir), FIRST_DAY, AS_OF), "users")
-    item_vectors = recommend.similarity_vectors(_interactions(spark, sf_dir))
+    item_vectors = materialize(
+        userrec.item_vector_merge(recommend.similarity_vectors(_interactions(spark, sf_dir))), "item-vector")
     return _scored(userrec.user_recommend(users, item_vectors, AS_OF))
 
 

@@ -98,19 +98,26 @@ def store_vectors(
 
 
 def similarity_vectors(interactions: DataFrame) -> DataFrame:
-    """Item vectors from view history, in the shape the score product reads."""
-    scores = alsoview.item_similarity(interactions).select("item", "other", F.col("score").alias("cnt"))
-    return materialize(scores, "item-similarity")
+    """(item, other, cnt) from view history, in the shape of daily item vectors."""
+    return alsoview.item_similarity(interactions).select("item", "other", F.col("score").alias("cnt"))
+
+
+def item_similarity_job(spark: SparkSession, inputs: str | list[str], table: str) -> None:
+    writers.write_table(similarity_vectors(readers.read_interactions(spark, inputs)), table)
 
 
 def user_recommend_job(
     spark: SparkSession, daily_table: str, item_vector_table: str, output: str, first_day: date,
     as_of: date, top: int = userrec.TOP_ITEMS, gzip: bool = False, recommend_unbought: bool = False,
 ) -> None:
-    """Personal lists from the stored daily counters and daily item vectors up to ``as_of``."""
+    """Personal lists from the stored daily counters and item vectors up to ``as_of``.
+
+    The item vectors are daily ones, or the table of ``item_similarity_job``.
+    """
     days = (F.col("dt") >= F.lit(first_day)) & (F.col("dt") <= F.lit(as_of))
     daily = spark.read.parquet(daily_table).where(days)
-    item_vectors = userrec.item_vector_merge(spark.read.parquet(item_vector_table).where(days))
+    stored = spark.read.parquet(item_vector_table)
+    item_vectors = userrec.item_vector_merge(stored.where(days) if "dt" in stored.columns else stored)
     users = materialize(userrec.user_vector(daily, first_day, as_of), "user-vector")
     ranked = userrec.user_recommend(
         users, materialize(item_vectors, "item-vector"), as_of, top, recommend_unbought

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from test_logline import EID, UID, beacon, line
 from test_reports import API_LINES
 
+from aislewise.__main__ import main
 from aislewise.functions import vectors as V
 from aislewise.plans import logreports, recommend
 from aislewise.session import materialize
@@ -182,3 +183,29 @@ def test_api_traffic_batch_and_stream_agree(spark, tmp_path):
     # The last minute stays open until the watermark passes it.
     got = spark.read.parquet(str(tmp_path / "table"))
     assert rows(got, "machine", "product", "non_product") == [("ec1", 2, 0), ("ec2", 0, 1)]
+
+
+def test_similarity_table_can_feed_the_recommendation(spark, tmp_path):
+    source = write_history(tmp_path / "views")
+    main(["item-similarity", source, str(tmp_path / "sim")], spark)
+    day = date(2014, 9, 4)
+    daily = spark.createDataFrame(
+        [(day, "eid:x", "DEBG2H-A70201693", 0, 1, 0, None)],
+        "dt date, user string, item string, buy long, view long, cart long, buy_date date")
+    writers.write_table(daily, str(tmp_path / "daily"), by_day=True)
+    main(["user-recommend", str(tmp_path / "daily"), str(tmp_path / "sim"), str(tmp_path / "out"),
+          "--first-day", "2014-09-01", "--as-of", "2014-09-20"], spark)
+    # Only the count doubled within the store family is above 1.
+    assert text_of(tmp_path / "out") == "eid:x\tDEBG2K-A00000001\n"
+
+
+def test_command_line_rejects_unknown_jobs_and_modes(spark):
+    for argv in (["nothing"], ["store-rank", "t", "o", "--stores", "s", "--mode", "year"], ["most-view", "i", "o"]):
+        with pytest.raises(SystemExit):
+            main(argv, spark)
+
+
+def test_command_line_most_view(spark, tmp_path):
+    source = write_history(tmp_path / "views")
+    main(["most-view", source, str(tmp_path / "out"), "--level", "store", "--top", "1"], spark)
+    assert "DEBG2K\tDEBG2K-A00000001" in text_of(tmp_path / "out")
