@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import io
 import zipfile
+import zlib
 from collections.abc import Iterator
 
 import pandas as pd
@@ -27,6 +28,8 @@ PURCHASES_SCHEMA = T.StructType([
     T.StructField("store", T.StringType()),
     T.StructField("region", T.StringType()),
 ])
+ZIP_BATCH_BYTES = 16 * 1024 * 1024
+ZIP_BATCH_ROWS = 1000
 ZIP_ENTRY_SCHEMA = "path string, name string, content binary"
 
 
@@ -92,23 +95,33 @@ def unzip_entries(archives: DataFrame, lenient: bool = False) -> DataFrame:
     """Entries of zip archives given as (path, content), one row per entry.
 
     An archive cannot be split, as entry offsets are only known at its end; entries
-    are handed on one at a time. ``lenient`` skips what is left of a damaged archive
+    are handed on in batches of bounded size. ``lenient`` skips what is left of a damaged archive
     instead of failing.
     """
 
-    def entries(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def read(batches: Iterator[pd.DataFrame]) -> Iterator[tuple[str, str, bytes]]:
         for batch in batches:
             for path, content in zip(batch["path"], batch["content"]):
                 try:
                     with zipfile.ZipFile(io.BytesIO(content)) as archive:
                         for info in archive.infolist():
-                            yield pd.DataFrame(
-                                {"path": [path], "name": [info.filename], "content": [archive.read(info)]}
-                            )
-                except (zipfile.BadZipFile, EOFError):
+                            yield path, info.filename, archive.read(info)
+                except (zipfile.BadZipFile, zlib.error, EOFError):
                     if not lenient:
                         raise
 
+    def entries(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        found: list[tuple[str, str, bytes]] = []
+        held = 0
+        for entry in read(batches):
+            found.append(entry)
+            held += len(entry[2])
+            if held >= ZIP_BATCH_BYTES or len(found) >= ZIP_BATCH_ROWS:
+                yield pd.DataFrame(found, columns=["path", "name", "content"])
+                found, held = [], 0
+        if found:
+            yield pd.DataFrame(found, columns=["path", "name", "content"])
+
     return archives.select("path", "content").mapInPandas(entries, ZIP_ENTRY_SCHEMA)
 
 

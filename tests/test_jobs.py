@@ -86,6 +86,13 @@ def test_zip_archives(spark, tmp_path):
     assert rows(got.select("name", F.octet_length("content"))) == [("w.txt", 15000), ("x.txt", 3), ("y/z.txt", 0)]
 
 
+def test_zip_entries_in_several_batches(spark, monkeypatch):
+    monkeypatch.setattr(readers, "ZIP_BATCH_ROWS", 3)
+    many = zip_bytes({f"{n}.txt": str(n).encode() for n in range(10)})
+    df = spark.createDataFrame([("a", many), ("b", many)], "path string, content binary")
+    assert readers.unzip_entries(df).select("path", "name").distinct().count() == 20
+
+
 def test_damaged_zip(spark, tmp_path):
     good = zip_bytes({"x.txt": b"one"})
     (tmp_path / "a.zip").write_bytes(good)
