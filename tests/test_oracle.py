@@ -5,11 +5,10 @@ from __future__ import annotations
 import pytest
 
 import __spark_entry__ as entry_module
+from aislewise.plans.oracle import ORACLE_SQL as SQL
+from aislewise.plans.queries import QUERIES
 from oracle_check import connect, difference
 
-QUERIES = entry_module.queries()
-SQL = entry_module.oracle_sql()
-
 
 @pytest.fixture(scope="module")
 def con(sf_dir):
@@ -23,6 +22,8 @@ def test_query_matches_sql(spark, con, sf_dir, name):
 
 def test_every_sql_has_a_query():
     assert set(SQL) == set(QUERIES)
+    assert set(QUERIES) <= set(entry_module.queries())
+    assert set(entry_module.oracle_sql()) <= set(entry_module.queries())
 
 
 def test_entry_has_rows(spark):
