@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from aislewise.llm.components import components
 from aislewise.llm.scratch import Scratch
 from aislewise.llm.ship import map_batches
-from aislewise.llm.textbatch import find_words, mix, shingle_hashes, slices
+from aislewise.llm.textbatch import distinct, find_words, mix, shingle_hashes, slices
 
 COORDINATES = 40
 MISS = 1e-6
@@ -56,7 +56,7 @@ def shingle_sets(column: pa.Array, size: int) -> Iterator[np.ndarray]:
         words = find_words(texts)
         hashes = texts.span_hashes(words.starts, words.ends)
         for low, high in zip(words.rows[:-1], words.rows[1:]):
-            yield np.unique(shingle_hashes(hashes[low:high], size))
+            yield distinct(shingle_hashes(hashes[low:high], size))
 
 
 def _multipliers(coordinates: int) -> np.ndarray:

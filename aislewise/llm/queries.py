@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from aislewise.llm import minhash_join, repetition
+from aislewise.llm import bestfit, minhash_join, rans, repetition
+from aislewise.llm.subwords import default_tokenizer, subwords
+from aislewise.session import scratch_path
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -25,8 +27,24 @@ def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = bestfit.token_pieces(documents(spark, sf_dir), default_tokenizer("byte_bpe_50k.json"), end_id=2)
+    return bestfit.best_fit_pack(pieces).select(
+        "doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
+
+
+def op10_rans_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder, tokenizer = scratch_path(spark, "rans"), default_tokenizer("word_bpe_49k.json")
+    rans.write_token_files(documents(spark, sf_dir), folder, tokenizer, end_id=1)
+    vocabulary = subwords(tokenizer, spaces=False).tokenizer.get_vocab_size()
+    read = rans.read_token_files(spark, folder, vocabulary)
+    return read.select(F.col("id").alias("doc_id"), "start", "n_tokens", "ids_crc32")
+
+
 QUERIES = {
     "op1_minhash_near_dedup": op1_minhash_near_dedup,
     "op2_quality_rules": op2_quality_rules,
+    "op4_best_fit_packing": op4_best_fit_packing,
+    "op10_rans_token_files": op10_rans_token_files,
 }
 ORACLE_SQL: dict[str, str] = {}

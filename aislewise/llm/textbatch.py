@@ -51,6 +51,16 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x
 
 
+def distinct(values: np.ndarray) -> np.ndarray:
+    """Sorted distinct values."""
+    ordered = np.sort(values)
+    if len(ordered) == 0:
+        return ordered
+    first = np.ones(len(ordered), bool)
+    np.not_equal(ordered[1:], ordered[:-1], out=first[1:])
+    return ordered[first]
+
+
 @dataclass
 class Texts:
     """Rows of one slice: row i is ``data[offsets[i]:offsets[i + 1]]``, UTF-8."""
