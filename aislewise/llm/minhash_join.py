@@ -8,15 +8,21 @@
    rarest values of either, so only those are posted under (coordinate, value). Values that
    occur once are not posted, and a value that many texts share comes last in the order:
    it is posted only by texts that are mostly made of such values.
-4. Skip merging: a posting list is first merged with one pivot each, and every text keeps its
-   best pivot. Pairs whose texts are already connected are skipped from then on; all other
-   pairs of the lists are counted. So a list of n copies costs n pairs, not n * n, and no pair
-   that could join two components is left out.
-5. Pairs with T collisions or more are confirmed on the full shingle sets (64-bit hashes).
+4. Of the posted texts the shingles that no other posted text has are counted. They bound the
+   overlap of any pair, so texts with too many of them leave the lists, and pairs out of reach
+   are skipped.
+5. Skip merging: every list is first merged with one pivot, its member with the smallest share
+   of own shingles, and each text keeps its best pivot and what sets it apart from that one.
+   Pairs whose texts are then connected are skipped. All other pairs of the lists are
+   counted: two texts of one pivot exactly, from their differences to it, within the join.
+6. Pairs with T collisions or more are confirmed on the full shingle sets (64-bit hashes).
+   So only links leave a list of n near copies, and no pair that could join two components
+   is left out.
 
 Defined cases: null and empty texts, and texts without words, have the empty set and are
-linked with nothing. Rows of one id count as one document: a link of any of its rows holds.
-A null id is linked with nothing and is its own component. Ties in the value order go by hash.
+linked with nothing. Rows of one id count as one document, compared by one of its sets where
+its texts differ; their classes are tied. A null id is linked with nothing and is its own
+component. Ties in the value order go by hash.
 """
 
 from __future__ import annotations
@@ -36,7 +42,6 @@ from aislewise.llm.textbatch import distinct, find_words, mix, shingle_hashes, s
 
 COORDINATES = 40
 MISS = 1e-6
-MAX_OPEN_PER_POSTING = 8  # above, another round of pivots comes before the rest is counted
 
 
 def match_threshold(percent: int, coordinates: int = COORDINATES, miss: float = MISS) -> int:
@@ -92,23 +97,24 @@ def signatures(docs: DataFrame, id_col: str, text_col: str, shingle: int, coordi
     return map_batches(docs.select(id_col, text_col), sign, f"id {kind}, n_shingles bigint, key_1 bigint, key_2 bigint, sig array<int>")
 
 
-def full_sets(docs: DataFrame, id_col: str, text_col: str, shingle: int) -> DataFrame:
-    """(id, shingles): all distinct shingle hashes of each text."""
+def full_sets(texts: DataFrame, shingle: int) -> DataFrame:
+    """(id, shingles) of ``texts`` (id, text, key_1): all distinct shingle hashes, of the
+    texts whose set has that key."""
 
     def collect(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            at = 0
             for low in range(0, batch.num_rows, 512):
                 part = batch.slice(low, 512)
                 own = list(shingle_sets(part.column(1), shingle))
+                same = [k for k, s in enumerate(own) if int(s.sum().view(np.int64)) == part.column(2)[k].as_py()]
+                own = [own[k].view(np.int64) for k in same]
                 ends = np.cumsum([0, *map(len, own)]).astype(np.int32)
-                flat = np.concatenate(own).view(np.int64) if own else np.zeros(0, np.int64)
-                yield pa.RecordBatch.from_arrays(
-                    [part.column(0), pa.ListArray.from_arrays(ends, flat)], ["id", "shingles"])
-                at += part.num_rows
+                flat = np.concatenate(own) if own else np.zeros(0, np.int64)
+                yield pa.RecordBatch.from_arrays([
+                    part.column(0).take(pa.array(same, pa.int64())), pa.ListArray.from_arrays(ends, flat)], ["id", "shingles"])
 
-    kind = docs.schema[id_col].dataType.simpleString()
-    return map_batches(docs.select(id_col, text_col), collect, f"id {kind}, shingles array<bigint>")
+    kind = texts.schema["id"].dataType.simpleString()
+    return map_batches(texts.select("id", "text", "key_1"), collect, f"id {kind}, shingles array<bigint>")
 
 
 def prefix_postings(sigs: DataFrame, coordinates: int, threshold: int) -> DataFrame:
@@ -123,120 +129,128 @@ def prefix_postings(sigs: DataFrame, coordinates: int, threshold: int) -> DataFr
     return ranked.select("id", F.explode(F.slice("values", F.lit(1), room)).alias("v")).select("v.token", "id")
 
 
-def _ordered(one: str, other: str) -> list[Column]:
-    return [F.least(one, other).alias("a"), F.greatest(one, other).alias("b")]
+def _reachable(percent: int, overlap: Column, n_a: Column, n_b: Column) -> Column:
+    """Whether sets of these sizes with that many common shingles reach the similarity."""
+    return 100 * overlap >= percent * (n_a + n_b - overlap)
 
 
 class _Join:
     def __init__(self, docs, id_col, text_col, shingle, percent, coordinates):
-        self.docs, self.id_col, self.text_col = docs, id_col, text_col
+        self.docs = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
         self.shingle, self.percent = shingle, percent
         self.threshold = match_threshold(percent, coordinates)
         self.coordinates = coordinates
         self.scratch = Scratch(docs.sparkSession, "minhash")
-        self.sigs: DataFrame | None = None
 
-    def collisions(self, pairs: DataFrame) -> DataFrame:
+    def collisions(self, pairs: DataFrame, sigs: DataFrame) -> DataFrame:
         """(a, b, matches) of pairs with as many collisions as the threshold."""
-        one = self.sigs.select(F.col("id").alias("a"), F.col("sig").alias("sig_a"))
-        other = self.sigs.select(F.col("id").alias("b"), F.col("sig").alias("sig_b"))
+        one = sigs.select(F.col("id").alias("a"), F.col("sig").alias("sig_a"))
+        other = sigs.select(F.col("id").alias("b"), F.col("sig").alias("sig_b"))
         equal = F.aggregate(F.zip_with("sig_a", "sig_b", lambda x, y: (x == y).cast("int")), F.lit(0), lambda s, x: s + x)
         counted = pairs.join(one, "a").join(other, "b").select("a", "b", equal.alias("matches"))
         return counted.where(F.col("matches") >= self.threshold)
 
-    def confirm(self, pairs: DataFrame) -> DataFrame:
-        """Pairs (a, b) whose full sets reach the similarity."""
-        ids = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
-        texts = self.docs.select(F.col(self.id_col).alias("id"), F.col(self.text_col).alias("text"))
-        sets = self.scratch.save(full_sets(texts.join(ids, "id", "left_semi"), "id", "text", self.shingle))
+    def with_sets(self, pairs: DataFrame, sets: DataFrame) -> DataFrame:
+        """Pairs (a, b) with set_a, set_b and their ``overlap``."""
         one = sets.select(F.col("id").alias("a"), F.col("shingles").alias("set_a"))
         other = sets.select(F.col("id").alias("b"), F.col("shingles").alias("set_b"))
-        common = F.size(F.array_intersect("set_a", "set_b"))
-        union = F.size("set_a") + F.size("set_b") - common
-        links = self.scratch.save(
-            pairs.join(one, "a").join(other, "b").where(100 * common >= self.percent * union).select("a", "b"))
-        self.scratch.drop(sets)
-        return links
+        return pairs.join(other, "b").join(one, "a").withColumn("overlap", F.size(F.array_intersect("set_a", "set_b")))
+
+    def unshared(self, sets: DataFrame) -> DataFrame:
+        """(id, n, own): size of each set and how many of its shingles no other set has."""
+        alone = sets.select("id", F.explode("shingles").alias("shingle")).groupBy("shingle").agg(
+            F.count(F.lit(1)).alias("texts"), F.min("id").alias("id")).where("texts = 1")
+        own = alone.groupBy("id").agg(F.count(F.lit(1)).alias("own"))
+        return sets.select("id", F.size("shingles").cast("bigint").alias("n")).join(own, "id", "left").select(
+            "id", "n", F.coalesce("own", F.lit(0)).alias("own"))
+
+    def best_pivots(self, postings: DataFrame, sigs: DataFrame, sets: DataFrame) -> DataFrame:
+        """(id, pivot, overlap, missing, extra): each text's best pivot and its differences."""
+        rank = F.struct((F.col("own") / F.col("n")).alias("share"), (-F.col("n")).alias("size"), F.col("id").alias("pivot"),
+                        F.col("n").alias("n_pivot"), F.col("own").alias("own_pivot"))
+        chosen = postings.groupBy("token").agg(F.min(rank).alias("p")).select("token", "p.pivot", "p.n_pivot", "p.own_pivot")
+        most = F.least(F.col("n") - F.col("own"), F.col("n_pivot") - F.col("own_pivot"))
+        pairs = postings.join(chosen, "token").where(
+            (F.col("id") != F.col("pivot")) & _reachable(self.percent, most, F.col("n"), F.col("n_pivot")))
+        pairs = self.collisions(pairs.select(F.col("id").alias("a"), F.col("pivot").alias("b")).distinct(), sigs)
+        best = pairs.groupBy("a").agg(F.max(F.struct("matches", "b")).alias("m")).select("a", F.col("m.b").alias("b"))
+        return self.scratch.save(self.with_sets(best, sets).select(
+            F.col("a").alias("id"), F.col("b").alias("pivot"), "overlap", F.size("set_b").alias("n_pivot"),
+            F.array_except("set_b", "set_a").alias("missing"), F.array_except("set_a", "set_b").alias("extra")))
 
     def relabel(self, labels: DataFrame | None, links: DataFrame) -> DataFrame:
         """Labels (node, label) after more links between nodes of different labels."""
         if labels is None:
             return components(links, self.scratch)
-        merged = components(
-            self.labelled(self.labelled(links, labels, "a"), labels, "b")
-            .select(F.col("label_a").alias("a"), F.col("label_b").alias("b")).where("a != b").distinct(), self.scratch)
+        named = self.labelled(self.labelled(links, labels, "a"), labels, "b")
+        merged = components(named.select(F.col("label_a").alias("a"), F.col("label_b").alias("b")).where("a != b").distinct(), self.scratch)
         onto = merged.select(F.col("node").alias("label"), F.col("label").alias("onto"))
         moved = labels.join(onto, "label", "left").select("node", F.coalesce("onto", "label").alias("label"))
-        fresh = merged.join(labels, "node", "left_anti")
-        return self.scratch.save(moved.unionByName(fresh))
+        return self.scratch.save(moved.unionByName(merged.join(labels, "node", "left_anti")))
 
     def labelled(self, rows: DataFrame, labels: DataFrame, column: str) -> DataFrame:
         named = labels.select(F.col("node").alias(column), F.col("label").alias(f"label_{column}"))
         return rows.join(named, column, "left").withColumn(
             f"label_{column}", F.coalesce(f"label_{column}", F.col(column)))
 
-    def pivot_pairs(self, postings: DataFrame, salt: int) -> DataFrame:
-        """Each posting beside one member of its list, another one for each list."""
-        chosen = postings.groupBy("token").agg(
-            F.min(F.struct(F.xxhash64("id", "token", F.lit(salt)).alias("h"), "id")).alias("p"))
-        return postings.join(chosen.select("token", F.col("p.id").alias("pivot")), "token").where(
-            "id != pivot").select("id", "pivot").distinct()
-
-    def best_pivots(self, postings: DataFrame) -> DataFrame:
-        pairs = self.collisions(self.pivot_pairs(postings, 0).select(F.col("id").alias("a"), F.col("pivot").alias("b")))
-        best = pairs.groupBy("a").agg(F.max(F.struct("matches", "b")).alias("m"))
-        return best.select("a", F.col("m.b").alias("b")).select(*_ordered("a", "b")).distinct()
-
-    def open_postings(self, postings: DataFrame, labels: DataFrame) -> DataFrame:
-        """(token, id, label) of lists that hold several labels."""
+    def rest(self, postings: DataFrame, labels: DataFrame, pivots: DataFrame) -> DataFrame:
+        """(a, b, linked) of all reachable pairs of one list and different labels; ``linked`` is
+        true where the pair is a link, null where that is still to be confirmed."""
         named = self.labelled(postings, labels, "id").withColumnRenamed("label_id", "label")
         mixed = named.groupBy("token").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high")
-        return self.scratch.save(named.join(mixed.select("token"), "token", "left_semi"))
-
-    def across(self, rows: DataFrame) -> DataFrame:
-        """Pairs (a, b) of one list and different labels, built from pairs of labels."""
-        groups = rows.select("token", "label").distinct()
-        pairs = groups.select("token", F.col("label").alias("label_a")).join(
-            groups.select("token", F.col("label").alias("label_b")), "token").where("label_a < label_b")
-        one = rows.select("token", F.col("label").alias("label_a"), F.col("id").alias("a"))
-        other = rows.select("token", F.col("label").alias("label_b"), F.col("id").alias("b"))
-        return pairs.join(one, ["token", "label_a"]).join(other, ["token", "label_b"]).select(*_ordered("a", "b")).distinct()
-
-    def run(self) -> tuple[DataFrame, DataFrame | None]:
+        none = F.array().cast("array<bigint>")
+        rows = named.join(mixed.select("token"), "token", "left_semi").join(pivots, "id", "left").select(
+            "token", "id", "n", "own", "label", F.coalesce("pivot", "id").alias("pivot"),
+            F.coalesce("n_pivot", "n").alias("n_pivot"), F.coalesce("missing", none).alias("missing"),
+            F.coalesce("extra", none).alias("extra"))
+        rows = self.scratch.save(rows)
+        one, other = (rows.select("token", *[F.col(c).alias(f"{c}_{s}") for c in rows.columns if c != "token"]) for s in "ab")
+        most = F.least(F.col("n_a") - F.col("own_a"), F.col("n_b") - F.col("own_b"))
+        # Texts of one pivot: what both keep of it, and what both have beyond it.
+        exact = (F.col("n_pivot_a") - F.size(F.array_union("missing_a", "missing_b"))
+                 + F.size(F.array_intersect("extra_a", "extra_b")))
+        sizes = F.col("n_a"), F.col("n_b")
+        met = one.join(other, (one["token"] == other["token"]) & (F.col("id_a") < F.col("id_b"))
+                       & (F.col("label_a") != F.col("label_b")) & _reachable(self.percent, most, *sizes)
+                       & F.when(F.col("pivot_a") == F.col("pivot_b"), _reachable(self.percent, exact, *sizes)).otherwise(True))
+        return self.scratch.save(met.select(
+            F.col("id_a").alias("a"), F.col("id_b").alias("b"),
+            F.when(F.col("pivot_a") == F.col("pivot_b"), True).alias("linked")).distinct())
+
+    def run(self) -> tuple[DataFrame, DataFrame]:
         scratch = self.scratch
-        signed = scratch.save(signatures(self.docs, self.id_col, self.text_col, self.shingle, self.coordinates))
+        signed = scratch.save(signatures(self.docs, "id", "text", self.shingle, self.coordinates))
         key = ["n_shingles", "key_1", "key_2"]
         classes = scratch.save(signed.where("n_shingles > 0").groupBy(*key).agg(F.min("id").alias("class_id")))
-        first = classes.select(F.col("class_id").alias("id"), *key)
-        self.sigs = scratch.save(signed.join(first, ["id", *key]).select("id", "sig").dropDuplicates(["id", "sig"]))
+        # An id stands for one set: that of the smallest key, where its rows differ.
+        first = classes.groupBy(F.col("class_id").alias("id")).agg(F.min(F.struct(*key)).alias("k")).select("id", "k.*")
+        sigs = scratch.save(signed.join(first, ["id", *key]).select("id", "key_1", "sig").dropDuplicates(["id"]))
         members = signed.join(classes, key, "left").select(
             "id", "n_shingles", F.coalesce("class_id", "id").alias("class_id"))
-        postings = scratch.save(prefix_postings(self.sigs, self.coordinates, self.threshold))
-        links = self.confirm(scratch.save(self.best_pivots(postings)))
+        posted = scratch.save(prefix_postings(sigs, self.coordinates, self.threshold))
+        wanted = sigs.select("id", "key_1").join(posted.select("id").distinct(), "id", "left_semi")
+        sets = scratch.save(full_sets(self.docs.join(wanted, "id"), self.shingle).dropDuplicates(["id"]))
+        rest = F.col("n") - F.col("own")
+        sizes = self.unshared(sets).where(_reachable(self.percent, rest, F.col("n"), rest))
+        postings = scratch.save(posted.join(sizes, "id"))
+
+        pivots = self.best_pivots(postings, sigs, sets)
+        size = F.col("n_pivot") - F.size("missing") + F.size("extra")
+        links = pivots.where(_reachable(self.percent, F.col("overlap"), size, F.col("n_pivot"))).select(
+            F.col("id").alias("a"), F.col("pivot").alias("b"))
         # Rows of one id with different sets tie their classes together.
         tied = members.groupBy("id").agg(F.min("class_id").alias("low"), F.max("class_id").alias("high"))
         tied = members.join(tied.where("low < high"), "id").where("class_id > low").select(
             F.col("low").alias("a"), F.col("class_id").alias("b"))
         labels = self.relabel(None, links.unionByName(tied).distinct())
-        salt = 0
-        while True:
-            rows = self.open_postings(postings, labels)
-            sizes = rows.groupBy("token", "label").agg(F.count(F.lit(1)).alias("n")).groupBy("token").agg(
-                (F.sum("n") * F.sum("n") - F.sum(F.col("n") * F.col("n"))).alias("pairs"), F.sum("n").alias("n"))
-            total, n = sizes.agg(F.coalesce(F.sum(F.col("pairs").cast("double")) / 2, F.lit(0.0)),
-                                 F.coalesce(F.sum("n"), F.lit(0))).first()
-            if total == 0:
-                return members, labels
-            last = total <= MAX_OPEN_PER_POSTING * n or salt >= 3
-            salt += 1
-            pairs = self.across(rows) if last else self.labelled(self.labelled(
-                self.pivot_pairs(rows.select("token", "id"), salt).select(*_ordered("id", "pivot")).distinct(),
-                labels, "a"), labels, "b").where("label_a != label_b").select("a", "b")
-            links = self.confirm(scratch.save(self.collisions(pairs).select("a", "b")))
-            labels = self.relabel(labels, links)
-            scratch.drop(rows)
-            if last:
-                return members, labels
+
+        met = self.rest(postings, labels, pivots)
+        likely = self.collisions(met.where("linked is null").select("a", "b"), sigs).select("a", "b")
+        confirmed = self.with_sets(likely, sets).where(
+            _reachable(self.percent, F.col("overlap"), F.size("set_a"), F.size("set_b"))).select("a", "b")
+        labels = self.relabel(labels, scratch.save(met.where("linked").select("a", "b").unionByName(confirmed).distinct()))
+        scratch.drop(sets, posted, postings)
+        return members, labels
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = 80,
