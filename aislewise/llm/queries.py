@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from aislewise.llm import bestfit, chatformat, minhash_join, multisethash, pfair, rans, repetition
+from aislewise.llm import bestfit, bigru, chatformat, minhash_join, multisethash, pfair, qda, rans, repetition
+from aislewise.llm.scratch import Scratch
 from aislewise.llm.subwords import default_tokenizer, subwords
 from aislewise.session import scratch_path
 
+PREDICT_FROM = 0.3
+
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
@@ -61,6 +64,41 @@ def op7_mixing_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pfair.mix_sources(documents(spark, sf_dir))
 
 
+def fold(modulus: int) -> Column:
+    """Part of a document by the checksum of its id as text."""
+    return F.crc32(F.col("doc_id").cast("string").cast("binary")) % modulus
+
+
+def training_labels(spark: SparkSession, sf_dir: str, column: str, modulus: int, held_out: int) -> DataFrame:
+    """(id, label) of the rows outside the held-out part."""
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    return labels.where((fold(modulus) != held_out) & F.col(column).isNotNull()).select(
+        F.col("doc_id").alias("id"), F.col(column).cast("int").alias("label"))
+
+
+def quality_scores(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    stats = Scratch(spark, "quality").save(qda.document_statistics(docs))
+    return qda.score(stats, qda.train(stats, training_labels(spark, sf_dir, "quality", 5, 0)))
+
+
+def toxicity_scores(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return bigru.score(docs, bigru.train(docs, training_labels(spark, sf_dir, "toxic", 4, 2)))
+
+
+def predictions(scores: DataFrame, modulus: int, held_out: int) -> DataFrame:
+    return scores.select(F.col("id").alias("doc_id"), "score").select(
+        "doc_id", (fold(modulus) == held_out).alias("held_out"), "score",
+        (F.col("score") >= PREDICT_FROM).cast("int").alias("predicted"))
+
+
+def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return predictions(quality_scores(spark, documents(spark, sf_dir), sf_dir), 5, 0)
+
+
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return predictions(toxicity_scores(spark, documents(spark, sf_dir), sf_dir), 4, 2)
+
+
 def op10_rans_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder, tokenizer = scratch_path(spark, "rans"), default_tokenizer("word_bpe_49k.json")
     rans.write_token_files(documents(spark, sf_dir), folder, tokenizer, end_id=1)
@@ -76,6 +114,8 @@ QUERIES = {
     "op4_best_fit_packing": op4_best_fit_packing,
     "op6_document_fingerprints": op6_document_fingerprints,
     "op7_mixing_sources": op7_mixing_sources,
+    "op8_quality_classifier": op8_quality_classifier,
+    "op9_toxicity": op9_toxicity,
     "op10_rans_token_files": op10_rans_token_files,
 }
 ORACLE_SQL: dict[str, str] = {}
