@@ -37,7 +37,10 @@ CHAR_SLOTS = 1 << 14
 DIM = 8
 HIDDEN = 8
 ATTEND = 8
-EPOCHS = 8
+EPOCHS = 5
+SURE = 1.5
+EMBED_RATE = 0.05
+CALIBRATE_ON = 4  # every so many-th training document only calibrates the scores
 EPOCH_WINDOWS = 12_000
 BATCH = 256
 RATE = 0.01
@@ -185,6 +188,10 @@ class Trainer:
     def __init__(self, texts: list[str], labels: np.ndarray, seed: int = 7):
         self.rng = np.random.default_rng(seed)
         self.labels = labels.astype(np.float64)
+        # Documents that only calibrate have no part in odds and training windows.
+        self.fitted = np.ones(len(labels), bool)
+        for label in (0, 1):
+            self.fitted[np.flatnonzero(labels == label)[CALIBRATE_ON - 1::CALIBRATE_ON]] = False
         hashes, rows, slots, owners, base = [], [0], [], [], 0
         lookup: dict[int, int] = {}
         ids = []
@@ -211,13 +218,16 @@ class Trainer:
         self.place, self.mask, self.owner = layout(self.rows)
 
     def _odds(self, units: np.ndarray, docs: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
-        """(smoothed log odds of a unit in toxic documents, documents that hold it)."""
-        pairs = distinct(units * np.int64(len(self.labels)) + docs)
+        """(log odds of a unit in toxic documents less ``SURE`` standard errors, documents that hold it)."""
+        fitted = self.fitted[docs]
+        pairs = distinct(units[fitted] * np.int64(len(self.labels)) + docs[fitted])
         unit, doc = pairs // len(self.labels), pairs % len(self.labels)
         toxic = np.bincount(unit, self.labels[doc], n)
         total = np.bincount(unit, minlength=n)
-        t, c = self.labels.sum(), (1 - self.labels).sum()
-        return np.log((toxic + 1) / (t + 2)) - np.log((total - toxic + 1) / (c + 2)), total
+        t, c = self.labels[self.fitted].sum(), (1 - self.labels[self.fitted]).sum()
+        odds = np.log((toxic + 0.5) / (t + 1)) - np.log((total - toxic + 0.5) / (c + 1))
+        error = np.sqrt(1 / (toxic + 0.5) + 1 / (total - toxic + 0.5))
+        return np.sign(odds) * np.maximum(np.abs(odds) - SURE * error, 0), total
 
     def start(self) -> Network:
         doc_of = np.repeat(np.arange(len(self.labels)), np.diff(self.rows))
@@ -303,10 +313,15 @@ class Trainer:
             v = state[name][1] = 0.99 * v + 0.01 * grad * grad
             step = RATE * (m / (1 - 0.9 ** state["t"])) / (np.sqrt(v / (1 - 0.99 ** state["t"])) + 1e-8)
             w[name] = (w[name] - step).astype(np.float32)
-        np.add.at(w["words"], rows, -20 * RATE * per_word[:, :DIM])
+        np.add.at(w["words"], rows, -EMBED_RATE * per_word[:, :DIM])
         w["words"][0] = 0
         count = np.maximum(np.bincount(owners, minlength=len(used)), 1)
-        np.add.at(w["chars"], slots, -20 * RATE * (per_word[:, DIM:] / count[:, None])[owners])
+        np.add.at(w["chars"], slots, -EMBED_RATE * (per_word[:, DIM:] / count[:, None])[owners])
+
+    def calibrated(self, worst: np.ndarray) -> tuple[float, float]:
+        spare = ~self.fitted
+        enough = spare.any() and 0 < self.labels[spare].sum() < spare.sum()
+        return calibrate(worst[spare], self.labels[spare]) if enough else calibrate(worst, self.labels)
 
     def fit(self) -> Network | None:
         if self.labels.sum() < 1 or (1 - self.labels).sum() < 1 or len(self.place) == 0:
@@ -315,13 +330,13 @@ class Trainer:
         self.table_rows = network.word_rows(self.hashes)
         state: dict = {"t": 0}
         scores = self.first_scores.astype(np.float64)
-        clean = np.flatnonzero(self.labels[self.owner] == 0)
-        toxic_docs = np.flatnonzero(self.labels == 1)
+        clean = np.flatnonzero((self.labels[self.owner] == 0) & self.fitted[self.owner])
+        toxic_docs = np.flatnonzero((self.labels == 1) & self.fitted)
         for _ in range(EPOCHS):
             worst, window = self.doc_worst(scores)
             positive = window[toxic_docs]
             positive = positive[positive >= 0]
-            hard = window[(self.labels == 0) & (window >= 0)]
+            hard = window[(self.labels == 0) & self.fitted & (window >= 0)]
             room = max(BATCH, min(EPOCH_WINDOWS, 8 * len(positive)) - len(hard))
             spare = self.rng.choice(clean, min(len(clean), room), replace=False) if len(clean) else clean
             copies = max(1, min(20, EPOCH_WINDOWS // (4 * max(1, len(positive)))))
@@ -334,7 +349,7 @@ class Trainer:
                 self.step(network, chosen[at], target[at], np.ones(len(at)), state)
             inputs = word_inputs(self.table_rows, self.slots, self.owners, network.weights)
             scores = window_logits(inputs[self.ids], self.place, self.mask, network.weights).astype(np.float64)
-        network.slope, network.shift = calibrate(self.doc_worst(scores)[0], self.labels)
+        network.slope, network.shift = self.calibrated(self.doc_worst(scores)[0])
         return network
 
 

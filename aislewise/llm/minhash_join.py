@@ -11,8 +11,8 @@
 4. Of the posted texts the shingles that no other posted text has are counted. They bound the
    overlap of any pair, so texts with too many of them leave the lists, and pairs out of reach
    are skipped.
-5. Skip merging: every list is first merged with one pivot, its member with the smallest share
-   of own shingles, and each text keeps its best pivot and what sets it apart from that one.
+5. Skip merging: every list is first merged with one pivot, its member whose values
+   are the most common, and each text keeps one pivot and what sets it apart from that one.
    Pairs whose texts are then connected are skipped. All other pairs of the lists are
    counted: two texts of one pivot exactly, from their differences to it, within the join.
 6. Pairs with T collisions or more are confirmed on the full shingle sets (64-bit hashes).
@@ -118,7 +118,8 @@ def full_sets(texts: DataFrame, shingle: int) -> DataFrame:
 
 
 def prefix_postings(sigs: DataFrame, coordinates: int, threshold: int) -> DataFrame:
-    """(token, id): each signature under its rarest values, those that occur once left out."""
+    """(token, id, common): each signature under its rarest values, those that occur once left
+    out; ``common`` is how often its values occur in all."""
     tokens = sigs.select("id", F.posexplode("sig").alias("at", "value")).select(
         "id", F.xxhash64("at", "value").alias("token"))
     counts = tokens.groupBy("token").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
@@ -126,7 +127,9 @@ def prefix_postings(sigs: DataFrame, coordinates: int, threshold: int) -> DataFr
     ranked = shared.groupBy("id").agg(F.sort_array(F.collect_list(F.struct("n", "token"))).alias("values"))
     single = F.lit(coordinates) - F.size("values")
     room = F.greatest(F.lit(coordinates - threshold + 1) - single, F.lit(0))
-    return ranked.select("id", F.explode(F.slice("values", F.lit(1), room)).alias("v")).select("v.token", "id")
+    common = F.aggregate("values", F.lit(0).cast("bigint"), lambda s, v: s + v["n"])
+    return ranked.select("id", common.alias("common"), F.explode(F.slice("values", F.lit(1), room)).alias("v")).select(
+        "v.token", "id", "common")
 
 
 def _reachable(percent: int, overlap: Column, n_a: Column, n_b: Column) -> Column:
@@ -166,14 +169,16 @@ class _Join:
 
     def best_pivots(self, postings: DataFrame, sigs: DataFrame, sets: DataFrame) -> DataFrame:
         """(id, pivot, overlap, missing, extra): each text's best pivot and its differences."""
-        rank = F.struct((F.col("own") / F.col("n")).alias("share"), (-F.col("n")).alias("size"), F.col("id").alias("pivot"),
+        rank = F.struct((-F.col("common")).alias("rank"), F.col("id").alias("pivot"),
                         F.col("n").alias("n_pivot"), F.col("own").alias("own_pivot"))
-        chosen = postings.groupBy("token").agg(F.min(rank).alias("p")).select("token", "p.pivot", "p.n_pivot", "p.own_pivot")
+        chosen = postings.groupBy("token").agg(F.min(rank).alias("p")).select("token", "p.*")
         most = F.least(F.col("n") - F.col("own"), F.col("n_pivot") - F.col("own_pivot"))
         pairs = postings.join(chosen, "token").where(
             (F.col("id") != F.col("pivot")) & _reachable(self.percent, most, F.col("n"), F.col("n_pivot")))
-        pairs = self.collisions(pairs.select(F.col("id").alias("a"), F.col("pivot").alias("b")).distinct(), sigs)
-        best = pairs.groupBy("a").agg(F.max(F.struct("matches", "b")).alias("m")).select("a", F.col("m.b").alias("b"))
+        pairs = pairs.select(F.col("id").alias("a"), F.col("pivot").alias("b"), "rank").distinct()
+        near = self.collisions(pairs.select("a", "b"), sigs)
+        # The same pivot for all texts around it: that of the most common values.
+        best = pairs.join(near, ["a", "b"]).groupBy("a").agg(F.min(F.struct("rank", "b")).alias("m")).select("a", F.col("m.b").alias("b"))
         return self.scratch.save(self.with_sets(best, sets).select(
             F.col("a").alias("id"), F.col("b").alias("pivot"), "overlap", F.size("set_b").alias("n_pivot"),
             F.array_except("set_b", "set_a").alias("missing"), F.array_except("set_a", "set_b").alias("extra")))
