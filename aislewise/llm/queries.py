@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from aislewise.llm import bestfit, bigru, chatformat, minhash_join, multisethash, pfair, qda, rans, repetition
+from aislewise.llm import (
+    bestfit, bigru, chatformat, contextmix, minhash_join, multisethash, pfair, qda, rans, repetition,
+)
 from aislewise.llm.scratch import Scratch
 from aislewise.llm.subwords import default_tokenizer, subwords
 from aislewise.session import scratch_path
@@ -56,6 +58,10 @@ def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 
 
+def op5_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contextmix.score_documents(documents(spark, sf_dir))
+
+
 def op6_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return multisethash.compare_edited(documents(spark, sf_dir))
 
@@ -112,6 +118,7 @@ QUERIES = {
     "op2_quality_rules": op2_quality_rules,
     "op3_chat_formatting": op3_chat_formatting,
     "op4_best_fit_packing": op4_best_fit_packing,
+    "op5_lm_scoring": op5_lm_scoring,
     "op6_document_fingerprints": op6_document_fingerprints,
     "op7_mixing_sources": op7_mixing_sources,
     "op8_quality_classifier": op8_quality_classifier,
