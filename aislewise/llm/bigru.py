@@ -26,11 +26,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from aislewise.llm.ship import map_batches
+from aislewise.llm.subwords import ragged
 from aislewise.llm.textbatch import Texts, distinct, find_runs, mix, slices
 
 WINDOW = 32
 STRIDE = 16
-TRAIN_DOCS = 4000
+TRAIN_DOCS = 3000
 VOCABULARY = 20_000
 MIN_DOCS = 3
 CHAR_SLOTS = 1 << 14
@@ -72,8 +73,8 @@ def character_slots(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> t
         for k in range(n):
             value = value * np.uint64(1_000_003) + padded[:, k:padded.shape[1] - n + 1 + k]
         inside = np.arange(value.shape[1]) + n <= (length + 2)[:, None]
-        owners.append(np.nonzero(inside)[0])
-        slots.append((mix(value[inside]) % np.uint64(CHAR_SLOTS)).astype(np.int64))
+        owners.append(np.nonzero(inside)[0].astype(np.int32))
+        slots.append((mix(value[inside]) % np.uint64(CHAR_SLOTS)).astype(np.int32))
     return np.concatenate(slots), np.concatenate(owners)
 
 
@@ -110,7 +111,7 @@ def layout(rows: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     first = np.concatenate(starts) if starts else np.zeros(0, np.int64)
     place = first[:, None] + np.arange(WINDOW)
     mask = place < (np.concatenate(stop) if stop else first)[:, None]
-    return np.where(mask, place, 0), mask, np.concatenate(owner) if owner else first
+    return np.where(mask, place, 0).astype(np.int32), mask, np.concatenate(owner) if owner else first
 
 
 def sigmoid(x: np.ndarray) -> np.ndarray:
@@ -202,32 +203,42 @@ class Trainer:
             if fresh:
                 s, o = character_slots(low.data, words.starts[first[fresh]], words.ends[first[fresh]])
                 slots.append(s)
-                owners.append(o + base)
+                owners.append(o + np.int32(base))
                 for k in fresh:
                     lookup[int(values[k])] = base
                     hashes.append(values[k])
                     base += 1
             number = np.array([lookup[v] for v in values.tolist()], np.int64)
-            ids.append(number[inverse] if len(own) else np.zeros(0, np.int64))
+            ids.append(number[inverse].astype(np.int32) if len(own) else np.zeros(0, np.int32))
             rows.extend((rows[-1] + words.rows[1:]).tolist())
-        self.ids = np.concatenate(ids) if ids else np.zeros(0, np.int64)
+        self.ids = np.concatenate(ids) if ids else np.zeros(0, np.int32)
         self.rows = np.array(rows)
         self.hashes = np.array(hashes, np.uint64)
-        self.slots = np.concatenate(slots) if slots else np.zeros(0, np.int64)
-        self.owners = np.concatenate(owners) if owners else np.zeros(0, np.int64)
+        owner = np.concatenate(owners) if owners else np.zeros(0, np.int32)
+        self.slots = (np.concatenate(slots) if slots else owner)[np.argsort(owner, kind="stable")]
+        self.slot_ends = np.append(0, np.cumsum(np.bincount(owner, minlength=len(self.hashes))))
         self.place, self.mask, self.owner = layout(self.rows)
 
     def _odds(self, units: np.ndarray, docs: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
         """(log odds of a unit in toxic documents less ``SURE`` standard errors, documents that hold it)."""
         fitted = self.fitted[docs]
+        units = units.astype(np.int64)
         pairs = distinct(units[fitted] * np.int64(len(self.labels)) + docs[fitted])
         unit, doc = pairs // len(self.labels), pairs % len(self.labels)
         toxic = np.bincount(unit, self.labels[doc], n)
         total = np.bincount(unit, minlength=n)
+        return self.sure_odds(toxic, total), total
+
+    def sure_odds(self, toxic: np.ndarray, total: np.ndarray) -> np.ndarray:
         t, c = self.labels[self.fitted].sum(), (1 - self.labels[self.fitted]).sum()
         odds = np.log((toxic + 0.5) / (t + 1)) - np.log((total - toxic + 0.5) / (c + 1))
         error = np.sqrt(1 / (toxic + 0.5) + 1 / (total - toxic + 0.5))
-        return np.sign(odds) * np.maximum(np.abs(odds) - SURE * error, 0), total
+        return np.sign(odds) * np.maximum(np.abs(odds) - SURE * error, 0)
+
+    def slots_of(self, words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(character slots of ``words``, place in ``words`` of each)."""
+        first, count = self.slot_ends[words], np.diff(self.slot_ends)[words]
+        return self.slots[ragged(first, count)], np.repeat(np.arange(len(words)), count)
 
     def start(self) -> Network:
         doc_of = np.repeat(np.arange(len(self.labels)), np.diff(self.rows))
@@ -237,14 +248,13 @@ class Trainer:
         frequent = frequent[np.argsort(self.hashes[frequent])]
         network = Network(self.hashes[frequent])
         # Character n-grams of a document: those of its distinct words.
-        pairs = distinct(self.ids * np.int64(len(self.labels)) + doc_of)
-        word, doc = pairs // len(self.labels), pairs % len(self.labels)
-        order = np.argsort(self.owners, kind="stable")
-        first = np.searchsorted(self.owners[order], np.arange(len(self.hashes) + 1))
-        count = np.diff(first)[word]
-        ends = np.cumsum(count)
-        at = np.arange(ends[-1] if len(ends) else 0) + np.repeat(first[word] - (ends - count), count)
-        char_odds, char_seen = self._odds(self.slots[order][at], np.repeat(doc, count), CHAR_SLOTS)
+        toxic, char_seen = np.zeros(CHAR_SLOTS), np.zeros(CHAR_SLOTS)
+        for doc in np.flatnonzero(self.fitted):
+            slots, _ = self.slots_of(distinct(self.ids[self.rows[doc]:self.rows[doc + 1]]))
+            held = distinct(slots)
+            char_seen[held] += 1
+            toxic[held] += self.labels[doc]
+        char_odds = self.sure_odds(toxic, char_seen)
 
         def random(*shape: int, scale: float) -> np.ndarray:
             return self.rng.normal(0, scale, shape).astype(np.float32)
@@ -279,8 +289,7 @@ class Trainer:
         place, mask = self.place[windows], self.mask[windows]
         used, inverse = np.unique(self.ids[place], return_inverse=True)
         inverse = inverse.reshape(place.shape)
-        pick = np.isin(self.owners, used)
-        slots, owners = self.slots[pick], np.searchsorted(used, self.owners[pick])
+        slots, owners = self.slots_of(used)
         rows = self.table_rows[used]
         inputs = word_inputs(rows, slots, owners, w)
         x = inputs[inverse.T]
@@ -318,12 +327,21 @@ class Trainer:
         count = np.maximum(np.bincount(owners, minlength=len(used)), 1)
         np.add.at(w["chars"], slots, -EMBED_RATE * (per_word[:, DIM:] / count[:, None])[owners])
 
+    def all_scores(self, weights: dict) -> np.ndarray:
+        """Logits of all windows, in runs of words and windows that bound the memory."""
+        inputs = np.zeros((len(self.hashes), 2 * DIM), np.float32)
+        for low in range(0, len(inputs), 20_000):
+            own = np.arange(low, min(low + 20_000, len(inputs)))
+            inputs[own] = word_inputs(self.table_rows[own], *self.slots_of(own), weights)
+        return window_logits(inputs, self.ids[self.place], self.mask, weights).astype(np.float64)
+
     def calibrated(self, worst: np.ndarray) -> tuple[float, float]:
         spare = ~self.fitted
         enough = spare.any() and 0 < self.labels[spare].sum() < spare.sum()
         return calibrate(worst[spare], self.labels[spare]) if enough else calibrate(worst, self.labels)
 
-    def fit(self) -> Network | None:
+    def fit(self, prior: float | None = None) -> Network | None:
+        """``prior``: share of toxic documents to calibrate for, else that of the given ones."""
         if self.labels.sum() < 1 or (1 - self.labels).sum() < 1 or len(self.place) == 0:
             return None
         network = self.start()
@@ -347,9 +365,11 @@ class Trainer:
             for low in range(0, len(order), BATCH):
                 at = order[low:low + BATCH]
                 self.step(network, chosen[at], target[at], np.ones(len(at)), state)
-            inputs = word_inputs(self.table_rows, self.slots, self.owners, network.weights)
-            scores = window_logits(inputs[self.ids], self.place, self.mask, network.weights).astype(np.float64)
+            scores = self.all_scores(network.weights)
         network.slope, network.shift = self.calibrated(self.doc_worst(scores)[0])
+        if prior is not None:
+            share = self.labels.mean()
+            network.shift += float(np.log(prior / (1 - prior)) - np.log(share / (1 - share)))
         return network
 
 
@@ -396,6 +416,7 @@ def score(docs: DataFrame, network: Network | None, id_col: str = "doc_id", text
 def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
           train_docs: int = TRAIN_DOCS) -> Network | None:
     """``labels`` are (id, label) of the training rows; at most ``train_docs`` of them are used."""
+    seen = {r["label"]: r["n"] for r in labels.where("label in (0, 1)").groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
     chosen = None
     for label in (1, 0):
         part = labels.where(F.col("label") == label).orderBy(F.xxhash64("id")).limit(train_docs // 2)
@@ -404,4 +425,5 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     sample = rows.orderBy("id").select("label", "text").toPandas()  # ``train_docs`` rows at most
     if sample.empty:
         return None
-    return Trainer(sample["text"].tolist(), sample["label"].to_numpy()).fit()
+    prior = (seen.get(1, 0) + 1) / (seen.get(0, 0) + seen.get(1, 0) + 2)
+    return Trainer(sample["text"].tolist(), sample["label"].to_numpy()).fit(prior)
