@@ -12,7 +12,7 @@ from datetime import date, timedelta
 
 from pyspark.sql import SparkSession
 
-from aislewise.operators import alsoview, mostview, userrec
+from aislewise.operators import alsoview, baskets, mostview, userrec
 from aislewise.plans import logreports, recommend
 from aislewise.session import build_session
 
@@ -35,13 +35,22 @@ def parser() -> argparse.ArgumentParser:
         for name in names:
             sub.add_argument(f"--{name}", required=True, help="parquet table")
 
-    sub = job("also-view-item", lambda s, a: recommend.also_view_item_job(
-        s, a.inputs, a.output, a.top, a.min_score), "inputs", "output")
+    def caps(sub: argparse.ArgumentParser) -> None:
+        one = sub.add_mutually_exclusive_group(required=True)
+        one.add_argument("--months", type=int, help="months of input, which set the basket cap")
+        one.add_argument("--cap", type=int, help="users of so many items or more are left out")
+        one.add_argument("--no-cap", action="store_true")
+
+    sub = job("also-view-item", lambda s, a: print("left out by the cap:", recommend.also_view_item_job(
+        s, a.inputs, a.output, a.top, a.min_score, months=a.months, cap=a.cap, no_cap=a.no_cap)), "inputs", "output")
+    caps(sub)
     sub.add_argument("--top", type=int, default=alsoview.TOP_ITEMS)
     sub.add_argument("--min-score", type=int, default=0)
 
-    sub = job("also-view-group", lambda s, a: recommend.also_view_group_job(
-        s, a.inputs, a.output, a.level, a.top, a.top_per_item), "inputs", "output")
+    sub = job("also-view-group", lambda s, a: print("left out by the cap:", recommend.also_view_group_job(
+        s, a.inputs, a.output, a.level, a.top, a.top_per_item, months=a.months, cap=a.cap, no_cap=a.no_cap)),
+        "inputs", "output")
+    caps(sub)
     sub.add_argument("--level", choices=("store", "region"), required=True)
     sub.add_argument("--top", type=int, default=alsoview.TOP_PER_GROUP)
     sub.add_argument("--top-per-item", type=int)
@@ -59,16 +68,23 @@ def parser() -> argparse.ArgumentParser:
         s, a.daily, a.table, a.day), "daily", "table")
     sub.add_argument("--day", type=date.fromisoformat, default=yesterday)
 
-    job("item-similarity", lambda s, a: recommend.item_similarity_job(s, a.inputs, a.table), "inputs", "table")
+    sub = job("item-similarity", lambda s, a: recommend.item_similarity_job(
+        s, a.inputs, a.table, None if a.no_cap else a.cap), "inputs", "table")
+    sub.add_argument("--cap", type=int, default=baskets.SIMILARITY_CAP)
+    sub.add_argument("--no-cap", action="store_true")
 
     sub = job("user-recommend", lambda s, a: recommend.user_recommend_job(
         s, a.daily, a.item_vectors, a.output, a.first_day, a.as_of, a.top, a.gzip, a.recommend_unbought,
+        a.min_cnt, None if a.no_limit else a.limit,
     ), "daily", "item_vectors", "output")
     sub.add_argument("--first-day", type=date.fromisoformat, default=userrec.FIRST_DAY)
     sub.add_argument("--as-of", type=date.fromisoformat, default=yesterday)
     sub.add_argument("--top", type=int, default=userrec.TOP_ITEMS)
     sub.add_argument("--gzip", action="store_true")
     sub.add_argument("--recommend-unbought", action="store_true")
+    sub.add_argument("--min-cnt", type=int, default=1, help="pairs counted so often or less are left out")
+    sub.add_argument("--limit", type=int, default=userrec.VECTOR_LIMIT, help="partners kept of each item")
+    sub.add_argument("--no-limit", action="store_true")
 
     sub = job("page-views", lambda s, a: logreports.page_view_reports(
         s, a.logs, s.read.parquet(a.items), s.read.parquet(a.stores), a.output), "logs", "output")
@@ -88,7 +104,8 @@ def parser() -> argparse.ArgumentParser:
     job("uid-eid", lambda s, a: logreports.uid_eid_job(s, a.logs, a.output), "logs", "output")
 
     sub = job("api-traffic", lambda s, a: logreports.api_traffic_job(
-        s, a.logs, a.output, a.domain, a.year), "logs", "output")
+        s, a.logs, a.output, a.domain, a.year, a.hosts), "logs", "output")
+    sub.add_argument("--hosts", required=True, help="pattern of the machine names to list")
     sub.add_argument("--domain", required=True)
     sub.add_argument("--year", type=int, default=yesterday.year)
     return top

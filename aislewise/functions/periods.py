@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Iterable
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -72,9 +71,3 @@ def run_date(output_path: str, given: str | None = None) -> str:
             raise ValueError(f"not a date: {given!r}")
         return given
     return output_path[-10:].replace("/", "")
-
-
-def months_in_paths(paths: Iterable[str]) -> int:
-    """Number of distinct yyyy/MM parts in the input paths, at least 1."""
-    found = {m.group() for m in (re.search(r"\d{4}/\d{2}", p) for p in paths) if m}
-    return max(1, len(found))

@@ -20,17 +20,18 @@ def doubled_in_family(cnt: Column, one: Column, other: Column, chars: int) -> Co
     return cnt * F.when(H.prefix(one, chars) == H.prefix(other, chars), 2).otherwise(1)
 
 
-def item_similarity(interactions: DataFrame, cap: int = B.SIMILARITY_CAP) -> DataFrame:
-    """(item, other, score): co-occurrence counts, doubled within a store family."""
+def item_similarity(interactions: DataFrame, cap: int | None = B.SIMILARITY_CAP) -> DataFrame:
+    """(item, other, score): co-occurrence counts, doubled within a store family. Users of
+    ``cap`` items or more are left out; None keeps all."""
     rows = valid_interactions(interactions)
     baskets = B.basket_cap(B.user_basket(rows, ["user"], ["item"]), ["user"], cap)
-    pairs = B.cooccurrence(baskets, ["user"], bounded=True)
+    pairs = B.cooccurrence(baskets, ["user"], bounded=cap is not None)
     score = doubled_in_family(F.col("cnt"), F.col("item"), F.col("other"), H.STORE_FAMILY_CHARS)
     return pairs.select("item", "other", score.alias("score"))
 
 
 def also_view_item(
-    interactions: DataFrame, cap: int = B.SHORT_RANGE_CAP, min_score: int = 0, top: int = TOP_ITEMS
+    interactions: DataFrame, cap: int | None = B.SHORT_RANGE_CAP, min_score: int = 0, top: int = TOP_ITEMS
 ) -> DataFrame:
     """(item, rank, other, score): the ``top`` others with a score above ``min_score``."""
     scores = item_similarity(interactions, cap).where(F.col("score") > min_score)
@@ -38,7 +39,7 @@ def also_view_item(
 
 
 def also_view_group_items(
-    interactions: DataFrame, level: str, cap: int = B.SHORT_RANGE_CAP, top: int | None = None
+    interactions: DataFrame, level: str, cap: int | None = B.SHORT_RANGE_CAP, top: int | None = None
 ) -> DataFrame:
     """(grp, item, rank, other, score) for units of listed group and item.
 
@@ -46,14 +47,15 @@ def also_view_group_items(
     doubled when the other item's own prefix shares the key group's family.
     """
     if level == "store":
-        chars, top = H.STORE_FAMILY_CHARS, top or TOP_PER_STORE_ITEM
+        chars, default = H.STORE_FAMILY_CHARS, TOP_PER_STORE_ITEM
     elif level == "region":
-        chars, top = H.REGION_FAMILY_CHARS, top or TOP_PER_REGION_ITEM
+        chars, default = H.REGION_FAMILY_CHARS, TOP_PER_REGION_ITEM
     else:
         raise ValueError(f"level must be store or region, not {level!r}")
+    top = default if top is None else top
     rows = valid_interactions(interactions, level)
     units = B.basket_cap(B.user_basket(rows, ["user"], ["grp", "item"]), ["user"], cap)
-    pairs = B.basket_pairs(units, ["user"], ["grp", "item"], bounded=True).where("grp <> other_grp")
+    pairs = B.basket_pairs(units, ["user"], ["grp", "item"], bounded=cap is not None).where("grp <> other_grp")
     counts = pairs.groupBy("grp", "item", "other_item").agg(F.count(F.lit(1)).alias("cnt"))
     score = doubled_in_family(F.col("cnt"), F.col("grp"), F.col("other_item"), chars)
     scores = counts.select("grp", "item", F.col("other_item").alias("other"), score.alias("score"))

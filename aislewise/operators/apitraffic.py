@@ -42,15 +42,17 @@ def minute_range(minute: Column) -> Column:
     return F.concat(head, F.lit("00_"), head, F.lit("59"))
 
 
-def api_traffic_lines(traffic: DataFrame) -> DataFrame:
+def api_traffic_lines(traffic: DataFrame, hosts: str) -> DataFrame:
     """(minute_range, machines): one line per minute with TAB-joined ``machine:product,other``.
 
-    A minute's group holds one row per machine, never single requests.
+    Lists the machines whose whole name matches the pattern ``hosts``, so that stray words of
+    broken lines do not grow a line; ``traffic`` itself is the report of all machines.
     """
     cell = F.concat_ws(
         "", "machine", F.lit(":"), F.col("product").cast("string"), F.lit(","),
         F.col("non_product").cast("string"),
     )
-    return traffic.groupBy("minute").agg(
+    listed = traffic.where(F.col("machine").rlike(f"^(?:{hosts})$"))
+    return listed.groupBy("minute").agg(
         F.array_join(F.array_sort(F.collect_list(cell)), "\t").alias("machines")
     ).select(minute_range(F.col("minute")).alias("minute_range"), "machines")

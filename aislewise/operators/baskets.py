@@ -5,12 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from aislewise.operators.skew import MAX_HOT_KEYS, fan_out
+from aislewise.operators.skew import BLOCK_ROWS, cell_join, fan_out
 
 CAP_PER_MONTH = 300
 SHORT_RANGE_CAP = 900
 SIMILARITY_CAP = 1000
-BLOCK_ITEMS = 1000
+BLOCK_ITEMS = BLOCK_ROWS
+MAX_HOT_KEYS = 10_000
 
 
 def user_basket(rows: DataFrame, keys: list[str], unit: list[str]) -> DataFrame:
@@ -23,14 +24,25 @@ def basket_limit(months: int) -> int:
     return CAP_PER_MONTH * months if months > 3 else SHORT_RANGE_CAP
 
 
-def basket_cap(baskets: DataFrame, keys: list[str], cap: int) -> DataFrame:
-    """Baskets of fewer than ``cap`` units.
+def cut_by_cap(baskets: DataFrame, keys: list[str], cap: int | None) -> dict[str, int]:
+    """How many baskets and rows ``basket_cap`` leaves out."""
+    if cap is None:
+        return {"baskets": 0, "rows": 0}
+    sizes = baskets.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= cap)
+    found = sizes.agg(F.count(F.lit(1)).alias("baskets"), F.coalesce(F.sum("n"), F.lit(0)).alias("rows")).first()
+    return found.asDict()
+
+
+def basket_cap(baskets: DataFrame, keys: list[str], cap: int | None) -> DataFrame:
+    """Baskets of fewer than ``cap`` units; all of them where it is None.
 
     Sizes are counted with map-side combining. Full baskets that hold more than one in
     ``MAX_HOT_KEYS`` of all rows are fewer than that many, so they are dropped by a
     broadcast, and no hot user's rows are ever moved together. The others follow by a
     plain anti join on the basket keys.
     """
+    if cap is None:
+        return baskets
     sizes = baskets.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
     total = sizes.agg(F.sum("n")).scalar()
     full = sizes.where(F.col("n") >= cap)
@@ -45,25 +57,18 @@ def _other(df: DataFrame, names: list[str]) -> DataFrame:
 
 
 def basket_pairs(
-    baskets: DataFrame, keys: list[str], unit: list[str], bounded: bool, block_items: int = BLOCK_ITEMS
+    baskets: DataFrame, keys: list[str], unit: list[str], bounded: bool, block_items: int = BLOCK_ITEMS,
 ) -> DataFrame:
     """Self-join of baskets: unit columns of one row beside ``other_`` columns of another.
 
     ``bounded`` says that basket sizes have been capped, then a plain join on the basket
-    keys is even enough. Otherwise baskets above ``block_items`` are cut into blocks: a
-    row meets the copies of its basket in its own block only, so the pairs of one hot
-    basket are spread over many tasks.
+    keys is even enough. Otherwise baskets above ``block_items`` are cut into blocks on both
+    sides, and each pair of blocks is joined on its own.
     """
     if bounded:
         rows = fan_out(baskets, keys)
         return rows.join(_other(rows, unit), keys)
-    sizes = baskets.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > block_items)
-    blocks = sizes.select(*keys, F.ceil(F.col("n") / block_items).cast("int").alias("blocks"))
-    sized = baskets.join(blocks, keys, "left").withColumn("blocks", F.coalesce("blocks", F.lit(1)))
-    one = sized.withColumn("block", F.pmod(F.xxhash64(*unit), F.col("blocks")).cast("int")).drop("blocks")
-    other = sized.withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).drop("blocks")
-    at = [*keys, "block"]
-    return fan_out(one, at).join(fan_out(_other(other, unit), at), at).drop("block")
+    return cell_join(baskets, _other(baskets, unit), keys, unit, [f"other_{u}" for u in unit], block_items)
 
 
 def cooccurrence(

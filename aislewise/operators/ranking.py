@@ -21,14 +21,6 @@ def top_k_per_group(
     return rank_per_group(df, keys, order, name).where(F.col(name) <= k)
 
 
-def with_rank_of_all(ranked: DataFrame, keys: list[str], all_scope: str = "ALL") -> DataFrame:
-    """Adds ``all_cnt``: the count that ``all_scope`` holds at the same rank."""
-    same_rank = Window.partitionBy(*keys, "rank")
-    return ranked.withColumn(
-        "all_cnt", F.max(F.when(F.col("scope") == all_scope, F.col("cnt"))).over(same_rank)
-    )
-
-
 def rank_align(ranked: DataFrame, keys: list[str], scopes: list[str]) -> DataFrame:
     """Wide table from (keys, scope, rank, store_no, name, cnt): row i holds each scope's rank i.
 

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from aislewise.functions import periods as P
 from aislewise.operators.dimensions import store_name_lookup
 from aislewise.operators.logstats import store_page_counts
-from aislewise.operators.ranking import rank_align, rank_per_group, top_k_per_group, with_rank_of_all
+from aislewise.operators.ranking import rank_align, rank_per_group, top_k_per_group
 
 # Report columns in order, and the report limits.
 RANK_SITES = ("ecshop", "24h", "books", "globaltw", "globalen", "mobile", "ecssl", "ecvip")
@@ -35,11 +35,14 @@ def store_page_rank(beacons: DataFrame, store_dim: DataFrame, top: int = TOP_STO
 
 
 def rank_above(counts: DataFrame, keys: list[str], threshold: int) -> DataFrame:
-    """Ranks per scope, kept as far down as the store at that rank of ALL exceeds ``threshold``."""
-    ranked = rank_per_group(
-        scope_counts(counts, keys), [*keys, "scope"], [F.desc("cnt"), F.asc("store_no")]
-    )
-    return with_rank_of_all(ranked, keys).where(F.col("all_cnt") > threshold).drop("all_cnt")
+    """Ranks per scope, kept as far down as the store at that rank of ALL exceeds ``threshold``.
+
+    ALL is in descending order, so that is the number of its stores above the threshold.
+    """
+    scoped = scope_counts(counts, keys)
+    ranked = rank_per_group(scoped, [*keys, "scope"], [F.desc("cnt"), F.asc("store_no")])
+    deep = scoped.where((F.col("scope") == ALL_SCOPE) & (F.col("cnt") > threshold))
+    return ranked.join(deep.groupBy(*keys).agg(F.count(F.lit(1)).alias("depth")), keys).where("rank <= depth").drop("depth")
 
 
 def store_page_daily_counts(beacons: DataFrame, item_dim: DataFrame) -> DataFrame:
@@ -64,6 +67,15 @@ def select_period(daily: DataFrame, as_of: date, mode: str) -> DataFrame:
     return daily.where((F.col("dt") >= P.period_start(run_day, mode)) & (F.col("dt") <= run_day))
 
 
+def select_periods(daily: DataFrame, as_of: date, modes: tuple[str, ...] = P.MODES) -> DataFrame:
+    """Rows of ``select_period`` for several modes, with ``mode``, from one reading of ``daily``."""
+    run_day = F.lit(as_of)
+    earliest = F.least(*[P.period_start(run_day, m) for m in modes]) if len(modes) > 1 else P.period_start(run_day, modes[0])
+    days = daily.where((F.col("dt") >= earliest) & (F.col("dt") <= run_day))
+    held = F.array(*[F.when(F.col("dt") >= P.period_start(run_day, m), F.lit(m)) for m in modes])
+    return days.withColumn("mode", F.explode(F.array_compact(held)))
+
+
 def store_page_rank_period(
     daily_counts: DataFrame, store_dim: DataFrame, mode: str, threshold: int = PERIOD_THRESHOLD
 ) -> DataFrame:

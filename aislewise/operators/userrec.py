@@ -55,9 +55,12 @@ def item_vector_daily(daily: DataFrame, block_items: int = B.BLOCK_ITEMS) -> Dat
     return B.cooccurrence(baskets, ["dt", "user"], bounded=False, per=["dt"], block_items=block_items)
 
 
-def item_vector_merge(item_vectors: DataFrame, min_cnt: int = 1, limit: int = VECTOR_LIMIT) -> DataFrame:
-    """(item, rank, other, cnt): counts summed over days, above ``min_cnt``, largest first."""
+def item_vector_merge(item_vectors: DataFrame, min_cnt: int = 1, limit: int | None = VECTOR_LIMIT) -> DataFrame:
+    """(item, rank, other, cnt): counts summed over days, above ``min_cnt``, the ``limit`` largest
+    of each item. Without a limit all are kept, unranked (``rank`` is null)."""
     sums = item_vectors.groupBy("item", "other").agg(F.sum("cnt").alias("cnt"))
+    if limit is None:
+        return sums.where(F.col("cnt") > min_cnt).select("item", F.lit(None).cast("int").alias("rank"), "other", "cnt")
     return top_k_per_group(
         sums.where(F.col("cnt") > min_cnt), ["item"], [F.desc("cnt"), F.asc("other")], limit
     )
@@ -83,7 +86,7 @@ def user_vector(daily: DataFrame, first_day: date = FIRST_DAY, as_of: date | Non
     totals = counts.groupBy("user").agg(
         F.sum("buy").alias("all_buy"), F.sum("view").alias("all_view"), F.sum("cart").alias("all_cart")
     )
-    # Totals are joined back rather than windowed: a hot user's rows stay spread.
+    # Totals are joined back rather than windowed, so adaptive execution can split a hot user.
     rows = counts.join(totals, "user")
     score = (
         _share(F.col("view"), F.col("all_view"), VIEW_WEIGHT)
@@ -104,27 +107,21 @@ def user_vector(daily: DataFrame, first_day: date = FIRST_DAY, as_of: date | Non
     )
 
 
-def score_product(
-    users: DataFrame, item_vectors: DataFrame, min_piece_rows: int = skew.MIN_PIECE_ROWS
-) -> DataFrame:
-    """(user, other, milli) per user item and other item: user score times pair count.
+def score_product(users: DataFrame, item_vectors: DataFrame, block_rows: int = skew.BLOCK_ROWS) -> DataFrame:
+    """(user, item, other, milli) per user item and other item: user score times pair count.
 
-    Joined on the item. An item many users touched is cut by user, and its vector copied
-    for each piece.
+    Joined on the item. The users of an item and its partners are cut into blocks where there are more
+    than ``block_rows``, so no task gets more than about that squared of one item's products.
     """
-    hot = skew.hot_key_pieces(users, ["item"], min_piece_rows=min_piece_rows)
-    left = skew.cut_hot_keys(users.select("user", "item", "milli"), hot, ["item"], F.col("user"))
-    right = skew.copy_for_pieces(item_vectors.select("item", "other", "cnt"), hot, ["item"])
-    return skew.fan_out(left, ["item", "piece"]).join(right, ["item", "piece"]).select(
-        "user", "item", "other", (F.col("milli") * F.col("cnt")).alias("milli")
-    )
+    products = skew.cell_join(
+        users.select("user", "item", "milli"), item_vectors.select("item", "other", "cnt"), ["item"],
+        ["user"], ["other"], block_rows)
+    return products.select("user", "item", "other", (F.col("milli") * F.col("cnt")).alias("milli"))
 
 
-def user_recommend_candidates(
-    users: DataFrame, item_vectors: DataFrame, min_piece_rows: int = skew.MIN_PIECE_ROWS
-) -> DataFrame:
+def user_recommend_candidates(users: DataFrame, item_vectors: DataFrame, block_rows: int = skew.BLOCK_ROWS) -> DataFrame:
     """(user, other, milli): exact sum of the score products, nothing cut off."""
-    products = score_product(users, item_vectors, min_piece_rows)
+    products = score_product(users, item_vectors, block_rows)
     return products.groupBy("user", "other").agg(F.sum("milli").alias("milli"))
 
 
@@ -149,7 +146,7 @@ def purchase_cycle_filter(
 
 def user_recommend(
     users: DataFrame, item_vectors: DataFrame, as_of: date, top: int = TOP_ITEMS,
-    recommend_unbought: bool = False, min_piece_rows: int = skew.MIN_PIECE_ROWS,
+    recommend_unbought: bool = False, block_rows: int = skew.BLOCK_ROWS,
 ) -> DataFrame:
     """(user, rank, item, milli): the ``top`` items per user.
 
@@ -157,7 +154,7 @@ def user_recommend(
     marked in the aggregation that sums the scores: an anti join would be moved before it
     and shuffle every single product.
     """
-    products = score_product(users, item_vectors, min_piece_rows).select(
+    products = score_product(users, item_vectors, block_rows).select(
         "user", "other", "milli", F.lit(False).alias("waiting")
     )
     waiting = in_buying_cycle(users, as_of, recommend_unbought).select(

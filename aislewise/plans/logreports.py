@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from aislewise.functions import periods as P
 from aislewise.operators import apitraffic, identity, logstats, storerank
 from aislewise.operators.beacons import parse_beacons
-from aislewise.session import materialize
+from aislewise.session import drop_materialized, materialize
 from aislewise.sources import readers, writers
 
 
@@ -31,6 +31,7 @@ def page_view_reports(
     writers.write_tsv(categories, f"{output}/category_page_views", header=True)
     writers.write_tsv(orders.orderBy(F.desc("order"), "store_no"), f"{output}/order_vs_page_views", header=True)
     writers.write_tsv(ranks.orderBy("rank"), f"{output}/store_page_rank", header=True)
+    drop_materialized(beacons, hits)
 
 
 def store_day_job(spark: SparkSession, log_paths: str | list[str], item_dim: DataFrame, table: str) -> None:
@@ -59,8 +60,9 @@ def uid_eid_job(spark: SparkSession, log_paths: str | list[str], output: str) ->
 
 
 def api_traffic_job(
-    spark: SparkSession, log_paths: str | list[str], output: str, domain: str, year: int
+    spark: SparkSession, log_paths: str | list[str], output: str, domain: str, year: int, hosts: str
 ) -> None:
+    """``hosts``: pattern of the machine names to be listed."""
     lines = readers.read_access_log(spark, log_paths)
     traffic = apitraffic.api_traffic_per_minute(apitraffic.api_line_fields(lines, domain, year))
-    writers.write_lines(apitraffic.api_traffic_lines(traffic), output)
+    writers.write_lines(apitraffic.api_traffic_lines(traffic, hosts), output)

@@ -7,7 +7,6 @@ matches the device patterns on them.
 
 from __future__ import annotations
 
-from aislewise.functions.logline import DEVICE_RULES
 from aislewise.operators.logstats import CATEGORY_ROWS, HIT_COLUMNS, ORDER_COLUMNS
 from aislewise.operators.storerank import RANK_SITES
 from aislewise.sources import fixtures as X
@@ -294,19 +293,6 @@ AGENT = (
     f"CASE WHEN stats_bot THEN '{X.BOT_AGENT}' "
     f"ELSE ({_list(X.USER_AGENTS)})[CAST(event_id % 13 AS INTEGER) + 1] END"
 )
-_CASCADE = "\n  ".join(f"WHEN regexp_matches(line, '{p}') THEN '{d}'" for p, d in DEVICE_RULES)
-LINES = f"""
-lines AS (
-  SELECT event_id, lower(strftime(ts, '%b ') || lpad(CAST(day(ts) AS STRING), 2, ' ')
-    || strftime(ts, ' %H:%M:%S') || ' web1 apache2: '
-    || CASE WHEN event_id % 13 = 0 THEN '122.147.50.7' ELSE '10.0.0.1' END || ' - - ['
-    || strftime(ts, '%d/%b/%Y:%H:%M:%S') || ' +0800] "GET /emon/v2/record.htm?' || {_ENCODED}
-    || '&_=' || event_id || ' HTTP/1.1" 200 26 "http://{X.DOMAIN}/'
-    || CASE WHEN url_store = '' THEN '' WHEN (event_id // 9) % 3 = 0
-       THEN '?SR_NO=' || url_store || '&func=style_show&mod=store' ELSE url_store END
-    || '" "' || {AGENT} || '" uid=- ecc=-') AS line
-  FROM bc)"""
-
 DAY = "strftime(dt, '%Y-%m-%d') AS dt"
 MINUTE_HEAD = "strftime(ts, '%b ') || lpad(CAST(day(ts) AS STRING), 2, ' ') || strftime(ts, ' %H:%M:')"
 TRAFFIC = """
@@ -385,9 +371,11 @@ ORACLE_SQL: dict[str, str] = {
     "scan_access_log": f"WITH {EV} SELECT {DAY}, count(*) AS lines, "
         "count(*) FILTER (event_type = 'view') AS views FROM ev GROUP BY ev.dt",
     "scan_interactions": f'WITH {EV}, {IA} SELECT "user", item, store, region, count(*) AS cnt FROM ia GROUP BY ALL',
-    "scan_zip_archive": "SELECT doc_id || '.txt' AS name, CAST(octet_length(encode(text)) AS BIGINT) AS bytes, "
-        "md5(text) AS md5 FROM documents",
     "select_period": _select_period(),
+    "select_period_pruned": """
+SELECT strftime(month, '%Y-%m-%d') AS dt, count(*) AS n
+FROM (SELECT date_trunc('month', CAST(o_orderdate AS DATE)) AS month FROM orders)
+WHERE month IN (DATE '1997-04-01', DATE '1997-05-01') GROUP BY month""",
     "vector_codec": f"""
 WITH {EV}, {IA}, {_baskets('va', 900)}, av AS ({_also_view()}),
 packed AS (SELECT item, string_agg(other || ':' || score, ',' ORDER BY "rank") AS vector FROM av GROUP BY item)
@@ -400,11 +388,7 @@ SELECT av.item, vector, "rank" AS pos, other, score FROM av JOIN packed ON av.it
         "array_to_string(prod, ',') AS prod FROM bc",
     "client_ip": f"WITH {EV} SELECT event_id, CASE WHEN event_id % 13 = 0 THEN '122.147.50.7' "
         "ELSE '10.0.0.1' END AS ip FROM ev",
-    "device_class": f"""
-WITH {EV}, {BC}, {LINES}
-SELECT event_id, CASE WHEN event_id % 13 = 0 THEN 'Other'
-  {_CASCADE}
-  ELSE 'Unknown' END AS device FROM lines""",
+    "device_class": f"WITH {EV}, {BC} SELECT event_id, device FROM bc",
     "store_from_url": f"WITH {EV} SELECT event_id, CASE WHEN event_type = 'error' AND (event_id // 9) % 3 < 2 "
         "THEN store ELSE '' END AS store_no FROM ev",
     "sku_item": f"WITH {EV} SELECT strftime(ts, '%Y%m%d%H%M%S') || '-' || event_id AS order_no, item FROM ev "
@@ -445,6 +429,8 @@ FROM (SELECT DISTINCT store FROM ia) i LEFT JOIN store_dim d ON i.store = d.stor
     "cooccurrence_uncapped": f"WITH {OL}, {_baskets('ol', 1000000)} SELECT item, other, cnt FROM pair",
     "score_product": f'{_REC} SELECT u."user", u.item, other, milli * cnt AS milli '
         "FROM uv u JOIN iv ON u.item = iv.item",
+    "score_product_hot": f'{_REC} SELECT u."user", u.item, other, milli * cnt AS milli '
+        "FROM uv u JOIN iv ON u.item = iv.item",
     "purchase_cycle_filter": f'{_REC} SELECT "user", item AS other, milli FROM uv '
         "WHERE datediff('day', last_buy, DATE '2024-02-15') > avg_day",
     "rank_align": _wide(),
@@ -464,7 +450,9 @@ FROM daily""",
     "item_similarity": f"WITH {EV}, {IA}, {_baskets('va', 1000)} SELECT item, other, score FROM sim",
     "item_similarity_orders": f"WITH {OL}, {_baskets('ol', 1000)} SELECT item, other, score FROM sim",
     "also_view_item": f"WITH {EV}, {IA}, {_baskets('va', 900)} {_also_view()}",
-    "also_view_item_filtered": f"WITH {EV}, {IA}, {_baskets('va', 900)} {_also_view(60, 5)}",
+    "also_view_item_filtered": f"WITH {EV}, {IA}, {_baskets('va', 900)} {_also_view(8, 100)}",
+    "also_view_item_uncapped": f"WITH {EV}, {IA}, {_baskets('va', 10**9)} {_also_view()}",
+    "also_view_item_capped": f"WITH {OL}, {_baskets('ol', 40)} {_also_view()}",
     "also_view_item_orders": f"WITH {OL}, {_baskets('ol', 900)} {_also_view()}",
     "also_view_store_items": f"WITH {EV}, {IA}, {_group_items('va', 'store', 5, 10)} {GROUP_ITEMS}",
     "also_view_store": f"WITH {EV}, {IA}, {_group_items('va', 'store', 5, 10)} {GROUP_TOP}",
@@ -478,6 +466,7 @@ FROM daily""",
     "most_view_region_orders": f"WITH {OL} {_most_view('ol', 'region')}",
     "user_recommend_candidates": f'{_REC} SELECT "user", other, milli / 1000 AS score FROM cand',
     "user_recommend": f"{_REC} {_recommended()}",
+    "user_recommend_limited": f"WITH {EV}, {DAILY}, {UV}, {_merged(limit=5)}, {CAND} {_recommended()}",
     "user_recommend_unbought": f"{_REC} {_recommended('(SELECT * FROM waiting WHERE buy > 0)')}",
     "user_recommend_similarity": f"""
 WITH {EV}, {DAILY}, {UV}, {IA}, {_baskets('va', 1000)},
@@ -518,7 +507,7 @@ UNION ALL SELECT DISTINCT uid, 'action', action FROM bc""",
 WITH {EV}, {TRAFFIC}
 SELECT {MINUTE_HEAD} || '00_' || {MINUTE_HEAD} || '59' AS minute_range,
   string_agg(machine || ':' || product || ',' || non_product, chr(9) ORDER BY machine) AS machines
-FROM traffic GROUP BY ts""",
+FROM traffic WHERE machine IN ('api0', 'api1', 'api2') GROUP BY ts""",
     "week_of_month": f"""
 WITH {ORDER_DAYS},
 bounds AS (

@@ -6,12 +6,9 @@ ranks as INT.
 
 from __future__ import annotations
 
-import io
-import zipfile
-from collections.abc import Callable, Iterator
+from collections.abc import Callable
 from datetime import date
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -110,40 +107,24 @@ def scan_interactions(spark, sf_dir):
     )
 
 
-@query
-def scan_zip_archive(spark, sf_dir):
-    """Documents packed into one zip archive per batch, then read entry by entry."""
-
-    def pack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            buffer = io.BytesIO()
-            with zipfile.ZipFile(buffer, "w", zipfile.ZIP_DEFLATED) as archive:
-                for doc_id, text in zip(batch["doc_id"], batch["text"]):
-                    archive.writestr(f"{doc_id}.txt", text)
-            yield pd.DataFrame({"path": ["docs.zip"], "content": [buffer.getvalue()]})
-
-    docs = X.table(spark, sf_dir, "documents").select("doc_id", "text")
-    archives = docs.mapInPandas(pack, "path string, content binary")
-    entries = readers.unzip_entries(archives)
-    return entries.select(
-        "name", F.octet_length("content").cast("bigint").alias("bytes"), F.md5("content").alias("md5")
-    )
-
-
 @query
 def select_period(spark, sf_dir):
     """Order lines of each run mode for one run date."""
     lines = X.order_lines(spark, sf_dir).select("dt", "store")
-    parts = [
-        storerank.select_period(lines, date(1997, 5, 6), mode).select(F.lit(mode).alias("mode"), "dt", "store")
-        for mode in P.MODES
-    ]
-    days = parts[0]
-    for part in parts[1:]:
-        days = days.unionByName(part)
+    days = storerank.select_periods(lines, date(1997, 5, 6))
     return days.groupBy("mode", "dt").agg(F.count(F.lit(1)).alias("lines")).select("mode", day_text(), "lines")
 
 
+@query
+def select_period_pruned(spark, sf_dir):
+    """Orders of the season so far from a table in month folders: only its folders are read."""
+    path = scratch_path(spark, "orders-by-day")
+    orders_ = X.table(spark, sf_dir, "orders").select(F.trunc("o_orderdate", "MM").cast("date").alias("dt"), "o_orderkey")
+    orders_.write.partitionBy("dt").parquet(path)
+    days = storerank.select_period(spark.read.parquet(path), date(1997, 5, 6), "season")
+    return days.groupBy("dt").agg(F.count(F.lit(1)).alias("n")).select(day_text(), "n")
+
+
 @query
 def vector_codec(spark, sf_dir):
     """Item vectors packed to ``other:score,...`` text and unpacked again."""
@@ -210,14 +191,9 @@ def click_events(spark, sf_dir):
 
 @query
 def valid_interactions(spark, sf_dir):
-    rows = _interactions(spark, sf_dir)
-    parts = [
-        readers.valid_interactions(rows, mode).select(
-            F.lit(mode).alias("mode"), F.coalesce("grp", F.lit("")).alias("grp"), "user", "item")
-        for mode in ("item", "store", "region")
-    ]
-    both = parts[0].unionByName(parts[1]).unionByName(parts[2])
-    return both.groupBy("mode", "grp", "user", "item").agg(F.count(F.lit(1)).alias("n"))
+    rows = readers.valid_interactions_by_mode(_interactions(spark, sf_dir), ("item", "store", "region"))
+    named = rows.withColumn("grp", F.coalesce("grp", F.lit("")))
+    return named.groupBy("mode", "grp", "user", "item").agg(F.count(F.lit(1)).alias("n"))
 
 
 @query
@@ -325,6 +301,12 @@ def score_product(spark, sf_dir):
     return userrec.score_product(*_users_and_vectors(spark, sf_dir))
 
 
+@query
+def score_product_hot(spark, sf_dir):
+    """As ``score_product``, with blocks so small that most items are cut on both sides."""
+    return userrec.score_product(*_users_and_vectors(spark, sf_dir), block_rows=8)
+
+
 @query
 def purchase_cycle_filter(spark, sf_dir):
     """Every user vector row that may be recommended again on the run date."""
@@ -410,7 +392,19 @@ def also_view_item(spark, sf_dir):
 
 @query
 def also_view_item_filtered(spark, sf_dir):
-    return alsoview.also_view_item(_interactions(spark, sf_dir), min_score=60, top=5)
+    return alsoview.also_view_item(_interactions(spark, sf_dir), min_score=8, top=100)
+
+
+@query
+def also_view_item_uncapped(spark, sf_dir):
+    """No user is left out; baskets are joined in blocks."""
+    return alsoview.also_view_item(_interactions(spark, sf_dir), cap=None)
+
+
+@query
+def also_view_item_capped(spark, sf_dir):
+    """A cap that leaves out about half of the shoppers of the order data."""
+    return alsoview.also_view_item(X.order_interactions(spark, sf_dir), cap=40)
 
 
 @query
@@ -485,6 +479,13 @@ def user_recommend(spark, sf_dir):
     return _scored(userrec.user_recommend(*_users_and_vectors(spark, sf_dir), AS_OF))
 
 
+@query
+def user_recommend_limited(spark, sf_dir):
+    """From the five strongest partners of each item only."""
+    users, item_vectors = recommend.store_vectors(_daily(spark, sf_dir), FIRST_DAY, AS_OF, limit=5)
+    return _scored(userrec.user_recommend(users, item_vectors, AS_OF))
+
+
 @query
 def user_recommend_unbought(spark, sf_dir):
     users, item_vectors = _users_and_vectors(spark, sf_dir)
@@ -584,7 +585,7 @@ def api_traffic_per_minute(spark, sf_dir):
 
 @query
 def api_traffic_lines(spark, sf_dir):
-    return apitraffic.api_traffic_lines(_traffic(spark, sf_dir))
+    return apitraffic.api_traffic_lines(_traffic(spark, sf_dir), "api[012]")
 
 
 def _order_days(spark: SparkSession, sf_dir: str) -> DataFrame:

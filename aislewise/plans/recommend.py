@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from aislewise.functions import periods as P
 from aislewise.functions import vectors as V
 from aislewise.operators import alsoview, baskets, identity, mostview, userrec
-from aislewise.session import materialize
+from aislewise.session import drop_materialized, materialize
 from aislewise.sources import readers, writers
 
 
@@ -24,27 +24,37 @@ def ranked_lines(ranked: DataFrame, key: str, value: str) -> DataFrame:
     )
 
 
+def chosen_cap(months: int | None, cap: int | None, no_cap: bool) -> int | None:
+    """Basket cap of a job: given, following the months of input, or none; one must be said."""
+    if (months is not None) + (cap is not None) + no_cap != 1:
+        raise ValueError("give exactly one of months, cap and no_cap")
+    return None if no_cap else cap if cap is not None else baskets.basket_limit(months)
+
+
 def also_view_item_job(
     spark: SparkSession, inputs: str | list[str], output: str, top: int = alsoview.TOP_ITEMS,
-    min_score: int = 0,
-) -> None:
-    """Items also viewed with each item; the basket cap follows the months in the input paths."""
-    paths = readers.split_paths(inputs)
-    cap = baskets.basket_limit(P.months_in_paths(paths))
-    ranked = alsoview.also_view_item(readers.read_interactions(spark, paths), cap, min_score, top)
+    min_score: int = 0, *, months: int | None = None, cap: int | None = None, no_cap: bool = False,
+) -> dict[str, int]:
+    """Items also viewed with each item; returns how many users and rows the cap left out."""
+    cap = chosen_cap(months, cap, no_cap)
+    rows = readers.read_interactions(spark, inputs)
+    ranked = alsoview.also_view_item(rows, cap, min_score, top)
     writers.write_tsv(ranked_lines(ranked, "item", "other"), output)
+    return baskets.cut_by_cap(baskets.user_basket(readers.valid_interactions(rows), ["user"], ["item"]), ["user"], cap)
 
 
 def also_view_group_job(
     spark: SparkSession, inputs: str | list[str], output: str, level: str,
-    top: int = alsoview.TOP_PER_GROUP, top_per_item: int | None = None,
-) -> None:
-    """Items also viewed with each store or region (``level``)."""
-    paths = readers.split_paths(inputs)
-    cap = baskets.basket_limit(P.months_in_paths(paths))
-    rows = readers.read_interactions(spark, paths)
+    top: int = alsoview.TOP_PER_GROUP, top_per_item: int | None = None, *, months: int | None = None,
+    cap: int | None = None, no_cap: bool = False,
+) -> dict[str, int]:
+    """Items also viewed with each store or region (``level``); returns what the cap left out."""
+    cap = chosen_cap(months, cap, no_cap)
+    rows = readers.read_interactions(spark, inputs)
     items = alsoview.also_view_group_items(rows, level, cap, top_per_item)
     writers.write_tsv(ranked_lines(alsoview.also_view_group(items, top), "grp", "item"), output)
+    units = baskets.user_basket(readers.valid_interactions(rows, level), ["user"], ["grp", "item"])
+    return baskets.cut_by_cap(units, ["user"], cap)
 
 
 def most_view_job(
@@ -84,7 +94,7 @@ def item_vector_daily_job(spark: SparkSession, daily_table: str, table: str, day
 
 
 def store_vectors(
-    daily: DataFrame, first_day: date, as_of: date, min_cnt: int = 1, limit: int = userrec.VECTOR_LIMIT
+    daily: DataFrame, first_day: date, as_of: date, min_cnt: int = 1, limit: int | None = userrec.VECTOR_LIMIT
 ) -> tuple[DataFrame, DataFrame]:
     """User and item vectors as stored tables.
 
@@ -97,18 +107,21 @@ def store_vectors(
     return users, materialize(item_vectors, "item-vector")
 
 
-def similarity_vectors(interactions: DataFrame) -> DataFrame:
+def similarity_vectors(interactions: DataFrame, cap: int | None = baskets.SIMILARITY_CAP) -> DataFrame:
     """(item, other, cnt) from view history, in the shape of daily item vectors."""
-    return alsoview.item_similarity(interactions).select("item", "other", F.col("score").alias("cnt"))
+    return alsoview.item_similarity(interactions, cap).select("item", "other", F.col("score").alias("cnt"))
 
 
-def item_similarity_job(spark: SparkSession, inputs: str | list[str], table: str) -> None:
-    writers.write_table(similarity_vectors(readers.read_interactions(spark, inputs)), table)
+def item_similarity_job(
+    spark: SparkSession, inputs: str | list[str], table: str, cap: int | None = baskets.SIMILARITY_CAP
+) -> None:
+    writers.write_table(similarity_vectors(readers.read_interactions(spark, inputs), cap), table)
 
 
 def user_recommend_job(
     spark: SparkSession, daily_table: str, item_vector_table: str, output: str, first_day: date,
     as_of: date, top: int = userrec.TOP_ITEMS, gzip: bool = False, recommend_unbought: bool = False,
+    min_cnt: int = 1, limit: int | None = userrec.VECTOR_LIMIT,
 ) -> None:
     """Personal lists from the stored daily counters and item vectors up to ``as_of``.
 
@@ -117,9 +130,10 @@ def user_recommend_job(
     days = (F.col("dt") >= F.lit(first_day)) & (F.col("dt") <= F.lit(as_of))
     daily = spark.read.parquet(daily_table).where(days)
     stored = spark.read.parquet(item_vector_table)
-    item_vectors = userrec.item_vector_merge(stored.where(days) if "dt" in stored.columns else stored)
+    item_vectors = userrec.item_vector_merge(
+        stored.where(days) if "dt" in stored.columns else stored, min_cnt, limit)
     users = materialize(userrec.user_vector(daily, first_day, as_of), "user-vector")
-    ranked = userrec.user_recommend(
-        users, materialize(item_vectors, "item-vector"), as_of, top, recommend_unbought
-    )
+    kept = materialize(item_vectors, "item-vector")
+    ranked = userrec.user_recommend(users, kept, as_of, top, recommend_unbought)
     writers.write_tsv(ranked_lines(ranked, "user", "item"), output, gzip=gzip)
+    drop_materialized(users, kept)

@@ -58,4 +58,14 @@ def materialize(df: DataFrame, name: str, partition_by: list[str] | None = None)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    stored = spark.read.schema(df.schema).parquet(path)
+    stored._stage_path = path
+    return stored
+
+
+def drop_materialized(*tables: DataFrame) -> None:
+    """Deletes tables of ``materialize`` once nothing reads them any more."""
+    for table in tables:
+        spark = table.sparkSession
+        path = spark._jvm.org.apache.hadoop.fs.Path(table._stage_path)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

@@ -9,8 +9,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from aislewise.sources.readers import spread
-
 SITES = ("24h", "ecshop", "shopping", "books", "mobile", "globaltw", "globalen", "ecssl", "ecvip")
 CLICK_PAGES = ("prod", "search", "activity", "onsale")
 DOMAIN = "shop.example.tw"
@@ -54,7 +52,7 @@ def padded(number: str) -> Column:
 
 def coded_events(events: DataFrame) -> DataFrame:
     """Events with day, user, item and listed store codes."""
-    ev = spread(events.select("event_id", "ts", "user_id", "event_type", "props")).select(
+    ev = events.select("event_id", "ts", "user_id", "event_type", "props").select(
         "event_id", "ts", "user_id", "event_type",
         F.col("ts").cast("date").alias("dt"),
         F.regexp_extract("props", "([0-9]+)", 1).cast("int").alias("k"),
@@ -98,8 +96,11 @@ def _pick(values: tuple[str, ...], index: str) -> Column:
 
 
 def access_log(events: DataFrame) -> DataFrame:
-    """One raw log line per event, as (event_id, dt, line)."""
-    ev = coded_events(events)
+    """One raw log line per event, as (event_id, dt, line).
+
+    The provided file is one split, so its events are dealt out before lines are rendered.
+    """
+    ev = coded_events(events.repartition(events.sparkSession.sparkContext.defaultParallelism))
     kind = F.col("event_type")
     beacon = kind.isin("click", "purchase", "error")
     page = (
@@ -210,7 +211,7 @@ def order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     The store code is 4 letters of the part type (region) and two digits of its brand.
     """
     part = table(spark, sf_dir, "part").select("p_partkey", F.expr(PART_STORE_SQL).alias("store"))
-    lines = spread(table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey"))
+    lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey")
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
     joined = lines.join(orders, lines.l_orderkey == orders.o_orderkey).join(
         part, lines.l_partkey == part.p_partkey

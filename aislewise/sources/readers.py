@@ -2,12 +2,6 @@
 
 from __future__ import annotations
 
-import io
-import zipfile
-import zlib
-from collections.abc import Iterator
-
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -28,25 +22,12 @@ PURCHASES_SCHEMA = T.StructType([
     T.StructField("store", T.StringType()),
     T.StructField("region", T.StringType()),
 ])
-ZIP_BATCH_BYTES = 16 * 1024 * 1024
-ZIP_BATCH_ROWS = 1000
-ZIP_ENTRY_SCHEMA = "path string, name string, content binary"
 
 
 def split_paths(paths: str | list[str]) -> list[str]:
     return [p.strip() for p in paths.split(",") if p.strip()] if isinstance(paths, str) else list(paths)
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Spreads a scan with fewer splits than cores over all cores.
-
-    Such a scan holds less than one split per core, so the exchange is small by
-    construction; a larger scan is left as it is.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
-
-
 def read_access_log(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     """Log lines as column ``line``; a ``dt=yyyy-MM-dd`` folder level becomes a DATE column.
 
@@ -81,50 +62,23 @@ def select_group(interactions: DataFrame, mode: str = "item") -> DataFrame:
 
 
 def valid_interactions(interactions: DataFrame, mode: str = "item") -> DataFrame:
-    """Rows of well-formed user and item codes, and group codes above item level."""
-    rows = select_group(interactions, mode).where(
-        H.is_user_code(F.col("user")) & H.is_item_code(F.col("item"))
-    )
-    if mode == "item":
-        return rows
-    chars = H.STORE_CHARS if mode == "store" else H.REGION_CHARS
-    return rows.where(H.is_group_code(F.col("grp"), chars))
-
-
-def unzip_entries(archives: DataFrame, lenient: bool = False) -> DataFrame:
-    """Entries of zip archives given as (path, content), one row per entry.
-
-    An archive cannot be split, as entry offsets are only known at its end; entries
-    are handed on in batches of bounded size. ``lenient`` skips what is left of a damaged archive
-    instead of failing.
-    """
-
-    def read(batches: Iterator[pd.DataFrame]) -> Iterator[tuple[str, str, bytes]]:
-        for batch in batches:
-            for path, content in zip(batch["path"], batch["content"]):
-                try:
-                    with zipfile.ZipFile(io.BytesIO(content)) as archive:
-                        for info in archive.infolist():
-                            yield path, info.filename, archive.read(info)
-                except (zipfile.BadZipFile, zlib.error, EOFError):
-                    if not lenient:
-                        raise
-
-    def entries(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        found: list[tuple[str, str, bytes]] = []
-        held = 0
-        for entry in read(batches):
-            found.append(entry)
-            held += len(entry[2])
-            if held >= ZIP_BATCH_BYTES or len(found) >= ZIP_BATCH_ROWS:
-                yield pd.DataFrame(found, columns=["path", "name", "content"])
-                found, held = [], 0
-        if found:
-            yield pd.DataFrame(found, columns=["path", "name", "content"])
-
-    return archives.select("path", "content").mapInPandas(entries, ZIP_ENTRY_SCHEMA)
-
-
-def read_zip_archives(spark: SparkSession, paths: str | list[str], lenient: bool = False) -> DataFrame:
-    files = spark.read.format("binaryFile").load(split_paths(paths))
-    return unzip_entries(files, lenient)
+    """(user, grp, item) of well-formed codes; the group is NULL at item level."""
+    return valid_interactions_by_mode(interactions, (mode,)).drop("mode")
+
+
+def valid_interactions_by_mode(interactions: DataFrame, modes: tuple[str, ...]) -> DataFrame:
+    """(mode, user, grp, item) of all ``modes`` from one reading of the input: the group is the
+    listed store or region, or NULL at item level."""
+    kept = interactions.where(H.is_user_code(F.col("user")) & H.is_item_code(F.col("item")))
+    store, region = F.col("store"), F.col("region")
+    groups = {
+        "item": (F.lit(None).cast("string"), F.lit(True)),
+        "store": (store, H.is_group_code(store, H.STORE_CHARS)),
+        "region": (region, H.is_group_code(region, H.REGION_CHARS)),
+    }
+    if len(modes) == 1:
+        group, valid = groups[modes[0]]
+        return kept.where(valid).select(F.lit(modes[0]).alias("mode"), "user", group.alias("grp"), "item")
+    entries = [F.when(groups[m][1], F.struct(F.lit(m).alias("mode"), groups[m][0].alias("grp"))) for m in modes]
+    rows = kept.select("user", "item", F.explode(F.array(*entries)).alias("e")).where(F.col("e").isNotNull())
+    return rows.select("e.mode", "user", "e.grp", "item")

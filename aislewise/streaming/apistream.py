@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from aislewise.operators.apitraffic import api_line_fields, api_traffic_per_minute
-from aislewise.session import scratch_path
 
 
 def api_traffic_stream(lines: DataFrame, domain: str, year: int, late: str = "2 minutes") -> DataFrame:
@@ -15,16 +14,20 @@ def api_traffic_stream(lines: DataFrame, domain: str, year: int, late: str = "2
 
 
 def start_api_traffic(
-    spark: SparkSession, log_dir: str, out: str, domain: str, year: int, late: str = "2 minutes",
-    checkpoint: str | None = None, available_now: bool = True,
+    spark: SparkSession, log_dir: str, out: str, domain: str, year: int, checkpoint: str,
+    late: str = "2 minutes", available_now: bool = True,
 ) -> StreamingQuery:
-    """Follows text files in ``log_dir`` and appends closed minutes to a parquet table."""
+    """Follows text files in ``log_dir`` and appends closed minutes to a parquet table.
+
+    ``checkpoint`` is the folder of the stream's state, the same one at each start for one
+    table: the table takes a batch number it has seen as written.
+    """
     lines = spark.readStream.text(log_dir).withColumnRenamed("value", "line")
     writer = (
         api_traffic_stream(lines, domain, year, late)
         .writeStream.format("parquet").outputMode("append")
         .option("path", out)
-        .option("checkpointLocation", checkpoint or scratch_path(spark, "api-traffic"))
+        .option("checkpointLocation", checkpoint)
     )
     if available_now:
         writer = writer.trigger(availableNow=True)

@@ -3,14 +3,11 @@
 from __future__ import annotations
 
 import gzip
-import io
-import zipfile
 from datetime import date
 from pathlib import Path
 
 import pytest
 from conftest import rows
-from pyspark.errors import PythonException
 from pyspark.sql import functions as F
 from test_logline import EID, UID, beacon, line
 from test_reports import API_LINES
@@ -71,37 +68,6 @@ def test_vector_text(spark):
     assert rows(text.select(F.inline(V.unpack_vector(F.col("t"))))) == [(1, "a", 7), (2, "b", 1), (3, "c", 3)]
 
 
-def zip_bytes(entries):
-    buffer = io.BytesIO()
-    with zipfile.ZipFile(buffer, "w", zipfile.ZIP_DEFLATED) as archive:
-        for name, data in entries.items():
-            archive.writestr(name, data)
-    return buffer.getvalue()
-
-
-def test_zip_archives(spark, tmp_path):
-    (tmp_path / "a.zip").write_bytes(zip_bytes({"x.txt": b"one", "y/z.txt": b""}))
-    (tmp_path / "b.zip").write_bytes(zip_bytes({"w.txt": b"two" * 5000}))
-    got = readers.read_zip_archives(spark, str(tmp_path / "*.zip"))
-    assert rows(got.select("name", F.octet_length("content"))) == [("w.txt", 15000), ("x.txt", 3), ("y/z.txt", 0)]
-
-
-def test_zip_entries_in_several_batches(spark, monkeypatch):
-    monkeypatch.setattr(readers, "ZIP_BATCH_ROWS", 3)
-    many = zip_bytes({f"{n}.txt": str(n).encode() for n in range(10)})
-    df = spark.createDataFrame([("a", many), ("b", many)], "path string, content binary")
-    assert readers.unzip_entries(df).select("path", "name").distinct().count() == 20
-
-
-def test_damaged_zip(spark, tmp_path):
-    good = zip_bytes({"x.txt": b"one"})
-    (tmp_path / "a.zip").write_bytes(good)
-    (tmp_path / "b.zip").write_bytes(good[:40])
-    with pytest.raises(PythonException):
-        readers.read_zip_archives(spark, str(tmp_path / "*.zip")).collect()
-    assert rows(readers.read_zip_archives(spark, str(tmp_path / "*.zip"), lenient=True), "name") == [("x.txt",)]
-
-
 def test_materialized_table_keeps_rows_and_types(spark):
     df = spark.sql("SELECT 1 AS a, date'2014-01-01' AS dt, array('x') AS c")
     got = materialize(df, "check")
@@ -111,15 +77,27 @@ def test_materialized_table_keeps_rows_and_types(spark):
 
 def test_also_view_and_most_view_jobs(spark, tmp_path):
     source = write_history(tmp_path / "2014/10/01")
-    recommend.also_view_item_job(spark, source, str(tmp_path / "item"))
+    assert recommend.also_view_item_job(spark, source, str(tmp_path / "item"), months=1) == {"baskets": 0, "rows": 0}
     # DEBG2K is of the same store family and so scores double.
     assert "DEBG2H-A70201693\tDEBG2K-A00000001,AAAA1A-A00000002\n" in text_of(tmp_path / "item")
-    recommend.also_view_group_job(spark, source, str(tmp_path / "store"), "store")
+    recommend.also_view_group_job(spark, source, str(tmp_path / "store"), "store", no_cap=True)
     assert "AAAA1A\tDEBG2H-A70201693,DEBG2K-A00000001" in text_of(tmp_path / "store")
     recommend.most_view_job(spark, source, str(tmp_path / "region"), "region", top=1)
     assert sorted(text_of(tmp_path / "region").split()) == ["AAAA", "AAAA1A-A00000002", "DEBG", "DEBG2H-A70201693"]
 
 
+def test_cap_does_not_depend_on_path_spelling(spark, tmp_path):
+    out = []
+    for name in ("2014/01", "dt=2014-01-01", "all"):
+        source = write_history(tmp_path / name)
+        left = recommend.also_view_item_job(spark, source, str(tmp_path / f"out-{name}"), cap=3)
+        out.append((left, text_of(tmp_path / f"out-{name}")))
+    assert out[0] == out[1] == out[2] == ({"baskets": 1, "rows": 3}, "")
+    for wrong in ({}, {"months": 1, "cap": 3}):
+        with pytest.raises(ValueError):
+            recommend.also_view_item_job(spark, source, str(tmp_path / "no"), **wrong)
+
+
 def test_recommend_jobs(spark, tmp_path):
     other = "7" * 40
     log = tmp_path / "log"
@@ -183,13 +161,19 @@ def test_api_traffic_batch_and_stream_agree(spark, tmp_path):
     log = tmp_path / "log"
     log.mkdir()
     (log / "a.txt").write_text("\n".join(API_LINES))
-    logreports.api_traffic_job(spark, str(log), str(tmp_path / "out"), "example.tw", 2014)
+    logreports.api_traffic_job(spark, str(log), str(tmp_path / "out"), "example.tw", 2014, "ec[12]")
     assert "Sep  4 00:00:00_Sep  4 00:00:59\tec1:2,0\tec2:0,1" in text_of(tmp_path / "out")
-    stream = start_api_traffic(spark, str(log), str(tmp_path / "table"), "example.tw", 2014)
-    stream.awaitTermination(120)
+    table, state = str(tmp_path / "table"), str(tmp_path / "state")
+    start_api_traffic(spark, str(log), table, "example.tw", 2014, state).awaitTermination(120)
     # The last minute stays open until the watermark passes it.
     got = spark.read.parquet(str(tmp_path / "table"))
     assert rows(got, "machine", "product", "non_product") == [("ec1", 2, 0), ("ec2", 0, 1)]
+    # A second start goes on where the first one stopped.
+    later = [x.replace("Sep  4", "Sep 20").replace("Sep 14", "Sep 24") for x in API_LINES]
+    (log / "b.txt").write_text("\n".join(later))
+    start_api_traffic(spark, str(log), table, "example.tw", 2014, state).awaitTermination(120)
+    days = spark.read.parquet(table).select(F.dayofmonth("minute").alias("d")).distinct()
+    assert {r.d for r in days.collect()} == {4, 14, 20}
 
 
 def test_similarity_table_can_feed_the_recommendation(spark, tmp_path):

@@ -66,8 +66,3 @@ def test_run_date():
     assert P.run_date("/out/x", "20141006") == "20141006"
     with pytest.raises(ValueError):
         P.run_date("/out/x", "yesterday")
-
-
-def test_months_in_paths():
-    assert P.months_in_paths(["/a/2014/10/01", "/a/2014/10/02", "/a/2014/11", "/b"]) == 2
-    assert P.months_in_paths(["/b"]) == 1

@@ -110,11 +110,23 @@ def test_top_k_ranks_are_dense(spark):
         assert [(-r.s, r.id) for r in group] == sorted((-r.s, r.id) for r in group)
 
 
-def test_hot_keys_are_few_and_cut(spark):
-    df = spark.range(3000).select(F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id")).alias("k"), "id")
-    hot = skew.hot_key_pieces(df, ["k"], max_hot=20, min_piece_rows=10).collect()
-    assert [(r.k, r.pieces) for r in hot] == [(0, 7)]  # 1000 rows in pieces of 150
-    assert skew.hot_key_pieces(df, ["k"]).count() == 0
+def test_cells_bound_the_pairs_of_one_basket(spark):
+    df = spark.range(5000).select(F.lit("u").alias("user"), F.concat(F.lit("i"), "id").alias("item"))
+    other = df.withColumnRenamed("item", "other_item")
+    joined = skew.cell_join(df, other, ["user"], ["item"], ["other_item"], block_rows=500)
+    assert joined.count() == 5000 * 5000
+    blocks = skew.blocks_of(df, ["user"], 500, "k").collect()
+    assert [(r.user, r.k) for r in blocks] == [("u", 20)]
+    largest = df.groupBy(F.pmod(F.xxhash64("item"), F.lit(20)).alias("b")).count().agg(F.max("count")).first()[0]
+    assert largest <= 500
+
+
+def test_cells_of_a_hot_item_keep_every_product(spark):
+    users = spark.range(300).select(F.concat(F.lit("u"), "id").alias("user"), F.lit("hot").alias("item"), F.lit(2).cast("long").alias("milli"))
+    vectors_ = spark.range(70).select(F.lit("hot").alias("item"), F.concat(F.lit("o"), "id").alias("other"), F.lit(3).cast("long").alias("cnt"))
+    got = userrec.score_product(users, vectors_, block_rows=20)
+    assert got.count() == got.select("user", "other").distinct().count() == 300 * 70
+    assert got.select("milli").distinct().collect()[0][0] == 6
 
 
 @pytest.fixture(scope="module")

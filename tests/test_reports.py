@@ -7,6 +7,7 @@ from conftest import rows
 from pyspark.sql import functions as F
 from test_logline import beacon, line, lines
 
+from aislewise.functions import vectors as V
 from aislewise.operators import apitraffic, dimensions, logstats, orders, storerank
 from aislewise.operators.beacons import parse_beacons
 from aislewise.operators.ranking import rank_align
@@ -169,7 +170,7 @@ def test_api_traffic(spark):
     fields = apitraffic.api_line_fields(lines(spark, *API_LINES), "example.tw", 2014)
     traffic = apitraffic.api_traffic_per_minute(fields)
     assert rows(traffic, "machine", "product", "non_product") == [("ec1", 0, 1), ("ec1", 2, 0), ("ec2", 0, 1)]
-    assert rows(apitraffic.api_traffic_lines(traffic)) == [
+    assert rows(apitraffic.api_traffic_lines(traffic, "ec[12]")) == [
         ("Sep  4 00:00:00_Sep  4 00:00:59", "ec1:2,0\tec2:0,1"), ("Sep 14 00:01:00_Sep 14 00:01:59", "ec1:0,1")]
 
 
@@ -183,3 +184,12 @@ def test_shipped_orders(spark):
 
 def test_view_lines_are_not_beacons(spark):
     assert parsed(spark, line("/emon/item.htm?uid=x,pid=y")).count() == 0
+
+
+@pytest.mark.parametrize("escaped,name", [
+    ("Caf&eacute; &amp;lt; &#8217; &#x4E2D;&#X4e2d;", "Café &lt; ’ 中中"), ("a\t&nbsp;b", "a b"), ("&unknown; & &#0; &#xD800; &;", "&unknown; & &#0; &#xD800; &;"),
+    ("AT&T &quot;x&quot;", 'AT&T "x"'), ("", ""), (None, None),
+])
+def test_names_are_unescaped_once(spark, escaped, name):
+    df = spark.createDataFrame([(escaped,)], "name string")
+    assert df.select(V.clean_name(F.col("name"))).first()[0] == name
