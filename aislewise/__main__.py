@@ -75,7 +75,7 @@ def parser() -> argparse.ArgumentParser:
 
     sub = job("user-recommend", lambda s, a: recommend.user_recommend_job(
         s, a.daily, a.item_vectors, a.output, a.first_day, a.as_of, a.top, a.gzip, a.recommend_unbought,
-        a.min_cnt, None if a.no_limit else a.limit,
+        a.min_cnt, None if a.no_limit else a.limit, a.text,
     ), "daily", "item_vectors", "output")
     sub.add_argument("--first-day", type=date.fromisoformat, default=userrec.FIRST_DAY)
     sub.add_argument("--as-of", type=date.fromisoformat, default=yesterday)
@@ -85,6 +85,7 @@ def parser() -> argparse.ArgumentParser:
     sub.add_argument("--min-cnt", type=int, default=1, help="pairs counted so often or less are left out")
     sub.add_argument("--limit", type=int, default=userrec.VECTOR_LIMIT, help="partners kept of each item")
     sub.add_argument("--no-limit", action="store_true")
+    sub.add_argument("--text", action="store_true", help="inputs are text files of an earlier run")
 
     sub = job("page-views", lambda s, a: logreports.page_view_reports(
         s, a.logs, s.read.parquet(a.items), s.read.parquet(a.stores), a.output), "logs", "output")

@@ -537,3 +537,10 @@ SELECT o_custkey, CAST("rank" AS INTEGER) AS "rank", o_orderkey FROM (
   SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY o_totalprice DESC, o_orderkey) AS "rank"
   FROM orders) WHERE "rank" <= 3""",
 }
+# Text stages hold what the query that wrote them returns.
+ORACLE_SQL |= {
+    "stage_daily_counters": ORACLE_SQL["user_item_daily"],
+    "stage_user_vectors": ORACLE_SQL["user_vector"],
+    "stage_item_vectors": f"WITH {EV}, {DAILY}, {_merged(limit=5)} SELECT item, other, cnt FROM iv",
+    "stage_wide_ranks": ORACLE_SQL["store_page_rank_month"],
+}

@@ -21,7 +21,7 @@ from aislewise.operators import logstats, mostview, orders, ranking, storerank,
 from aislewise.plans import recommend
 from aislewise.session import materialize, scratch_path
 from aislewise.sources import fixtures as X
-from aislewise.sources import readers, writers
+from aislewise.sources import readers, stagefiles, writers
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -137,6 +137,44 @@ def vector_codec(spark, sf_dir):
     )
 
 
+@query
+def stage_daily_counters(spark, sf_dir):
+    """Daily counters written as text in day folders and read back."""
+    path = scratch_path(spark, "daily-text")
+    stagefiles.write_daily_counters(_daily(spark, sf_dir), path)
+    return stagefiles.read_daily_counters(spark, path).select(
+        day_text(), "user", "item", "buy", "view", "cart",
+        F.coalesce(F.date_format("buy_date", "yyyyMMdd"), F.lit("noTime")).alias("buy_date"))
+
+
+@query
+def stage_user_vectors(spark, sf_dir):
+    path = scratch_path(spark, "user-text")
+    stagefiles.write_user_vectors(userrec.user_vector(_daily(spark, sf_dir), FIRST_DAY, AS_OF), path)
+    return stagefiles.read_user_vectors(spark, path, FIRST_DAY).select(
+        "user", "item", (F.col("milli") / 1000).alias("score"), "avg_day", day_text("last_buy"))
+
+
+@query
+def stage_item_vectors(spark, sf_dir):
+    path = scratch_path(spark, "item-text")
+    vectors = userrec.item_vector_daily(_daily(spark, sf_dir))
+    stagefiles.write_item_vectors(userrec.item_vector_merge(vectors, limit=5), path)
+    return stagefiles.read_item_vectors(spark, path)
+
+
+@query
+def stage_wide_ranks(spark, sf_dir):
+    """The month ranking summed from printed daily rankings in their wide text form."""
+    path = scratch_path(spark, "wide-text")
+    stores = X.store_dim(_events(spark, sf_dir))
+    daily = storerank.store_page_rank_daily(_daily_counts(spark, sf_dir), stores, threshold=0)
+    writers.write_tsv(storerank.wide_ranks(daily, ["dt"]), path, header=True)
+    wide = spark.read.option("sep", "\t").option("header", True).csv(path)
+    counts = storerank.read_wide_counts(wide.withColumn("dt", F.col("dt").cast("date")), ["dt"])
+    return storerank.store_page_rank_period(counts, stores, "month", 25).withColumn("period_start", day_text("period_start"))
+
+
 # -- line parsing --------------------------------------------------------------
 
 

@@ -11,7 +11,7 @@ from aislewise.functions import periods as P
 from aislewise.functions import vectors as V
 from aislewise.operators import alsoview, baskets, identity, mostview, userrec
 from aislewise.session import drop_materialized, materialize
-from aislewise.sources import readers, writers
+from aislewise.sources import readers, stagefiles, writers
 
 
 def ranked_lines(ranked: DataFrame, key: str, value: str) -> DataFrame:
@@ -121,15 +121,21 @@ def item_similarity_job(
 def user_recommend_job(
     spark: SparkSession, daily_table: str, item_vector_table: str, output: str, first_day: date,
     as_of: date, top: int = userrec.TOP_ITEMS, gzip: bool = False, recommend_unbought: bool = False,
-    min_cnt: int = 1, limit: int | None = userrec.VECTOR_LIMIT,
+    min_cnt: int = 1, limit: int | None = userrec.VECTOR_LIMIT, text: bool = False,
 ) -> None:
     """Personal lists from the stored daily counters and item vectors up to ``as_of``.
 
+    ``text``: both are text files of an earlier run (``stagefiles``), not tables.
+
     The item vectors are daily ones, or the table of ``item_similarity_job``.
     """
     days = (F.col("dt") >= F.lit(first_day)) & (F.col("dt") <= F.lit(as_of))
-    daily = spark.read.parquet(daily_table).where(days)
-    stored = spark.read.parquet(item_vector_table)
+    if text:
+        daily = stagefiles.read_daily_counters(spark, daily_table)
+        stored = stagefiles.read_item_vectors(spark, item_vector_table)
+    else:
+        daily, stored = spark.read.parquet(daily_table), spark.read.parquet(item_vector_table)
+    daily = daily.where(days) if "dt" in daily.columns else daily
     item_vectors = userrec.item_vector_merge(
         stored.where(days) if "dt" in stored.columns else stored, min_cnt, limit)
     users = materialize(userrec.user_vector(daily, first_day, as_of), "user-vector")

@@ -23,8 +23,11 @@ def write_lines(df: DataFrame, path: str, gzip: bool = False) -> None:
 
 
 def write_table(df: DataFrame, path: str, by_day: bool = False) -> None:
-    """Overwrite a parquet table; with ``by_day`` only the ``dt`` partitions that are written."""
-    writer = df.write.mode("overwrite")
+    """Overwrite a parquet table; with ``by_day`` only the ``dt`` partitions that are written.
+
+    Rows of a day are brought together first, in parts of even size, so a day gets few files.
+    """
+    writer = (df.hint("rebalance", F.col("dt")) if by_day else df).write.mode("overwrite")
     if by_day:
         writer = writer.option("partitionOverwriteMode", "dynamic").partitionBy("dt")
     writer.parquet(path)

@@ -16,7 +16,7 @@ from aislewise.__main__ import main
 from aislewise.functions import vectors as V
 from aislewise.plans import logreports, recommend
 from aislewise.session import materialize
-from aislewise.sources import readers, writers
+from aislewise.sources import readers, stagefiles, writers
 from aislewise.streaming.apistream import start_api_traffic
 
 HISTORY = [
@@ -125,6 +125,17 @@ def test_recommend_jobs(spark, tmp_path):
     assert text_of(out) == f"eid:{EID}\tDEBG2H-A70201693\n"
 
 
+def test_recommendation_from_text_stages(spark, tmp_path):
+    daily = spark.sql("""SELECT date'2014-09-04' AS dt, 'eid:x' AS user, 'DEBG2H-A70201693' AS item, 0L AS buy, 2L AS view,
+        1L AS cart, CAST(NULL AS date) AS buy_date""")
+    stagefiles.write_daily_counters(daily, str(tmp_path / "daily"))
+    (tmp_path / "vectors").mkdir()
+    (tmp_path / "vectors" / "v.txt").write_text("DEBG2H-A70201693\tDEBG2K-A00000001:4,BAD,AAAA1A-A00000002:1\nbroken\n")
+    main(["user-recommend", str(tmp_path / "daily"), str(tmp_path / "vectors"), str(tmp_path / "out"), "--text",
+          "--first-day", "2014-09-01", "--as-of", "2014-09-20"], spark)
+    assert text_of(tmp_path / "out") == "eid:x\tDEBG2K-A00000001\n"
+
+
 def test_daily_job_overwrites_its_own_day_only(spark, tmp_path):
     path = str(tmp_path / "t")
     day = spark.createDataFrame([(date(2014, 9, 4), 1)], "dt date, n int")
