@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 BLOCK_DOCS = 64
 PERIOD = 10_000
 TEMPERATURE = 0.5
-BUCKET_DOCS = 10_000
+BUCKET_DOCS = 2000
 MAX_SOURCES = 1_000_000
 SLOT_GROUP = 4096
 
