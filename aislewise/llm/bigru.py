@@ -1,7 +1,9 @@
 """Toxicity: bidirectional gated recurrent network with attention pooling, in numpy.
 
 Words (runs of letters and digits, A-Z lower-cased) enter as a word embedding beside the mean
-embedding of their hashed character n-grams. The network reads overlapping windows of
+embedding of all their hashed character n-grams. Runs over ``PIECE_BYTES`` are cut into words
+of that size that overlap by half; in scripts without spaces every two characters in a row are
+a word. No byte of a run is left out. The network reads overlapping windows of
 ``WINDOW`` words, one every ``STRIDE``, in both directions; attention pools the states. A
 document's score is that of its worst window, calibrated on training documents.
 
@@ -27,7 +29,7 @@ from pyspark.sql import functions as F
 
 from aislewise.llm.ship import map_batches
 from aislewise.llm.subwords import ragged
-from aislewise.llm.textbatch import Texts, distinct, find_runs, mix, slices
+from aislewise.llm.textbatch import Texts, Words, distinct, find_runs, mix, slices
 
 WINDOW = 32
 STRIDE = 16
@@ -45,35 +47,77 @@ CALIBRATE_ON = 4  # every so many-th training document only calibrates the score
 EPOCH_WINDOWS = 12_000
 BATCH = 256
 RATE = 0.01
-MAX_WORD_BYTES = 24
+PIECE_BYTES = 24
 GRAMS = (3, 4, 5)
 
 _CODES = np.arange(256)
 _INSIDE = ((_CODES >= 48) & (_CODES <= 57)) | ((_CODES >= 65) & (_CODES <= 90)) | ((_CODES >= 97) & (_CODES <= 122)) | (_CODES >= 128)
 
 
+def unspaced(data: np.ndarray) -> np.ndarray:
+    """Which bytes belong to characters of scripts written without spaces, such as Thai, Khmer, Han and Kana."""
+    if not (data >= 0xE0).any():
+        return np.zeros(len(data), bool)
+    lead = (data & 0xC0) != 0x80
+    second = np.append(data[1:], 0).astype(np.uint8)
+    own = (data == 0xE0) & (second >= 0xB8)  # Thai, Lao, Tibetan
+    own |= (data == 0xE1) & ((second <= 0x82) | (second == 0x9E) | (second == 0x9F))  # Myanmar, Khmer
+    own |= (data == 0xE2) & (second >= 0xBA) | (data >= 0xE3) & (data <= 0xE9)  # radicals, Kana, Han
+    own |= (data == 0xEF) & (second >= 0xA4) & (second <= 0xBE) | (data == 0xF0) & (second >= 0xA0)
+    at = np.flatnonzero(lead)
+    return own[at[np.maximum(np.cumsum(lead) - 1, 0)]] if len(at) else own
+
+
+def pieces(data: np.ndarray, runs: Words) -> tuple[np.ndarray, np.ndarray]:
+    """(starts, ends) of the runs; of those over ``PIECE_BYTES``, pieces that overlap by half."""
+    length = runs.ends - runs.starts
+    count = np.where(length > PIECE_BYTES, -(-(length - PIECE_BYTES) // (PIECE_BYTES // 2)) + 1, 1)
+    owner = np.repeat(np.arange(len(count)), count)
+    starts = runs.starts[owner] + (np.arange(len(owner)) - np.repeat(np.cumsum(count) - count, count)) * (PIECE_BYTES // 2)
+    return starts, np.minimum(np.where(length[owner] > PIECE_BYTES, starts + PIECE_BYTES, runs.ends[owner]), runs.ends[owner])
+
+
+def pairs(data: np.ndarray, runs: Words) -> tuple[np.ndarray, np.ndarray]:
+    """(starts, ends) of each two characters in a row of the runs, and of runs of one."""
+    begins = np.append(np.flatnonzero((data & 0xC0) != 0x80), len(data))
+    first, last = np.searchsorted(begins, runs.starts, "right") - 1, np.searchsorted(begins, runs.ends)
+    count = np.maximum(last - first - 1, 1)
+    at = ragged(first, count)
+    return begins[at], np.minimum(begins[np.minimum(at + 2, len(begins) - 1)], np.repeat(runs.ends, count))
+
+
 def words_of(texts: Texts):
-    """(hash of each word, its bytes as rows of a matrix, words of each row)."""
+    """(lower-cased texts, their words, hash of each word)."""
     texts = texts.lowered()
-    words = find_runs(texts, _INSIDE[texts.data])
+    inside, dense = _INSIDE[texts.data], unspaced(texts.data)
+    parts = [pieces(texts.data, find_runs(texts, inside & ~dense))]
+    if dense.any():
+        parts.append(pairs(texts.data, find_runs(texts, inside & dense)))
+    starts, ends = (np.concatenate([p[k] for p in parts]) for k in (0, 1))
+    order = np.argsort(starts, kind="stable")
+    starts, ends = starts[order], ends[order]
+    words = Words(starts, ends, np.searchsorted(starts, texts.offsets))
     return texts, words, texts.span_hashes(words.starts, words.ends)
 
 
 def character_slots(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(slot of each n-gram, word it is in) of words between boundary marks."""
-    length = np.minimum(ends - starts, MAX_WORD_BYTES)
-    columns = np.arange(MAX_WORD_BYTES)
-    place = np.minimum(starts[:, None] + columns, max(len(data) - 1, 0))
-    letters = np.where(columns < length[:, None], data[place] if len(data) else 0, 0).astype(np.uint64)
-    padded = np.concatenate([np.full((len(starts), 1), 1, np.uint64), letters, np.zeros((len(starts), 1), np.uint64)], axis=1)
-    padded[np.arange(len(starts)), length + 1] = 2
+    total = ends - starts + 2
+    first = np.cumsum(total) - total
+    marked = np.zeros(int(total.sum()), np.uint64)
+    marked[first], marked[first + total - 1] = 1, 2
+    owner = np.repeat(np.arange(len(starts), dtype=np.int32), total)
+    place = np.arange(len(marked)) - first[owner]
+    letters = (place > 0) & (place < total[owner] - 1)
+    marked[letters] = data[ragged(starts, ends - starts)]
     slots, owners = [], []
     for n in GRAMS:
-        value = np.full((len(starts), padded.shape[1] - n + 1), n, np.uint64)
+        size = max(len(marked) - n + 1, 0)
+        value = np.full(size, n, np.uint64)
         for k in range(n):
-            value = value * np.uint64(1_000_003) + padded[:, k:padded.shape[1] - n + 1 + k]
-        inside = np.arange(value.shape[1]) + n <= (length + 2)[:, None]
-        owners.append(np.nonzero(inside)[0].astype(np.int32))
+            value = value * np.uint64(1_000_003) + marked[k:size + k]
+        inside = place[:size] + n <= total[owner[:size]]
+        owners.append(owner[:size][inside])
         slots.append((mix(value[inside]) % np.uint64(CHAR_SLOTS)).astype(np.int32))
     return np.concatenate(slots), np.concatenate(owners)
 

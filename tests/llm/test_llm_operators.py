@@ -293,6 +293,39 @@ def test_windows_cover_every_word():
         assert len(bigru.window_starts(n)) <= max(1, n / bigru.STRIDE + 1)
 
 
+def test_character_ngrams_reach_the_end_of_long_words():
+    data = np.frombuffer(b"short" + b"x" * 40 + b"vermin", np.uint8)
+    slots, owners = bigru.character_slots(data, np.array([0, 5]), np.array([5, 51]))
+    assert np.bincount(owners).tolist() == [sum(n + 3 - g for g in bigru.GRAMS) for n in (5, 46)]
+    ends, _ = bigru.character_slots(np.frombuffer(b"xxxxxvermin", np.uint8), np.array([0]), np.array([11]))
+    assert len(set(slots) & set(ends)) >= 20
+
+
+def test_long_runs_and_unspaced_scripts_become_bounded_words():
+    texts = ["a" * 20 + "b" * 20 + "c" * 30, "ab \u4f60\u597d\u5417x", "\u0e01\u0e02", "\u4f60", "", "short \u00fcber \uac00\uac01\uac02"]
+    for _, _, part in slices(pa.array(texts)):
+        low, words_, _ = bigru.words_of(part)
+    got = [[low.data[s:e].tobytes().decode() for s, e in zip(words_.starts[a:b], words_.ends[a:b])] for a, b in zip(words_.rows[:-1], words_.rows[1:])]
+    assert all(len(w) <= bigru.PIECE_BYTES for w in got[0]) and got[0][-1].endswith("c" * 10)
+    assert {texts[0][k:k + 12] for k in range(59)} <= {w[k:k + 12] for w in got[0] for k in range(len(w) - 11)}
+    assert got[1:] == [["ab", "\u4f60\u597d", "\u597d\u5417", "x"], ["\u0e01\u0e02"], ["\u4f60"], [], ["short", "\u00fcber", "\uac00\uac01\uac02"]]
+
+
+@pytest.mark.parametrize("alphabet,term", [([chr(0x4E00 + k) for k in range(400)], "\u6bd2\u86c7"), ([*"abcdefghijklmnopqrstuvwxyz"], "zqvxkj")])
+def test_terms_late_in_a_run_are_seen(alphabet, term):
+    rng = random.Random(9)
+
+    def text(toxic):
+        own = ["".join(rng.choice(alphabet) for _ in range(rng.randrange(15, 60))) for _ in range(2)]
+        return own[0] + own[0][:30] + (term if toxic else "") + own[1]
+
+    labels = np.array([k % 3 == 0 for k in range(400)], int)
+    network = bigru.Trainer([text(x) for x in labels[:300]], labels[:300]).fit()
+    for _, _, part in slices(pa.array([text(x) for x in labels[300:]])):
+        scores = bigru.score_texts(part, network)
+    assert ((scores >= 0.5) == labels[300:]).mean() >= 0.9
+
+
 @pytest.mark.parametrize("name,column,modulus,rest,least", [
     ("op8_quality_classifier", "quality", 5, 0, 0.95), ("op9_toxicity", "toxic", 4, 2, 0.9)])
 def test_held_out_accuracy(spark, name, column, modulus, rest, least):
