@@ -6,6 +6,10 @@ as items of the next level, where bins of several partitions meet, and so on unt
 holds all that is left, or a level no longer helps (bins that no other bin fits into). Only
 (bin, fill) rows move; a node gets ``NODE_ITEMS`` rows at most on average.
 
+Items with a place in an order are packed by ``pack_in_order`` instead: best fit within windows
+of ``WINDOW_PLACES`` places, a window in one task, and sequences numbered by their first place.
+No bins go up there, as that would bring texts far from each other together.
+
 Defined cases: a null text is empty (one piece with the end id); equal lengths go in row
 order; repeated rows are packed as often as they occur; a null id is kept as it is; an empty
 table gives no rows.
@@ -29,6 +33,7 @@ from aislewise.llm.textbatch import slices
 
 CAPACITY = 1024
 NODE_ITEMS = 200_000
+WINDOW_PLACES = 1024
 PIECES = "piece int, start bigint, length bigint, ids_crc32 bigint"
 
 
@@ -148,3 +153,48 @@ def best_fit_pack(items: DataFrame, capacity: int = CAPACITY, slack: int | None
     return packed.join(moves, "bin", "left").select(
         *columns, F.coalesce("up_bin", "bin").alias("sequence_id"),
         (F.col("offset") + F.coalesce("up_offset", F.lit(0))).alias("offset"))
+
+
+def pack_in_order(items: DataFrame, capacity: int = CAPACITY, window_places: int = WINDOW_PLACES,
+                  run_items: int = NODE_ITEMS) -> DataFrame:
+    """``items`` (with ``length`` and ``position``) with ``sequence_id`` and ``offset``. Sequences in
+    the order of their ids follow the smallest position they hold, but for equal positions of more than
+    ``run_items`` items, which are packed in runs."""
+    names = items.columns
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+        now, rows, used = None, 0, 0
+
+        def done() -> Iterator[pa.RecordBatch]:
+            nonlocal held, rows, used
+            if not held:
+                return
+            table = pa.Table.from_batches(held)
+            bins, offsets, fills = best_fit(table.column("length").to_numpy(), capacity)
+            first = np.full(len(fills), len(bins))
+            np.minimum.at(first, bins, np.arange(len(bins)))  # rows come in the order of their places
+            rank = np.empty(len(fills), np.int64)
+            rank[np.argsort(first)] = np.arange(len(fills))
+            table = table.append_column("sequence_id", pa.array((now << 28) + used + rank[bins]))
+            yield from table.append_column("offset", pa.array(offsets)).to_batches(max_chunksize=10_000)
+            held, rows, used = [], 0, used + len(fills)
+
+        for batch in batches:
+            own = batch.column(batch.num_columns - 1).to_numpy()
+            cuts = [0, *(np.flatnonzero(own[1:] != own[:-1]) + 1).tolist(), len(own)]
+            for low, high in zip(cuts[:-1], cuts[1:]):
+                if low == high:
+                    continue
+                if own[low] != now or rows >= run_items:
+                    yield from done()
+                if own[low] != now:
+                    now, used = int(own[low]), 0
+                held.append(batch.slice(low, high - low))
+                rows += high - low
+        yield from done()
+
+    placed = items.withColumn("_window", F.floor(F.col("position") / window_places).cast("bigint"))
+    dealt = placed.repartition("_window").sortWithinPartitions("_window", "position", *[c for c in ("piece",) if c in names])
+    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in dealt.schema)
+    return map_batches(dealt, pack, f"{columns}, sequence_id bigint, offset bigint").drop("_window")

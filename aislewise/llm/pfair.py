@@ -114,6 +114,12 @@ def mix_sources(docs: DataFrame, weights: dict[str | None, float] | None = None,
         (F.col("first") + F.col("within")).alias("position"))
 
 
+def with_position(rows: DataFrame, mixed: DataFrame, id_col: str = "doc_id") -> DataFrame:
+    """``rows`` with the first ``position`` of their id in the mix."""
+    place = mixed.groupBy(F.col(id_col).alias("_id")).agg(F.min("position").alias("position"))
+    return rows.join(place, rows[id_col].eqNullSafe(place["_id"])).drop("_id")
+
+
 def in_mixed_order(docs: DataFrame, mixed: DataFrame, id_col: str = "doc_id") -> DataFrame:
     """``docs`` sorted by their place in the mix; rows of one id share the first place."""
     place = mixed.groupBy(F.col(id_col).alias("_id")).agg(F.min("position").alias("_position"))

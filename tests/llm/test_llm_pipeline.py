@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 import collections
+import random
 
 import corpus_pipeline
-from llm_helpers import components
+from llm_helpers import components, words
 
 from aislewise.llm import pfair, queries
 from aislewise.llm.scratch import Scratch
@@ -44,6 +45,34 @@ def test_pipeline_against_brute_force(spark):
     assert dict(found) == sizes
 
 
+def test_packed_sequences_follow_the_mix(spark):
+    rng = random.Random(6)
+    sources = ["hot"] * 4000 + ["b"] * 900 + ["c"] * 100
+    # The hot source has the longest texts.
+    rows = [(k, words(rng, rng.randrange(60, 200) if s == "hot" else rng.randrange(20, 60)), "en", s, 0) for k, s in enumerate(sources)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").repartition(3)
+    packed = corpus_pipeline.pack(spark, docs, "").collect()
+    place = {r.doc_id: r.position for r in pfair.mix_sources(docs).collect()}
+    first = collections.defaultdict(lambda: len(rows))
+    places = collections.defaultdict(list)
+    for r in packed:
+        first[r.sequence_id] = min(first[r.sequence_id], place[r.doc_id])
+        places[r.sequence_id].append((r.offset, r.length))
+    order = sorted(first)
+    assert [first[s] for s in order] == sorted(first.values())
+    for own in places.values():
+        own.sort()
+        assert own[0][0] == 0 and all(a + n == b for (a, n), (b, _) in zip(own, own[1:])) and own[-1][0] + own[-1][1] <= 1024
+    assert len(places) <= 1.03 * sum(r.length for r in packed) / 1024 + 5
+    source = dict(enumerate(sources))
+    mixed = [source[i] for i, _ in sorted(place.items(), key=lambda x: x[1])]
+    for part in (0.25, 0.5, 0.75):
+        held = [source[r.doc_id] for r in packed if r.sequence_id < order[int(part * len(order))] and r.start == 0]
+        expected = collections.Counter(mixed[:len(held)])
+        for name, n in collections.Counter(held).items():
+            assert abs(n - expected[name]) <= 0.1 * len(held), (part, name)
+
+
 def test_run_and_stages():
     assert [n for n, _ in corpus_pipeline.STAGES] == [
         "quality_classifier", "toxicity", "minhash_near_dedup", "mixing_sources", "best_fit_packing"]
