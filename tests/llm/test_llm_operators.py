@@ -153,6 +153,15 @@ def test_language_model_base_and_distribution(spark):
         assert r.base_score == pytest.approx(base) and r.score < 0 and r.held_out == (zlib.crc32(str(i).encode()) % 10 == 0)
 
 
+def test_lexicon_rows_do_not_grow_with_the_uses_of_a_word(spark):
+    def largest(copies):
+        rows = spark.createDataFrame([(k, "one text that is copied") for k in range(copies)], "id long, text string").coalesce(1)
+        table = contextmix.chunk_words(rows, 1, np.zeros((1, contextmix.BINS))).where("bucket < 1")
+        return contextmix.merge_buckets(table, 1).agg(F.max(F.octet_length("data"))).first()[0]
+
+    assert largest(4000) == largest(40)
+
+
 def test_spelling_probabilities_sum_to_one_for_each_byte():
     rng = np.random.default_rng(0)
     model = contextmix.Model(rng.integers(0, 5, 2 * contextmix.TABLE_SLOTS))
