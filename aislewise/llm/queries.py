@@ -6,7 +6,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from aislewise.llm import (
-    bestfit, bigru, chatformat, contextmix, minhash_join, multisethash, pfair, qda, rans, repetition,
+    bestfit, bigru, chatformat, contextmix, convrepair, frames, minhash_join, multisethash, pfair, qda, rans,
+    repetition, secretscan,
 )
 from aislewise.llm.scratch import Scratch
 from aislewise.llm.subwords import default_tokenizer, subwords
@@ -113,6 +114,53 @@ def op10_rans_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read.select(F.col("id").alias("doc_id"), "start", "n_tokens", "ids_crc32")
 
 
+def op11_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digests of all documents rearranged for fill-in-middle, and of the texts rebuilt from them.
+
+    Texts are stored as compressed frames, cut through the frames that hold a cut, and read back a frame at a time.
+    Nulls are empty texts, empty and marked ones stay plain; see ``frames``.
+    """
+    store = Scratch(spark, "frames").save(frames.frame_texts(documents(spark, sf_dir)))
+    return frames.digests(frames.fill_in_middle(store)).withColumnRenamed("id", "doc_id")
+
+
+def op12_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts and digest of the plain patterns' spans, and all spans with the structurally confirmed ones.
+
+    Null and empty texts have none; see ``secretscan``.
+    """
+    found = secretscan.scan_secrets(documents(spark, sf_dir))
+    base = F.filter("spans", lambda s: ~s["confirmed"])
+
+    def written(spans: Column) -> Column:
+        parts = F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string")))
+        return F.array_join(parts, ",")
+
+    def counted(kind: str) -> Column:
+        return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("bigint").alias(f"n_{kind}")
+
+    return found.select("doc_id", *[counted(kind) for kind in secretscan.BASE_KINDS],
+                        F.sha2(written(base), 256).alias("base_sha256"), written(F.col("spans")).alias("spans"))
+
+
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Faults, cost, audit and digest of every damaged conversation's cheapest repair.
+
+    Null roles and texts are one space, null turns come first; conversations left without rows have zeros, an empty
+    audit and the digest of nothing; see ``convrepair``.
+    """
+    conversations = spark.read.parquet(f"{sf_dir}/conversations.parquet")
+    rows, summary = convrepair.repair_conversations(convrepair.damaged(conversations))
+    parts = conversations.select("conv_id").unionByName(summary, allowMissingColumns=True).unionByName(
+        convrepair.conversation_digests(rows), allowMissingColumns=True)
+    numbers = ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")
+    whole = parts.groupBy("conv_id").agg(*[F.first(c, ignorenulls=True).alias(c) for c in parts.columns[1:]])
+    return whole.select(
+        "conv_id", *[F.coalesce(c, F.lit(0)).cast("bigint").alias(c) for c in numbers],
+        F.coalesce("audit", F.lit("")).alias("audit"),
+        F.coalesce("repaired_sha256", F.sha2(F.lit(""), 256)).alias("repaired_sha256"))
+
+
 QUERIES = {
     "op1_minhash_near_dedup": op1_minhash_near_dedup,
     "op2_quality_rules": op2_quality_rules,
@@ -124,5 +172,39 @@ QUERIES = {
     "op8_quality_classifier": op8_quality_classifier,
     "op9_toxicity": op9_toxicity,
     "op10_rans_token_files": op10_rans_token_files,
+    "op11_fill_in_middle": op11_fill_in_middle,
+    "op12_secret_scan": op12_secret_scan,
+    "op13_conversation_repair": op13_conversation_repair,
+}
+ORACLE_SQL: dict[str, str] = {
+    "op11_fill_in_middle": r"""
+WITH drawn AS (
+    SELECT doc_id, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[^\n]*\n|[^\n]+') AS lines,
+           sha256('7:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h
+    FROM documents
+), numbered AS (
+    SELECT doc_id, text, lines, len(lines) AS n,
+           CAST('0x' || substr(h, 1, 8) AS BIGINT) AS h1, CAST('0x' || substr(h, 9, 8) AS BIGINT) AS h2,
+           CAST('0x' || substr(h, 17, 8) AS BIGINT) AS h3, CAST('0x' || substr(h, 25, 8) AS BIGINT) AS h4
+    FROM drawn
+), cut AS (
+    SELECT *, least(h1 % (n + 1), h2 % (n + 1)) AS a, greatest(h1 % (n + 1), h2 % (n + 1)) AS b,
+           CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>')
+                     OR h3 % 100 >= 100 THEN 'plain'
+                WHEN h4 % 100 < 50 THEN 'spm' ELSE 'psm' END AS form
+    FROM numbered
+), parts AS (
+    SELECT doc_id, text, n, form, coalesce(array_to_string(lines[1:a], ''), '') AS prefix,
+           coalesce(array_to_string(lines[a + 1:b], ''), '') AS middle,
+           coalesce(array_to_string(lines[b + 1:n], ''), '') AS suffix
+    FROM cut
+)
+SELECT doc_id, CAST(n AS BIGINT) AS n, form,
+       CASE WHEN form <> 'plain' THEN CAST(length(prefix) AS BIGINT) END AS prefix_chars,
+       CASE WHEN form <> 'plain' THEN CAST(length(middle) AS BIGINT) END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+                   ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256,
+       sha256(text) AS restored_sha256
+FROM parts
+""",
 }
-ORACLE_SQL: dict[str, str] = {}
