@@ -111,6 +111,16 @@ def payload(line: Column) -> Column:
     return F.from_json(request_payload(line), PAYLOAD_SCHEMA, {"allowSingleQuotes": "false"})
 
 
+#: Column of ``checked_payload`` that holds a text which is not valid JSON.
+BROKEN = "_broken"
+
+
+def checked_payload(text: Column) -> Column:
+    """Struct of a payload text, with the text itself under ``BROKEN`` where it is not valid JSON."""
+    schema = T.StructType([*PAYLOAD_SCHEMA.fields, T.StructField(BROKEN, T.StringType())])
+    return F.from_json(text, schema, {"allowSingleQuotes": "false", "columnNameOfCorruptRecord": BROKEN})
+
+
 def client_ip(line: Column) -> Column:
     return F.regexp_extract(line, IPV4_TOKEN, 1)
 

@@ -30,11 +30,31 @@ def item_similarity(interactions: DataFrame, cap: int | None = B.SIMILARITY_CAP)
     return pairs.select("item", "other", score.alias("score"))
 
 
+def item_similarity_above(interactions: DataFrame, cap: int | None, min_score: int) -> DataFrame:
+    """Rows of ``item_similarity`` with a score above ``min_score``, items too rare for it left out before the join.
+
+    A score is at most twice the number of users of the rarer item, and twice only within a family. So items with
+    no more than half of ``min_score`` users go with all their rows, and those with no more than
+    ``min_score`` users meet items of their own family only.
+    """
+    baskets = B.basket_cap(B.user_basket(valid_interactions(interactions), ["user"], ["item"]), ["user"], cap)
+    rows = B.supported(baskets, ["user"], min_score / 2).select(
+        "user", "item", (F.col("users") > min_score).alias("common"),
+        H.prefix(F.col("item"), H.STORE_FAMILY_CHARS).alias("family"))
+    bounded = cap is not None
+    common = rows.where("common").select("user", "item")
+    apart = B.basket_pairs(common, ["user"], ["item"], bounded).select("item", "other_item")
+    rare = B.basket_pairs(rows, ["user", "family"], ["item", "common"], bounded).where("not (common and other_common)")
+    pairs = apart.unionByName(rare.select("item", "other_item")).where("item < other_item")
+    score = doubled_in_family(F.col("cnt"), F.col("item"), F.col("other"), H.STORE_FAMILY_CHARS)
+    return B.count_pairs(pairs).select("item", "other", score.alias("score")).where(F.col("score") > min_score)
+
+
 def also_view_item(
     interactions: DataFrame, cap: int | None = B.SHORT_RANGE_CAP, min_score: int = 0, top: int = TOP_ITEMS
 ) -> DataFrame:
     """(item, rank, other, score): the ``top`` others with a score above ``min_score``."""
-    scores = item_similarity(interactions, cap).where(F.col("score") > min_score)
+    scores = item_similarity_above(interactions, cap, min_score) if min_score > 0 else item_similarity(interactions, cap)
     return top_k_per_group(scores, ["item"], [F.desc("score"), F.asc("other")], top)
 
 

@@ -6,12 +6,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from aislewise.operators.skew import BLOCK_ROWS, cell_join, fan_out
+from aislewise.session import drop_materialized, materialize
 
 CAP_PER_MONTH = 300
 SHORT_RANGE_CAP = 900
 SIMILARITY_CAP = 1000
 BLOCK_ITEMS = BLOCK_ROWS
 MAX_HOT_KEYS = 10_000
+#: Pruning stops when a round takes less than this share of the rows.
+PRUNE_SHARE = 0.01
+PRUNE_ROUNDS = 6
 
 
 def user_basket(rows: DataFrame, keys: list[str], unit: list[str]) -> DataFrame:
@@ -81,11 +85,38 @@ def cooccurrence(
     finished counts are mirrored. Pairs are combined in the task that joins them, only
     partial counts are shuffled. ``per`` names basket keys that stay in the result.
     """
-    per = per or []
     pairs = basket_pairs(baskets, keys, ["item"], bounded, block_items).where("item < other_item")
+    return count_pairs(pairs, per)
+
+
+def count_pairs(pairs: DataFrame, per: list[str] | None = None) -> DataFrame:
+    """(per..., item, other, cnt) in both directions, from pairs with item < other_item."""
+    per = per or []
     half = pairs.groupBy(*per, "item", "other_item").agg(F.count(F.lit(1)).alias("cnt"))
     both = F.array(
         F.struct(F.col("item"), F.col("other_item").alias("other")),
         F.struct(F.col("other_item").alias("item"), F.col("item").alias("other")),
     )
     return half.select(*per, F.inline(both), "cnt")
+
+
+def supported(baskets: DataFrame, keys: list[str], more_than: float) -> DataFrame:
+    """Rows that can be in a pair counted more than ``more_than`` times, with ``users``, the baskets of their item.
+
+    A pair is in no more baskets than either item, so items in too few baskets go; then baskets left with one
+    item, which lowers the counts of others. Rounds go on while they pay: each is exact, so stopping early
+    only leaves rows that make no result. The rounds are written tables, and items are counted with map-side
+    combining; the last table is left to the lazy result.
+    """
+    rows = materialize(baskets, "supported")
+    left = rows.count()
+    for _ in range(PRUNE_ROUNDS):
+        items = rows.groupBy("item").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > more_than)
+        frequent = rows.join(items.select("item"), "item", "left_semi")
+        several = frequent.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1")
+        kept = materialize(frequent.join(several.select(*keys), keys, "left_semi"), "supported")
+        drop_materialized(rows)
+        rows, before, left = kept, left, kept.count()
+        if before - left <= PRUNE_SHARE * before:
+            break
+    return rows.join(rows.groupBy("item").agg(F.count(F.lit(1)).alias("users")), "item")

@@ -2,12 +2,19 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import uuid
+
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from aislewise.functions import logline as L
 
 
+ACCEPTED = "accepted"
+#: Why a beacon line is skipped, in the order in which reasons are tried.
+SKIP_REASONS = ("bad_escapes", "no_request", "bad_json", "no_site")
+
+
 def parse_beacons(lines: DataFrame) -> DataFrame:
     """Non-bot beacon lines with their JSON fields as uid, site, page, action, prod.
 
@@ -23,6 +30,50 @@ def parse_beacons(lines: DataFrame) -> DataFrame:
     )
 
 
+class LineAccount:
+    """How many lines were read, left out as other requests or crawlers, accepted, and skipped for each reason.
+
+    The numbers come from the pass that parses the lines. Spark may count the rows of a task twice that it has to
+    run again after losing an executor; the stored rows themselves are exact.
+    """
+
+    def __init__(self) -> None:
+        self.lines = Observation(f"lines-{uuid.uuid4().hex}")
+        self.beacons = Observation(f"beacons-{uuid.uuid4().hex}")
+
+    def counts(self) -> dict[str, int]:
+        """Waits for the first action on the rows."""
+        return {**self.lines.get, **self.beacons.get}
+
+
+def judged_lines(lines: DataFrame) -> tuple[DataFrame, LineAccount]:
+    """Non-bot beacon lines with the JSON fields of ``parse_beacons`` and ``reason``, and the account of all lines.
+
+    ``reason`` is the first of ``SKIP_REASONS`` that holds: the payload is not URL-encoded, there is no GET
+    request with a closed payload, it is not JSON, it names no site. Accepted rows are those of ``parse_beacons``.
+    The account is filled by the first action on the rows, in the same pass.
+    """
+    account = LineAccount()
+    bot = F.explode(F.array(F.when(L.is_beacon(F.col("line")), L.is_stats_bot(F.col("line"))))).alias("_bot")
+    seen = lines.select("*", bot).observe(
+        account.lines, F.count(F.lit(1)).alias("lines"), F.count("_bot").alias("beacons"), F.count_if("_bot").alias("bots"))
+    beacons = seen.where("not _bot").drop("_bot")
+    text = F.explode(F.array(L.request_payload(F.col("line")))).alias("_payload")
+    read = beacons.select("*", text).select("*", F.inline(F.array(L.checked_payload(F.col("_payload")))))
+    reason = (
+        F.when(F.col("_payload").isNull(), SKIP_REASONS[0]).when(F.col("_payload") == "", SKIP_REASONS[1])
+        .when(F.col(L.BROKEN).isNotNull(), SKIP_REASONS[2]).when(F.col("Site").isNull(), SKIP_REASONS[3])
+        .otherwise(ACCEPTED)
+    )
+    judged = read.select(
+        *[F.col(c) for c in lines.columns],
+        F.col("Uid").alias("uid"), F.col("Site").alias("site"), F.col("Page").alias("page"),
+        F.col("Action").alias("action"), F.col("Prod").alias("prod"), reason.alias("reason"),
+    )
+    counts = [F.count_if(F.col("reason") == r).alias(r) for r in (ACCEPTED, *SKIP_REASONS)]
+    return judged.observe(account.beacons, *counts), account
+
+
 def with_device(beacons: DataFrame) -> DataFrame:
     lowered = beacons.withColumn("lower_line", F.lower("line"))
     device = L.device_class(F.col("lower_line"), L.client_ip(F.col("line")))

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from aislewise.functions import periods as P
 from aislewise.operators.dimensions import store_name_lookup
 from aislewise.operators.logstats import store_page_counts
-from aislewise.operators.ranking import rank_align, rank_per_group, top_k_per_group
+from aislewise.operators.ranking import rank_align, rank_sorted, top_k_per_group
 
 # Report columns in order, and the report limits.
 RANK_SITES = ("ecshop", "24h", "books", "globaltw", "globalen", "mobile", "ecssl", "ecvip")
@@ -37,11 +37,11 @@ def store_page_rank(beacons: DataFrame, store_dim: DataFrame, top: int = TOP_STO
 def rank_above(counts: DataFrame, keys: list[str], threshold: int) -> DataFrame:
     """Ranks per scope, kept as far down as the store at that rank of ALL exceeds ``threshold``.
 
-    ALL is in descending order, so that is the number of its stores above the threshold.
+    ALL is in descending order, so that is the number of its stores above the threshold. Both are
+    uncut rankings, so they are ranked in parts: a scope may hold any number of stores.
     """
-    scoped = scope_counts(counts, keys)
-    ranked = rank_per_group(scoped, [*keys, "scope"], [F.desc("cnt"), F.asc("store_no")])
-    deep = scoped.where((F.col("scope") == ALL_SCOPE) & (F.col("cnt") > threshold))
+    ranked = rank_sorted(scope_counts(counts, keys), [*keys, "scope"], [F.desc("cnt"), F.asc("store_no")])
+    deep = ranked.where((F.col("scope") == ALL_SCOPE) & (F.col("cnt") > threshold))
     return ranked.join(deep.groupBy(*keys).agg(F.count(F.lit(1)).alias("depth")), keys).where("rank <= depth").drop("depth")
 
 

@@ -9,20 +9,36 @@ from pyspark.sql import functions as F
 
 from aislewise.functions import periods as P
 from aislewise.operators import apitraffic, identity, logstats, storerank
-from aislewise.operators.beacons import parse_beacons
+from aislewise.operators.beacons import ACCEPTED, judged_lines, parse_beacons
 from aislewise.session import drop_materialized, materialize
 from aislewise.sources import readers, writers
 
 
+def stored_beacons(lines: DataFrame, quarantine: str | None = None) -> tuple[DataFrame, DataFrame, dict[str, int]]:
+    """(stored table, accepted beacons, account of all lines) from one pass over the log.
+
+    Skipped lines are stored beside the accepted ones by reason, and published as a table at
+    ``quarantine`` if that is given.
+    """
+    judged, account = judged_lines(lines)
+    stored = materialize(judged, "beacons", partition_by=["reason"])
+    if quarantine:
+        skipped = stored.where(F.col("reason") != ACCEPTED).select(*lines.columns, "reason")
+        writers.publish_table(skipped, quarantine, {"account": account.counts()})
+    return stored, stored.where(F.col("reason") == ACCEPTED).drop("reason"), account.counts()
+
+
 def page_view_reports(
-    spark: SparkSession, log_paths: str | list[str], item_dim: DataFrame, store_dim: DataFrame, output: str
-) -> None:
-    """Writes page-view, category, order and store-rank reports below ``output``.
+    spark: SparkSession, log_paths: str | list[str], item_dim: DataFrame, store_dim: DataFrame, output: str,
+    quarantine: str | None = None,
+) -> dict[str, int]:
+    """Writes page-view, category, order and store-rank reports below ``output``; returns the account of lines.
 
-    The parsed beacons are stored once, since four reports scan them.
+    The parsed beacons are stored once, since four reports scan them; lines that could not be read go to the
+    table ``quarantine``, with the reason.
     """
     lines = readers.read_access_log(spark, log_paths)
-    beacons = materialize(parse_beacons(lines), "beacons")
+    stored, beacons, account = stored_beacons(lines, quarantine)
     hits = materialize(logstats.page_view_hits(beacons), "page-view-hits")
     categories = logstats.category_page_views(hits).orderBy("row_no").drop("row_no")
     orders = logstats.order_vs_page_views(beacons, item_dim, store_dim)
@@ -31,7 +47,8 @@ def page_view_reports(
     writers.write_tsv(categories, f"{output}/category_page_views", header=True)
     writers.write_tsv(orders.orderBy(F.desc("order"), "store_no"), f"{output}/order_vs_page_views", header=True)
     writers.write_tsv(ranks.orderBy("rank"), f"{output}/store_page_rank", header=True)
-    drop_materialized(beacons, hits)
+    drop_materialized(stored, hits)
+    return account
 
 
 def store_day_job(spark: SparkSession, log_paths: str | list[str], item_dim: DataFrame, table: str) -> None:

@@ -149,12 +149,12 @@ cand AS (
   FROM uv u JOIN iv ON u.item = iv.item GROUP BY u."user", other)"""
 
 
-def _recommended(waiting: str = "waiting") -> str:
+def _recommended(waiting: str = "waiting", top: int = 30) -> str:
     return f"""
 SELECT "user", CAST("rank" AS INTEGER) AS "rank", other AS item, milli / 1000 AS score FROM (
   SELECT c.*, row_number() OVER (PARTITION BY c."user" ORDER BY milli DESC, other) AS "rank"
   FROM cand c ANTI JOIN {waiting} w ON c."user" = w."user" AND c.other = w.item)
-WHERE "rank" <= 30"""
+WHERE "rank" <= {top}"""
 
 
 def _baskets(source: str, cap: int) -> str:
@@ -544,3 +544,21 @@ ORACLE_SQL |= {
     "stage_item_vectors": f"WITH {EV}, {DAILY}, {_merged(limit=5)} SELECT item, other, cnt FROM iv",
     "stage_wide_ranks": ORACLE_SQL["store_page_rank_month"],
 }
+
+_JUDGED = f"""
+WITH {EV}, {BC}, judged AS (
+  SELECT event_id, CASE event_id % 44 WHEN 0 THEN 'no_request' WHEN 11 THEN 'bad_escapes' WHEN 22 THEN 'bad_json'
+                   WHEN 33 THEN 'no_site' ELSE 'accepted' END AS reason FROM bc)"""
+
+ORACLE_SQL |= {
+    "item_vector_merge_kept": ORACLE_SQL["item_vector_merge"],
+    "user_recommend_bounded": ORACLE_SQL["user_recommend"],
+    "user_recommend_bounded_orders": f"WITH {ORDER_DAILY}, {ORDER_UV}, {_merged(min_cnt=0)}, {CAND} {_recommended(top=3)}",
+    "quarantined_lines": f"{_JUDGED} SELECT event_id, reason FROM judged WHERE reason <> 'accepted'",
+    "skipped_lines": f"""{_JUDGED}
+SELECT 'lines' AS kind, count(*) AS lines FROM ev
+UNION ALL SELECT 'beacons', count(*) FROM ev WHERE event_type IN ('click', 'purchase', 'error')
+UNION ALL SELECT 'bots', count(*) FROM ev WHERE event_type IN ('click', 'purchase', 'error') AND stats_bot
+UNION ALL SELECT k.kind, count(j.reason) FROM (VALUES ('accepted'), ('bad_escapes'), ('no_request'), ('bad_json'), ('no_site')) AS k(kind)
+  LEFT JOIN judged j ON j.reason = k.kind GROUP BY k.kind""",
+}

@@ -16,12 +16,12 @@ from aislewise.functions import hierarchy as H
 from aislewise.functions import logline as L
 from aislewise.functions import periods as P
 from aislewise.functions import vectors as V
-from aislewise.operators import alsoview, apitraffic, baskets, beacons, dimensions, identity
-from aislewise.operators import logstats, mostview, orders, ranking, storerank, userrec
-from aislewise.plans import recommend
+from aislewise.operators import alsoview, apitraffic, baskets, beacons, boundedtop, dimensions, identity
+from aislewise.operators import logstats, mostview, orders, ranking, storerank, userrec, vectorstore
+from aislewise.plans import logreports, recommend
 from aislewise.session import materialize, scratch_path
 from aislewise.sources import fixtures as X
-from aislewise.sources import readers, stagefiles, writers
+from aislewise.sources import readers, stagefiles, versions, writers
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -201,6 +201,34 @@ def parse_payload(spark, sf_dir):
     )
 
 
+def _broken_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The log with broken lines: every 11th event's line is cut, has a bad escape, bad JSON or no site."""
+    turn, line = F.col("event_id") % 44, F.col("line")
+    broken = (
+        F.when(turn == 0, F.regexp_replace(line, "%22%5D%7D", "%22%5D"))
+        .when(turn == 11, F.regexp_replace(line, "record\\.htm\\?", "record.htm?%zz"))
+        .when(turn == 22, F.regexp_replace(line, "%22Site%22%3A", "%22Site%22"))
+        .when(turn == 33, F.regexp_replace(line, "%22Site%22%3A", "%22Shop%22%3A"))
+        .otherwise(line)
+    )
+    return _log(spark, sf_dir).select("event_id", "dt", F.explode(F.array(broken)).alias("line"))
+
+
+@query
+def skipped_lines(spark, sf_dir):
+    """Lines of a log with broken ones by what became of them, from the account of the pass that stores the rest."""
+    _, _, account = logreports.stored_beacons(_broken_log(spark, sf_dir))
+    return spark.createDataFrame(sorted(account.items()), "kind string, lines bigint")
+
+
+@query
+def quarantined_lines(spark, sf_dir):
+    """The quarantine table: which events' lines were skipped, and why."""
+    path = scratch_path(spark, "quarantine")
+    logreports.stored_beacons(_broken_log(spark, sf_dir), path)
+    return versions.read_published(spark, path).select("event_id", "reason")
+
+
 @query
 def client_ip(spark, sf_dir):
     return _log(spark, sf_dir).select("event_id", L.client_ip(F.col("line")).alias("ip"))
@@ -394,6 +422,23 @@ def item_vector_merge(spark, sf_dir):
     return userrec.item_vector_merge(userrec.item_vector_daily(_daily(spark, sf_dir)))
 
 
+@query
+def item_vector_merge_kept(spark, sf_dir):
+    """The kept store after three merges: days up to a middle one, all from it on, and the first ten run again.
+
+    The ten days are first merged from half of their shoppers, so that their second run has to replace them.
+    """
+    daily = materialize(_daily(spark, sf_dir), "user-item-daily")
+    days = [r.dt for r in daily.select("dt").distinct().orderBy("dt").collect()]  # one row a day
+    early, late, again = days[:len(days) // 2], days[len(days) // 2:], days[:10]
+    store = scratch_path(spark, "item-vector-store")
+    half = daily.where(~F.col("dt").isin([F.lit(d) for d in again]) | (F.crc32(F.col("user").cast("binary")) % 2 == 0))
+    vectorstore.merge_days(spark, store, userrec.item_vector_daily(half), early)
+    vectorstore.merge_days(spark, store, userrec.item_vector_daily(daily), late)
+    vectorstore.merge_days(spark, store, userrec.item_vector_daily(daily), again)
+    return userrec.item_vector_merge(vectorstore.read_vectors(spark, store))
+
+
 @query
 def item_vector_merge_top(spark, sf_dir):
     vectors = userrec.item_vector_daily(_daily(spark, sf_dir))
@@ -517,6 +562,20 @@ def user_recommend(spark, sf_dir):
     return _scored(userrec.user_recommend(*_users_and_vectors(spark, sf_dir), AS_OF))
 
 
+@query
+def user_recommend_bounded(spark, sf_dir):
+    """As ``user_recommend``, without the products that cannot reach a list."""
+    return _scored(boundedtop.bounded_top(*_users_and_vectors(spark, sf_dir), AS_OF).ranked)
+
+
+@query
+def user_recommend_bounded_orders(spark, sf_dir):
+    """Lists of three over the orders data. Its pair counts hardly differ, so here most products are still made."""
+    users, item_vectors = recommend.store_vectors(
+        _order_daily(spark, sf_dir), ORDERS_FIRST_DAY, ORDERS_AS_OF, min_cnt=0)
+    return _scored(boundedtop.bounded_top(users, item_vectors, ORDERS_AS_OF, top=3).ranked)
+
+
 @query
 def user_recommend_limited(spark, sf_dir):
     """From the five strongest partners of each item only."""

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from aislewise.functions import periods as P
 from aislewise.functions import vectors as V
-from aislewise.operators import alsoview, baskets, identity, mostview, userrec
+from aislewise.operators import alsoview, baskets, boundedtop, identity, mostview, userrec, vectorstore
 from aislewise.session import drop_materialized, materialize
 from aislewise.sources import readers, stagefiles, writers
 
@@ -93,6 +93,15 @@ def item_vector_daily_job(spark: SparkSession, daily_table: str, table: str, day
     writers.write_table(userrec.item_vector_daily(daily), table, by_day=True)
 
 
+def merge_item_vectors_job(spark: SparkSession, daily_table: str, store: str, days: list[date]) -> int:
+    """Merges the item vectors of ``days`` into the kept store of all days; returns its new version.
+
+    Days run again are replaced, so a late or corrected day is never counted twice.
+    """
+    daily = spark.read.parquet(daily_table).where(F.col("dt").isin([F.lit(d) for d in days]))
+    return vectorstore.merge_days(spark, store, userrec.item_vector_daily(daily), days)
+
+
 def store_vectors(
     daily: DataFrame, first_day: date, as_of: date, min_cnt: int = 1, limit: int | None = userrec.VECTOR_LIMIT
 ) -> tuple[DataFrame, DataFrame]:
@@ -121,11 +130,15 @@ def item_similarity_job(
 def user_recommend_job(
     spark: SparkSession, daily_table: str, item_vector_table: str, output: str, first_day: date,
     as_of: date, top: int = userrec.TOP_ITEMS, gzip: bool = False, recommend_unbought: bool = False,
-    min_cnt: int = 1, limit: int | None = userrec.VECTOR_LIMIT, text: bool = False,
+    min_cnt: int = 1, limit: int | None = userrec.VECTOR_LIMIT, text: bool = False, bounded: bool = False,
+    kept: bool = False, publish: bool = False,
 ) -> None:
     """Personal lists from the stored daily counters and item vectors up to ``as_of``.
 
     ``text``: both are text files of an earlier run (``stagefiles``), not tables.
+    ``kept``: the item vectors are a store of ``merge_item_vectors_job`` (all its days).
+    ``bounded``: leave out products that cannot reach a list (``boundedtop``); the lists are the same.
+    ``publish``: write the lists as the next version of ``output``, leaving the last one until they are whole.
 
     The item vectors are daily ones, or the table of ``item_similarity_job``.
     """
@@ -134,12 +147,16 @@ def user_recommend_job(
         daily = stagefiles.read_daily_counters(spark, daily_table)
         stored = stagefiles.read_item_vectors(spark, item_vector_table)
     else:
-        daily, stored = spark.read.parquet(daily_table), spark.read.parquet(item_vector_table)
+        daily = spark.read.parquet(daily_table)
+        stored = vectorstore.read_vectors(spark, item_vector_table) if kept else spark.read.parquet(item_vector_table)
     daily = daily.where(days) if "dt" in daily.columns else daily
     item_vectors = userrec.item_vector_merge(
         stored.where(days) if "dt" in stored.columns else stored, min_cnt, limit)
     users = materialize(userrec.user_vector(daily, first_day, as_of), "user-vector")
-    kept = materialize(item_vectors, "item-vector")
-    ranked = userrec.user_recommend(users, kept, as_of, top, recommend_unbought)
-    writers.write_tsv(ranked_lines(ranked, "user", "item"), output, gzip=gzip)
-    drop_materialized(users, kept)
+    vectors = materialize(item_vectors, "item-vector")
+    found = boundedtop.bounded_top(users, vectors, as_of, top, recommend_unbought) if bounded else None
+    ranked = found.ranked if found else userrec.user_recommend(users, vectors, as_of, top, recommend_unbought)
+    (writers.publish_tsv if publish else writers.write_tsv)(ranked_lines(ranked, "user", "item"), output, gzip=gzip)
+    if found:
+        found.drop()
+    drop_materialized(users, vectors)

@@ -6,6 +6,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 DEFAULTS = {
     "spark.sql.session.timeZone": "UTC",
@@ -58,8 +59,10 @@ def materialize(df: DataFrame, name: str, partition_by: list[str] | None = None)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)
-    stored = spark.read.schema(df.schema).parquet(path)
-    stored._stage_path = path
+    partitioned = partition_by or []
+    fields = [f for f in df.schema if f.name not in partitioned] + [f for f in df.schema if f.name in partitioned]
+    stored = spark.read.schema(T.StructType(fields)).parquet(path)
+    stored._stage_path = path  # with partition_by, the partition columns come last
     return stored
 
 
