@@ -12,7 +12,7 @@ from datetime import date, timedelta
 
 from pyspark.sql import SparkSession
 
-from aislewise.operators import alsoview, baskets, mostview, userrec
+from aislewise.operators import alsoview, mostview, userrec
 from aislewise.plans import logreports, recommend
 from aislewise.session import build_session
 
@@ -68,14 +68,17 @@ def parser() -> argparse.ArgumentParser:
         s, a.daily, a.table, a.day), "daily", "table")
     sub.add_argument("--day", type=date.fromisoformat, default=yesterday)
 
-    sub = job("item-similarity", lambda s, a: recommend.item_similarity_job(
-        s, a.inputs, a.table, None if a.no_cap else a.cap), "inputs", "table")
-    sub.add_argument("--cap", type=int, default=baskets.SIMILARITY_CAP)
-    sub.add_argument("--no-cap", action="store_true")
+    sub = job("merge-item-vectors", lambda s, a: print("version", recommend.merge_item_vectors_job(
+        s, a.daily, a.store, a.days)), "daily", "store")
+    sub.add_argument("--days", type=date.fromisoformat, nargs="+", default=[yesterday], help="days to merge or replace")
+
+    sub = job("item-similarity", lambda s, a: print("left out by the cap:", recommend.item_similarity_job(
+        s, a.inputs, a.table, months=a.months, cap=a.cap, no_cap=a.no_cap)), "inputs", "table")
+    caps(sub)
 
     sub = job("user-recommend", lambda s, a: recommend.user_recommend_job(
         s, a.daily, a.item_vectors, a.output, a.first_day, a.as_of, a.top, a.gzip, a.recommend_unbought,
-        a.min_cnt, None if a.no_limit else a.limit, a.text,
+        a.min_cnt, None if a.no_limit else a.limit, a.text, a.bounded, a.kept, a.publish,
     ), "daily", "item_vectors", "output")
     sub.add_argument("--first-day", type=date.fromisoformat, default=userrec.FIRST_DAY)
     sub.add_argument("--as-of", type=date.fromisoformat, default=yesterday)
@@ -86,10 +89,14 @@ def parser() -> argparse.ArgumentParser:
     sub.add_argument("--limit", type=int, default=userrec.VECTOR_LIMIT, help="partners kept of each item")
     sub.add_argument("--no-limit", action="store_true")
     sub.add_argument("--text", action="store_true", help="inputs are text files of an earlier run")
+    sub.add_argument("--kept", action="store_true", help="item_vectors is a store of merge-item-vectors")
+    sub.add_argument("--bounded", action="store_true", help="leave out products that cannot reach a list")
+    sub.add_argument("--publish", action="store_true", help="write the next version of output and leave the last one")
 
-    sub = job("page-views", lambda s, a: logreports.page_view_reports(
-        s, a.logs, s.read.parquet(a.items), s.read.parquet(a.stores), a.output), "logs", "output")
+    sub = job("page-views", lambda s, a: print("lines:", logreports.page_view_reports(
+        s, a.logs, s.read.parquet(a.items), s.read.parquet(a.stores), a.output, a.quarantine)), "logs", "output")
     dims(sub, "items", "stores")
+    sub.add_argument("--quarantine", help="table for the lines that could not be read")
 
     sub = job("store-days", lambda s, a: logreports.store_day_job(
         s, a.logs, s.read.parquet(a.items), a.table), "logs", "table")

@@ -1,85 +1,152 @@
-"""People who looked at this also looked at: item, store and region level."""
+"""People who looked at this also looked at: item, store and region level.
+
+Every function takes a ``cap``: users of so many distinct items or more are left out, none where it is None. The
+steps are the same at all levels: distinct units of a user are stored (``capped_units``), which also tells what the
+cap leaves out; pairs are counted over item numbers; the ranked rest is named again.
+"""
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from aislewise.functions import hierarchy as H
 from aislewise.operators import baskets as B
+from aislewise.operators.itemcodes import named, numbered_items, packed, unpacked
 from aislewise.operators.ranking import top_k_per_group
+from aislewise.session import drop_materialized, materialize
 from aislewise.sources.readers import valid_interactions
 
 TOP_ITEMS = 30
 TOP_PER_STORE_ITEM = 10
 TOP_PER_REGION_ITEM = 50
 TOP_PER_GROUP = 30
+#: Per level: characters of a family, and the others kept of each unit.
+LEVELS = {
+    "store": (H.STORE_FAMILY_CHARS, TOP_PER_STORE_ITEM),
+    "region": (H.REGION_FAMILY_CHARS, TOP_PER_REGION_ITEM),
+}
+
+
+@dataclass
+class CappedUnits:
+    """``rows`` of users below the cap with item numbers (``no``), the numbers' ``items``, and how many ``users`` and
+    ``rows_cut`` the cap left out."""
+
+    rows: DataFrame
+    items: DataFrame
+    bounded: bool
+    report: dict[str, int]
+    stages: tuple[DataFrame, ...]
+
+    def drop(self) -> None:
+        """Deletes the stage tables, once what reads them is written."""
+        drop_materialized(*self.stages)
+
+
+def capped_units(interactions: DataFrame, cap: int | None, level: str | None = None) -> CappedUnits:
+    """Distinct units of each user, (user, no) and at a ``level`` also (grp), with the packed family of each item.
+
+    The units are written once: sizes, numbers and pairs read them, and the input is read in one pass.
+    """
+    unit = ["grp", "item"] if level else ["item"]
+    stored = materialize(B.user_basket(valid_interactions(interactions, level or "item"), ["user"], unit), "units")
+    report = B.cut_by_cap(stored, ["user"], cap)
+    kept = B.basket_cap(stored, ["user"], cap) if report["baskets"] else stored
+    items = numbered_items(stored)
+    return CappedUnits(kept.join(items, "item"), items, cap is not None, report, (stored, items))
+
+
+def _score(same_family: Column) -> Column:
+    """Pairs within a family count twice."""
+    return (F.col("cnt") * F.when(same_family, 2).otherwise(1)).alias("score")
 
 
-def doubled_in_family(cnt: Column, one: Column, other: Column, chars: int) -> Column:
-    return cnt * F.when(H.prefix(one, chars) == H.prefix(other, chars), 2).otherwise(1)
+def _with_family(rows: DataFrame) -> DataFrame:
+    return rows.select("user", "no", packed(H.prefix(F.col("item"), H.STORE_FAMILY_CHARS)).alias("fam"))
 
 
-def item_similarity(interactions: DataFrame, cap: int | None = B.SIMILARITY_CAP) -> DataFrame:
-    """(item, other, score): co-occurrence counts, doubled within a store family. Users of
-    ``cap`` items or more are left out; None keeps all."""
-    rows = valid_interactions(interactions)
-    baskets = B.basket_cap(B.user_basket(rows, ["user"], ["item"]), ["user"], cap)
-    pairs = B.cooccurrence(baskets, ["user"], bounded=cap is not None)
-    score = doubled_in_family(F.col("cnt"), F.col("item"), F.col("other"), H.STORE_FAMILY_CHARS)
-    return pairs.select("item", "other", score.alias("score"))
+def _half_scores(pairs: DataFrame) -> DataFrame:
+    """(no, other_no, score) from pairs with no < other_no; the family is counted with the pair it belongs to."""
+    counts = pairs.groupBy("no", "other_no", "same").agg(F.count(F.lit(1)).alias("cnt"))
+    return counts.select("no", "other_no", _score(F.col("same")))
 
 
-def item_similarity_above(interactions: DataFrame, cap: int | None, min_score: int) -> DataFrame:
-    """Rows of ``item_similarity`` with a score above ``min_score``, items too rare for it left out before the join.
+def _all_pairs(units: CappedUnits) -> DataFrame:
+    pairs = B.basket_pairs(_with_family(units.rows), ["user"], ["no", "fam"], units.bounded).where("no < other_no")
+    return pairs.select("no", "other_no", (F.col("fam") == F.col("other_fam")).alias("same"))
+
+
+def _pairs_above(units: CappedUnits, min_score: int) -> DataFrame:
+    """Pairs of which no pair with a score above ``min_score`` is missing; items too rare for it are left out.
 
     A score is at most twice the number of users of the rarer item, and twice only within a family. So items with
     no more than half of ``min_score`` users go with all their rows, and those with no more than
     ``min_score`` users meet items of their own family only.
     """
-    baskets = B.basket_cap(B.user_basket(valid_interactions(interactions), ["user"], ["item"]), ["user"], cap)
-    rows = B.supported(baskets, ["user"], min_score / 2).select(
-        "user", "item", (F.col("users") > min_score).alias("common"),
-        H.prefix(F.col("item"), H.STORE_FAMILY_CHARS).alias("family"))
-    bounded = cap is not None
-    common = rows.where("common").select("user", "item")
-    apart = B.basket_pairs(common, ["user"], ["item"], bounded).select("item", "other_item")
-    rare = B.basket_pairs(rows, ["user", "family"], ["item", "common"], bounded).where("not (common and other_common)")
-    pairs = apart.unionByName(rare.select("item", "other_item")).where("item < other_item")
-    score = doubled_in_family(F.col("cnt"), F.col("item"), F.col("other"), H.STORE_FAMILY_CHARS)
-    return B.count_pairs(pairs).select("item", "other", score.alias("score")).where(F.col("score") > min_score)
-
-
-def also_view_item(
-    interactions: DataFrame, cap: int | None = B.SHORT_RANGE_CAP, min_score: int = 0, top: int = TOP_ITEMS
-) -> DataFrame:
+    rows = B.supported(_with_family(units.rows), ["user"], "no", min_score / 2).select(
+        "user", "no", "fam", (F.col("users") > min_score).alias("common"))
+    apart = B.basket_pairs(rows.where("common").select("user", "no", "fam"), ["user"], ["no", "fam"], units.bounded)
+    rare = B.basket_pairs(rows, ["user", "fam"], ["no", "common"], units.bounded).where("not (common and other_common)")
+    return apart.where("no < other_no").select("no", "other_no", (F.col("fam") == F.col("other_fam")).alias("same")).unionByName(
+        rare.where("no < other_no").select("no", "other_no", F.lit(True).alias("same")))
+
+
+def _mirrored(half: DataFrame) -> DataFrame:
+    both = F.array(F.struct("no", "other_no"), F.struct(F.col("other_no").alias("no"), F.col("no").alias("other_no")))
+    return half.select(F.inline(both), "score")
+
+
+def similar_items(units: CappedUnits, min_score: int = 0) -> DataFrame:
+    """(item, other, score) above ``min_score``."""
+    pairs = _pairs_above(units, min_score) if min_score > 0 else _all_pairs(units)
+    half = named(_half_scores(pairs).where(F.col("score") > min_score), units.items, no="item", other_no="other")
+    both = F.array(F.struct("item", "other"), F.struct(F.col("other").alias("item"), F.col("item").alias("other")))
+    return half.select(F.inline(both), "score")
+
+
+def item_similarity(interactions: DataFrame, cap: int | None) -> DataFrame:
+    """(item, other, score): co-occurrence counts, doubled within a store family."""
+    return similar_items(capped_units(interactions, cap))
+
+
+def ranked_items(units: CappedUnits, min_score: int = 0, top: int = TOP_ITEMS) -> DataFrame:
     """(item, rank, other, score): the ``top`` others with a score above ``min_score``."""
-    scores = item_similarity_above(interactions, cap, min_score) if min_score > 0 else item_similarity(interactions, cap)
-    return top_k_per_group(scores, ["item"], [F.desc("score"), F.asc("other")], top)
+    pairs = _pairs_above(units, min_score) if min_score > 0 else _all_pairs(units)
+    scores = _mirrored(_half_scores(pairs).where(F.col("score") > min_score))
+    ranked = top_k_per_group(scores, ["no"], [F.desc("score"), F.asc("other_no")], top)
+    return named(ranked, units.items, no="item", other_no="other").select("item", "rank", "other", "score")
+
+
+def also_view_item(interactions: DataFrame, cap: int | None, min_score: int = 0, top: int = TOP_ITEMS) -> DataFrame:
+    return ranked_items(capped_units(interactions, cap), min_score, top)
 
 
-def also_view_group_items(
-    interactions: DataFrame, level: str, cap: int | None = B.SHORT_RANGE_CAP, top: int | None = None
-) -> DataFrame:
+def ranked_group_items(units: CappedUnits, level: str, top: int | None = None) -> DataFrame:
     """(grp, item, rank, other, score) for units of listed group and item.
 
     Counts pairs of one user's units listed in different groups, per bare other item;
     doubled when the other item's own prefix shares the key group's family.
     """
-    if level == "store":
-        chars, default = H.STORE_FAMILY_CHARS, TOP_PER_STORE_ITEM
-    elif level == "region":
-        chars, default = H.REGION_FAMILY_CHARS, TOP_PER_REGION_ITEM
-    else:
-        raise ValueError(f"level must be store or region, not {level!r}")
-    top = default if top is None else top
-    rows = valid_interactions(interactions, level)
-    units = B.basket_cap(B.user_basket(rows, ["user"], ["grp", "item"]), ["user"], cap)
-    pairs = B.basket_pairs(units, ["user"], ["grp", "item"], bounded=cap is not None).where("grp <> other_grp")
-    counts = pairs.groupBy("grp", "item", "other_item").agg(F.count(F.lit(1)).alias("cnt"))
-    score = doubled_in_family(F.col("cnt"), F.col("grp"), F.col("other_item"), chars)
-    scores = counts.select("grp", "item", F.col("other_item").alias("other"), score.alias("score"))
-    return top_k_per_group(scores, ["grp", "item"], [F.desc("score"), F.asc("other")], top)
+    chars, default = LEVELS[level]
+    family = packed(H.prefix(F.col("item"), chars))
+    rows = units.rows.select(
+        "user", "no", packed(F.col("grp")).alias("g"), packed(H.prefix(F.col("grp"), chars)).alias("gfam"), family.alias("fam"))
+    pairs = B.basket_pairs(rows, ["user"], ["no", "g", "gfam", "fam"], units.bounded).where("g <> other_g")
+    counts = pairs.groupBy("g", "no", "other_no", (F.col("gfam") == F.col("other_fam")).alias("same")).agg(
+        F.count(F.lit(1)).alias("cnt"))
+    scores = counts.select("g", "no", "other_no", _score(F.col("same")))
+    ranked = top_k_per_group(scores, ["g", "no"], [F.desc("score"), F.asc("other_no")], default if top is None else top)
+    return named(ranked.withColumn("grp", unpacked(F.col("g"))), units.items, no="item", other_no="other").select(
+        "grp", "item", "rank", "other", "score")
+
+
+def also_view_group_items(interactions: DataFrame, level: str, cap: int | None, top: int | None = None) -> DataFrame:
+    if level not in LEVELS:
+        raise ValueError(f"level must be one of {tuple(LEVELS)}, not {level!r}")
+    return ranked_group_items(capped_units(interactions, cap, level), level, top)
 
 
 def also_view_group(group_items: DataFrame, top: int = TOP_PER_GROUP) -> DataFrame:

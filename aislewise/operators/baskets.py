@@ -100,8 +100,8 @@ def count_pairs(pairs: DataFrame, per: list[str] | None = None) -> DataFrame:
     return half.select(*per, F.inline(both), "cnt")
 
 
-def supported(baskets: DataFrame, keys: list[str], more_than: float) -> DataFrame:
-    """Rows that can be in a pair counted more than ``more_than`` times, with ``users``, the baskets of their item.
+def supported(baskets: DataFrame, keys: list[str], item: str, more_than: float) -> DataFrame:
+    """Rows that can be in a pair counted more than ``more_than`` times, with ``users``, the baskets of their ``item``.
 
     A pair is in no more baskets than either item, so items in too few baskets go; then baskets left with one
     item, which lowers the counts of others. Rounds go on while they pay: each is exact, so stopping early
@@ -111,12 +111,12 @@ def supported(baskets: DataFrame, keys: list[str], more_than: float) -> DataFram
     rows = materialize(baskets, "supported")
     left = rows.count()
     for _ in range(PRUNE_ROUNDS):
-        items = rows.groupBy("item").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > more_than)
-        frequent = rows.join(items.select("item"), "item", "left_semi")
+        items = rows.groupBy(item).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > more_than)
+        frequent = rows.join(items.select(item), item, "left_semi")
         several = frequent.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1")
         kept = materialize(frequent.join(several.select(*keys), keys, "left_semi"), "supported")
         drop_materialized(rows)
         rows, before, left = kept, left, kept.count()
         if before - left <= PRUNE_SHARE * before:
             break
-    return rows.join(rows.groupBy("item").agg(F.count(F.lit(1)).alias("users")), "item")
+    return rows.join(rows.groupBy(item).agg(F.count(F.lit(1)).alias("users")), item)

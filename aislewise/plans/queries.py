@@ -30,6 +30,7 @@ AS_OF = date(2024, 2, 15)
 YEAR = 2024
 ORDERS_FIRST_DAY = date(1995, 1, 1)
 ORDERS_AS_OF = date(2001, 9, 1)
+CAP = baskets.basket_limit(months=1)
 
 QUERIES: dict[str, Query] = {}
 
@@ -128,7 +129,7 @@ def select_period_pruned(spark, sf_dir):
 @query
 def vector_codec(spark, sf_dir):
     """Item vectors packed to ``other:score,...`` text and unpacked again."""
-    ranked = alsoview.also_view_item(_interactions(spark, sf_dir))
+    ranked = alsoview.also_view_item(_interactions(spark, sf_dir), CAP)
     packed = ranked.groupBy("item").agg(
         V.packed(F.collect_list(V.entry(F.col("rank"), F.col("other"), F.col("score")))).alias("vector")
     )
@@ -344,13 +345,13 @@ def _baskets(rows: DataFrame, cap: int) -> DataFrame:
 
 @query
 def cooccurrence(spark, sf_dir):
-    kept = _baskets(_interactions(spark, sf_dir), baskets.SHORT_RANGE_CAP)
+    kept = _baskets(_interactions(spark, sf_dir), CAP)
     return baskets.cooccurrence(kept, ["user"], bounded=True)
 
 
 @query
 def cooccurrence_orders(spark, sf_dir):
-    kept = _baskets(X.order_interactions(spark, sf_dir), baskets.SHORT_RANGE_CAP)
+    kept = _baskets(X.order_interactions(spark, sf_dir), CAP)
     return baskets.cooccurrence(kept, ["user"], bounded=True)
 
 
@@ -460,22 +461,22 @@ def user_vector_orders(spark, sf_dir):
 
 @query
 def item_similarity(spark, sf_dir):
-    return alsoview.item_similarity(_interactions(spark, sf_dir))
+    return alsoview.item_similarity(_interactions(spark, sf_dir), baskets.SIMILARITY_CAP)
 
 
 @query
 def item_similarity_orders(spark, sf_dir):
-    return alsoview.item_similarity(X.order_interactions(spark, sf_dir))
+    return alsoview.item_similarity(X.order_interactions(spark, sf_dir), baskets.SIMILARITY_CAP)
 
 
 @query
 def also_view_item(spark, sf_dir):
-    return alsoview.also_view_item(_interactions(spark, sf_dir))
+    return alsoview.also_view_item(_interactions(spark, sf_dir), CAP)
 
 
 @query
 def also_view_item_filtered(spark, sf_dir):
-    return alsoview.also_view_item(_interactions(spark, sf_dir), min_score=8, top=100)
+    return alsoview.also_view_item(_interactions(spark, sf_dir), CAP, min_score=8, top=100)
 
 
 @query
@@ -492,39 +493,39 @@ def also_view_item_capped(spark, sf_dir):
 
 @query
 def also_view_item_orders(spark, sf_dir):
-    return alsoview.also_view_item(X.order_interactions(spark, sf_dir))
+    return alsoview.also_view_item(X.order_interactions(spark, sf_dir), CAP)
 
 
 @query
 def also_view_store_items(spark, sf_dir):
-    return alsoview.also_view_group_items(_interactions(spark, sf_dir), "store")
+    return alsoview.also_view_group_items(_interactions(spark, sf_dir), "store", CAP)
 
 
 @query
 def also_view_store(spark, sf_dir):
-    return alsoview.also_view_group(alsoview.also_view_group_items(_interactions(spark, sf_dir), "store"))
+    return alsoview.also_view_group(alsoview.also_view_group_items(_interactions(spark, sf_dir), "store", CAP))
 
 
 @query
 def also_view_region_items(spark, sf_dir):
-    return alsoview.also_view_group_items(_interactions(spark, sf_dir), "region")
+    return alsoview.also_view_group_items(_interactions(spark, sf_dir), "region", CAP)
 
 
 @query
 def also_view_region(spark, sf_dir):
-    return alsoview.also_view_group(alsoview.also_view_group_items(_interactions(spark, sf_dir), "region"))
+    return alsoview.also_view_group(alsoview.also_view_group_items(_interactions(spark, sf_dir), "region", CAP))
 
 
 @query
 def also_view_store_orders(spark, sf_dir):
     rows = X.order_interactions(spark, sf_dir)
-    return alsoview.also_view_group(alsoview.also_view_group_items(rows, "store"))
+    return alsoview.also_view_group(alsoview.also_view_group_items(rows, "store", CAP))
 
 
 @query
 def also_view_region_orders(spark, sf_dir):
     rows = X.order_interactions(spark, sf_dir)
-    return alsoview.also_view_group(alsoview.also_view_group_items(rows, "region"))
+    return alsoview.also_view_group(alsoview.also_view_group_items(rows, "region", CAP))
 
 
 @query
@@ -594,7 +595,7 @@ def user_recommend_similarity(spark, sf_dir):
     """Item vectors from view history instead of daily co-occurrence."""
     users = materialize(userrec.user_vector(_daily(spark, sf_dir), FIRST_DAY, AS_OF), "users")
     item_vectors = materialize(
-        userrec.item_vector_merge(recommend.similarity_vectors(_interactions(spark, sf_dir))), "item-vector")
+        userrec.item_vector_merge(recommend.similarity_vectors(_interactions(spark, sf_dir), baskets.SIMILARITY_CAP)), "item-vector")
     return _scored(userrec.user_recommend(users, item_vectors, AS_OF))
 
 

@@ -37,10 +37,10 @@ def also_view_item_job(
 ) -> dict[str, int]:
     """Items also viewed with each item; returns how many users and rows the cap left out."""
     cap = chosen_cap(months, cap, no_cap)
-    rows = readers.read_interactions(spark, inputs)
-    ranked = alsoview.also_view_item(rows, cap, min_score, top)
-    writers.write_tsv(ranked_lines(ranked, "item", "other"), output)
-    return baskets.cut_by_cap(baskets.user_basket(readers.valid_interactions(rows), ["user"], ["item"]), ["user"], cap)
+    units = alsoview.capped_units(readers.read_interactions(spark, inputs), cap)
+    writers.write_tsv(ranked_lines(alsoview.ranked_items(units, min_score, top), "item", "other"), output)
+    units.drop()
+    return units.report
 
 
 def also_view_group_job(
@@ -50,11 +50,11 @@ def also_view_group_job(
 ) -> dict[str, int]:
     """Items also viewed with each store or region (``level``); returns what the cap left out."""
     cap = chosen_cap(months, cap, no_cap)
-    rows = readers.read_interactions(spark, inputs)
-    items = alsoview.also_view_group_items(rows, level, cap, top_per_item)
+    units = alsoview.capped_units(readers.read_interactions(spark, inputs), cap, level)
+    items = alsoview.ranked_group_items(units, level, top_per_item)
     writers.write_tsv(ranked_lines(alsoview.also_view_group(items, top), "grp", "item"), output)
-    units = baskets.user_basket(readers.valid_interactions(rows, level), ["user"], ["grp", "item"])
-    return baskets.cut_by_cap(units, ["user"], cap)
+    units.drop()
+    return units.report
 
 
 def most_view_job(
@@ -70,7 +70,10 @@ def daily_counters(lines: DataFrame, purchases: DataFrame) -> DataFrame:
     The log is read and parsed once; clicks and identity pairs are then taken from the
     stored requests, which are far smaller than the lines.
     """
-    requests = materialize(identity.shopper_requests(lines), "shopper-requests")
+    return counters_of(materialize(identity.shopper_requests(lines), "shopper-requests"), purchases)
+
+
+def counters_of(requests: DataFrame, purchases: DataFrame) -> DataFrame:
     return userrec.user_item_daily(identity.clicks_of(requests), identity.pairs_of(requests), purchases)
 
 
@@ -84,8 +87,9 @@ def user_item_daily_job(
         F.to_date(F.lit(run_day), "yyyyMMdd").alias("dt"), "line"
     )
     bought = identity.purchases_on_day(readers.read_purchases(spark, purchase_paths), run_day)
-    daily = daily_counters(lines, bought)
-    writers.write_table(daily, table, by_day=True)
+    requests = materialize(identity.shopper_requests(lines), "shopper-requests")
+    writers.write_table(counters_of(requests, bought), table, by_day=True)
+    drop_materialized(requests)
 
 
 def item_vector_daily_job(spark: SparkSession, daily_table: str, table: str, day: date) -> None:
@@ -116,15 +120,21 @@ def store_vectors(
     return users, materialize(item_vectors, "item-vector")
 
 
-def similarity_vectors(interactions: DataFrame, cap: int | None = baskets.SIMILARITY_CAP) -> DataFrame:
+def similarity_vectors(interactions: DataFrame, cap: int | None) -> DataFrame:
     """(item, other, cnt) from view history, in the shape of daily item vectors."""
     return alsoview.item_similarity(interactions, cap).select("item", "other", F.col("score").alias("cnt"))
 
 
 def item_similarity_job(
-    spark: SparkSession, inputs: str | list[str], table: str, cap: int | None = baskets.SIMILARITY_CAP
-) -> None:
-    writers.write_table(similarity_vectors(readers.read_interactions(spark, inputs), cap), table)
+    spark: SparkSession, inputs: str | list[str], table: str, *, months: int | None = None, cap: int | None = None,
+    no_cap: bool = False,
+) -> dict[str, int]:
+    """Similarity of all item pairs as a table; returns how many users and rows the cap left out."""
+    units = alsoview.capped_units(readers.read_interactions(spark, inputs), chosen_cap(months, cap, no_cap))
+    scores = alsoview.similar_items(units).select("item", "other", F.col("score").alias("cnt"))
+    writers.write_table(scores, table)
+    units.drop()
+    return units.report
 
 
 def user_recommend_job(

@@ -1,8 +1,9 @@
 """Output folders that change all at once: data is written beside, checked, then published.
 
 ``root/data-<id>`` folders hold the data, ``root/_versions/<number>`` files name what is current. A
-version file is written under another name and renamed, which never replaces an existing one: a run that
-dies leaves the former version, and of two runs that start from one version only one publishes.
+version file is written under another name and renamed, so a run that dies leaves the former version. Where a
+rename never replaces a file, as in HDFS, of two runs that start from one version only one publishes; on
+other stores let one run at a time write to a root.
 Readers take the highest version; ``expire`` deletes folders that no kept version names.
 """
 

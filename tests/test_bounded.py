@@ -88,7 +88,7 @@ def test_pruned_pairs_are_those_above_the_score(spark, cap, min_score):
     stores = ["AAAAA1", "AAAAA2", "BBBBB1", "CCCCC1"]
     data = [(user(u), item(rng.choice(stores), int(rng.paretovariate(0.6)) % 60), "S", None)
             for u in range(40) for _ in range(rng.choice([1, 3, 12, 45]))]
-    got = alsoview.item_similarity_above(history(spark, data), cap, min_score)
+    got = alsoview.similar_items(alsoview.capped_units(history(spark, data), cap), min_score)
     assert {(a, b): n for a, b, n in rows(got, "item", "other", "score")} == brute_scores(data, cap, min_score)
 
 
@@ -98,7 +98,7 @@ def test_rows_are_pruned_before_the_join(spark):
     chain = [(f"c{k}", f"y{k}") for k in range(8)] + [(f"c{k}", f"y{k + 1}") for k in range(8)]
     rare = [(f"b{u}", f"rare{u}-{k}") for u in range(9) for k in range(50)]
     df = spark.createDataFrame(block + chain + rare, "user string, item string")
-    kept = baskets.supported(df, ["user"], 4)
+    kept = baskets.supported(df, ["user"], "item", 4)
     assert rows(kept, "user", "item") == sorted(block, key=repr)
     assert {r.users for r in kept.collect()} == {9}
     assert df.count() - kept.count() == len(chain) + len(rare)

@@ -189,7 +189,7 @@ def test_api_traffic_batch_and_stream_agree(spark, tmp_path):
 
 def test_similarity_table_can_feed_the_recommendation(spark, tmp_path):
     source = write_history(tmp_path / "views")
-    main(["item-similarity", source, str(tmp_path / "sim")], spark)
+    main(["item-similarity", source, str(tmp_path / "sim"), "--no-cap"], spark)
     day = date(2014, 9, 4)
     daily = spark.createDataFrame(
         [(day, "eid:x", "DEBG2H-A70201693", 0, 1, 0, None)],

@@ -68,9 +68,9 @@ def test_basket_limit(months, limit):
 def test_also_view_doubles_within_family_and_breaks_ties_by_code(spark):
     a, b, c, d = item("AAAAA1", 1), item("AAAAA2", 2), item("BBBBB1", 3), item("BBBBB1", 4)
     data = [(user(1), x, x[:6], None) for x in (a, b, c, d)] + [(user(1), a, a[:6], None), ("short", a, a[:6], None)]
-    got = alsoview.also_view_item(history(spark, data)).where(F.col("item") == a)
+    got = alsoview.also_view_item(history(spark, data), 900).where(F.col("item") == a)
     assert rows(got, "rank", "other", "score") == [(1, b, 2), (2, c, 1), (3, d, 1)]
-    only = alsoview.also_view_item(history(spark, data), min_score=1).where(F.col("item") == a)
+    only = alsoview.also_view_item(history(spark, data), 900, min_score=1).where(F.col("item") == a)
     assert rows(only, "other") == [(b,)]
 
 
@@ -79,7 +79,7 @@ def test_also_view_group_uses_listed_group_and_own_prefix(spark):
     # c is listed in store AAAAA1 besides its own, so its own listing meets itself there.
     data = [(user(1), a, "AAAAA1", None), (user(1), b, "AAAAA2", None), (user(1), c, "CCCCC1", None),
             (user(1), c, "AAAAA1", None)]
-    units = alsoview.also_view_group_items(history(spark, data), "store")
+    units = alsoview.also_view_group_items(history(spark, data), "store", 900)
     got = {(r.grp, r.item, r.other): r.score for r in units.collect()}
     assert got[("AAAAA1", a, b)] == 2  # own prefix of b shares the key store's family
     assert got[("AAAAA1", a, c)] == 1  # the listing of c in the same store does not count
@@ -91,7 +91,7 @@ def test_also_view_group_uses_listed_group_and_own_prefix(spark):
 
 def test_also_view_rejects_other_levels(spark):
     with pytest.raises(ValueError):
-        alsoview.also_view_group_items(history(spark, []), "item")
+        alsoview.also_view_group_items(history(spark, []), "item", 900)
 
 
 def test_most_view_counts_rows(spark):
