@@ -41,16 +41,22 @@ def parser() -> argparse.ArgumentParser:
         one.add_argument("--cap", type=int, help="users of so many items or more are left out")
         one.add_argument("--no-cap", action="store_true")
 
+    def crawlers(sub: argparse.ArgumentParser) -> None:
+        sub.add_argument("--crawlers-first", action="store_true", help="find users who fill the log before baskets are made")
+
     sub = job("also-view-item", lambda s, a: print("left out by the cap:", recommend.also_view_item_job(
-        s, a.inputs, a.output, a.top, a.min_score, months=a.months, cap=a.cap, no_cap=a.no_cap)), "inputs", "output")
+        s, a.inputs, a.output, a.top, a.min_score, months=a.months, cap=a.cap, no_cap=a.no_cap, crawlers_first=a.crawlers_first)),
+        "inputs", "output")
     caps(sub)
+    crawlers(sub)
     sub.add_argument("--top", type=int, default=alsoview.TOP_ITEMS)
     sub.add_argument("--min-score", type=int, default=0)
 
     sub = job("also-view-group", lambda s, a: print("left out by the cap:", recommend.also_view_group_job(
-        s, a.inputs, a.output, a.level, a.top, a.top_per_item, months=a.months, cap=a.cap, no_cap=a.no_cap)),
-        "inputs", "output")
+        s, a.inputs, a.output, a.level, a.top, a.top_per_item, months=a.months, cap=a.cap, no_cap=a.no_cap,
+        crawlers_first=a.crawlers_first)), "inputs", "output")
     caps(sub)
+    crawlers(sub)
     sub.add_argument("--level", choices=("store", "region"), required=True)
     sub.add_argument("--top", type=int, default=alsoview.TOP_PER_GROUP)
     sub.add_argument("--top-per-item", type=int)

@@ -46,14 +46,24 @@ class CappedUnits:
         drop_materialized(*self.stages)
 
 
-def capped_units(interactions: DataFrame, cap: int | None, level: str | None = None) -> CappedUnits:
+def capped_units(
+    interactions: DataFrame, cap: int | None, level: str | None = None, crawlers_first: bool = False,
+) -> CappedUnits:
     """Distinct units of each user, (user, no) and at a ``level`` also (grp), with the packed family of each item.
 
     The units are written once: sizes, numbers and pairs read them, and the input is read in one pass.
+    ``crawlers_first`` finds users who fill the log before that, in passes of their own, so that their rows are not
+    shuffled to be made distinct. The cap leaves out the same users; the report tells the ``crawlers``
+    among them and their raw rows.
     """
     unit = ["grp", "item"] if level else ["item"]
-    stored = materialize(B.user_basket(valid_interactions(interactions, level or "item"), ["user"], unit), "units")
-    report = B.cut_by_cap(stored, ["user"], cap)
+    rows, early = valid_interactions(interactions, level or "item"), {}
+    if crawlers_first and cap is not None:
+        found = B.hot_users(rows, "user", unit, cap)
+        rows = rows.join(F.broadcast(found.select("user")), "user", "left_anti")  # fewer than MAX_HOT_KEYS rows
+        early = found.agg(F.count(F.lit(1)).alias("crawlers"), F.coalesce(F.sum("n"), F.lit(0)).alias("crawler_rows")).first().asDict()
+    stored = materialize(B.user_basket(rows, ["user"], unit), "units")
+    report = B.cut_by_cap(stored, ["user"], cap) | early
     kept = B.basket_cap(stored, ["user"], cap) if report["baskets"] else stored
     items = numbered_items(stored)
     return CappedUnits(kept.join(items, "item"), items, cap is not None, report, (stored, items))

@@ -13,6 +13,9 @@ SHORT_RANGE_CAP = 900
 SIMILARITY_CAP = 1000
 BLOCK_ITEMS = BLOCK_ROWS
 MAX_HOT_KEYS = 10_000
+#: Slots of the sketch of rows per user, and of the bitmaps of their units (the size Spark's bitmaps have).
+SKETCH_SLOTS = 1 << 16
+BITMAP_BITS = 1 << 15
 #: Pruning stops when a round takes less than this share of the rows.
 PRUNE_SHARE = 0.01
 PRUNE_ROUNDS = 6
@@ -28,6 +31,26 @@ def basket_limit(months: int) -> int:
     return CAP_PER_MONTH * months if months > 3 else SHORT_RANGE_CAP
 
 
+def hot_users(rows: DataFrame, user: str, unit: list[str], cap: int) -> DataFrame:
+    """(user, n): users with more than one in ``MAX_HOT_KEYS`` of all ``rows`` that surely have ``cap`` units or more.
+
+    Found before any distinct: rows are counted in ``SKETCH_SLOTS`` slots by hash, then exactly for the users of
+    full slots; units of the fewer than ``MAX_HOT_KEYS`` users left are marked in bitmaps by hash, whose marks never exceed
+    the units. All three are aggregations with map-side combining; what is broadcast is bounded by counting. A hot
+    user with few units, or with more units than a bitmap can tell apart, is left to the exact cap.
+    """
+    slot = F.pmod(F.xxhash64(user), F.lit(SKETCH_SLOTS)).alias("slot")
+    keyed = rows.select(user, *unit, slot)
+    slots = keyed.groupBy("slot").agg(F.count(F.lit(1)).alias("n"))
+    total = slots.agg(F.sum("n")).scalar()
+    full = F.broadcast(slots.where(F.col("n") * MAX_HOT_KEYS > total).select("slot"))
+    counts = keyed.join(full, "slot", "left_semi").groupBy(user).agg(F.count(F.lit(1)).alias("n"))
+    hot = materialize(counts.where(F.col("n") * MAX_HOT_KEYS > total), "hot-users")
+    mark = F.pmod(F.xxhash64(*unit), F.lit(BITMAP_BITS))
+    marks = rows.join(F.broadcast(hot), user).groupBy(user, "n").agg(F.bitmap_count(F.bitmap_construct_agg(mark)).alias("marks"))
+    return materialize(marks.where(F.col("marks") >= cap).select(user, "n"), "crawlers")
+
+
 def cut_by_cap(baskets: DataFrame, keys: list[str], cap: int | None) -> dict[str, int]:
     """How many baskets and rows ``basket_cap`` leaves out."""
     if cap is None:

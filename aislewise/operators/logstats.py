@@ -100,6 +100,19 @@ def order_vs_page_views(beacons: DataFrame, item_dim: DataFrame, store_dim: Data
     return named.select("store_no", name.alias("name"), *ORDER_COLUMNS)
 
 
+def _counted_site() -> Column:
+    return F.when(F.col("site") == "shopping", "ecshop").otherwise(F.col("site")).alias("site")
+
+
+def store_page_views(beacons: DataFrame, keys: list[str] | None = None) -> DataFrame:
+    """(keys..., site, store_no) per view of a store page that names the store in its URL."""
+    views = beacons.where(is_store_page_view()).select(
+        *(keys or []), _counted_site(), L.store_from_url(F.col("line")).alias("url_store"))
+    # The generator keeps the pattern from being matched again by the filter.
+    found = views.select(*(keys or []), "site", F.explode(F.array("url_store")).alias("store_no"))
+    return found.where(F.col("store_no") != "")
+
+
 def store_page_counts(
     beacons: DataFrame, item_dim: DataFrame | None = None, keys: list[str] | None = None
 ) -> DataFrame:
@@ -109,16 +122,11 @@ def store_page_counts(
     listed store of its first item, otherwise such lines are left out.
     """
     keys = keys or []
-    site = F.when(F.col("site") == "shopping", "ecshop").otherwise(F.col("site"))
+    if item_dim is None:
+        return store_page_views(beacons, keys).groupBy(*keys, "site", "store_no").agg(F.count(F.lit(1)).alias("cnt"))
     views = beacons.where(is_store_page_view()).select(
-        *keys, site.alias("site"), L.store_from_url(F.col("line")).alias("url_store"), "prod"
+        *keys, _counted_site(), L.store_from_url(F.col("line")).alias("url_store"), "prod"
     )
-    if item_dim is None:
-        # The generator keeps the pattern from being matched again by the filter.
-        found = views.select(*keys, "site", F.explode(F.array("url_store")).alias("store_no"))
-        return found.where(F.col("store_no") != "").groupBy(*keys, "site", "store_no").agg(
-            F.count(F.lit(1)).alias("cnt")
-        )
     # The item matters only without a store in the URL; one join then serves both cases, and
     # the log is parsed once.
     item = F.when(F.col("url_store") == "", H.item_of_sku(F.try_element_at("prod", F.lit(1))))

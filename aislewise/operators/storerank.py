@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from datetime import date
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from aislewise.functions import periods as P
 from aislewise.operators.dimensions import store_name_lookup
-from aislewise.operators.logstats import store_page_counts
+from aislewise.operators.logstats import store_page_counts, store_page_views
 from aislewise.operators.ranking import rank_align, rank_sorted, top_k_per_group
 
 # Report columns in order, and the report limits.
@@ -20,16 +20,20 @@ DAILY_THRESHOLD = 25
 PERIOD_THRESHOLD = 1
 
 
-def scope_counts(counts: DataFrame, keys: list[str]) -> DataFrame:
-    """(keys..., scope, store_no, cnt): counts per printed site, and over all sites as ALL."""
-    scopes = F.explode(F.array(F.col("site"), F.lit(ALL_SCOPE))).alias("scope")
-    scoped = counts.select(*keys, scopes, "store_no", "cnt").where(F.col("scope").isin(ALL_SCOPE, *RANK_SITES))
-    return scoped.groupBy(*keys, "scope", "store_no").agg(F.sum("cnt").alias("cnt"))
+def scope_counts(rows: DataFrame, keys: list[str], count: Column) -> DataFrame:
+    """(keys..., scope, store_no, cnt): ``count`` of ``rows`` per printed site, and over all sites as ALL.
+
+    One aggregation with two grouping sets, so both totals come from one exchange.
+    """
+    by = [*keys, "site", "store_no"]
+    sums = rows.groupingSets([by, [*keys, "store_no"]], *by).agg(count.alias("cnt"), F.grouping("site").alias("over_all"))
+    scope = F.when(F.col("over_all") == 1, ALL_SCOPE).otherwise(F.col("site"))
+    return sums.select(*keys, scope.alias("scope"), "store_no", "cnt").where(F.col("scope").isin(ALL_SCOPE, *RANK_SITES))
 
 
 def store_page_rank(beacons: DataFrame, store_dim: DataFrame, top: int = TOP_STORES) -> DataFrame:
     """(scope, rank, store_no, name, cnt): the ``top`` stores per site and over all."""
-    counts = scope_counts(store_page_counts(beacons), [])
+    counts = scope_counts(store_page_views(beacons), [], F.count(F.lit(1)))
     ranked = top_k_per_group(counts, ["scope"], [F.desc("cnt"), F.asc("store_no")], top)
     return store_name_lookup(ranked, store_dim).select("scope", "rank", "store_no", "name", "cnt")
 
@@ -40,7 +44,7 @@ def rank_above(counts: DataFrame, keys: list[str], threshold: int) -> DataFrame:
     ALL is in descending order, so that is the number of its stores above the threshold. Both are
     uncut rankings, so they are ranked in parts: a scope may hold any number of stores.
     """
-    ranked = rank_sorted(scope_counts(counts, keys), [*keys, "scope"], [F.desc("cnt"), F.asc("store_no")])
+    ranked = rank_sorted(scope_counts(counts, keys, F.sum("cnt")), [*keys, "scope"], [F.desc("cnt"), F.asc("store_no")])
     deep = ranked.where((F.col("scope") == ALL_SCOPE) & (F.col("cnt") > threshold))
     return ranked.join(deep.groupBy(*keys).agg(F.count(F.lit(1)).alias("depth")), keys).where("rank <= depth").drop("depth")
 
@@ -83,9 +87,8 @@ def store_page_rank_period(
 
     For the report of one run date, pass the days that ``select_period`` leaves.
     """
-    start = P.period_start(F.col("dt"), mode).alias("period_start")
-    counts = daily_counts.groupBy(start, "site", "store_no").agg(F.sum("cnt").alias("cnt"))
-    ranked = rank_above(counts, ["period_start"], threshold)
+    days = daily_counts.withColumn("period_start", P.period_start(F.col("dt"), mode))
+    ranked = rank_above(days, ["period_start"], threshold)
     return store_name_lookup(ranked, store_dim).select(
         "period_start", "scope", "rank", "store_no", "name", "cnt"
     )

@@ -551,6 +551,7 @@ WITH {EV}, {BC}, judged AS (
                    WHEN 33 THEN 'no_site' ELSE 'accepted' END AS reason FROM bc)"""
 
 ORACLE_SQL |= {
+    "also_view_item_crawlers": ORACLE_SQL["also_view_item_capped"],
     "item_vector_merge_kept": ORACLE_SQL["item_vector_merge"],
     "user_recommend_bounded": ORACLE_SQL["user_recommend"],
     "user_recommend_bounded_orders": f"WITH {ORDER_DAILY}, {ORDER_UV}, {_merged(min_cnt=0)}, {CAND} {_recommended(top=3)}",

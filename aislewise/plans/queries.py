@@ -491,6 +491,13 @@ def also_view_item_capped(spark, sf_dir):
     return alsoview.also_view_item(X.order_interactions(spark, sf_dir), cap=40)
 
 
+@query
+def also_view_item_crawlers(spark, sf_dir):
+    """The same cap, with hot users found and dropped before baskets are made distinct."""
+    rows = X.order_interactions(spark, sf_dir)
+    return alsoview.ranked_items(alsoview.capped_units(rows, 40, crawlers_first=True))
+
+
 @query
 def also_view_item_orders(spark, sf_dir):
     return alsoview.also_view_item(X.order_interactions(spark, sf_dir), CAP)

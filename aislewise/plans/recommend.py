@@ -34,10 +34,11 @@ def chosen_cap(months: int | None, cap: int | None, no_cap: bool) -> int | None:
 def also_view_item_job(
     spark: SparkSession, inputs: str | list[str], output: str, top: int = alsoview.TOP_ITEMS,
     min_score: int = 0, *, months: int | None = None, cap: int | None = None, no_cap: bool = False,
+    crawlers_first: bool = False,
 ) -> dict[str, int]:
     """Items also viewed with each item; returns how many users and rows the cap left out."""
     cap = chosen_cap(months, cap, no_cap)
-    units = alsoview.capped_units(readers.read_interactions(spark, inputs), cap)
+    units = alsoview.capped_units(readers.read_interactions(spark, inputs), cap, crawlers_first=crawlers_first)
     writers.write_tsv(ranked_lines(alsoview.ranked_items(units, min_score, top), "item", "other"), output)
     units.drop()
     return units.report
@@ -46,11 +47,11 @@ def also_view_item_job(
 def also_view_group_job(
     spark: SparkSession, inputs: str | list[str], output: str, level: str,
     top: int = alsoview.TOP_PER_GROUP, top_per_item: int | None = None, *, months: int | None = None,
-    cap: int | None = None, no_cap: bool = False,
+    cap: int | None = None, no_cap: bool = False, crawlers_first: bool = False,
 ) -> dict[str, int]:
     """Items also viewed with each store or region (``level``); returns what the cap left out."""
     cap = chosen_cap(months, cap, no_cap)
-    units = alsoview.capped_units(readers.read_interactions(spark, inputs), cap, level)
+    units = alsoview.capped_units(readers.read_interactions(spark, inputs), cap, level, crawlers_first)
     items = alsoview.ranked_group_items(units, level, top_per_item)
     writers.write_tsv(ranked_lines(alsoview.also_view_group(items, top), "grp", "item"), output)
     units.drop()

@@ -129,3 +129,19 @@ def test_no_task_ranks_a_whole_group(spark):
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     by = df.repartitionByRange(parts, "g", F.desc("s"), "id").groupBy(F.spark_partition_id()).count()
     assert by.agg(F.max("count")).first()[0] < 40_000 / parts * 1.5
+
+
+def test_crawlers_are_dropped_before_the_distinct(spark):
+    rng = random.Random(12)
+    data = [(user(1), item("AAAAA1", k % 700), "S", None) for k in range(9000)]  # a crawler
+    data += [(user(2), item("AAAAA1", k % 5), "S", None) for k in range(9000)]  # hot, with few items
+    data += [(user(u), item("BBBBB1", rng.randrange(90)), "S", None) for u in range(3, 300) for _ in range(rng.choice([2, 60]))]
+    views = history(spark, data)
+    plain, early = alsoview.capped_units(views, 30), alsoview.capped_units(views, 30, crawlers_first=True)
+    assert rows(plain.rows, "user", "item") == rows(early.rows, "user", "item")
+    assert early.report["baskets"] + early.report["crawlers"] == plain.report["baskets"]
+    assert early.report["crawler_rows"] >= 9000
+    # The crawler's units were never stored.
+    assert {r.user for r in early.stages[0].select("user").distinct().collect()} & {user(1), user(2)} == {user(2)}
+    found = {r.user: r.n for r in baskets.hot_users(views.select("user", "item"), "user", ["item"], 650).collect()}
+    assert found == {user(1): 9000}
