@@ -8,18 +8,19 @@ from pyspark.sql import functions as F
 from aislewise.functions import logline as L
 
 
-def api_line_fields(lines: DataFrame, domain: str, year: int) -> DataFrame:
-    """(ts, machine, is_product); the log's time has no year, so it is a parameter."""
+def api_line_fields(lines: DataFrame, domain: str, year: int, keep: list[str] | None = None) -> DataFrame:
+    """(ts, machine, is_product, keep...); the log's time has no year, so it is a parameter."""
+    keep = keep or []
     line = F.col("line")
     fields = lines.select(
         L.api_time_text(line).alias("time_text"),
         L.api_machine(line).alias("machine"),
-        L.is_product_request(line, domain).alias("is_product"),
+        L.is_product_request(line, domain).alias("is_product"), *keep,
     )
     # "Sep  4 00:00:05" -> "2014 Sep 4 00:00:05"
     text = F.concat(F.lit(f"{year} "), F.regexp_replace("time_text", " +", " "))
     ts = F.try_to_timestamp(text, F.lit("yyyy MMM d HH:mm:ss"))
-    return fields.select(ts.alias("ts"), "machine", "is_product").where(
+    return fields.select(ts.alias("ts"), "machine", "is_product", *keep).where(
         F.col("ts").isNotNull() & (F.col("machine") != "")
     )
 

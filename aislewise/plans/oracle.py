@@ -551,6 +551,7 @@ WITH {EV}, {BC}, judged AS (
                    WHEN 33 THEN 'no_site' ELSE 'accepted' END AS reason FROM bc)"""
 
 ORACLE_SQL |= {
+    "api_traffic_corrected": ORACLE_SQL["api_traffic_per_minute"],
     "also_view_item_crawlers": ORACLE_SQL["also_view_item_capped"],
     "item_vector_merge_kept": ORACLE_SQL["item_vector_merge"],
     "user_recommend_bounded": ORACLE_SQL["user_recommend"],

@@ -22,6 +22,7 @@ from aislewise.plans import logreports, recommend
 from aislewise.session import materialize, scratch_path
 from aislewise.sources import fixtures as X
 from aislewise.sources import readers, stagefiles, versions, writers
+from aislewise.streaming import traffictable
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -693,6 +694,24 @@ def api_traffic_lines(spark, sf_dir):
     return apitraffic.api_traffic_lines(_traffic(spark, sf_dir), "api[012]")
 
 
+@query
+def api_traffic_corrected(spark, sf_dir):
+    """The traffic table of a stream whose lines come out of order in three starts, some of them twice.
+
+    Lines are numbered, as equal ones count once. Every start brings lines of all minutes, so minutes are issued again.
+    """
+    log, table, state = (scratch_path(spark, f"traffic-{name}") for name in ("log", "table", "state"))
+    lines = X.api_log(_events(spark, sf_dir)).select(
+        "event_id", F.concat("line", F.lit(" #"), F.col("event_id").cast("string")).alias("line"))
+    for turn in range(3):
+        own = lines.where((F.col("event_id") % 3 == turn) | ((F.col("event_id") % 9 == 0) & F.lit(turn > 0)))
+        own.select("line").write.mode("append").text(log)
+        traffictable.start_traffic_table(
+            spark, log, table, X.DOMAIN, YEAR, state, late="400 days").awaitTermination()
+    minutes = traffictable.read_traffic(spark, table)
+    return minutes.withColumn("minute", F.date_format("minute", "yyyy-MM-dd HH:mm"))
+
+
 def _order_days(spark: SparkSession, sf_dir: str) -> DataFrame:
     return X.table(spark, sf_dir, "orders").select(F.col("o_orderdate").cast("date").alias("dt")).distinct()
 

@@ -14,6 +14,7 @@ from aislewise.operators import beacons, userrec, vectorstore
 from aislewise.plans import logreports, recommend
 from aislewise.plans import queries as Q
 from aislewise.sources import versions, writers
+from aislewise.streaming import traffictable
 
 
 def numbers(spark, n):
@@ -163,3 +164,34 @@ def test_account_of_lines_in_one_pass(spark, tmp_path, sf_dir):
     assert rows(accepted) == rows(beacons.parse_beacons(lines))
     assert versions.read_published(spark, str(tmp_path / "quarantine")).count() == sum(by_reason.values()) - by_reason["accepted"]
     assert versions.manifest(spark, str(tmp_path / "quarantine"))[1]["account"] == account
+
+
+def api_line(clock, machine, n, product=True):
+    path = "http://example.tw/v1/prod/DEBG2H-A70201693" if product else "http://example.tw/x"
+    return f'Sep  4 {clock}  {machine} apache2: 10.0.0.{n} "GET {path} HTTP/1.1" 200'
+
+
+def test_late_lines_correct_their_minute_and_repeats_count_once(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(traffictable, "MERGE_RUNS", 2)
+    log, root, state = tmp_path / "log", str(tmp_path / "table"), str(tmp_path / "state")
+    log.mkdir()
+
+    def start(name, lines):
+        (log / name).write_text("\n".join(lines))
+        traffictable.start_traffic_table(spark, str(log), root, "example.tw", 2014, state, "1 hour").awaitTermination(120)
+        return rows(traffictable.read_traffic(spark, root).select(F.date_format("minute", "HH:mm"), "machine", "product", "non_product"))
+
+    first = [api_line("10:00:01", "ec1", 1), api_line("10:00:02", "ec1", 2, False), api_line("10:05:00", "ec1", 3)]
+    assert start("a", first) == [("10:00", "ec1", 1, 1), ("10:05", "ec1", 1, 0)]
+    version = versions.manifest(spark, root)[0]
+    late = [api_line("10:00:59", "ec1", 4), first[0], first[1], api_line("10:00:30", "ec2", 5)]
+    assert start("b", late) == [("10:00", "ec1", 2, 1), ("10:00", "ec2", 1, 0), ("10:05", "ec1", 1, 0)]
+    assert len(versions.manifest(spark, root)[1]["runs"]) == 1
+    # The table of the first start is still there, and a batch that is tried again changes nothing.
+    assert len(rows(traffictable.read_traffic(spark, root, version))) == 2
+    before = versions.manifest(spark, root)
+    wrong = spark.createDataFrame([(None, "ec9", 1, 1)], "minute timestamp, machine string, product long, non_product long")
+    traffictable.merge_batch(spark, root, wrong, before[1]["batch"])
+    assert versions.manifest(spark, root) == before
+    # A restart without new lines loses nothing.
+    assert start("c", []) == [("10:00", "ec1", 2, 1), ("10:00", "ec2", 1, 0), ("10:05", "ec1", 1, 0)]
