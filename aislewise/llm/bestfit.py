@@ -8,7 +8,7 @@ holds all that is left, or a level no longer helps (bins that no other bin fits
 
 Items with a place in an order are packed by ``pack_in_order`` instead: best fit within windows
 of ``WINDOW_PLACES`` places, a window in one task, and sequences numbered by their first place.
-No bins go up there, as that would bring texts far from each other together.
+Only underfull bins of neighbouring windows go up, for ``MERGE_ROUNDS`` rounds at most, so that no item ends far from its place.
 
 Defined cases: a null text is empty (one piece with the end id); equal lengths go in row
 order; repeated rows are packed as often as they occur; a null id is kept as it is; an empty
@@ -23,7 +23,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from aislewise.llm.scratch import Scratch
@@ -34,6 +34,10 @@ from aislewise.llm.textbatch import slices
 CAPACITY = 1024
 NODE_ITEMS = 200_000
 WINDOW_PLACES = 1024
+#: Windows whose bins merge in a round, as a power of two, rounds, and bits of a bin's number in its window.
+MERGE_BITS = 3
+MERGE_ROUNDS = 3
+BIN_BITS = 28
 PIECES = "piece int, start bigint, length bigint, ids_crc32 bigint"
 
 
@@ -156,11 +160,52 @@ def best_fit_pack(items: DataFrame, capacity: int = CAPACITY, slack: int | None
 
 
 def pack_in_order(items: DataFrame, capacity: int = CAPACITY, window_places: int = WINDOW_PLACES,
-                  run_items: int = NODE_ITEMS) -> DataFrame:
+                  run_items: int = NODE_ITEMS, slack: int | None = None, rounds: int = MERGE_ROUNDS) -> DataFrame:
     """``items`` (with ``length`` and ``position``) with ``sequence_id`` and ``offset``. Sequences in
     the order of their ids follow the smallest position they hold, but for equal positions of more than
-    ``run_items`` items, which are packed in runs."""
+    ``run_items`` items, which are packed in runs.
+
+    Windows of places are packed by best fit. Then underfull bins of ``2 ** MERGE_BITS`` neighbouring windows are
+    packed as items, and those of as many such groups, for ``rounds`` rounds or until one saves no bin: that bounds how far
+    from its place in the order an item may end. A merged bin takes the id of its first part.
+    """
+    scratch = Scratch(items.sparkSession, "ordered")
+    slack = capacity // 64 if slack is None else slack
+    window = F.floor(F.col("position") / window_places).cast("bigint")
+    order = [F.col("position"), *[F.col(c) for c in ("piece",) if c in items.columns]]
+    packed = scratch.save(_pack_windows(items, window, order, capacity, run_items))
+    moves, below = None, packed
+    for level in range(1, rounds + 1):
+        left = below.where((F.col("offset") == 0) & (F.col("fill") < capacity - slack)).select(
+            F.col("bin").alias("child"), F.col("fill").alias("length"))
+        group = F.shiftright("child", BIN_BITS + level * MERGE_BITS)
+        merged = scratch.save(_pack_windows(left, group, [F.col("child")], capacity, run_items))
+        n, bins = merged.agg(F.count(F.lit(1)), F.count_if(F.col("offset") == 0)).first()
+        if n == bins:
+            break
+        # A bin is named by its first part, and its children by theirs: one look-up a level.
+        own = merged.select("child", "bin", "offset")
+        if moves is None:
+            moves = own
+        else:
+            up = own.select(F.col("child").alias("up_child"), F.col("bin").alias("up_bin"), F.col("offset").alias("up_offset"))
+            moves = moves.join(up, F.col("bin") == F.col("up_child"), "left").select(
+                "child", F.coalesce("up_bin", "bin").alias("bin"), (F.col("offset") + F.coalesce("up_offset", F.lit(0))).alias("offset"))
+        below = merged
+    columns = [F.col(f"`{c}`") for c in items.columns]
+    if moves is None:
+        return packed.select(*columns, F.col("bin").alias("sequence_id"), "offset")
+    moves = moves.select(F.col("child").alias("own_bin"), F.col("bin").alias("up_bin"), F.col("offset").alias("up_offset"))
+    return packed.join(moves, F.col("bin") == F.col("own_bin"), "left").select(
+        *columns, F.coalesce("up_bin", "bin").alias("sequence_id"),
+        (F.col("offset") + F.coalesce("up_offset", F.lit(0))).alias("offset"))
+
+
+def _pack_windows(items: DataFrame, window: Column, order: list[Column], capacity: int, run_items: int) -> DataFrame:
+    """Adds (bin, offset, fill) to items, packed window by window in ``order``. Bins of items are numbered by their
+    first item within the window; bins of bins (items with ``child``) take the least number they hold."""
     names = items.columns
+    nested = "child" in names
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
@@ -173,11 +218,16 @@ def pack_in_order(items: DataFrame, capacity: int = CAPACITY, window_places: int
             table = pa.Table.from_batches(held)
             bins, offsets, fills = best_fit(table.column("length").to_numpy(), capacity)
             first = np.full(len(fills), len(bins))
-            np.minimum.at(first, bins, np.arange(len(bins)))  # rows come in the order of their places
-            rank = np.empty(len(fills), np.int64)
-            rank[np.argsort(first)] = np.arange(len(fills))
-            table = table.append_column("sequence_id", pa.array((now << 28) + used + rank[bins]))
-            yield from table.append_column("offset", pa.array(offsets)).to_batches(max_chunksize=10_000)
+            np.minimum.at(first, bins, np.arange(len(bins)))  # rows come in order
+            if nested:
+                number = table.column("child").to_numpy()[first]
+            else:
+                rank = np.empty(len(fills), np.int64)
+                rank[np.argsort(first)] = np.arange(len(fills))
+                number = (now << BIN_BITS) + used + rank
+            for name, values in (("bin", number[bins]), ("offset", offsets), ("fill", fills[bins])):
+                table = table.append_column(name, pa.array(values, pa.int64()))
+            yield from table.to_batches(max_chunksize=10_000)
             held, rows, used = [], 0, used + len(fills)
 
         for batch in batches:
@@ -194,7 +244,7 @@ def pack_in_order(items: DataFrame, capacity: int = CAPACITY, window_places: int
                 rows += high - low
         yield from done()
 
-    placed = items.withColumn("_window", F.floor(F.col("position") / window_places).cast("bigint"))
-    dealt = placed.repartition("_window").sortWithinPartitions("_window", "position", *[c for c in ("piece",) if c in names])
+    dealt = items.withColumn("_window", window)
+    dealt = dealt.repartition("_window").sortWithinPartitions("_window", *order)
     columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in dealt.schema)
-    return map_batches(dealt, pack, f"{columns}, sequence_id bigint, offset bigint").drop("_window")
+    return map_batches(dealt, pack, f"{columns}, bin bigint, offset bigint, fill bigint").drop("_window")

@@ -7,9 +7,10 @@ a word. No byte of a run is left out. The network reads overlapping windows of
 ``WINDOW`` words, one every ``STRIDE``, in both directions; attention pools the states. A
 document's score is that of its worst window, calibrated on training documents.
 
-Training takes at most ``TRAIN_DOCS`` labelled documents, half of them toxic where there are
-as many, in the order of a hash of their ids; this is the only bound, and all windows of all
-texts are scored. Embeddings start from log odds, and a toxic document trains the window
+Training takes at most ``TRAIN_DOCS`` labelled texts, half of them toxic where there are
+as many, in the order of a hash of their ids. Its model has bounds too: embeddings of the ``VOCABULARY``
+most frequent words (others enter by their n-grams alone), and ``EPOCH_WINDOWS`` windows an epoch, of which the worst
+window of every text is one. All windows of all texts are scored. Embeddings start from log odds, and a toxic document trains the window
 that the network finds worst.
 
 Defined cases: a null text is empty; a text without words scores 0; rows with a null label
@@ -19,6 +20,7 @@ are scored alike; an empty table gives no rows.
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -27,6 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from aislewise.llm.scratch import Scratch
 from aislewise.llm.ship import map_batches
 from aislewise.llm.subwords import ragged
 from aislewise.llm.textbatch import Texts, Words, distinct, find_runs, mix, slices
@@ -457,17 +460,51 @@ def score(docs: DataFrame, network: Network | None, id_col: str = "doc_id", text
     return map_batches(docs.select(id_col, text_col), compute, f"id {kind}, score double")
 
 
+def with_score(docs: DataFrame, network: Network | None, name: str, text_col: str = "text") -> DataFrame:
+    """``docs`` with the score of every row's text under ``name``; rows are judged one by one, whatever their ids."""
+    at = docs.columns.index(text_col)
+
+    def compute(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for low, high, texts in slices(batch.column(at)):
+                own = score_texts(texts, network) if network else np.zeros(len(texts))
+                yield batch.slice(low, high - low).append_column(name, pa.array(own))
+
+    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
+    return map_batches(docs, compute, f"{columns}, `{name}` double")
+
+
 def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
           train_docs: int = TRAIN_DOCS) -> Network | None:
-    """``labels`` are (id, label) of the training rows; at most ``train_docs`` of them are used."""
-    seen = {r["label"]: r["n"] for r in labels.where("label in (0, 1)").groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
+    """``labels`` are (id, label) of the training rows; at most ``train_docs`` labelled texts of ``docs`` are used.
+
+    Labels are joined with the ids at hand before the sample is drawn, and a text counts once, however often its row is
+    repeated. One task fits the network on the sample; only the weights reach the driver.
+    """
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    keyed = docs.select(F.col(id_col).alias("id"), F.xxhash64(text).alias("h"))
+    labelled = keyed.join(labels.where("label in (0, 1)"), "id").groupBy("id", "h", "label").agg(F.count(F.lit(1)).alias("n"))
+    labelled = Scratch(docs.sparkSession, "labelled").save(labelled)
+    seen = {r["label"]: r["n"] for r in labelled.groupBy("label").agg(F.sum("n").alias("n")).collect()}
+    if not seen.get(0) or not seen.get(1):
+        return None
+    prior = (seen[1] + 1) / (seen[0] + seen[1] + 2)
     chosen = None
     for label in (1, 0):
-        part = labels.where(F.col("label") == label).orderBy(F.xxhash64("id")).limit(train_docs // 2)
+        part = labelled.where(F.col("label") == label).orderBy(F.xxhash64("id"), "h").limit(train_docs // 2)
         chosen = part if chosen is None else chosen.unionByName(part)
-    rows = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text")).join(F.broadcast(chosen), "id")
-    sample = rows.orderBy("id").select("label", "text").toPandas()  # ``train_docs`` rows at most
-    if sample.empty:
-        return None
-    prior = (seen.get(1, 0) + 1) / (seen.get(0, 0) + seen.get(1, 0) + 2)
-    return Trainer(sample["text"].tolist(), sample["label"].to_numpy()).fit(prior)
+    own = docs.select(F.col(id_col).alias("id"), F.xxhash64(text).alias("h"), text.alias("text"))
+    sample = own.join(F.broadcast(chosen.select("id", "h", "label")), ["id", "h"]).dropDuplicates(["id", "h", "label"])
+
+    def fit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        texts, targets = [], []
+        for batch in batches:
+            texts += batch.column(0).to_pylist()
+            targets += batch.column(1).to_pylist()
+        network = Trainer(texts, np.array(targets, np.int64)).fit(prior) if texts else None
+        yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(network)], pa.binary())], ["network"])
+
+    # ``train_docs`` rows at most, in one task; their order is fixed.
+    ordered = sample.repartition(1).sortWithinPartitions("id", "h").select("text", "label")
+    fitted = map_batches(ordered, fit, "network binary").collect()
+    return pickle.loads(fitted[0]["network"]) if fitted else None

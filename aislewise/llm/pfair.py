@@ -114,14 +114,40 @@ def mix_sources(docs: DataFrame, weights: dict[str | None, float] | None = None,
         (F.col("first") + F.col("within")).alias("position"))
 
 
-def with_position(rows: DataFrame, mixed: DataFrame, id_col: str = "doc_id") -> DataFrame:
-    """``rows`` with the first ``position`` of their id in the mix."""
-    place = mixed.groupBy(F.col(id_col).alias("_id")).agg(F.min("position").alias("position"))
-    return rows.join(place, rows[id_col].eqNullSafe(place["_id"])).drop("_id")
+def target_shares(weights: dict[str | None, float], period: int = PERIOD) -> dict[str | None, float]:
+    """Share of the slots that each source is given."""
+    names = sorted(weights, key=lambda s: (s is None, s or ""))
+    parts = parts_of([weights[n] for n in names], period)
+    return {n: p / sum(parts) for n, p in zip(names, parts)}
+
+
+def with_shares(mixed: DataFrame, weights: dict[str | None, float], source_col: str = "source", period: int = PERIOD) -> DataFrame:
+    """``mixed`` with ``target_share`` and ``achieved_share``, the source's share of the slots up to and with the row's own.
+
+    ``weights`` name every source of the mix. Until sources run out the two differ by less than one block.
+    """
+    shares = target_shares(weights, period)
+    table = mixed.sparkSession.createDataFrame(list(shares.items()), "name string, target_share double")
+    joined = mixed.join(table, mixed[source_col].eqNullSafe(table["name"])).drop("name")
+    return joined.withColumn("achieved_share", (F.col("block") + 1) / (F.col("slot") + 1))
+
+
+def unused(columns: list[str], name: str) -> str:
+    """``name``, made longer until no column has it."""
+    taken = {c.lower() for c in columns}
+    while name in taken:
+        name += "_"
+    return name
+
+
+def with_position(rows: DataFrame, mixed: DataFrame, id_col: str = "doc_id", name: str = "position") -> DataFrame:
+    """``rows`` with the first position of their id in the mix under ``name``."""
+    key = unused([*rows.columns, name], "mixed_id")
+    place = mixed.groupBy(F.col(id_col).alias(key)).agg(F.min("position").alias(name))
+    return rows.join(place, rows[f"`{id_col}`"].eqNullSafe(place[key])).drop(key)
 
 
 def in_mixed_order(docs: DataFrame, mixed: DataFrame, id_col: str = "doc_id") -> DataFrame:
     """``docs`` sorted by their place in the mix; rows of one id share the first place."""
-    place = mixed.groupBy(F.col(id_col).alias("_id")).agg(F.min("position").alias("_position"))
-    placed = docs.join(place, docs[id_col].eqNullSafe(place["_id"]))
-    return placed.orderBy("_position").select(*[F.col(f"`{c}`") for c in docs.columns])
+    name = unused(docs.columns, "mixed_position")
+    return with_position(docs, mixed, id_col, name).orderBy(name).select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -170,3 +170,19 @@ def score(stats: DataFrame, model: Discriminant | None) -> DataFrame:
 
     kind = stats.schema["id"].dataType.simpleString()
     return map_batches(stats.select("id", "x"), compute, f"id {kind}, score double")
+
+
+def with_score(docs: DataFrame, model: Discriminant | None, name: str, text_col: str = "text") -> DataFrame:
+    """``docs`` with the score of every row's text under ``name``; rows are judged one by one, whatever their ids."""
+    at = docs.columns.index(text_col)
+
+    def compute(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for low, high, texts in slices(batch.column(at)):
+                x = statistics(texts)
+                ratio = SCALE * model.log_ratio(x) if model else np.zeros(len(x))
+                own = 1 / (1 + np.exp(-np.clip(ratio, -500, 500)))
+                yield batch.slice(low, high - low).append_column(name, pa.array(own))
+
+    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
+    return map_batches(docs, compute, f"{columns}, `{name}` double")

@@ -21,11 +21,13 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op1_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Set size, class and component of every document; null and empty texts link with nothing, rows of one id are tied."""
     found = minhash_join.near_duplicates(documents(spark, sf_dir), percent=85)
     return found.select("doc_id", "n_shingles", "class_id", "component_id", "kept")
 
 
 def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts, repetition shares and verdict of every document; null and empty texts have no words and fail the base."""
     judged = repetition.judge(repetition.repetition_stats(documents(spark, sf_dir)))
     return judged.select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
@@ -54,21 +56,39 @@ def op3_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every piece of a document in its sequence; null and empty texts are one piece with the end id."""
     pieces = bestfit.token_pieces(documents(spark, sf_dir), default_tokenizer("byte_bpe_50k.json"), end_id=2)
     return bestfit.best_fit_pack(pieces).select(
         "doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 
 
 def op5_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base and model score of every document; null and empty texts are one end token, a null id is named by no text."""
     return contextmix.score_documents(documents(spark, sf_dir))
 
 
 def op6_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of every document and its edited text; null texts are empty, null ids come last in descending order."""
     return multisethash.compare_edited(documents(spark, sf_dir))
 
 
+MIX_BLOCK_DOCS = 16
+
+
+def mixing_weights(docs: DataFrame) -> dict[str | None, float]:
+    """Weights 1 to 4 in turn, by the order of source names; as many as there are sources."""
+    names = docs.select("source").distinct().orderBy(F.col("source").asc_nulls_last()).limit(pfair.MAX_SOURCES)
+    return {r["source"]: 1.0 + k % 4 for k, r in enumerate(names.toLocalIterator())}
+
+
 def op7_mixing_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pfair.mix_sources(documents(spark, sf_dir))
+    """Every document's block, slot and place in a mix of its sources by weights 1 to 4, with target and achieved shares.
+
+    Null sources are one source; see ``pfair``.
+    """
+    docs = documents(spark, sf_dir)
+    weights = mixing_weights(docs)
+    return pfair.with_shares(pfair.mix_sources(docs, weights, block_docs=MIX_BLOCK_DOCS), weights)
 
 
 def fold(modulus: int) -> Column:
@@ -88,8 +108,16 @@ def quality_scores(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     return qda.score(stats, qda.train(stats, training_labels(spark, sf_dir, "quality", 5, 0)))
 
 
+def quality_model(spark: SparkSession, docs: DataFrame, sf_dir: str) -> qda.Discriminant | None:
+    return qda.train(qda.document_statistics(docs), training_labels(spark, sf_dir, "quality", 5, 0))
+
+
+def toxicity_model(spark: SparkSession, docs: DataFrame, sf_dir: str) -> bigru.Network | None:
+    return bigru.train(docs, training_labels(spark, sf_dir, "toxic", 4, 2))
+
+
 def toxicity_scores(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return bigru.score(docs, bigru.train(docs, training_labels(spark, sf_dir, "toxic", 4, 2)))
+    return bigru.score(docs, toxicity_model(spark, docs, sf_dir))
 
 
 def predictions(scores: DataFrame, modulus: int, held_out: int) -> DataFrame:
@@ -99,14 +127,17 @@ def predictions(scores: DataFrame, modulus: int, held_out: int) -> DataFrame:
 
 
 def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of every document; null and empty texts are scored too, rows of one id each by their own text."""
     return predictions(quality_scores(spark, documents(spark, sf_dir), sf_dir), 5, 0)
 
 
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity score of every document; texts without words score 0, rows of one id each by their own text."""
     return predictions(toxicity_scores(spark, documents(spark, sf_dir), sf_dir), 4, 2)
 
 
 def op10_rans_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Start, length and checksum of every document as read back from its file; null texts are the end id alone."""
     folder, tokenizer = scratch_path(spark, "rans"), default_tokenizer("word_bpe_49k.json")
     rans.write_token_files(documents(spark, sf_dir), folder, tokenizer, end_id=1)
     vocabulary = subwords(tokenizer, spaces=False).tokenizer.get_vocab_size()
