@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import base64
+import collections
 import hashlib
 import itertools
 import json
@@ -262,6 +263,47 @@ def test_outputs_are_texts_and_cuts_open_few_frames(spark):
     assert sorted(re.sub("<[PSM]>", "\n", output).split("\n")) == sorted(["", "", "", *text.split("\n")])
 
 
+# -- registered mix and repetition lengths ----------------------------------------
+
+
+def test_registered_mix_keeps_to_its_weights(spark):
+    sf_dir = "/root/testdata/sf0.01"
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    got = sorted(Q.op7_mixing_sources(spark, sf_dir).collect(), key=lambda r: r.position)
+    assert [r.position for r in got] == list(range(docs.count())) and len({r.doc_id for r in got}) == len(got)
+    assert len({r.target_share for r in got}) == 4
+    sizes = collections.Counter(r.source for r in got)
+    first_out = min(max(r.slot for r in got if r.source == s) for s in sizes)
+    for r in got:
+        if r.slot <= first_out:
+            assert abs(r.block + 1 - r.target_share * (r.slot + 1)) <= 1 and r.achieved_share == (r.block + 1) / (r.slot + 1)
+    runs = sum(a.source != b.source for a, b in itertools.pairwise(got))
+    assert runs > len(sizes)
+
+
+@pytest.mark.parametrize("lengths", [(9, 10), (10, 9), (5,), (12, 3)])
+def test_repeat_words_do_not_depend_on_the_lengths(spark, lengths):
+    from aislewise.llm import repetition
+
+    rng = random.Random(3)
+    eight = words(rng, 8, 1000)
+    texts = [f"{eight} x {eight}", f"{eight} {words(rng, 30, 2)} {eight} {eight}", words(rng, 40, 3)]
+    docs = spark.createDataFrame(rows_of(texts), SCHEMA)
+    got = {r.doc_id: r for r in repetition.repetition_stats(docs, lengths=lengths).collect()}
+    for i, text in enumerate(texts):
+        own = text.split()
+        windows = collections.Counter(tuple(own[k:k + 8]) for k in range(len(own) - 7))
+        hit = {k + j for k in range(len(own) - 7) if windows[tuple(own[k:k + 8])] > 1 for j in range(8)}
+        assert got[i].n_repeat_words == len(hit)
+        for n, found in zip(sorted(lengths), got[i].dup_ngram_chars, strict=True):
+            seen, again = set(), set()
+            for k in range(len(own) - n + 1):
+                gram = tuple(own[k:k + n])
+                again |= {k + j for j in range(n)} if gram in seen else set()
+                seen.add(gram)
+            assert found == sum(len(own[k]) for k in again)
+
+
 # -- secret scan ---------------------------------------------------------------
 
 
