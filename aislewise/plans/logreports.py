@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from aislewise.functions import periods as P
 from aislewise.operators import apitraffic, identity, logstats, storerank
 from aislewise.operators.beacons import ACCEPTED, judged_lines, parse_beacons
-from aislewise.session import drop_materialized, materialize
+from aislewise.session import drop_materialized, materialize, stage_tables
 from aislewise.sources import readers, writers
 
 
@@ -67,9 +67,10 @@ def store_rank_job(
     if threshold is None:
         threshold = storerank.DAILY_THRESHOLD if mode == "day" else storerank.PERIOD_THRESHOLD
     days = storerank.select_period(spark.read.parquet(table), as_of, mode)
-    ranked = storerank.store_page_rank_period(days, store_dim, mode, threshold)
-    wide = storerank.wide_ranks(ranked, ["period_start"]).drop("period_start")
-    writers.write_tsv(wide.orderBy("rank"), output, header=True)
+    with stage_tables():
+        ranked = storerank.store_page_rank_period(days, store_dim, mode, threshold)
+        wide = storerank.wide_ranks(ranked, ["period_start"]).drop("period_start")
+        writers.write_tsv(wide.orderBy("rank"), output, header=True)
 
 
 def uid_eid_job(spark: SparkSession, log_paths: str | list[str], output: str) -> None:

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from aislewise.functions import periods as P
 from aislewise.functions import vectors as V
 from aislewise.operators import alsoview, baskets, boundedtop, identity, mostview, userrec, vectorstore
-from aislewise.session import drop_materialized, materialize
+from aislewise.session import drop_materialized, materialize, stage_tables
 from aislewise.sources import readers, stagefiles, writers
 
 
@@ -38,9 +38,9 @@ def also_view_item_job(
 ) -> dict[str, int]:
     """Items also viewed with each item; returns how many users and rows the cap left out."""
     cap = chosen_cap(months, cap, no_cap)
-    units = alsoview.capped_units(readers.read_interactions(spark, inputs), cap, crawlers_first=crawlers_first)
-    writers.write_tsv(ranked_lines(alsoview.ranked_items(units, min_score, top), "item", "other"), output)
-    units.drop()
+    with stage_tables():
+        units = alsoview.capped_units(readers.read_interactions(spark, inputs), cap, crawlers_first=crawlers_first)
+        writers.write_tsv(ranked_lines(alsoview.ranked_items(units, min_score, top), "item", "other"), output)
     return units.report
 
 
@@ -51,10 +51,10 @@ def also_view_group_job(
 ) -> dict[str, int]:
     """Items also viewed with each store or region (``level``); returns what the cap left out."""
     cap = chosen_cap(months, cap, no_cap)
-    units = alsoview.capped_units(readers.read_interactions(spark, inputs), cap, level, crawlers_first)
-    items = alsoview.ranked_group_items(units, level, top_per_item)
-    writers.write_tsv(ranked_lines(alsoview.also_view_group(items, top), "grp", "item"), output)
-    units.drop()
+    with stage_tables():
+        units = alsoview.capped_units(readers.read_interactions(spark, inputs), cap, level, crawlers_first)
+        items = alsoview.ranked_group_items(units, level, top_per_item)
+        writers.write_tsv(ranked_lines(alsoview.also_view_group(items, top), "grp", "item"), output)
     return units.report
 
 
@@ -131,10 +131,10 @@ def item_similarity_job(
     no_cap: bool = False,
 ) -> dict[str, int]:
     """Similarity of all item pairs as a table; returns how many users and rows the cap left out."""
-    units = alsoview.capped_units(readers.read_interactions(spark, inputs), chosen_cap(months, cap, no_cap))
-    scores = alsoview.similar_items(units).select("item", "other", F.col("score").alias("cnt"))
-    writers.write_table(scores, table)
-    units.drop()
+    with stage_tables():
+        units = alsoview.capped_units(readers.read_interactions(spark, inputs), chosen_cap(months, cap, no_cap))
+        scores = alsoview.similar_items(units).select("item", "other", F.col("score").alias("cnt"))
+        writers.write_table(scores, table)
     return units.report
 
 

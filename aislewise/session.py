@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
@@ -47,6 +49,21 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+#: Tables written within ``stage_tables`` blocks, the innermost last.
+_open_blocks: list[list[DataFrame]] = []
+
+
+@contextmanager
+def stage_tables() -> Iterator[None]:
+    """Deletes every table that ``materialize`` writes within the block, at its end: for jobs, whose results are
+    written by then."""
+    _open_blocks.append([])
+    try:
+        yield
+    finally:
+        drop_materialized(*_open_blocks.pop())
+
+
 def materialize(df: DataFrame, name: str, partition_by: list[str] | None = None) -> DataFrame:
     """Write ``df`` as parquet below the shared folder and read it back.
 
@@ -62,6 +79,8 @@ def materialize(df: DataFrame, name: str, partition_by: list[str] | None = None)
     partitioned = partition_by or []
     fields = [f for f in df.schema if f.name not in partitioned] + [f for f in df.schema if f.name in partitioned]
     stored = spark.read.schema(T.StructType(fields)).parquet(path)
+    if _open_blocks:
+        _open_blocks[-1].append(stored)
     stored._stage_path = path  # with partition_by, the partition columns come last
     return stored
 

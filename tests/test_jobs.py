@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import gzip
+import os
 from datetime import date
 from pathlib import Path
 
@@ -15,7 +16,7 @@ from test_reports import API_LINES
 from aislewise.__main__ import main
 from aislewise.functions import vectors as V
 from aislewise.plans import logreports, recommend
-from aislewise.session import materialize
+from aislewise.session import materialize, shared_dir
 from aislewise.sources import readers, stagefiles, writers
 from aislewise.streaming.apistream import start_api_traffic
 
@@ -211,3 +212,16 @@ def test_command_line_most_view(spark, tmp_path):
     source = write_history(tmp_path / "views")
     main(["most-view", source, str(tmp_path / "out"), "--level", "store", "--top", "1"], spark)
     assert "DEBG2K\tDEBG2K-A00000001" in text_of(tmp_path / "out")
+
+
+def test_jobs_delete_their_stage_tables(spark, tmp_path):
+    source, shared = write_history(tmp_path / "views"), shared_dir(spark).removeprefix("file:")
+    before = set(os.listdir(shared))
+    recommend.also_view_item_job(spark, source, str(tmp_path / "a"), min_score=1, cap=900, crawlers_first=True)
+    recommend.also_view_group_job(spark, source, str(tmp_path / "b"), "store", no_cap=True)
+    recommend.item_similarity_job(spark, source, str(tmp_path / "c"), months=2)
+    days = spark.createDataFrame([(date(2014, 9, 4), "24h", "AAAAAA", 3)], "dt date, site string, store_no string, cnt long")
+    writers.write_table(days, str(tmp_path / "days"), by_day=True)
+    stores = spark.createDataFrame([("AAAAAA", "A")], "store_no string, name string")
+    logreports.store_rank_job(spark, str(tmp_path / "days"), stores, str(tmp_path / "d"), "week", date(2014, 9, 7))
+    assert set(os.listdir(shared)) == before
