@@ -26,9 +26,11 @@ the split; repeated rows are documents of their own; without training rows known
 
 from __future__ import annotations
 
+import ctypes
 import struct
+import sys
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -36,15 +38,15 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from aislewise.llm import ship
 from aislewise.llm.scratch import Scratch
-from aislewise.llm.ship import map_batches
 from aislewise.llm.subwords import ragged
 from aislewise.llm.textbatch import distinct, find_words, mix, slices
 
 HELD_OUT_OF = 10
 CHUNK_BYTES = 4 << 20
 CHUNK_DOCS = 60_000
-BUCKET_BYTES = 32 << 20
+BUCKET_BYTES = 4 << 20
 SIZES = (12, 16, 18, 20, 20)  # bits of the tables of orders 0 to 4
 TABLE_SLOTS = sum(1 << s for s in SIZES)
 STARTS = np.cumsum([0] + [1 << s for s in SIZES])
@@ -63,6 +65,18 @@ CLASS_SEEDS = 512
 TABLE_PARTS = 16
 
 
+def map_batches(df: DataFrame, function: Callable, schema: str) -> DataFrame:
+    """``ship.map_batches`` whose workers hand freed memory back to the system at the end of a task: they are
+    used again by later stages, beside which it would stay held."""
+
+    def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from function(batches)
+        if sys.platform == "linux" and hasattr(library := ctypes.CDLL(None), "malloc_trim"):
+            library.malloc_trim(0)
+
+    return ship.map_batches(df, whole, schema)
+
+
 def packed(*arrays: np.ndarray) -> bytes:
     """Arrays with their types and lengths, one after the other."""
     out = []
@@ -360,8 +374,8 @@ def squash(x: np.ndarray) -> np.ndarray:
 
 def predictions(zeros: np.ndarray, ones: np.ndarray) -> np.ndarray:
     """Stretched predictions of counts; 0 where nothing was seen."""
-    odds = (np.maximum(ones, 0) + np.float32(0.02)).astype(np.float32)
-    odds /= (np.maximum(zeros, 0) + np.float32(0.02)).astype(np.float32)
+    odds = np.maximum(ones, 0) + np.float32(0.02)
+    odds /= np.maximum(zeros, 0) + np.float32(0.02)
     return np.log(odds, out=odds)
 
 
@@ -369,15 +383,16 @@ class Model:
     """Predictor counts, gated weights and the refining map, all of fixed size."""
 
     def __init__(self, counts: np.ndarray, weights: np.ndarray | None = None, cells: np.ndarray | None = None):
+        counts = counts.astype(np.float32, copy=False)  # only their ratios matter
         self.zeros, self.ones = counts[:TABLE_SLOTS], counts[TABLE_SLOTS:]
         self.weights = np.full((GATES, len(SIZES)), 0.3) if weights is None else weights
         self.cells = np.zeros((2, 256 * MAP_STEPS)) if cells is None else cells
         self.plain = predictions(self.zeros, self.ones)
         self.curvature = np.full((GATES, len(SIZES)), 100.0)
 
-    def without_own(self) -> tuple[np.ndarray, np.ndarray]:
-        """Predictions where the coming bit's own count (0 or 1) is taken out."""
-        return predictions(self.zeros - 1, self.ones), predictions(self.zeros, self.ones - 1)
+    def without_own(self) -> np.ndarray:
+        """Predictions where the coming bit's own count is taken out: for all slots if it is 0, then if it is 1."""
+        return np.concatenate([predictions(self.zeros - 1, self.ones), predictions(self.zeros, self.ones - 1)])
 
     def refined(self, node: np.ndarray, mixed: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         step = np.clip(np.rint((mixed + 8) * 2), 0, MAP_STEPS - 1).astype(np.int64)
@@ -386,22 +401,21 @@ class Model:
         seen, one = self.cells[0][cell], self.cells[1][cell]
         return cell, (squash(mixed) + (one + MAP_PRIOR * prior) / (seen + MAP_PRIOR)) / 2
 
-    def log_spelling(self, length: np.ndarray, blob: np.ndarray, own: tuple[np.ndarray, np.ndarray] | None = None,
+    def log_spelling(self, length: np.ndarray, blob: np.ndarray, own: np.ndarray | None = None,
                      learn: bool = False) -> np.ndarray:
-        """Natural log probability of each word's spelling. ``own``: tables without the word's
+        """Natural log probability of each word's spelling. ``own``: predictions without the word's
         own counts. ``learn``: weights and map are updated after each run of words."""
         out = np.zeros(len(length))
         for low, high, words in spelled(length, blob):
             logs = np.zeros(len(words.data))
             for k in range(8):
                 node, bit = words.bit(k)
-                slots = [words.slots(order, node) for order in range(len(SIZES))]
-                if own is None:
-                    x = np.stack([self.plain[s] for s in slots])
-                else:
-                    x = np.where(bit, np.stack([own[1][s] for s in slots]), np.stack([own[0][s] for s in slots]))
+                table, shift = (self.plain, 0) if own is None else (own, bit.astype(np.int64) * TABLE_SLOTS)
+                x = np.empty((len(SIZES), len(words.data)), np.float32)
+                for order in range(len(SIZES)):
+                    np.take(table, words.slots(order, node) + shift, out=x[order])
                 gate = k * 4 + (x[2:] != 0).sum(axis=0)
-                mixed = (self.weights[gate].T * x).sum(axis=0)
+                mixed = np.einsum("ij,ji->i", self.weights[gate], x)
                 cell, p = self.refined(node, mixed)
                 p = np.clip(p, 1e-6, 1 - 1e-6)
                 logs += np.log(np.where(bit, p, 1 - p))
@@ -538,7 +552,7 @@ def learn(lexicon: DataFrame, counts) -> tuple[np.ndarray, np.ndarray]:
     """Mean weights and summed map over all training words."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model, size = Model(np.frombuffer(zlib.decompress(counts.value), np.int64)), 0
+        model, size = Model(np.frombuffer(zlib.decompress(counts.value), np.float32)), 0
         own = model.without_own()
         for row in _lexicon_rows(batches):
             length, blob = row[0].astype(np.int64), row[1]
@@ -560,7 +574,7 @@ def word_totals(lexicon: DataFrame, counts, weights: np.ndarray, cells: np.ndarr
     counts, of each word that a chunk has in a bucket."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = Model(np.frombuffer(zlib.decompress(counts.value), np.int64), weights, cells)
+        model = Model(np.frombuffer(zlib.decompress(counts.value), np.float32), weights, cells)
         own = model.without_own()
         for batch in batches:
             for row in range(batch.num_rows):
@@ -678,7 +692,7 @@ def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     tokens, types = lexicon.agg(*[F.coalesce(F.sum(n), F.lit(0)).alias(n) for n in ("tokens", "types")]).first()
     tables, groups = count_contexts(lexicon)
     totals = Totals(tokens, types, groups)
-    counts = spark.sparkContext.broadcast(zlib.compress(tables.tobytes(), 1))
+    counts = spark.sparkContext.broadcast(zlib.compress(tables.astype(np.float32).tobytes(), 1))
     weights, cells = learn(lexicon, counts)
     chunks = scratch.save(join_back(word_totals(lexicon, counts, weights, cells), documents, buckets))
     scratch.drop(table, lexicon)
