@@ -2,22 +2,21 @@
 
 A text is its words (A-Z lower-cased) and an end token, which is the empty word. Texts fall
 into ``CLASSES`` groups by their letters (k-means over all training texts); a text pays for
-naming its group. A word's probability mixes its count in the group, discounted, with its
-count in the corpus and its spelling. Spelling goes byte by byte
-and bit by bit to a terminator: predictors hash the last 0 to 4 bytes of the word to
-counts of zeros and ones; their stretched predictions are combined by weights that a gate
-(bit place and how many long contexts were seen) selects; the weights are learned online over
-all training words, each predicted without its own counts; and the result is refined by an
-adaptive map from (bit node, quantised prediction) to observed frequencies. Within a text, the
-words so far sharpen the prediction: (KAPPA * P(w) + times seen) / (KAPPA + place), with KAPPA
-chosen on the training texts, each without its own counts.
-
-Spark's part: every chunk of documents keeps where its words occur, and sends its distinct words
-with their counts by group to hash buckets, once for each chunk however often they occur. A bucket
+naming its group. A token is a path of bits in a code of the frequent words (``wordcode``): predictors hash each bit's
+place and nothing, the group, the word before and the two words before to counts of zeros and ones; gated weights combine
+their stretched predictions; an adaptive map refines the result. Weights and map are learned online over all training
+texts, each bit predicted without its own count. Other words follow the code's last leaf by their share of
+its tokens, mixed with their spelling, which the same kind of predictors gives byte by byte and
+bit by bit to a terminator, from the last 0 to 4 bytes of the word. Within a text, the words so far
+sharpen the prediction: (KAPPA * P(w) + times seen) / (KAPPA + place), with KAPPA chosen while learning.
+
+Spark's part: every chunk of documents keeps its tokens in order, as numbers of its distinct words, and sends these words with their
+training counts to hash buckets, once for each chunk however often they occur. A bucket
 merges them into one written row of the lexicon, which grows with the corpus; passes over the lexicon
-count and learn; a word's counts and spelling go back to the chunks that hold it, which score their
-documents. No text is moved, and the end token or a word of many copies has one row a chunk. Predictor
-tables, weights and the map have a fixed size (``TABLE_SLOTS``), so they are summed and broadcast.
+count and learn spelling; a word's count and spelling go back to the chunks that hold it. Passes over the chunks
+count, learn and score. No text is moved, and the end token or a word of many copies has one row a chunk. Predictor
+tables, weights and maps have a fixed size (``TABLE_SLOTS``, ``wordcode.table_starts``), so they are summed and broadcast; so has the code
+(``wordcode.CODE_WORDS`` words). Batches between Spark and Python are cut at ``BATCH_BYTES``.
 
 Defined cases: a null text is empty (one end token); a null id counts as the empty text for
 the split; repeated rows are documents of their own; without training rows known counts are
@@ -26,6 +25,7 @@ the split; repeated rows are documents of their own; without training rows known
 
 from __future__ import annotations
 
+import contextlib
 import ctypes
 import struct
 import sys
@@ -35,13 +35,13 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from aislewise.llm import ship
+from aislewise.llm import ship, wordcode
 from aislewise.llm.scratch import Scratch
 from aislewise.llm.subwords import ragged
-from aislewise.llm.textbatch import distinct, find_words, mix, slices
+from aislewise.llm.textbatch import find_words, mix, slices
 
 HELD_OUT_OF = 10
 CHUNK_BYTES = 4 << 20
@@ -63,6 +63,7 @@ CLASSES = 8
 CLASS_ROUNDS = 5
 CLASS_SEEDS = 512
 TABLE_PARTS = 16
+BATCH_BYTES = 16 << 20
 
 
 def map_batches(df: DataFrame, function: Callable, schema: str) -> DataFrame:
@@ -96,18 +97,6 @@ def unpacked(data: bytes) -> list[np.ndarray]:
     return arrays
 
 
-def filled(table: np.ndarray) -> np.ndarray:
-    """Places of the cells of a (word, group) table that are not 0."""
-    return np.flatnonzero(table).astype(np.uint32)
-
-
-def group_table(cells: np.ndarray, values: np.ndarray, n: int) -> np.ndarray:
-    """(word, group) table of ``n`` words from its filled cells."""
-    table = np.zeros(n * CLASSES, np.int64)
-    table[cells] = values
-    return table.reshape(-1, CLASSES)
-
-
 def is_held_out(doc_id) -> bool:
     return zlib.crc32(b"" if doc_id is None else str(doc_id).encode()) % HELD_OUT_OF == 0
 
@@ -176,79 +165,57 @@ def letter_groups(rows: DataFrame, scratch: Scratch) -> np.ndarray:
 
 # --- chunks -------------------------------------------------------------------------------
 
-def word_postings(texts, base: int) -> tuple[np.ndarray, ...]:
-    """(key, document, times, word start, word end) of distinct (word, document) pairs, by key."""
+def token_keys(texts) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(keys of all tokens in order, tokens of each text, distinct keys, lengths and bytes of their words)."""
     words = find_words(texts)
-    keys = np.maximum(texts.span_hashes(words.starts, words.ends), np.uint64(1))
-    order = np.argsort(keys, kind="stable")  # documents stay in order within a key
-    k, d = keys[order], words.row_of_each()[order]
-    first = np.ones(len(k), bool)
-    first[1:] = (k[1:] != k[:-1]) | (d[1:] != d[:-1])
-    at = np.flatnonzero(first)
-    return k[at], d[at] + base, np.diff(np.append(at, len(k))), words.starts[order[at]], words.ends[order[at]]
+    hashes = np.maximum(texts.span_hashes(words.starts, words.ends), np.uint64(1))
+    counts = np.diff(words.rows) + 1
+    keys = np.full(len(hashes) + len(texts), END_KEY)
+    inside = np.ones(len(keys), bool)
+    inside[np.cumsum(counts) - 1] = False
+    keys[inside] = hashes
+    known, first = np.unique(hashes, return_index=True)
+    length = words.ends[first] - words.starts[first]
+    return keys, counts, known, length, texts.data[ragged(words.starts[first], length)]
 
 
 class Chunk:
-    """Documents of one task and the words they hold."""
+    """Documents of one task and their tokens."""
 
     def __init__(self, centers: np.ndarray):
         self.centers = centers
-        self.ids, self.groups, self.counts, self.sizes, self.parts, self.bytes = [], [], [], [], [], 0
+        self.ids, self.groups, self.sizes, self.parts, self.bytes = [], [], [], [], 0
 
     def add(self, ids: list, texts) -> None:
-        base = len(self.ids)
         texts = texts.lowered()
-        key, doc, times, start, end = word_postings(texts, base)
-        length = end - start
-        new = np.ones(len(key), bool)
-        new[1:] = key[1:] != key[:-1]
-        at = np.flatnonzero(new)
-        blob = texts.data[ragged(start[at], length[at])]
-        self.parts.append((key, doc, times, key[at], length[at], blob))
+        self.parts.append(token_keys(texts))
         self.ids.extend(ids)
         self.groups.append(nearest(letter_profiles(texts), self.centers))
-        self.counts.append(np.bincount(doc - base, times, len(texts)).astype(np.int64) + 1)
         self.sizes.append(np.diff(texts.offsets) + 1)
         self.bytes += len(texts.data)
 
     def rows(self, number: int, buckets: int) -> Iterator[dict]:
         held, group = np.array([is_held_out(i) for i in self.ids]), np.concatenate(self.groups)
-        n = len(self.ids)
-        key = np.concatenate([p[0] for p in self.parts] + [np.full(n, END_KEY)])
-        doc = np.concatenate([p[1] for p in self.parts] + [np.arange(n)])
-        times = np.concatenate([p[2] for p in self.parts] + [np.ones(n, np.int64)])
-        order = np.argsort(key, kind="stable")
-        key, doc, times = key[order], doc[order], times[order]
-        first = np.ones(len(key), bool)
-        first[1:] = key[1:] != key[:-1]
-        at = np.flatnonzero(first)
-        uses = np.diff(np.append(at, len(key)))
-        words = key[at]
-        owner = np.repeat(np.arange(len(at)), uses)
-        own = ~held[doc]
-        cell = (owner * CLASSES + group[doc])[own]
-        tokens = np.bincount(cell, times[own], len(at) * CLASSES).astype(np.uint32).reshape(-1, CLASSES)
-        texts = np.bincount(cell, minlength=len(at) * CLASSES).astype(np.uint32).reshape(-1, CLASSES)
-        known, where = np.unique(np.concatenate([p[3] for p in self.parts] + [np.array([END_KEY])]), return_index=True)
-        length = np.concatenate([p[4] for p in self.parts] + [np.zeros(1, np.int64)])
-        blob = np.concatenate([p[5] for p in self.parts] + [np.zeros(0, np.uint8)])
+        counts = np.concatenate([p[1] for p in self.parts])
+        words, index = np.unique(np.concatenate([p[0] for p in self.parts]), return_inverse=True)
+        train = np.bincount(index[np.repeat(~held, counts)], minlength=len(words))
+        known, where = np.unique(np.concatenate([p[2] for p in self.parts] + [np.array([END_KEY])]), return_index=True)
+        length = np.concatenate([p[3] for p in self.parts] + [np.zeros(1, np.int64)])
+        blob = np.concatenate([p[4] for p in self.parts] + [np.zeros(0, np.uint8)])
         begin = np.cumsum(length) - length
         length, begin = length[where], begin[where]  # in the order of ``words``
         bucket_of = (words >> np.uint64(32)) % np.uint64(buckets)
         by_bucket = np.argsort(bucket_of, kind="stable")
-        for bucket in range(buckets):
-            own = np.flatnonzero(bucket_of == bucket)
-            if len(own) == 0:
-                continue
-            cells = filled(tokens[own])
+        bounds = np.searchsorted(bucket_of[by_bucket], np.arange(buckets + 1).astype(np.uint64))
+        for bucket in np.flatnonzero(np.diff(bounds)).tolist():
+            own = by_bucket[bounds[bucket]:bounds[bucket + 1]]
             yield {"bucket": bucket, "chunk": number, "data": packed(
-                words[own], length[own].astype(np.uint32), blob[ragged(begin[own], length[own])],
-                cells, tokens[own].ravel()[cells], texts[own].ravel()[cells])}
-        entry = ragged(at[by_bucket], uses[by_bucket])
+                words[own], length[own].astype(np.uint32), blob[ragged(begin[own], length[own])], train[own].astype(np.uint32))}
+        place = np.empty(len(words), np.uint32)
+        place[by_bucket] = np.arange(len(words))
         yield {"bucket": buckets, "chunk": number, "data": packed(
             np.array([0 if i is None else i for i in self.ids], np.int64), np.array([i is not None for i in self.ids]),
-            held, np.concatenate(self.counts), np.concatenate(self.sizes), group.astype(np.int64),
-            uses[by_bucket].astype(np.uint32), doc[entry].astype(np.uint16), times[entry].astype(np.uint32))}
+            held, counts, np.concatenate(self.sizes), group.astype(np.int64), place[index])}
 
 
 def chunk_words(docs: DataFrame, buckets: int, centers: np.ndarray) -> DataFrame:
@@ -273,7 +240,7 @@ def chunk_words(docs: DataFrame, buckets: int, centers: np.ndarray) -> DataFrame
     return map_batches(docs, emit, "bucket int, chunk bigint, data binary")
 
 
-LEXICON = "bucket int, tokens bigint, types bigint, data binary"
+LEXICON = "bucket int, tokens bigint, types bigint, once bigint, data binary"
 
 
 def merge_buckets(rows: DataFrame, buckets: int) -> DataFrame:
@@ -285,24 +252,15 @@ def merge_buckets(rows: DataFrame, buckets: int) -> DataFrame:
         length = np.concatenate([p[1] for _, p in parts]).astype(np.int64)
         begin = np.cumsum(length) - length
         blob = np.concatenate([p[2] for _, p in parts])[ragged(begin[first], length[first])]
-        by_group = np.zeros((2, len(words), CLASSES), np.int64)
-        at = 0
-        for _, p in parts:
-            own = inverse[at:at + len(p[0])]  # the words of a chunk are distinct
-            place = own[p[3] // CLASSES], p[3] % CLASSES
-            for k in (0, 1):
-                by_group[k][place] += p[4 + k]
-            at += len(own)
-        train, cells = by_group[0].sum(axis=1), filled(by_group[0])
+        train = np.bincount(inverse, np.concatenate([p[3] for _, p in parts]), len(words)).astype(np.int64)
         return {
-            "tokens": int(train.sum()), "types": int((train > 0).sum()),
-            "data": packed(length[first].astype(np.uint32), blob, cells, *(t.ravel()[cells] for t in by_group),
-                           np.array([c for c, _ in parts], np.int64), np.array([len(p[0]) for _, p in parts], np.int64),
-                           inverse.astype(np.uint32))}
+            "tokens": int(train.sum()), "types": int((train > 0).sum()), "once": int((train == 1).sum()),
+            "data": packed(length[first].astype(np.uint32), blob, train, np.array([c for c, _ in parts], np.int64),
+                           np.array([len(p[0]) for _, p in parts], np.int64), inverse.astype(np.uint32), words)}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         schema = pa.schema([(n, pa.int32() if n == "bucket" else pa.int64()) for n in
-                            ("bucket", "tokens", "types")] + [("data", pa.binary())])
+                            ("bucket", "tokens", "types", "once")] + [("data", pa.binary())])
         now, parts = None, []
         for batch in batches:
             for row in range(batch.num_rows):
@@ -439,22 +397,13 @@ def _lexicon_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[list[np.ndarray
             yield unpacked(batch.column(0)[row].as_py())
 
 
-def count_contexts(lexicon: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    """Zeros and ones of all predictors over the distinct training words, and ``GROUP_SUMS``."""
+def count_contexts(lexicon: DataFrame) -> np.ndarray:
+    """Zeros and ones of all predictors of spelling over the distinct training words."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros(2 * TABLE_SLOTS, np.int64)
-        sums = np.zeros((len(GROUP_SUMS), CLASSES), np.int64)
         for row in _lexicon_rows(batches):
-            length, blob = row[:2]
-            by_group, texts = (group_table(row[2], row[k], len(length)) for k in (3, 4))
-            train = by_group.sum(axis=1)
-            sums[:4] += [by_group.sum(axis=0), (by_group > 0).sum(axis=0), (by_group == 1).sum(axis=0), (by_group == 2).sum(axis=0)]
-            known = train[:, None] > by_group
-            sums[4] += np.where((texts == 1) & known, by_group, 0).sum(axis=0)
-            sums[5] += np.where((texts == 1) & ~known, by_group, 0).sum(axis=0)
-            sums[6] += texts[length == 0].sum(axis=0)
-            length = length.astype(np.int64)
+            length, blob, train = row[0].astype(np.int64), row[1], row[2]
             begin, own = np.cumsum(length) - length, np.flatnonzero(train > 0)
             for _, _, words in spelled(length[own], blob[ragged(begin[own], length[own])]):
                 for order in range(len(SIZES)):
@@ -471,75 +420,43 @@ def count_contexts(lexicon: DataFrame) -> tuple[np.ndarray, np.ndarray]:
                     else:
                         np.add.at(counts, np.where(got < size, got, got - size + TABLE_SLOTS) + STARTS[order], 1)
         yield from _table_parts(counts)
-        yield pa.RecordBatch.from_pylist([{"part": TABLE_PARTS, "data": zlib.compress(sums.tobytes(), 1)}])
+
+    return summed(map_batches(lexicon.select("data"), count, "part bigint, data binary"), 2 * TABLE_SLOTS)
+
+
+def summed(parts: DataFrame, size: int) -> np.ndarray:
+    """Sum of the tables of ``size`` slots that tasks emitted by ``_table_parts``."""
+    step = -(-size // TABLE_PARTS)
 
     def total(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[int, np.ndarray] = {}
         for batch in batches:
-            for part, data in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                values = np.frombuffer(zlib.decompress(data), np.int64)
-                sums[part] = sums[part] + values if part in sums else values
+            for part, data in zip(batch.column(0).to_pylist(), batch.column(1)):
+                place, values = unpacked(zlib.decompress(data.as_py()))
+                if part not in sums:
+                    sums[part] = np.zeros(step, np.int64)
+                sums[part][place] += values
         for part, values in sums.items():
             yield pa.RecordBatch.from_pylist([{"part": part, "data": zlib.compress(values.tobytes(), 1)}])
 
-    parts = map_batches(lexicon.select("data"), count, "part bigint, data binary")
-    out = np.zeros(2 * TABLE_SLOTS, np.int64)
-    size = -(-len(out) // TABLE_PARTS)
-    groups = np.zeros((len(GROUP_SUMS), CLASSES), np.int64)
+    out = np.zeros(step * TABLE_PARTS, np.float32)  # only ratios of counts matter
     for row in map_batches(parts.repartition(TABLE_PARTS, "part"), total, "part bigint, data binary").toLocalIterator():
-        if row["part"] == TABLE_PARTS:
-            groups = np.frombuffer(zlib.decompress(row["data"]), np.int64).reshape(groups.shape)
-            continue
-        out[row["part"] * size:(row["part"] + 1) * size] = np.frombuffer(zlib.decompress(row["data"]), np.int64)
-    return out, groups
+        out[row["part"] * step:(row["part"] + 1) * step] = np.frombuffer(zlib.decompress(row["data"]), np.int64)
+    return out[:size]
 
 
 def _table_parts(counts: np.ndarray) -> Iterator[pa.RecordBatch]:
-    size = -(-len(counts) // TABLE_PARTS)
+    step = -(-len(counts) // TABLE_PARTS)
     for part in range(TABLE_PARTS):
-        data = zlib.compress(counts[part * size:(part + 1) * size].tobytes(), 1)
-        yield pa.RecordBatch.from_pylist([{"part": part, "data": data}])
+        own = counts[part * step:(part + 1) * step]
+        place = np.flatnonzero(own)
+        if len(place):
+            data = zlib.compress(packed(place.astype(np.uint32), own[place]), 1)
+            yield pa.RecordBatch.from_pylist([{"part": part, "data": data}])
 
 
 # --- words --------------------------------------------------------------------------------
 
-GROUP_SUMS = ("tokens", "types", "once", "twice", "elsewhere", "nowhere", "texts")
-
-
-class Totals:
-    """Corpus counts, and ``GROUP_SUMS`` by group. ``elsewhere`` and ``nowhere`` count the tokens
-    that no other text of the group has, by whether another text of the corpus has them."""
-
-    def __init__(self, tokens: int, types: int, groups: np.ndarray):
-        self.tokens, self.types = tokens, types
-        n, kinds, once, twice, elsewhere, nowhere, texts = groups
-        self.size = np.maximum(n, 1)
-        self.discount = np.clip(once / np.maximum(once + 2 * twice, 1), 0.05, 0.95)
-        # What discounting frees goes to words of other groups and to spelling.
-        self.free = np.where(n > 0, self.discount * kinds / self.size, 1.0)
-        self.spelled = (nowhere + 1) / (elsewhere + nowhere + 2)
-        self.log_group = np.log((texts + 1) / (texts.sum() + CLASSES))
-
-    def probability(self, in_group: np.ndarray, count: np.ndarray, log_spelling: np.ndarray, group: np.ndarray) -> np.ndarray:
-        own = np.maximum(in_group - self.discount[group], 0) / self.size[group]
-        share = self.spelled[group]
-        other = (1 - share) * np.maximum(count, 0) / max(self.tokens, 1) + share * np.exp(np.maximum(log_spelling, -650.0))
-        return own + self.free[group] * other
-
-
-def seen_so_far(p: np.ndarray, times: np.ndarray, kappa: float | None) -> np.ndarray:
-    """Sum over a word's occurrences in a text of log(kappa * p + times before)."""
-    if kappa is None:
-        return times * np.log(p)
-    out = np.log(kappa * p)
-    many = np.flatnonzero(times > 1)
-    if len(many):
-        j = ragged(np.ones(len(many), np.int64), times[many].astype(np.int64) - 1)
-        owner = np.repeat(np.arange(len(many)), times[many].astype(np.int64) - 1)
-        out[many] += np.bincount(owner, np.log(kappa * p[many][owner] + j), len(many))
-    return out
-
-
 def rising(n: np.ndarray, kappa: float | None) -> np.ndarray:
     """Sum of log(kappa + place) over the places of a text of ``n`` tokens."""
     if kappa is None or len(n) == 0:
@@ -548,15 +465,15 @@ def rising(n: np.ndarray, kappa: float | None) -> np.ndarray:
     return sums[n]
 
 
-def learn(lexicon: DataFrame, counts) -> tuple[np.ndarray, np.ndarray]:
+def learn_spelling(lexicon: DataFrame, counts) -> tuple[np.ndarray, np.ndarray]:
     """Mean weights and summed map over all training words."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model, size = Model(np.frombuffer(zlib.decompress(counts.value), np.float32)), 0
         own = model.without_own()
         for row in _lexicon_rows(batches):
-            length, blob = row[0].astype(np.int64), row[1]
-            begin, chosen = np.cumsum(length) - length, distinct(row[2] // CLASSES)
+            length, blob, chosen = row[0].astype(np.int64), row[1], np.flatnonzero(row[2])
+            begin = np.cumsum(length) - length
             model.log_spelling(length[chosen], blob[ragged(begin[chosen], length[chosen])], own, learn=True)
             size += int(length[chosen].sum()) + len(chosen)
         yield pa.RecordBatch.from_pylist([{"n": size, "data": packed(model.weights.ravel(), model.cells.ravel())}])
@@ -569,9 +486,26 @@ def learn(lexicon: DataFrame, counts) -> tuple[np.ndarray, np.ndarray]:
     return weights.reshape(GATES, -1), cells.reshape(2, -1)
 
 
-def word_totals(lexicon: DataFrame, counts, weights: np.ndarray, cells: np.ndarray) -> DataFrame:
-    """(chunk, part, data): training counts by group and log spelling, with and without its own
-    counts, of each word that a chunk has in a bucket."""
+def frequent_words(lexicon: DataFrame, tokens: int) -> tuple[wordcode.WordCode, int]:
+    """Code of the most frequent training words used twice or more, and how many training tokens are others."""
+
+    def frequent(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for row in _lexicon_rows(batches):
+            train, keys = row[2], row[6]
+            own = np.flatnonzero(train > 1)
+            own = own[np.lexsort((keys[own], -train[own]))[:wordcode.CODE_WORDS]]
+            yield pa.RecordBatch.from_arrays([pa.array(keys[own].view(np.int64)), pa.array(train[own])], ["key", "n"])
+
+    best = map_batches(lexicon.select("data"), frequent, "key bigint, n bigint").orderBy(F.desc("n"), "key").limit(wordcode.CODE_WORDS)
+    rows = best.collect()  # CODE_WORDS rows at most
+    keys = np.array([r["key"] for r in rows], np.int64).view(np.uint64)
+    counts = np.array([r["n"] for r in rows], np.int64)
+    return wordcode.build_code(keys, counts, tokens - int(counts.sum())), tokens - int(counts.sum())
+
+
+def word_totals(lexicon: DataFrame, counts, weights: np.ndarray, cells: np.ndarray, code) -> DataFrame:
+    """(chunk, part, data): key, training count and leaf of each word that a chunk has in a bucket, and for words outside
+    the code the log spelling with and without its own counts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = Model(np.frombuffer(zlib.decompress(counts.value), np.float32), weights, cells)
@@ -579,25 +513,24 @@ def word_totals(lexicon: DataFrame, counts, weights: np.ndarray, cells: np.ndarr
         for batch in batches:
             for row in range(batch.num_rows):
                 bucket = batch.column(0)[row].as_py()
-                length, blob, taken, tokens, _, chunks, sizes, inverse = unpacked(batch.column(1)[row].as_py())
-                length, by_group = length.astype(np.int64), group_table(taken, tokens, len(length))
-                logs, alone = model.log_spelling(length, blob), np.zeros(len(length))
-                begin, chosen = np.cumsum(length) - length, distinct(taken // CLASSES)
-                alone[chosen] = model.log_spelling(length[chosen], blob[ragged(begin[chosen], length[chosen])], own)
+                length, blob, train, chunks, sizes, inverse, keys = unpacked(batch.column(1)[row].as_py())
+                length, leaf = length.astype(np.int64), code.value.leaf(keys)
+                begin, logs, alone = np.cumsum(length) - length, np.zeros(len(length), np.float32), np.zeros(len(length), np.float32)
+                for out, chosen, table in ((logs, leaf == code.value.other, None), (alone, (leaf == code.value.other) & (train > 0), own)):
+                    chosen = np.flatnonzero(chosen)
+                    out[chosen] = model.log_spelling(length[chosen], blob[ragged(begin[chosen], length[chosen])], table)
                 at = 0
                 for chunk, size in zip(chunks.tolist(), sizes.tolist()):
                     word = inverse[at:at + size]
                     at += size
-                    own_groups = by_group[word]
-                    places = filled(own_groups)
                     yield pa.RecordBatch.from_pylist([{"chunk": chunk, "part": bucket, "data": packed(
-                        places, own_groups.ravel()[places], logs[word], alone[word])}])
+                        keys[word], train[word], leaf[word], logs[word], alone[word])}])
 
     return map_batches(lexicon.select("bucket", "data"), run, "chunk bigint, part bigint, data binary")
 
 
 def join_back(totals: DataFrame, documents: DataFrame, parts: int) -> DataFrame:
-    """(data): one row for each chunk, its documents and uses with the totals of its words."""
+    """(data): one row for each chunk, its documents and tokens with the totals of its words."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[np.ndarray] = []
@@ -614,8 +547,7 @@ def join_back(totals: DataFrame, documents: DataFrame, parts: int) -> DataFrame:
                     yield from done()
                     held, words = data, []
                 else:
-                    before = sum(len(w[2]) for w in words) * CLASSES
-                    words.append([data[0] + np.uint32(before), *data[1:]])
+                    words.append(data)
         yield from done()
 
     rows = documents.select("chunk", F.lit(-1).cast("bigint").alias("part"), "data").unionByName(totals)
@@ -623,58 +555,132 @@ def join_back(totals: DataFrame, documents: DataFrame, parts: int) -> DataFrame:
     return map_batches(dealt, run, "data binary")
 
 
-def _uses(row: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(word, document, times) of a chunk."""
-    return np.repeat(np.arange(len(row[6])), row[6]), row[7].astype(np.int64), row[8].astype(np.int64)
+# --- texts --------------------------------------------------------------------------------
+
+class Texts:
+    """Documents of a chunk, their tokens in order and the totals of its words."""
+
+    def __init__(self, row: list[np.ndarray]):
+        self.ids, self.valid, self.held, self.n_tokens, self.n_bytes, self.group, self.word = row[:7]
+        self.key, self.train, self.leaf, self.logs, self.alone = row[7:]
+        self.doc = np.repeat(np.arange(len(self.ids)), self.n_tokens)
 
+    def tokens(self) -> wordcode.Tokens:
+        return wordcode.in_order(self.key[self.word], self.leaf[self.word], self.group[self.doc], self.n_tokens)
 
-def best_kappa(chunks: DataFrame, totals: Totals) -> float | None:
-    """The kappa under which the training texts are likeliest, each without its own counts."""
+    def training(self) -> np.ndarray:
+        return ~self.held[self.doc]
+
+    def seen(self) -> np.ndarray:
+        """How often each token stood in its text before."""
+        pair = self.doc * len(self.key) + self.word
+        order = np.argsort(pair, kind="stable")
+        first = np.flatnonzero(np.append(True, pair[order][1:] != pair[order][:-1])) if len(order) else order
+        out = np.empty(len(order), np.int64)
+        out[order] = np.arange(len(order)) - np.repeat(first, np.diff(np.append(first, len(order))))
+        return out
+
+
+class Others:
+    """Chances of words outside the code, given that it is one of them: their share of the training tokens, and spelling
+    as often as such a token was the only one of its word."""
+
+    def __init__(self, tokens: int, once: int):
+        self.tokens, self.spelled = max(tokens, 1), (once + 1) / (tokens + 2)
+
+    def log_chance(self, count: np.ndarray, log_spelling: np.ndarray) -> np.ndarray:
+        spelling = np.exp(np.maximum(log_spelling.astype(np.float64), -650.0))
+        return np.log((1 - self.spelled) * np.maximum(count, 0) / self.tokens + self.spelled * spelling)
+
+
+def count_texts(chunks: DataFrame, code) -> tuple[np.ndarray, np.ndarray]:
+    """Zeros and ones of all predictors over the training texts, and how many training texts each group has."""
+    slots = int(wordcode.table_starts(CLASSES)[-1])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        gains = np.zeros(len(KAPPAS) + 1)
+        counts = np.zeros(2 * slots + CLASSES, np.int64)
         for row in _lexicon_rows(batches):
-            held, n_tokens, group = row[2], row[3], row[5]
-            by_group, alone = group_table(row[9], row[10], len(row[6])), row[12]
-            word, doc, times = (x[~held[row[7]]] for x in _uses(row))
-            p = totals.probability(by_group[word, group[doc]] - times, by_group.sum(axis=1)[word] - times, alone[word], group[doc])
-            gains += [seen_so_far(p, times, kappa).sum() - rising(n_tokens[~held], kappa).sum() for kappa in (*KAPPAS, None)]
-        yield pa.RecordBatch.from_pylist([{"data": packed(gains)}])
+            texts = Texts(row)
+            wordcode.count_decisions(code.value, texts.tokens().where(texts.training()), counts[:2 * slots], CLASSES)
+            counts[2 * slots:] += np.bincount(texts.group[~texts.held], minlength=CLASSES)
+        yield from _table_parts(counts)
 
-    gains = np.zeros(len(KAPPAS) + 1)
-    for row in map_batches(chunks, run, "data binary").toLocalIterator():
-        gains = gains + unpacked(row["data"])[0]
-    return (*KAPPAS, None)[int(np.argmax(gains))]
+    out = summed(map_batches(chunks, run, "part bigint, data binary"), 2 * slots + CLASSES)
+    return out[:2 * slots], out[2 * slots:].astype(np.float64)
 
 
-def score_chunks(chunks: DataFrame, kappa: float | None, totals: Totals) -> DataFrame:
-    """Scores of the documents of each chunk."""
+def sharpened(logs: np.ndarray, seen: np.ndarray, kappa: float | None) -> np.ndarray:
+    """log(kappa * p + times before) of tokens."""
+    return logs if kappa is None else np.log(kappa * np.exp(logs) + seen)
+
 
-    def result(row: list[np.ndarray]) -> pa.RecordBatch:
-        ids, valid, _, n_tokens, n_bytes, group = row[:6]
-        by_group, logs = group_table(row[9], row[10], len(row[6])), row[11]
-        train = by_group.sum(axis=1)
-        base = np.log10((train + 0.1) / (totals.tokens + 0.1 * (totals.types + 1)))
-        word, doc, times = _uses(row)
-        p = totals.probability(by_group[word, group[doc]], train[word], logs[word], group[doc])
-        known, base_score, own = [np.bincount(doc, v, len(ids)) for v in (
-            times * (train[word] > 0), times * base[word], seen_so_far(p, times, kappa))]
-        score = (own - rising(n_tokens, kappa) + totals.log_group[group]) / np.log(10)
-        return pa.RecordBatch.from_arrays([
-            pa.array(ids, mask=~valid), pa.array(row[2]), pa.array(n_tokens), pa.array(np.rint(known).astype(np.int64)),
-            pa.array(np.full(len(ids), totals.tokens)), pa.array(base_score), pa.array(score),
-            pa.array(-score * np.log2(10) / n_bytes),
-        ], ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score", "bits_per_byte"])
+def learn_texts(chunks: DataFrame, code, counts, others: Others) -> tuple[np.ndarray, np.ndarray, float | None]:
+    """Mean weights and summed map over all training texts, and the kappa under which these are likeliest; each
+    token is predicted without its own counts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = wordcode.TextModel(code.value, np.frombuffer(zlib.decompress(counts.value), np.float32), CLASSES, learning=True)
+        gains, size = np.zeros(len(KAPPAS) + 1), 0
         for row in _lexicon_rows(batches):
-            yield result(row)
+            texts = Texts(row)
+            own = texts.training()
+            logs, word = model.log_leaves(texts.tokens().where(own)), texts.word[own]
+            outside = np.flatnonzero(texts.leaf[word] == code.value.other)
+            logs[outside] += others.log_chance(texts.train[word[outside]] - 1, texts.alone[word[outside]])
+            seen, n_tokens = texts.seen()[own], texts.n_tokens[~texts.held]
+            gains += [sharpened(logs, seen, kappa).sum() - rising(n_tokens, kappa).sum() for kappa in (*KAPPAS, None)]
+            size += len(logs)
+        yield pa.RecordBatch.from_pylist([{"n": size, "data": packed(model.weights.ravel(), model.cells.ravel(), gains)}])
+
+    total = [np.zeros(wordcode.GATES * wordcode.ORDERS), np.zeros(2 * wordcode.GATES * wordcode.STEPS), np.zeros(len(KAPPAS) + 1)]
+    n = 0
+    for row in map_batches(chunks, run, "n bigint, data binary").toLocalIterator():
+        weights, cells, gains = unpacked(row["data"])
+        total = [total[0] + row["n"] * weights, total[1] + cells, total[2] + gains]
+        n += row["n"]
+    weights = total[0] / n if n else total[0] + 0.3
+    return weights.reshape(wordcode.GATES, -1), total[1].reshape(2, -1), (*KAPPAS, None)[int(np.argmax(total[2]))]
+
+
+def score_texts(chunks: DataFrame, code, counts, learned: tuple, others: Others, groups: np.ndarray, tokens: int, types: int) -> DataFrame:
+    """Scores of the documents of each chunk."""
+    weights, cells, kappa = learned
+    log_group = np.log((groups + 1) / (groups.sum() + CLASSES))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = wordcode.TextModel(code.value, np.frombuffer(zlib.decompress(counts.value), np.float32), CLASSES, False, weights, cells)
+        for row in _lexicon_rows(batches):
+            texts = Texts(row)
+            base = np.log10((texts.train + 0.1) / (tokens + 0.1 * (types + 1)))
+            logs, word = model.log_leaves(texts.tokens()), texts.word
+            outside = np.flatnonzero(texts.leaf[word] == code.value.other)
+            logs[outside] += others.log_chance(texts.train[word[outside]], texts.logs[word[outside]])
+            known, base_score, own = [np.bincount(texts.doc, v, len(texts.ids)) for v in (
+                texts.train[word] > 0, base[word], sharpened(logs, texts.seen(), kappa))]
+            score = (own - rising(texts.n_tokens, kappa) + log_group[texts.group]) / np.log(10)
+            yield pa.RecordBatch.from_arrays([
+                pa.array(texts.ids, mask=~texts.valid), pa.array(texts.held), pa.array(texts.n_tokens),
+                pa.array(np.rint(known).astype(np.int64)), pa.array(np.full(len(texts.ids), tokens)), pa.array(base_score),
+                pa.array(score), pa.array(-score * np.log2(10) / texts.n_bytes),
+            ], ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score", "bits_per_byte"])
 
     return map_batches(chunks, run, (
         "doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, train_tokens bigint, base_score double, "
         "score double, bits_per_byte double"))
 
 
+@contextlib.contextmanager
+def small_batches(spark: SparkSession) -> Iterator[None]:
+    """Within it, batches to and from Python are bounded in bytes: rows here are whole chunks."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, str(BATCH_BYTES))
+    try:
+        yield
+    finally:
+        spark.conf.unset(name) if before is None else spark.conf.set(name, before)
+
+
 def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score, bits_per_byte).
 
@@ -683,17 +689,30 @@ def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     spark = docs.sparkSession
     scratch = Scratch(spark, "contextmix")
     rows = docs.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).alias("text"))
+    with small_batches(spark):
+        return _scores(spark, scratch, rows)
+
+
+def _scores(spark: SparkSession, scratch: Scratch, rows: DataFrame) -> DataFrame:
     size = rows.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
     buckets = max(1, -(-int(size) // BUCKET_BYTES))
     centers = letter_groups(rows, scratch)
     table = scratch.save(chunk_words(rows, buckets, centers))
     documents = table.where(F.col("bucket") == buckets)
     lexicon = scratch.save(merge_buckets(table.where(F.col("bucket") < buckets), buckets))
-    tokens, types = lexicon.agg(*[F.coalesce(F.sum(n), F.lit(0)).alias(n) for n in ("tokens", "types")]).first()
-    tables, groups = count_contexts(lexicon)
-    totals = Totals(tokens, types, groups)
-    counts = spark.sparkContext.broadcast(zlib.compress(tables.astype(np.float32).tobytes(), 1))
-    weights, cells = learn(lexicon, counts)
-    chunks = scratch.save(join_back(word_totals(lexicon, counts, weights, cells), documents, buckets))
+    tokens, types, once = lexicon.agg(*[F.coalesce(F.sum(n), F.lit(0)).alias(n) for n in ("tokens", "types", "once")]).first()
+
+    def shared(counts: np.ndarray):
+        return spark.sparkContext.broadcast(zlib.compress(counts.tobytes(), 1))
+
+    spelling = shared(count_contexts(lexicon))
+    code, outside = frequent_words(lexicon, tokens)
+    code, others = spark.sparkContext.broadcast(code), Others(outside, once)
+    chunks = scratch.save(join_back(word_totals(lexicon, spelling, *learn_spelling(lexicon, spelling), code), documents, buckets))
     scratch.drop(table, lexicon)
-    return score_chunks(chunks, best_kappa(chunks, totals), totals)
+    counts, groups = count_texts(chunks, code)
+    counts = shared(counts)
+    learned = learn_texts(chunks, code, counts, others)
+    scores = scratch.save(score_texts(chunks, code, counts, learned, others, groups, tokens, types))
+    scratch.drop(chunks)
+    return scores
