@@ -6,7 +6,7 @@ naming its group. A token is a path of bits in a code of the frequent words (``w
 place and nothing, the group, the word before and the two words before to counts of zeros and ones; gated weights combine
 their stretched predictions; an adaptive map refines the result. Weights and map are learned online over all training
 texts, each bit predicted without its own count. Other words follow the code's last leaf by their share of
-its tokens, mixed with their spelling, which the same kind of predictors gives byte by byte and
+its tokens, new ones by their spelling, which the same kind of predictors gives byte by byte and
 bit by bit to a terminator, from the last 0 to 4 bytes of the word. Within a text, the words so far
 sharpen the prediction: (KAPPA * P(w) + times seen) / (KAPPA + place), with KAPPA chosen while learning.
 
@@ -87,6 +87,11 @@ def packed(*arrays: np.ndarray) -> bytes:
     return b"".join(out)
 
 
+def narrow(a: np.ndarray) -> np.ndarray:
+    """Whole numbers from 0 on in their smallest type."""
+    return a.astype(np.min_scalar_type(int(a.max()))) if len(a) else a
+
+
 def unpacked(data: bytes) -> list[np.ndarray]:
     arrays, at = [], 0
     while at < len(data):
@@ -210,12 +215,13 @@ class Chunk:
         for bucket in np.flatnonzero(np.diff(bounds)).tolist():
             own = by_bucket[bounds[bucket]:bounds[bucket + 1]]
             yield {"bucket": bucket, "chunk": number, "data": packed(
-                words[own], length[own].astype(np.uint32), blob[ragged(begin[own], length[own])], train[own].astype(np.uint32))}
+                words[own], narrow(length[own]), blob[ragged(begin[own], length[own])], narrow(train[own]))}
         place = np.empty(len(words), np.uint32)
         place[by_bucket] = np.arange(len(words))
         yield {"bucket": buckets, "chunk": number, "data": packed(
             np.array([0 if i is None else i for i in self.ids], np.int64), np.array([i is not None for i in self.ids]),
-            held, counts, np.concatenate(self.sizes), group.astype(np.int64), place[index])}
+            held, narrow(counts), narrow(np.concatenate(self.sizes)), narrow(group),
+            np.frombuffer(zlib.compress(place[index].tobytes(), 1), np.uint8))}
 
 
 def chunk_words(docs: DataFrame, buckets: int, centers: np.ndarray) -> DataFrame:
@@ -465,7 +471,7 @@ def rising(n: np.ndarray, kappa: float | None) -> np.ndarray:
     return sums[n]
 
 
-def learn_spelling(lexicon: DataFrame, counts) -> tuple[np.ndarray, np.ndarray]:
+def learn_spelling(lexicon: DataFrame, counts, scratch: Scratch) -> tuple[np.ndarray, np.ndarray]:
     """Mean weights and summed map over all training words."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -479,7 +485,8 @@ def learn_spelling(lexicon: DataFrame, counts) -> tuple[np.ndarray, np.ndarray]:
         yield pa.RecordBatch.from_pylist([{"n": size, "data": packed(model.weights.ravel(), model.cells.ravel())}])
 
     weights, cells, n = np.zeros(GATES * len(SIZES)), np.zeros(2 * 256 * MAP_STEPS), 0
-    for row in map_batches(lexicon.select("data"), run, "n bigint, data binary").toLocalIterator():
+    learned = scratch.save(map_batches(lexicon.select("data"), run, "n bigint, data binary"))  # all tasks at once
+    for row in learned.toLocalIterator():
         w, c = unpacked(row["data"])
         weights, cells, n = weights + row["n"] * w, cells + c, n + row["n"]
     weights = weights / n if n else weights + 0.3
@@ -504,27 +511,25 @@ def frequent_words(lexicon: DataFrame, tokens: int) -> tuple[wordcode.WordCode,
 
 
 def word_totals(lexicon: DataFrame, counts, weights: np.ndarray, cells: np.ndarray, code) -> DataFrame:
-    """(chunk, part, data): key, training count and leaf of each word that a chunk has in a bucket, and for words outside
-    the code the log spelling with and without its own counts."""
+    """(chunk, part, data): key, training count and leaf of each word that a chunk has in a bucket, and the log spelling of
+    those that no training text has."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = Model(np.frombuffer(zlib.decompress(counts.value), np.float32), weights, cells)
-        own = model.without_own()
         for batch in batches:
             for row in range(batch.num_rows):
                 bucket = batch.column(0)[row].as_py()
                 length, blob, train, chunks, sizes, inverse, keys = unpacked(batch.column(1)[row].as_py())
-                length, leaf = length.astype(np.int64), code.value.leaf(keys)
-                begin, logs, alone = np.cumsum(length) - length, np.zeros(len(length), np.float32), np.zeros(len(length), np.float32)
-                for out, chosen, table in ((logs, leaf == code.value.other, None), (alone, (leaf == code.value.other) & (train > 0), own)):
-                    chosen = np.flatnonzero(chosen)
-                    out[chosen] = model.log_spelling(length[chosen], blob[ragged(begin[chosen], length[chosen])], table)
+                length = length.astype(np.int64)
+                leaf, logs = code.value.leaf(keys), np.zeros(len(length), np.float32)
+                begin, new = np.cumsum(length) - length, np.flatnonzero(train == 0)
+                logs[new] = model.log_spelling(length[new], blob[ragged(begin[new], length[new])])
                 at = 0
                 for chunk, size in zip(chunks.tolist(), sizes.tolist()):
                     word = inverse[at:at + size]
                     at += size
                     yield pa.RecordBatch.from_pylist([{"chunk": chunk, "part": bucket, "data": packed(
-                        keys[word], train[word], leaf[word], logs[word], alone[word])}])
+                        keys[word], narrow(train[word]), narrow(leaf[word]), logs[word])}])
 
     return map_batches(lexicon.select("bucket", "data"), run, "chunk bigint, part bigint, data binary")
 
@@ -561,8 +566,10 @@ class Texts:
     """Documents of a chunk, their tokens in order and the totals of its words."""
 
     def __init__(self, row: list[np.ndarray]):
-        self.ids, self.valid, self.held, self.n_tokens, self.n_bytes, self.group, self.word = row[:7]
-        self.key, self.train, self.leaf, self.logs, self.alone = row[7:]
+        self.ids, self.valid, self.held = row[0].astype(np.int64), row[1], row[2]
+        self.n_tokens, self.n_bytes, self.group = (a.astype(np.int64) for a in row[3:6])
+        self.word = np.frombuffer(zlib.decompress(row[6]), np.uint32)
+        self.key, self.train, self.leaf, self.logs = row[7], row[8].astype(np.int64), row[9].astype(np.int64), row[10]
         self.doc = np.repeat(np.arange(len(self.ids)), self.n_tokens)
 
     def tokens(self) -> wordcode.Tokens:
@@ -582,15 +589,15 @@ class Texts:
 
 
 class Others:
-    """Chances of words outside the code, given that it is one of them: their share of the training tokens, and spelling
-    as often as such a token was the only one of its word."""
+    """Chances of words outside the code, given that it is one of them: the share of the training tokens for known words, and
+    spelling for new ones, as often as such a token was the only one of its word."""
 
     def __init__(self, tokens: int, once: int):
-        self.tokens, self.spelled = max(tokens, 1), (once + 1) / (tokens + 2)
+        self.tokens, self.new = max(tokens, 1), (once + 1) / (tokens + 2)
 
-    def log_chance(self, count: np.ndarray, log_spelling: np.ndarray) -> np.ndarray:
-        spelling = np.exp(np.maximum(log_spelling.astype(np.float64), -650.0))
-        return np.log((1 - self.spelled) * np.maximum(count, 0) / self.tokens + self.spelled * spelling)
+    def log_chance(self, count: np.ndarray, log_spelling: np.ndarray | float) -> np.ndarray:
+        known = np.log((1 - self.new) * np.maximum(count, 1) / self.tokens)
+        return np.where(count > 0, known, np.log(self.new) + np.maximum(log_spelling, -650.0))
 
 
 def count_texts(chunks: DataFrame, code) -> tuple[np.ndarray, np.ndarray]:
@@ -614,7 +621,7 @@ def sharpened(logs: np.ndarray, seen: np.ndarray, kappa: float | None) -> np.nda
     return logs if kappa is None else np.log(kappa * np.exp(logs) + seen)
 
 
-def learn_texts(chunks: DataFrame, code, counts, others: Others) -> tuple[np.ndarray, np.ndarray, float | None]:
+def learn_texts(chunks: DataFrame, code, counts, others: Others, scratch: Scratch) -> tuple[np.ndarray, np.ndarray, float | None]:
     """Mean weights and summed map over all training texts, and the kappa under which these are likeliest; each
     token is predicted without its own counts."""
 
@@ -626,7 +633,8 @@ def learn_texts(chunks: DataFrame, code, counts, others: Others) -> tuple[np.nda
             own = texts.training()
             logs, word = model.log_leaves(texts.tokens().where(own)), texts.word[own]
             outside = np.flatnonzero(texts.leaf[word] == code.value.other)
-            logs[outside] += others.log_chance(texts.train[word[outside]] - 1, texts.alone[word[outside]])
+            # A word used once is new without its own count; its spelling weighs the same under every kappa.
+            logs[outside] += others.log_chance(texts.train[word[outside]] - 1, 0.0)
             seen, n_tokens = texts.seen()[own], texts.n_tokens[~texts.held]
             gains += [sharpened(logs, seen, kappa).sum() - rising(n_tokens, kappa).sum() for kappa in (*KAPPAS, None)]
             size += len(logs)
@@ -634,7 +642,8 @@ def learn_texts(chunks: DataFrame, code, counts, others: Others) -> tuple[np.nda
 
     total = [np.zeros(wordcode.GATES * wordcode.ORDERS), np.zeros(2 * wordcode.GATES * wordcode.STEPS), np.zeros(len(KAPPAS) + 1)]
     n = 0
-    for row in map_batches(chunks, run, "n bigint, data binary").toLocalIterator():
+    learned = scratch.save(map_batches(chunks, run, "n bigint, data binary"))
+    for row in learned.toLocalIterator():
         weights, cells, gains = unpacked(row["data"])
         total = [total[0] + row["n"] * weights, total[1] + cells, total[2] + gains]
         n += row["n"]
@@ -708,11 +717,11 @@ def _scores(spark: SparkSession, scratch: Scratch, rows: DataFrame) -> DataFrame
     spelling = shared(count_contexts(lexicon))
     code, outside = frequent_words(lexicon, tokens)
     code, others = spark.sparkContext.broadcast(code), Others(outside, once)
-    chunks = scratch.save(join_back(word_totals(lexicon, spelling, *learn_spelling(lexicon, spelling), code), documents, buckets))
+    chunks = scratch.save(join_back(word_totals(lexicon, spelling, *learn_spelling(lexicon, spelling, scratch), code), documents, buckets))
     scratch.drop(table, lexicon)
     counts, groups = count_texts(chunks, code)
     counts = shared(counts)
-    learned = learn_texts(chunks, code, counts, others)
+    learned = learn_texts(chunks, code, counts, others, scratch)
     scores = scratch.save(score_texts(chunks, code, counts, learned, others, groups, tokens, types))
     scratch.drop(chunks)
     return scores

@@ -209,15 +209,16 @@ class TextModel:
             for order in range(ORDERS):
                 np.take(self.tables, slots[order] + own if self.shift else slots[order], out=x[order])
             gate = np.minimum(depth, DEPTHS - 1).astype(np.int64) * 4 + (x[2] != 0) + 2 * (x[3] != 0)
-            weights = self.weights.astype(np.float32)
-            mixed = np.zeros(len(token), np.float32)
-            for order in range(ORDERS):
-                mixed += weights[gate, order] * x[order]
+            weights = np.ascontiguousarray(self.weights.T, np.float32)
+            mixed = weights[0].take(gate) * x[0]
+            for order in range(1, ORDERS):
+                mixed += weights[order].take(gate) * x[order]
             np.clip(mixed, -15, 15, out=mixed)
             chance = squash(mixed)
             cell, p = self.refined(gate, mixed, chance)
-            p = np.clip(p, np.float32(1e-6), np.float32(1 - 1e-6))
-            out[low:high] = np.bincount(token, np.log(np.where(bit, p, 1 - p)), high - low)
+            own = np.where(bit, p, 1 - p)
+            np.clip(own, np.float32(1e-6), np.float32(1 - 1e-6), out=own)
+            out[low:high] = np.bincount(token, np.log(own), high - low)
             if self.shift:
                 self.learn(bit, gate, x, chance, cell)
         return out
