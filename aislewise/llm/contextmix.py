@@ -6,7 +6,7 @@ naming its group. A token is a path of bits in a code of the frequent words (``w
 place and nothing, the group, the word before and the two words before to counts of zeros and ones; gated weights combine
 their stretched predictions; an adaptive map refines the result. Weights and map are learned online over all training
 texts, each bit predicted without its own count. Other words follow the code's last leaf by their share of
-its tokens, new ones by their spelling, which the same kind of predictors gives byte by byte and
+its tokens, mixed with their spelling, which the same kind of predictors gives byte by byte and
 bit by bit to a terminator, from the last 0 to 4 bytes of the word. Within a text, the words so far
 sharpen the prediction: (KAPPA * P(w) + times seen) / (KAPPA + place), with KAPPA chosen while learning.
 
@@ -512,7 +512,7 @@ def frequent_words(lexicon: DataFrame, tokens: int) -> tuple[wordcode.WordCode,
 
 def word_totals(lexicon: DataFrame, counts, weights: np.ndarray, cells: np.ndarray, code) -> DataFrame:
     """(chunk, part, data): key, training count and leaf of each word that a chunk has in a bucket, and the log spelling of
-    those that no training text has."""
+    those outside the code."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = Model(np.frombuffer(zlib.decompress(counts.value), np.float32), weights, cells)
@@ -522,8 +522,8 @@ def word_totals(lexicon: DataFrame, counts, weights: np.ndarray, cells: np.ndarr
                 length, blob, train, chunks, sizes, inverse, keys = unpacked(batch.column(1)[row].as_py())
                 length = length.astype(np.int64)
                 leaf, logs = code.value.leaf(keys), np.zeros(len(length), np.float32)
-                begin, new = np.cumsum(length) - length, np.flatnonzero(train == 0)
-                logs[new] = model.log_spelling(length[new], blob[ragged(begin[new], length[new])])
+                begin, own = np.cumsum(length) - length, np.flatnonzero(leaf == code.value.other)
+                logs[own] = model.log_spelling(length[own], blob[ragged(begin[own], length[own])])
                 at = 0
                 for chunk, size in zip(chunks.tolist(), sizes.tolist()):
                     word = inverse[at:at + size]
@@ -589,15 +589,15 @@ class Texts:
 
 
 class Others:
-    """Chances of words outside the code, given that it is one of them: the share of the training tokens for known words, and
-    spelling for new ones, as often as such a token was the only one of its word."""
+    """Chances of words outside the code, given that it is one of them: their share of the training tokens, and spelling
+    as often as such a token was the only one of its word."""
 
     def __init__(self, tokens: int, once: int):
-        self.tokens, self.new = max(tokens, 1), (once + 1) / (tokens + 2)
+        self.tokens, self.spelled = max(tokens, 1), (once + 1) / (tokens + 2)
 
-    def log_chance(self, count: np.ndarray, log_spelling: np.ndarray | float) -> np.ndarray:
-        known = np.log((1 - self.new) * np.maximum(count, 1) / self.tokens)
-        return np.where(count > 0, known, np.log(self.new) + np.maximum(log_spelling, -650.0))
+    def log_chance(self, count: np.ndarray, log_spelling: np.ndarray) -> np.ndarray:
+        spelling = np.exp(np.maximum(log_spelling.astype(np.float64), -650.0))
+        return np.log((1 - self.spelled) * np.maximum(count, 0) / self.tokens + self.spelled * spelling)
 
 
 def count_texts(chunks: DataFrame, code) -> tuple[np.ndarray, np.ndarray]:
@@ -633,8 +633,7 @@ def learn_texts(chunks: DataFrame, code, counts, others: Others, scratch: Scratc
             own = texts.training()
             logs, word = model.log_leaves(texts.tokens().where(own)), texts.word[own]
             outside = np.flatnonzero(texts.leaf[word] == code.value.other)
-            # A word used once is new without its own count; its spelling weighs the same under every kappa.
-            logs[outside] += others.log_chance(texts.train[word[outside]] - 1, 0.0)
+            logs[outside] += others.log_chance(texts.train[word[outside]] - 1, texts.logs[word[outside]])
             seen, n_tokens = texts.seen()[own], texts.n_tokens[~texts.held]
             gains += [sharpened(logs, seen, kappa).sum() - rising(n_tokens, kappa).sum() for kappa in (*KAPPAS, None)]
             size += len(logs)
@@ -679,15 +678,19 @@ def score_texts(chunks: DataFrame, code, counts, learned: tuple, others: Others,
 
 
 @contextlib.contextmanager
-def small_batches(spark: SparkSession) -> Iterator[None]:
-    """Within it, batches to and from Python are bounded in bytes: rows here are whole chunks."""
-    name = "spark.sql.execution.arrow.maxBytesPerBatch"
-    before = spark.conf.get(name, None)
-    spark.conf.set(name, str(BATCH_BYTES))
+def chunk_settings(spark: SparkSession) -> Iterator[None]:
+    """Within it, batches to and from Python are bounded in bytes, as rows here are whole chunks, and shuffle files go
+    when the table that needed them is written."""
+    settings = {"spark.sql.execution.arrow.maxBytesPerBatch": str(BATCH_BYTES),
+                "spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true"}
+    before = {name: spark.conf.get(name, None) for name in settings}
+    for name, value in settings.items():
+        spark.conf.set(name, value)
     try:
         yield
     finally:
-        spark.conf.unset(name) if before is None else spark.conf.set(name, before)
+        for name, value in before.items():
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
 
 
 def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -698,7 +701,7 @@ def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     spark = docs.sparkSession
     scratch = Scratch(spark, "contextmix")
     rows = docs.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).alias("text"))
-    with small_batches(spark):
+    with chunk_settings(spark):
         return _scores(spark, scratch, rows)
 
 
@@ -707,10 +710,12 @@ def _scores(spark: SparkSession, scratch: Scratch, rows: DataFrame) -> DataFrame
     buckets = max(1, -(-int(size) // BUCKET_BYTES))
     centers = letter_groups(rows, scratch)
     table = scratch.save(chunk_words(rows, buckets, centers))
-    documents = table.where(F.col("bucket") == buckets)
     lexicon = scratch.save(merge_buckets(table.where(F.col("bucket") < buckets), buckets))
     tokens, types, once = lexicon.agg(*[F.coalesce(F.sum(n), F.lit(0)).alias(n) for n in ("tokens", "types", "once")]).first()
 
+    documents = scratch.save(table.where(F.col("bucket") == buckets))
+    scratch.drop(table)  # the words stay in the lexicon
+
     def shared(counts: np.ndarray):
         return spark.sparkContext.broadcast(zlib.compress(counts.tobytes(), 1))
 
@@ -718,7 +723,7 @@ def _scores(spark: SparkSession, scratch: Scratch, rows: DataFrame) -> DataFrame
     code, outside = frequent_words(lexicon, tokens)
     code, others = spark.sparkContext.broadcast(code), Others(outside, once)
     chunks = scratch.save(join_back(word_totals(lexicon, spelling, *learn_spelling(lexicon, spelling, scratch), code), documents, buckets))
-    scratch.drop(table, lexicon)
+    scratch.drop(documents, lexicon)
     counts, groups = count_texts(chunks, code)
     counts = shared(counts)
     learned = learn_texts(chunks, code, counts, others, scratch)
