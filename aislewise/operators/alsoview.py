@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from aislewise.functions import hierarchy as H
 from aislewise.operators import baskets as B
-from aislewise.operators.itemcodes import named, numbered_items, packed, unpacked
+from aislewise.operators.itemcodes import families, named, numbered_items, packed, unpacked
 from aislewise.operators.ranking import top_k_per_group
 from aislewise.session import drop_materialized, materialize
 from aislewise.sources.readers import valid_interactions
@@ -75,7 +75,7 @@ def _score(same_family: Column) -> Column:
 
 
 def _with_family(rows: DataFrame) -> DataFrame:
-    return rows.select("user", "no", packed(H.prefix(F.col("item"), H.STORE_FAMILY_CHARS)).alias("fam"))
+    return rows.select("user", "no", "item", packed(H.prefix(F.col("item"), H.STORE_FAMILY_CHARS)).alias("fam"))
 
 
 def _half_scores(pairs: DataFrame) -> DataFrame:
@@ -84,26 +84,33 @@ def _half_scores(pairs: DataFrame) -> DataFrame:
     return counts.select("no", "other_no", _score(F.col("same")))
 
 
-def _all_pairs(units: CappedUnits) -> DataFrame:
-    pairs = B.basket_pairs(_with_family(units.rows), ["user"], ["no", "fam"], units.bounded).where("no < other_no")
-    return pairs.select("no", "other_no", (F.col("fam") == F.col("other_fam")).alias("same"))
-
-
-def _pairs_above(units: CappedUnits, min_score: int) -> DataFrame:
-    """Pairs of which no pair with a score above ``min_score`` is missing; items too rare for it are left out.
+def _able_rows(units: CappedUnits, min_score: int) -> DataFrame:
+    """(user, no, item, fam, common): rows that can be in a pair with a score above ``min_score``.
 
     A score is at most twice the number of users of the rarer item, and twice only within a family. So items with
     no more than half of ``min_score`` users go with all their rows, and those with no more than
-    ``min_score`` users meet items of their own family only.
+    ``min_score`` users, which are not ``common``, meet items of their own family only.
     """
-    rows = B.supported(_with_family(units.rows), ["user"], "no", min_score / 2).select(
-        "user", "no", "fam", (F.col("users") > min_score).alias("common"))
-    apart = B.basket_pairs(rows.where("common").select("user", "no", "fam"), ["user"], ["no", "fam"], units.bounded)
-    rare = B.basket_pairs(rows, ["user", "fam"], ["no", "common"], units.bounded).where("not (common and other_common)")
+    rows = _with_family(units.rows)
+    if min_score <= 0:
+        return rows.withColumn("common", F.lit(True))
+    kept = B.supported(rows, ["user"], "no", min_score / 2)
+    return kept.select("user", "no", "item", "fam", (F.col("users") > min_score).alias("common"))
+
+
+def _joined_pairs(rows: DataFrame, bounded: bool) -> DataFrame:
+    """(no, other_no, same): every pair of rows that may meet, for numbers so few that tasks can combine the pairs."""
+    rows = rows.select("user", "no", "fam", "common")
+    apart = B.basket_pairs(rows.where("common").select("user", "no", "fam"), ["user"], ["no", "fam"], bounded)
+    rare = B.basket_pairs(rows, ["user", "fam"], ["no", "common"], bounded).where("not (common and other_common)")
     return apart.where("no < other_no").select("no", "other_no", (F.col("fam") == F.col("other_fam")).alias("same")).unionByName(
         rare.where("no < other_no").select("no", "other_no", F.lit(True).alias("same")))
 
 
+def _may_meet(mate: Column, own: Column) -> Column:
+    return (mate["common"] & own["common"]) | (mate["fam"] == own["fam"])
+
+
 def _mirrored(half: DataFrame) -> DataFrame:
     both = F.array(F.struct("no", "other_no"), F.struct(F.col("other_no").alias("no"), F.col("no").alias("other_no")))
     return half.select(F.inline(both), "score")
@@ -111,8 +118,17 @@ def _mirrored(half: DataFrame) -> DataFrame:
 
 def similar_items(units: CappedUnits, min_score: int = 0) -> DataFrame:
     """(item, other, score) above ``min_score``."""
-    pairs = _pairs_above(units, min_score) if min_score > 0 else _all_pairs(units)
-    half = named(_half_scores(pairs).where(F.col("score") > min_score), units.items, no="item", other_no="other")
+    rows = materialize(_able_rows(units, min_score), "pair-rows")
+    plan = B.pair_plan(rows, ["user"], ["item"])
+    if plan.few:
+        scores = _half_scores(_joined_pairs(rows, units.bounded)).where(F.col("score") > min_score)
+        half = named(scores, units.items, no="item", other_no="other")
+    else:  # by code: nearly all pairs stay, so naming them afterwards would shuffle each of them twice
+        counts = B.others_counted(
+            rows, ["user"], ["item"], "item", lambda mate, own: (mate["item"] > own["item"]) & _may_meet(mate, own), plan,
+            units.bounded, ["fam", "common"])
+        same = H.prefix(F.col("item"), H.STORE_FAMILY_CHARS) == H.prefix(F.col("other"), H.STORE_FAMILY_CHARS)
+        half = counts.select("item", "other", _score(same)).where(F.col("score") > min_score)
     both = F.array(F.struct("item", "other"), F.struct(F.col("other").alias("item"), F.col("item").alias("other")))
     return half.select(F.inline(both), "score")
 
@@ -124,8 +140,19 @@ def item_similarity(interactions: DataFrame, cap: int | None) -> DataFrame:
 
 def ranked_items(units: CappedUnits, min_score: int = 0, top: int = TOP_ITEMS) -> DataFrame:
     """(item, rank, other, score): the ``top`` others with a score above ``min_score``."""
-    pairs = _pairs_above(units, min_score) if min_score > 0 else _all_pairs(units)
-    scores = _mirrored(_half_scores(pairs).where(F.col("score") > min_score))
+    rows = materialize(_able_rows(units, min_score), "pair-rows")
+    plan = B.pair_plan(rows, ["user"], ["no"])
+    if plan.few:
+        scores = _mirrored(_half_scores(_joined_pairs(rows, units.bounded)))
+    else:  # numbers follow the codes, so a family is a range of numbers
+        ranges = families(units.items, H.STORE_FAMILY_CHARS)
+        ranged = rows.join(ranges, H.prefix(F.col("item"), H.STORE_FAMILY_CHARS) == F.col("family")).select(
+            "user", "no", "low", "high", "fam", "common")
+        counts = B.others_counted(
+            ranged, ["user"], ["no"], "no", lambda mate, own: (mate["no"] != own["no"]) & _may_meet(mate, own), plan,
+            units.bounded, ["low", "high", "fam", "common"])
+        scores = counts.select("no", F.col("other").alias("other_no"), _score(F.col("other").between(F.col("low"), F.col("high"))))
+    scores = scores.where(F.col("score") > min_score)
     ranked = top_k_per_group(scores, ["no"], [F.desc("score"), F.asc("other_no")], top)
     return named(ranked, units.items, no="item", other_no="other").select("item", "rank", "other", "score")
 
@@ -141,13 +168,17 @@ def ranked_group_items(units: CappedUnits, level: str, top: int | None = None) -
     doubled when the other item's own prefix shares the key group's family.
     """
     chars, default = LEVELS[level]
-    family = packed(H.prefix(F.col("item"), chars))
-    rows = units.rows.select(
-        "user", "no", packed(F.col("grp")).alias("g"), packed(H.prefix(F.col("grp"), chars)).alias("gfam"), family.alias("fam"))
-    pairs = B.basket_pairs(rows, ["user"], ["no", "g", "gfam", "fam"], units.bounded).where("g <> other_g")
-    counts = pairs.groupBy("g", "no", "other_no", (F.col("gfam") == F.col("other_fam")).alias("same")).agg(
-        F.count(F.lit(1)).alias("cnt"))
-    scores = counts.select("g", "no", "other_no", _score(F.col("same")))
+    listed = units.rows.join(families(units.items, chars), H.prefix(F.col("grp"), chars) == F.col("family"), "left")
+    rows = materialize(listed.select("user", "no", packed(F.col("grp")).alias("g"), "low", "high"), "listed-rows")
+    plan = B.pair_plan(rows, ["user"], ["g", "no"])
+    if plan.few:
+        pairs = B.basket_pairs(rows, ["user"], ["no", "g", "low", "high"], units.bounded).where("g <> other_g")
+        counts = pairs.groupBy("g", "no", "low", "high", "other_no").agg(F.count(F.lit(1)).alias("cnt"))
+    else:
+        counts = B.others_counted(
+            rows, ["user"], ["g", "no"], "no", lambda mate, own: mate["g"] != own["g"], plan, units.bounded, ["low", "high"])
+        counts = counts.withColumnRenamed("other", "other_no")
+    scores = counts.select("g", "no", "other_no", _score(F.col("other_no").between(F.col("low"), F.col("high"))))
     ranked = top_k_per_group(scores, ["g", "no"], [F.desc("score"), F.asc("other_no")], default if top is None else top)
     return named(ranked.withColumn("grp", unpacked(F.col("g"))), units.items, no="item", other_no="other").select(
         "grp", "item", "rank", "other", "score")

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Callable
+from dataclasses import dataclass
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from aislewise.operators.skew import BLOCK_ROWS, cell_join, fan_out
+from aislewise.operators.skew import BLOCK_ROWS, blocks_of, cell_join, fan_out
 from aislewise.session import drop_materialized, materialize
 
 CAP_PER_MONTH = 300
@@ -16,6 +19,11 @@ MAX_HOT_KEYS = 10_000
 #: Slots of the sketch of rows per user, and of the bitmaps of their units (the size Spark's bitmaps have).
 SKETCH_SLOTS = 1 << 16
 BITMAP_BITS = 1 << 15
+#: Pairs aimed at in a task that counts them, and in one that writes them out for those tasks.
+TASK_PAIRS = 2_000_000
+SENT_PAIRS = 32_000_000
+#: Up to so many different pairs, every task that joins them has room for all their counts.
+FEW_PAIRS = 4_000_000
 #: Pruning stops when a round takes less than this share of the rows.
 PRUNE_SHARE = 0.01
 PRUNE_ROUNDS = 6
@@ -98,24 +106,109 @@ def basket_pairs(
     return cell_join(baskets, _other(baskets, unit), keys, unit, [f"other_{u}" for u in unit], block_items)
 
 
+@dataclass
+class PairPlan:
+    """How many ordered ``pairs`` baskets hold, whether they are ``few`` different ones, and the ``hot`` units (unit...,
+    _slices), whose pairs are too many for one task; None where there are none."""
+
+    pairs: int
+    few: bool
+    hot: DataFrame | None
+
+    def parts(self, rows: DataFrame, each: int) -> int:
+        return max(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-self.pairs // each))
+
+
+def pair_plan(
+    rows: DataFrame, keys: list[str], unit: list[str], per: list[str] | None = None,
+) -> PairPlan:
+    """Counted from stored ``rows``: a unit has as many pairs as its baskets have rows."""
+    sizes = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    weights = rows.join(sizes, keys).groupBy(*unit).agg(F.sum("_n").alias("_n"))
+    per = per or []
+    totals = weights.groupBy(*per).agg(
+        F.count(F.lit(1)).cast("double").alias("units"), F.sum("_n").alias("pairs"), F.count_if(F.col("_n") > TASK_PAIRS).alias("hot"))
+    found = totals.agg(F.sum(F.col("units") * F.col("units")).alias("kinds"), F.sum("pairs").alias("pairs"), F.sum("hot").alias("hot")).first()
+    hot = weights.where(F.col("_n") > TASK_PAIRS).select(*unit, F.ceil(F.col("_n") / TASK_PAIRS).cast("int").alias("_slices"))
+    return PairPlan(found["pairs"] or 0, (found["kinds"] or 0) <= FEW_PAIRS, hot if found["hot"] else None)
+
+
+def _mates(
+    rows: DataFrame, keys: list[str], own: list[str], bounded: bool, plan: PairPlan, block_items: int,
+) -> DataFrame:
+    """(_rows, _mates): arrays of rows of one basket, and of those they meet; large baskets in pairs of blocks."""
+    row = F.collect_list(F.struct(*own)).alias("_rows")
+    parts = plan.parts(rows, SENT_PAIRS)
+    rows = rows.dropna(subset=keys)
+    if bounded:
+        return rows.repartition(parts, *keys).groupBy(*keys).agg(row).select("_rows", F.col("_rows").alias("_mates"))
+    blocks = F.coalesce("_blocks", F.lit(1))
+    cut = rows.join(blocks_of(rows, keys, block_items, "_blocks"), keys, "left").select(*keys, *own, blocks.alias("_blocks"))
+    block = F.pmod(F.xxhash64(*own), F.col("_blocks")).cast("int").alias("_i")
+    boxes = cut.groupBy(*keys, "_blocks", block).agg(row)
+    every = F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1))
+    at = [*keys, "_i", "_j"]
+    left = boxes.select(*keys, "_i", every.alias("_j"), "_rows").repartition(parts, *at)
+    right = boxes.select(*keys, F.col("_i").alias("_j"), every.alias("_i"), F.col("_rows").alias("_mates")).repartition(parts, *at)
+    return left.join(right, at).select("_rows", "_mates")
+
+
+def others_counted(
+    rows: DataFrame, keys: list[str], unit: list[str], other: str, chosen: Callable[[Column, Column], Column],
+    plan: PairPlan, bounded: bool, carry: list[str] | None = None, block_items: int = BLOCK_ITEMS,
+) -> DataFrame:
+    """(unit..., carry..., other, cnt): how often each unit meets each ``other`` in baskets; ``chosen(mate, own)`` tells
+    which mates count, and ``carry`` are columns that follow from the unit.
+
+    A unit is sent to its task with an array of the others of a basket, so a pair costs one value of the array and no row, and
+    what is counted there is final. Tasks are as many as the counted pairs ask for, so that counts and the ranks made of
+    them stay in memory. Hot units are cut into slices by their others, so no task gets much more than ``TASK_PAIRS``.
+    """
+    carry = carry or []
+    own = [*unit, *carry, *([other] if other not in unit else [])]
+    met = _mates(rows, keys, own, bounded, plan, block_items).select(F.explode("_rows").alias("_own"), "_mates")
+    wanted = F.transform(F.filter("_mates", lambda mate: chosen(mate, F.col("_own"))), lambda mate: mate[other])
+    sent = met.select(*[F.col("_own")[c].alias(c) for c in [*unit, *carry]], wanted.alias("_others"))
+    at = list(unit)
+    if plan.hot is not None:
+        slices = F.coalesce("_slices", F.lit(1))
+        sent = sent.join(F.broadcast(plan.hot), unit, "left").withColumn("_slice", F.explode(F.sequence(F.lit(0), slices - 1)))
+        part = F.filter("_others", lambda x: F.pmod(F.xxhash64(x), F.col("_slices")) == F.col("_slice"))
+        sent = sent.withColumn("_others", F.when(F.col("_slices").isNull(), F.col("_others")).otherwise(part)).drop("_slices")
+        at.append("_slice")
+    dealt = sent.repartition(plan.parts(rows, TASK_PAIRS), *at)
+    pairs = dealt.select(*at, *carry, F.explode("_others").alias("other"))
+    return pairs.groupBy(*at, *carry, "other").agg(F.count(F.lit(1)).alias("cnt")).select(*unit, *carry, "other", "cnt")
+
+
 def cooccurrence(
     baskets: DataFrame, keys: list[str], bounded: bool, per: list[str] | None = None,
     block_items: int = BLOCK_ITEMS,
 ) -> DataFrame:
     """(per..., item, other, cnt) for all ordered pairs of distinct items of one basket.
 
-    Counts are symmetric: only pairs with item < other are joined and counted, and the
-    finished counts are mirrored. Pairs are combined in the task that joins them, only
-    partial counts are shuffled. ``per`` names basket keys that stay in the result.
+    Counts are symmetric: only pairs with item < other are counted, and the finished counts are mirrored.
+    Where there are few different pairs they are combined in the task that joins them and only partial counts are
+    shuffled; else items are sent with their mates (``others_counted``). ``per`` names basket keys that stay in the result.
     """
-    pairs = basket_pairs(baskets, keys, ["item"], bounded, block_items).where("item < other_item")
-    return count_pairs(pairs, per)
+    per = per or []
+    rows = materialize(baskets.select(*keys, "item"), "basket-rows")
+    plan = pair_plan(rows, keys, [*per, "item"], per)
+    if plan.few:
+        return count_pairs(basket_pairs(rows, keys, ["item"], bounded, block_items).where("item < other_item"), per)
+    half = others_counted(
+        rows, keys, [*per, "item"], "item", lambda mate, own: mate["item"] > own["item"], plan, bounded, block_items=block_items)
+    return mirrored_counts(half.withColumnRenamed("other", "other_item"), per)
 
 
 def count_pairs(pairs: DataFrame, per: list[str] | None = None) -> DataFrame:
     """(per..., item, other, cnt) in both directions, from pairs with item < other_item."""
     per = per or []
-    half = pairs.groupBy(*per, "item", "other_item").agg(F.count(F.lit(1)).alias("cnt"))
+    return mirrored_counts(pairs.groupBy(*per, "item", "other_item").agg(F.count(F.lit(1)).alias("cnt")), per)
+
+
+def mirrored_counts(half: DataFrame, per: list[str]) -> DataFrame:
+    """(per..., item, other, cnt) in both directions, from counts with item < other_item."""
     both = F.array(
         F.struct(F.col("item"), F.col("other_item").alias("other")),
         F.struct(F.col("other_item").alias("item"), F.col("item").alias("other")),
