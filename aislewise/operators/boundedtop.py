@@ -14,6 +14,10 @@ round can reach the last rank. Partners whose partial sum and unread gain stay b
 dropped; the others get what they lack, by looking up their own counts or, where that would be more
 rows, by reading the rest. Both ways are exact, and the rows are those of the plain product.
 
+A user whose rounds would read more than ``WHOLE_SHARE`` of all their products, as where counts hardly differ, gains
+nothing by bounds: their lists are made from all products at once (``user_recommend``), which stores none of them.
+That is decided before each round, from the counted products.
+
 Per user only sums by power of two are kept for these decisions, at most 64 rows each. Stage tables are
 written below the shared folder, as each feeds several steps.
 """
@@ -28,11 +32,13 @@ from pyspark.sql import functions as F
 
 from aislewise.operators import skew
 from aislewise.operators.ranking import top_k_per_group
-from aislewise.operators.userrec import TOP_ITEMS, in_buying_cycle
+from aislewise.operators.userrec import TOP_ITEMS, in_buying_cycle, score_product, user_recommend
 from aislewise.session import drop_materialized, materialize
 
 #: Products that round one asks for, as a multiple of the ranks.
 FIRST_READ = 4
+#: Share of a user's products above which all are made at once.
+WHOLE_SHARE = 0.5
 
 
 def _power(value: Column) -> Column:
@@ -69,6 +75,12 @@ def level_sums(plan: DataFrame) -> DataFrame:
         F.coalesce(F.sum("gain").over(under), F.lit(0)).alias("unread"))
 
 
+def _made_down_to(sums_by_level: DataFrame, reach: DataFrame, level: str) -> DataFrame:
+    """(user, made, all_made): the products from the top down to the user's ``level``."""
+    return sums_by_level.select("user", "level", "made").join(reach, "user").where(F.col("level") == F.col(level)).select(
+        "user", "made", "all_made")
+
+
 def _products(wanted: DataFrame, blocks: DataFrame, block_rows: int) -> DataFrame:
     """(user, other, milli) of chosen blocks of the plan."""
     made = skew.cell_join(
@@ -91,16 +103,17 @@ def _last_rank(sums: DataFrame, top: int) -> DataFrame:
 @dataclass
 class BoundedTop:
     """``ranked`` (user, rank, item, milli) and the stage tables, of which the first three hold one row per
-    product or look-up made."""
+    product or look-up made; ``whole`` are the products of users without rounds, made within their sums."""
 
     ranked: DataFrame
     first: DataFrame
     second: DataFrame
     rest: DataFrame
+    whole: DataFrame
     stages: tuple[DataFrame, ...]
 
     def rows_made(self) -> int:
-        return sum(part.count() for part in (self.first, self.second, self.rest))
+        return sum(part.count() for part in (self.first, self.second, self.rest, self.whole))
 
     def drop(self) -> None:
         """Deletes the stage tables, once ``ranked`` is written."""
@@ -112,6 +125,7 @@ def bounded_top(
     block_rows: int = skew.BLOCK_ROWS, first_read: int = FIRST_READ,
 ) -> BoundedTop:
     """The rows of ``userrec.user_recommend``."""
+    everybody = users
     waiting = in_buying_cycle(users, as_of, recommend_unbought).select(
         "user", F.col("item").alias("other"), F.lit(0).cast("bigint").alias("milli"), F.lit(True).alias("waiting"))
     cut, heads = partner_blocks(item_vectors)
@@ -122,7 +136,11 @@ def bounded_top(
 
     # Round one: down to the highest level that gives enough products, else everything.
     enough = F.max(F.when(F.col("made") >= first_read * top, F.col("level")))
-    reach = sums_by_level.groupBy("user").agg(F.coalesce(enough, lowest).alias("first_level"))
+    all_made = F.max("made").alias("all_made")
+    starts = materialize(sums_by_level.groupBy("user").agg(F.coalesce(enough, lowest).alias("first_level"), all_made), "starts")
+    read_all = _made_down_to(sums_by_level, starts, "first_level").where(F.col("made") > F.col("all_made") * WHOLE_SHARE)
+    reach = materialize(starts.join(read_all.select("user"), "user", "left_anti").select("user", "first_level", "all_made"), "first-reach")
+    begun = reach
     first = materialize(_products(
         plan.join(reach, "user").where("level >= first_level"), blocks, block_rows), "products-1")
     floor = _last_rank(_summed(first, waiting), top)
@@ -133,9 +151,15 @@ def bounded_top(
     bottom = F.min_by(F.struct("level", "unread"), "level")
     reach = materialize(
         sums_by_level.join(reach, "user").join(floor, "user", "left").groupBy("user").agg(
-            F.first("first_level").alias("first_level"), F.coalesce(closing, bottom).alias("to")
-        ).select("user", "first_level", F.col("to.level").alias("second_level"), F.col("to.unread").alias("unread")),
-        "reach")
+            F.first("first_level").alias("first_level"), F.first("all_made").alias("all_made"), F.coalesce(closing, bottom).alias("to")
+        ).select("user", "first_level", "all_made", F.col("to.level").alias("second_level"), F.col("to.unread").alias("unread")),
+        "second-reach")
+    read_all = _made_down_to(sums_by_level, reach, "second_level").where(F.col("made") > F.col("all_made") * WHOLE_SHARE)
+    bounded = materialize(reach.join(read_all.select("user"), "user", "left_anti").drop("all_made"), "reach")
+    stages = (starts, begun, reach, bounded)
+    reach = bounded
+    round_one, first = first, first.join(reach.select("user"), "user", "left_semi")
+    waiting = waiting.join(reach.select("user"), "user", "left_semi")
     levels = plan.join(reach, "user")
     second = materialize(_products(
         levels.where("level < first_level and level >= second_level"), blocks, block_rows), "products-2")
@@ -168,4 +192,8 @@ def bounded_top(
     whole = kept.select("user", "other", "milli").unionByName(rest).groupBy("user", "other").agg(F.sum("milli").alias("milli"))
     ranked = top_k_per_group(whole, ["user"], [F.desc("milli"), F.asc("other")], top).select(
         "user", "rank", F.col("other").alias("item"), "milli")
-    return BoundedTop(ranked, first, second, rest, (blocks, plan, reach, first, second, sums, kept, rest))
+    others = everybody.where("user is not null").join(reach.select("user"), "user", "left_anti")
+    unbounded = user_recommend(others, item_vectors, as_of, top, recommend_unbought, block_rows)
+    return BoundedTop(
+        ranked.unionByName(unbounded), round_one, second, rest, score_product(others, item_vectors, block_rows),
+        (blocks, plan, *stages, round_one, second, sums, kept, rest))

@@ -6,6 +6,7 @@ sums are exact and do not depend on the order of tasks.
 
 from __future__ import annotations
 
+from dataclasses import dataclass
 from datetime import date
 
 from pyspark.sql import Column, DataFrame
@@ -14,7 +15,9 @@ from pyspark.sql import functions as F
 from aislewise.operators import baskets as B
 from aislewise.operators import identity as I
 from aislewise.operators import skew
+from aislewise.operators.itemcodes import numbered_items
 from aislewise.operators.ranking import top_k_per_group
+from aislewise.session import materialize
 
 # Weights of the three kinds of interest, first input day, limits.
 VIEW_WEIGHT = 1.0
@@ -23,6 +26,9 @@ BUY_WEIGHT = 2.5
 FIRST_DAY = date(2014, 3, 1)
 VECTOR_LIMIT = 1000
 TOP_ITEMS = 30
+#: Products aimed at in a task that sums them, and parts of users that meet in one.
+TASK_PRODUCTS = 2_000_000
+PARTS_PER_TASK = 8
 
 
 def user_item_daily(clicks: DataFrame, pairs: DataFrame, purchases: DataFrame) -> DataFrame:
@@ -119,10 +125,84 @@ def score_product(users: DataFrame, item_vectors: DataFrame, block_rows: int = s
     return products.select("user", "item", "other", (F.col("milli") * F.col("cnt")).alias("milli"))
 
 
+@dataclass
+class SummedProducts:
+    """``sums`` (uno, no, milli, waiting) over numbers, and the tables that name them: ``people`` (uno, user) and ``items`` (no, item)."""
+
+    sums: DataFrame
+    people: DataFrame
+    items: DataFrame
+
+    def named(self, df: DataFrame, item: str) -> DataFrame:
+        return df.join(self.people, "uno").join(self.items.withColumnRenamed("item", item), "no").drop("uno", "no")
+
+
+def summed_products(
+    users: DataFrame, item_vectors: DataFrame, waiting: DataFrame | None = None, block_rows: int = skew.BLOCK_ROWS,
+) -> SummedProducts:
+    """The score products summed by user and other item; pairs of ``waiting`` (user, item) are marked.
+
+    Users are dealt into parts, and a part gets each item vector that its users need once, as arrays of at most about
+    ``block_rows`` partners: products are made where they are summed, and none is shuffled or stored. Tasks are as many
+    as the counted products ask for. Users of more products than a task should have are cut into slices by other item.
+    """
+    people = materialize(users.select("user").distinct().select(F.monotonically_increasing_id().alias("uno"), "user"), "user-numbers")
+    items = numbered_items(item_vectors.select(F.col("other").alias("item")))
+    lengths = materialize(item_vectors.groupBy("item").agg(F.count(F.lit(1)).alias("n")), "vector-lengths")
+
+    def by_number(rows: DataFrame) -> DataFrame:
+        names = people.withColumnRenamed("user", "_user")
+        return rows.join(names, rows["user"].eqNullSafe(names["_user"])).drop("user", "_user")
+
+    rows = materialize(by_number(users.select("user", "item", "milli")).join(lengths, "item"), "product-rows")
+    per_user = rows.groupBy("uno").agg(F.sum("n").alias("n"))
+    counted = per_user.agg(F.sum("n").alias("products"), F.count_if(F.col("n") > TASK_PRODUCTS).alias("hot")).first()
+    products = counted["products"] or 0
+    slices = per_user.where(F.col("n") > TASK_PRODUCTS).select("uno", F.ceil(F.col("n") / TASK_PRODUCTS).cast("int").alias("slices"))
+    least = int(users.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    tasks = max(least, -(-products // TASK_PRODUCTS))
+
+    def sliced(df: DataFrame, number: Column) -> DataFrame:
+        """With ``slices``, ``slice`` and the ``part`` of each row; ``number`` tells the slice from ``slices``."""
+        cut = df.join(F.broadcast(slices), "uno", "left") if counted["hot"] else df.withColumn("slices", F.lit(None).cast("int"))
+        placed = cut.withColumn("slices", F.coalesce("slices", F.lit(1))).withColumn("slice", number)
+        return placed.withColumn("part", F.pmod(F.xxhash64("uno", "slice"), F.lit(tasks * PARTS_PER_TASK)).cast("int"))
+
+    every = F.explode(F.sequence(F.lit(0), F.col("slices") - 1))
+    takers = sliced(rows, every).groupBy("part", "item", "slices", "slice").agg(
+        F.collect_list(F.struct("uno", "milli")).alias("takers"))
+    partners = item_vectors.join(lengths, "item").join(
+        items.withColumnRenamed("item", "_other"), F.col("other").eqNullSafe(F.col("_other"))).select("item", "no", "cnt", "n")
+    chunk = F.pmod(F.xxhash64("no"), F.ceil(F.col("n") / block_rows)).alias("chunk")
+    entries = partners.groupBy("item", chunk).agg(F.collect_list(F.struct("no", "cnt")).alias("e"))
+    vectors = entries.select("item", F.col("e.no").alias("others"), F.col("e.cnt").alias("cnts"))
+    senders = max(least, tasks // PARTS_PER_TASK)
+    met = takers.repartition(senders, "item").join(vectors.repartition(senders, "item"), "item")
+    own = F.filter(
+        F.arrays_zip("others", "cnts"), lambda e: F.pmod(F.xxhash64(e["others"]), F.col("slices")) == F.col("slice"))
+    if counted["hot"]:
+        whole = F.col("slices") == 1
+        met = met.withColumn("own", F.when(~whole, own)).withColumns({
+            c: F.when(whole, F.col(c)).otherwise(F.col("own")[c]) for c in ("others", "cnts")})
+    sent = met.select("part", "takers", "others", "cnts", F.lit(False).alias("waiting"))
+    if waiting is not None:
+        held = by_number(waiting.select("user", F.col("item").alias("_item"))).join(
+            items, F.col("_item").eqNullSafe(F.col("item"))).select("uno", "no")
+        marks = sliced(held, F.pmod(F.xxhash64("no"), F.col("slices")).cast("int")).groupBy("part", "uno").agg(F.collect_list("no").alias("others"))
+        sent = sent.unionByName(marks.select(
+            "part", F.array(F.struct("uno", F.lit(0).cast("bigint").alias("milli"))).alias("takers"), "others",
+            F.transform("others", lambda _: F.lit(0).cast("bigint")).alias("cnts"), F.lit(True).alias("waiting")))
+    dealt = sent.repartition(tasks, "part").select("part", F.explode("takers").alias("t"), "others", "cnts", "waiting")
+    made = dealt.select("part", F.col("t.uno").alias("uno"), "t.milli", "waiting", "cnts", F.posexplode("others").alias("at", "no"))
+    sums = made.select("part", "uno", "no", (F.col("milli") * F.get("cnts", F.col("at"))).alias("milli"), "waiting").groupBy(
+        "part", "uno", "no").agg(F.sum("milli").alias("milli"), F.bool_or("waiting").alias("waiting"))
+    return SummedProducts(sums.drop("part"), people, items)
+
+
 def user_recommend_candidates(users: DataFrame, item_vectors: DataFrame, block_rows: int = skew.BLOCK_ROWS) -> DataFrame:
     """(user, other, milli): exact sum of the score products, nothing cut off."""
-    products = score_product(users, item_vectors, block_rows)
-    return products.groupBy("user", "other").agg(F.sum("milli").alias("milli"))
+    made = summed_products(users, item_vectors, block_rows=block_rows)
+    return made.named(made.sums, "other").select("user", "other", "milli")
 
 
 def in_buying_cycle(users: DataFrame, as_of: date, recommend_unbought: bool = False) -> DataFrame:
@@ -151,18 +231,8 @@ def user_recommend(
     """(user, rank, item, milli): the ``top`` items per user.
 
     Same as ``purchase_cycle_filter`` on the candidates. Items within their buying cycle are
-    marked in the aggregation that sums the scores: an anti join would be moved before it
-    and shuffle every single product.
+    marked in the aggregation that sums the scores; ranks are cut over numbers, which follow the item codes.
     """
-    products = score_product(users, item_vectors, block_rows).select(
-        "user", "other", "milli", F.lit(False).alias("waiting")
-    )
-    waiting = in_buying_cycle(users, as_of, recommend_unbought).select(
-        "user", F.col("item").alias("other"), F.lit(0).cast("bigint").alias("milli"), F.lit(True).alias("waiting")
-    )
-    sums = products.unionByName(waiting).groupBy("user", "other").agg(
-        F.sum("milli").alias("milli"), F.bool_or("waiting").alias("waiting")
-    )
-    kept = sums.where(~F.col("waiting")).drop("waiting")
-    ranked = top_k_per_group(kept, ["user"], [F.desc("milli"), F.asc("other")], top)
-    return ranked.select("user", "rank", F.col("other").alias("item"), "milli")
+    made = summed_products(users, item_vectors, in_buying_cycle(users, as_of, recommend_unbought), block_rows)
+    ranked = top_k_per_group(made.sums.where("not waiting").drop("waiting"), ["uno"], [F.desc("milli"), F.asc("no")], top)
+    return made.named(ranked, "item").select("user", "rank", "item", "milli")

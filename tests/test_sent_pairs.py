@@ -68,3 +68,27 @@ def test_numbers_are_dense_and_follow_the_codes(spark):
     assert dict(items.dtypes)["no"] == "int"
     assert [r.item for r in items.orderBy("no").collect()] == sorted(f"c{n}" for n in range(500))
     assert sorted(r.no for r in items.collect()) == list(range(500))
+
+
+def test_sums_of_hot_users_in_slices(spark, monkeypatch):
+    """Every user has more products than a task should: all are cut into slices by other item, and vectors into chunks."""
+    from datetime import date
+
+    from aislewise.operators import userrec
+    from aislewise.operators.ranking import top_k_per_group
+    from pyspark.sql import functions as F
+
+    monkeypatch.setattr(userrec, "TASK_PRODUCTS", 30)
+    rng = random.Random(3)
+    users = spark.createDataFrame(
+        [(f"u{u}", f"i{i}", rng.randrange(1, 3000), rng.randrange(40), date(2014, 3, 1 + rng.randrange(30)), rng.randrange(2))
+         for u in range(5) for i in rng.sample(range(12), 6)],
+        "user string, item string, milli long, avg_day long, last_buy date, buy long")
+    vectors = spark.createDataFrame(
+        [(f"i{a}", f"i{b}", rng.randrange(1, 9)) for a in range(12) for b in range(12) if a != b], "item string, other string, cnt long")
+    as_of = date(2014, 4, 1)
+    sums = userrec.score_product(users, vectors).groupBy("user", "other").agg(F.sum("milli").alias("milli"))
+    expected = top_k_per_group(
+        userrec.purchase_cycle_filter(sums, users, as_of), ["user"], [F.desc("milli"), F.asc("other")], 4)
+    got = userrec.user_recommend(users, vectors, as_of, 4, block_rows=5)
+    assert rows(got, "user", "rank", "item", "milli") == rows(expected, "user", "rank", "other", "milli")
