@@ -93,11 +93,13 @@ def user_item_daily_job(
     drop_materialized(requests)
 
 
+@stage_tables()
 def item_vector_daily_job(spark: SparkSession, daily_table: str, table: str, day: date) -> None:
     daily = spark.read.parquet(daily_table).where(F.col("dt") == F.lit(day))
     writers.write_table(userrec.item_vector_daily(daily), table, by_day=True)
 
 
+@stage_tables()
 def merge_item_vectors_job(spark: SparkSession, daily_table: str, store: str, days: list[date]) -> int:
     """Merges the item vectors of ``days`` into the kept store of all days; returns its new version.
 
@@ -138,6 +140,7 @@ def item_similarity_job(
     return units.report
 
 
+@stage_tables()
 def user_recommend_job(
     spark: SparkSession, daily_table: str, item_vector_table: str, output: str, first_day: date,
     as_of: date, top: int = userrec.TOP_ITEMS, gzip: bool = False, recommend_unbought: bool = False,
