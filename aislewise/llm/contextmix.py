@@ -64,6 +64,8 @@ CLASS_ROUNDS = 5
 CLASS_SEEDS = 512
 TABLE_PARTS = 16
 BATCH_BYTES = 16 << 20
+TASKS_PER_CORE = 3
+TASK_BUCKETS = 8
 
 
 def map_batches(df: DataFrame, function: Callable, schema: str) -> DataFrame:
@@ -78,6 +80,11 @@ def map_batches(df: DataFrame, function: Callable, schema: str) -> DataFrame:
     return ship.map_batches(df, whole, schema)
 
 
+def in_tasks(df: DataFrame, buckets: int) -> DataFrame:
+    """``df`` in tasks of several rows, as each of them makes tables of fixed size."""
+    return df.coalesce(max(TASKS_PER_CORE * df.sparkSession.sparkContext.defaultParallelism, -(-buckets // TASK_BUCKETS)))
+
+
 def packed(*arrays: np.ndarray) -> bytes:
     """Arrays with their types and lengths, one after the other."""
     out = []
@@ -102,6 +109,37 @@ def unpacked(data: bytes) -> list[np.ndarray]:
     return arrays
 
 
+def grouped(values: np.ndarray, below: int) -> tuple[np.ndarray, np.ndarray]:
+    """Order that sorts whole numbers from 0 on, equal ones by place, and where each distinct one begins in it."""
+    n = len(values)
+    if n == 0:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    bits = n.bit_length()
+    if below << bits < 1 << 63:  # value and place in one number: much faster to sort
+        both = np.sort((values.astype(np.int64) << bits) | np.arange(n))
+        order, ordered = both & ((1 << bits) - 1), both >> bits
+    else:
+        order = np.argsort(values, kind="stable")
+        ordered = values[order]
+    return order, np.flatnonzero(np.append(True, ordered[1:] != ordered[:-1]))
+
+
+def distinct_keys(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(sorted distinct keys, first place of each, index of every key among them)."""
+    place = np.uint64((1 << len(keys).bit_length()) - 1)
+    both = np.sort((keys & ~place) | np.arange(len(keys), dtype=np.uint64))  # all but the last bits, and the place
+    order = (both & place).astype(np.int64)
+    ordered = keys[order]
+    if (ordered[1:] < ordered[:-1]).any():  # the last bits matter
+        order = np.argsort(keys, kind="stable")
+        ordered = keys[order]
+    new = np.ones(len(keys), bool)
+    np.not_equal(ordered[1:], ordered[:-1], out=new[1:])
+    index = np.empty(len(keys), np.int64)
+    index[order] = np.cumsum(new) - 1
+    return ordered[new], order[new], index
+
+
 def is_held_out(doc_id) -> bool:
     return zlib.crc32(b"" if doc_id is None else str(doc_id).encode()) % HELD_OUT_OF == 0
 
@@ -118,9 +156,10 @@ BINS = 96
 
 def letter_profiles(texts) -> np.ndarray:
     """Square roots of the shares of lower-cased letters, one row per text."""
-    row = np.repeat(np.arange(len(texts)), np.diff(texts.offsets))
-    bins = LETTER_BINS[texts.data]
-    counts = np.bincount(row[bins > 0] * BINS + bins[bins > 0], minlength=len(texts) * BINS).reshape(-1, BINS)
+    first = np.repeat(np.arange(len(texts)) * BINS, np.diff(texts.offsets))
+    first += LETTER_BINS[texts.data]
+    counts = np.bincount(first, minlength=len(texts) * BINS).reshape(-1, BINS)
+    counts[:, 0] = 0
     return np.sqrt(counts / np.maximum(counts.sum(axis=1, keepdims=True), 1))
 
 
@@ -171,17 +210,18 @@ def letter_groups(rows: DataFrame, scratch: Scratch) -> np.ndarray:
 # --- chunks -------------------------------------------------------------------------------
 
 def token_keys(texts) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(keys of all tokens in order, tokens of each text, distinct keys, lengths and bytes of their words)."""
+    """(tokens in order, as places among the distinct keys, the end token's key last; tokens of each text; distinct keys, lengths
+    and bytes of their words)."""
     words = find_words(texts)
     hashes = np.maximum(texts.span_hashes(words.starts, words.ends), np.uint64(1))
     counts = np.diff(words.rows) + 1
-    keys = np.full(len(hashes) + len(texts), END_KEY)
-    inside = np.ones(len(keys), bool)
+    known, first, index = distinct_keys(hashes)
+    tokens = np.full(len(hashes) + len(texts), len(known))
+    inside = np.ones(len(tokens), bool)
     inside[np.cumsum(counts) - 1] = False
-    keys[inside] = hashes
-    known, first = np.unique(hashes, return_index=True)
-    length = words.ends[first] - words.starts[first]
-    return keys, counts, known, length, texts.data[ragged(words.starts[first], length)]
+    tokens[inside] = index
+    length = np.append(words.ends[first] - words.starts[first], 0)
+    return tokens, counts, np.append(known, END_KEY), length, texts.data[ragged(words.starts[first], length[:-1])]
 
 
 class Chunk:
@@ -202,11 +242,12 @@ class Chunk:
     def rows(self, number: int, buckets: int) -> Iterator[dict]:
         held, group = np.array([is_held_out(i) for i in self.ids]), np.concatenate(self.groups)
         counts = np.concatenate([p[1] for p in self.parts])
-        words, index = np.unique(np.concatenate([p[0] for p in self.parts]), return_inverse=True)
+        words, where, merged = distinct_keys(np.concatenate([p[2] for p in self.parts]))
+        of_part = np.split(merged, np.cumsum([len(p[2]) for p in self.parts])[:-1])
+        index = np.concatenate([own[p[0]] for own, p in zip(of_part, self.parts)])
         train = np.bincount(index[np.repeat(~held, counts)], minlength=len(words))
-        known, where = np.unique(np.concatenate([p[2] for p in self.parts] + [np.array([END_KEY])]), return_index=True)
-        length = np.concatenate([p[3] for p in self.parts] + [np.zeros(1, np.int64)])
-        blob = np.concatenate([p[4] for p in self.parts] + [np.zeros(0, np.uint8)])
+        length = np.concatenate([p[3] for p in self.parts])
+        blob = np.concatenate([p[4] for p in self.parts])
         begin = np.cumsum(length) - length
         length, begin = length[where], begin[where]  # in the order of ``words``
         bucket_of = (words >> np.uint64(32)) % np.uint64(buckets)
@@ -237,11 +278,11 @@ def chunk_words(docs: DataFrame, buckets: int, centers: np.ndarray) -> DataFrame
                     b = min(high, a + CHUNK_DOCS)
                     part = texts if (a, b) == (low, high) else next(slices(batch.column(1).slice(a, b - a)))[2]
                     if chunk.ids and (chunk.bytes + len(part.data) > CHUNK_BYTES or len(chunk.ids) + b - a > CHUNK_DOCS):
-                        yield from (pa.RecordBatch.from_pylist([r], schema) for r in chunk.rows(number, buckets))
+                        yield pa.RecordBatch.from_pylist(list(chunk.rows(number, buckets)), schema)
                         number, chunk = number + 1, Chunk(centers)
                     chunk.add(ids[a:b], part)
         if chunk.ids:
-            yield from (pa.RecordBatch.from_pylist([r], schema) for r in chunk.rows(number, buckets))
+            yield pa.RecordBatch.from_pylist(list(chunk.rows(number, buckets)), schema)
 
     return map_batches(docs, emit, "bucket int, chunk bigint, data binary")
 
@@ -254,7 +295,7 @@ def merge_buckets(rows: DataFrame, buckets: int) -> DataFrame:
 
     def merge(parts: list[tuple[int, list[np.ndarray]]]) -> dict:
         keys = np.concatenate([p[0] for _, p in parts])
-        words, first, inverse = np.unique(keys, return_index=True, return_inverse=True)
+        words, first, inverse = distinct_keys(keys)
         length = np.concatenate([p[1] for _, p in parts]).astype(np.int64)
         begin = np.cumsum(length) - length
         blob = np.concatenate([p[2] for _, p in parts])[ragged(begin[first], length[first])]
@@ -343,6 +384,9 @@ def predictions(zeros: np.ndarray, ones: np.ndarray) -> np.ndarray:
     return np.log(odds, out=odds)
 
 
+MAP_START = squash(np.arange(MAP_STEPS) / 2 - 8.0)
+
+
 class Model:
     """Predictor counts, gated weights and the refining map, all of fixed size."""
 
@@ -358,12 +402,13 @@ class Model:
         """Predictions where the coming bit's own count is taken out: for all slots if it is 0, then if it is 1."""
         return np.concatenate([predictions(self.zeros - 1, self.ones), predictions(self.zeros, self.ones - 1)])
 
-    def refined(self, node: np.ndarray, mixed: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        step = np.clip(np.rint((mixed + 8) * 2), 0, MAP_STEPS - 1).astype(np.int64)
-        cell = node * MAP_STEPS + step
-        prior = squash(step / 2 - 8.0)
-        seen, one = self.cells[0][cell], self.cells[1][cell]
-        return cell, (squash(mixed) + (one + MAP_PRIOR * prior) / (seen + MAP_PRIOR)) / 2
+    def refined(self, node: np.ndarray, mixed: np.ndarray, chance: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+        cell = np.clip(np.rint((mixed + 8) * 2), 0, MAP_STEPS - 1).astype(np.int64)
+        cell += node * MAP_STEPS
+        first = int(node.min()) * MAP_STEPS
+        seen, one = self.cells[:, first:(int(node.max()) + 1) * MAP_STEPS].reshape(2, -1, MAP_STEPS)
+        table = ((one + MAP_PRIOR * MAP_START) / (seen + MAP_PRIOR)).ravel()
+        return cell, ((squash(mixed) if chance is None else chance) + table.take(cell - first)) / 2
 
     def log_spelling(self, length: np.ndarray, blob: np.ndarray, own: np.ndarray | None = None,
                      learn: bool = False) -> np.ndarray:
@@ -375,22 +420,26 @@ class Model:
             for k in range(8):
                 node, bit = words.bit(k)
                 table, shift = (self.plain, 0) if own is None else (own, bit.astype(np.int64) * TABLE_SLOTS)
-                x = np.empty((len(SIZES), len(words.data)), np.float32)
-                for order in range(len(SIZES)):
-                    np.take(table, words.slots(order, node) + shift, out=x[order])
-                gate = k * 4 + (x[2:] != 0).sum(axis=0)
-                mixed = np.einsum("ij,ji->i", self.weights[gate], x)
-                cell, p = self.refined(node, mixed)
+                x = [table.take(words.slots(order, node) + shift, mode="clip") for order in range(len(SIZES))]
+                seen = (x[2] != 0).astype(np.int64)
+                for context in x[3:]:
+                    seen += context != 0
+                mine = slice(4 * k, 4 * k + 4)  # gates of this bit
+                weights = np.ascontiguousarray(self.weights[mine].T)
+                mixed = weights[0].take(seen) * x[0]
+                for order in range(1, len(SIZES)):
+                    mixed += weights[order].take(seen) * x[order]
+                chance = squash(mixed)
+                cell, p = self.refined(node, mixed, chance)
                 p = np.clip(p, 1e-6, 1 - 1e-6)
-                logs += np.log(np.where(bit, p, 1 - p))
+                logs += np.log(np.abs(1 - bit - p))
                 if learn:
-                    chance = squash(mixed)
                     error, spread = bit - chance, chance * (1 - chance)
-                    own_gates = slice(4 * k, 4 * k + 4)
-                    for i in range(len(SIZES)):
-                        self.curvature[own_gates, i] *= FORGET
-                        self.curvature[:, i] += np.bincount(gate, spread * x[i] * x[i], GATES)
-                        self.weights[:, i] += LEARN * np.bincount(gate, error * x[i], GATES) / self.curvature[:, i]
+                    terms = np.array([*(error * v for v in x), *(spread * v * v for v in x)])
+                    found = (seen == np.arange(4)[:, None]).astype(np.float64) @ terms.T
+                    self.curvature[mine] *= FORGET
+                    self.curvature[mine] += found[:, len(SIZES):]
+                    self.weights[mine] += LEARN * found[:, :len(SIZES)] / self.curvature[mine]
                     self.cells[0] += np.bincount(cell, minlength=256 * MAP_STEPS)
                     self.cells[1] += np.bincount(cell, bit, 256 * MAP_STEPS)
             out[low:high] = np.add.reduceat(logs, words.starts)
@@ -403,11 +452,11 @@ def _lexicon_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[list[np.ndarray
             yield unpacked(batch.column(0)[row].as_py())
 
 
-def count_contexts(lexicon: DataFrame) -> np.ndarray:
+def count_contexts(lexicon: DataFrame, scratch: Scratch) -> np.ndarray:
     """Zeros and ones of all predictors of spelling over the distinct training words."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = np.zeros(2 * TABLE_SLOTS, np.int64)
+        counts = np.zeros(2 * TABLE_SLOTS, np.uint32)  # of the distinct words of one task
         for row in _lexicon_rows(batches):
             length, blob, train = row[0].astype(np.int64), row[1], row[2]
             begin, own = np.cumsum(length) - length, np.flatnonzero(train > 0)
@@ -419,35 +468,38 @@ def count_contexts(lexicon: DataFrame) -> np.ndarray:
                         node, bit = words.bit(k)
                         both.append(words.slots(order, node) - STARTS[order] + size * bit.astype(np.int64))
                     got = np.concatenate(both)
-                    if len(got) * 8 > size:
-                        found = np.bincount(got, minlength=2 * size)
+                    if len(got) > size:
+                        found = np.bincount(got, minlength=2 * size).astype(np.uint32)
                         counts[STARTS[order]:STARTS[order] + size] += found[:size]
                         counts[TABLE_SLOTS + STARTS[order]:TABLE_SLOTS + STARTS[order] + size] += found[size:]
                     else:
-                        np.add.at(counts, np.where(got < size, got, got - size + TABLE_SLOTS) + STARTS[order], 1)
+                        np.add.at(counts, np.where(got < size, got, got - size + TABLE_SLOTS) + STARTS[order], np.uint32(1))
         yield from _table_parts(counts)
 
-    return summed(map_batches(lexicon.select("data"), count, "part bigint, data binary"), 2 * TABLE_SLOTS)
+    return summed(map_batches(lexicon.select("data"), count, "part bigint, data binary"), 2 * TABLE_SLOTS, scratch)
 
 
-def summed(parts: DataFrame, size: int) -> np.ndarray:
-    """Sum of the tables of ``size`` slots that tasks emitted by ``_table_parts``."""
+def summed(parts: DataFrame, size: int, scratch: Scratch) -> np.ndarray:
+    """Sum of the tables of ``size`` slots that tasks emitted by ``_table_parts``. It is written before it is read part by
+    part: each part would be a job of its own, and the tasks behind its shuffle run again."""
     step = -(-size // TABLE_PARTS)
 
     def total(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[int, np.ndarray] = {}
         for batch in batches:
             for part, data in zip(batch.column(0).to_pylist(), batch.column(1)):
-                place, values = unpacked(zlib.decompress(data.as_py()))
+                gaps, values = unpacked(data.as_py())
                 if part not in sums:
                     sums[part] = np.zeros(step, np.int64)
-                sums[part][place] += values
+                sums[part][np.cumsum(gaps, dtype=np.int64)] += values
         for part, values in sums.items():
             yield pa.RecordBatch.from_pylist([{"part": part, "data": zlib.compress(values.tobytes(), 1)}])
 
     out = np.zeros(step * TABLE_PARTS, np.float32)  # only ratios of counts matter
-    for row in map_batches(parts.repartition(TABLE_PARTS, "part"), total, "part bigint, data binary").toLocalIterator():
+    sums = scratch.save(map_batches(parts.repartition(TABLE_PARTS, "part"), total, "part bigint, data binary"))
+    for row in sums.toLocalIterator():
         out[row["part"] * step:(row["part"] + 1) * step] = np.frombuffer(zlib.decompress(row["data"]), np.int64)
+    scratch.drop(sums)
     return out[:size]
 
 
@@ -457,8 +509,7 @@ def _table_parts(counts: np.ndarray) -> Iterator[pa.RecordBatch]:
         own = counts[part * step:(part + 1) * step]
         place = np.flatnonzero(own)
         if len(place):
-            data = zlib.compress(packed(place.astype(np.uint32), own[place]), 1)
-            yield pa.RecordBatch.from_pylist([{"part": part, "data": data}])
+            yield pa.RecordBatch.from_pylist([{"part": part, "data": packed(narrow(np.diff(place, prepend=0)), narrow(own[place]))}])
 
 
 # --- words --------------------------------------------------------------------------------
@@ -524,12 +575,13 @@ def word_totals(lexicon: DataFrame, counts, weights: np.ndarray, cells: np.ndarr
                 leaf, logs = code.value.leaf(keys), np.zeros(len(length), np.float32)
                 begin, own = np.cumsum(length) - length, np.flatnonzero(leaf == code.value.other)
                 logs[own] = model.log_spelling(length[own], blob[ragged(begin[own], length[own])])
-                at = 0
+                at, found = 0, []
                 for chunk, size in zip(chunks.tolist(), sizes.tolist()):
                     word = inverse[at:at + size]
                     at += size
-                    yield pa.RecordBatch.from_pylist([{"chunk": chunk, "part": bucket, "data": packed(
-                        keys[word], narrow(train[word]), narrow(leaf[word]), logs[word])}])
+                    found.append({"chunk": chunk, "part": bucket, "data": packed(
+                        keys[word], narrow(train[word]), narrow(leaf[word]), logs[word])})
+                yield pa.RecordBatch.from_pylist(found)
 
     return map_batches(lexicon.select("bucket", "data"), run, "chunk bigint, part bigint, data binary")
 
@@ -581,8 +633,7 @@ class Texts:
     def seen(self) -> np.ndarray:
         """How often each token stood in its text before."""
         pair = self.doc * len(self.key) + self.word
-        order = np.argsort(pair, kind="stable")
-        first = np.flatnonzero(np.append(True, pair[order][1:] != pair[order][:-1])) if len(order) else order
+        order, first = grouped(pair, len(self.ids) * len(self.key))
         out = np.empty(len(order), np.int64)
         out[order] = np.arange(len(order)) - np.repeat(first, np.diff(np.append(first, len(order))))
         return out
@@ -600,19 +651,19 @@ class Others:
         return np.log((1 - self.spelled) * np.maximum(count, 0) / self.tokens + self.spelled * spelling)
 
 
-def count_texts(chunks: DataFrame, code) -> tuple[np.ndarray, np.ndarray]:
+def count_texts(chunks: DataFrame, code, scratch: Scratch) -> tuple[np.ndarray, np.ndarray]:
     """Zeros and ones of all predictors over the training texts, and how many training texts each group has."""
     slots = int(wordcode.table_starts(CLASSES)[-1])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = np.zeros(2 * slots + CLASSES, np.int64)
+        counts = np.zeros(2 * slots + CLASSES, np.uint32)  # of the tokens of one task
         for row in _lexicon_rows(batches):
             texts = Texts(row)
             wordcode.count_decisions(code.value, texts.tokens().where(texts.training()), counts[:2 * slots], CLASSES)
-            counts[2 * slots:] += np.bincount(texts.group[~texts.held], minlength=CLASSES)
+            counts[2 * slots:] += np.bincount(texts.group[~texts.held], minlength=CLASSES).astype(np.uint32)
         yield from _table_parts(counts)
 
-    out = summed(map_batches(chunks, run, "part bigint, data binary"), 2 * slots + CLASSES)
+    out = summed(map_batches(chunks, run, "part bigint, data binary"), 2 * slots + CLASSES, scratch)
     return out[:2 * slots], out[2 * slots:].astype(np.float64)
 
 
@@ -635,7 +686,8 @@ def learn_texts(chunks: DataFrame, code, counts, others: Others, scratch: Scratc
             outside = np.flatnonzero(texts.leaf[word] == code.value.other)
             logs[outside] += others.log_chance(texts.train[word[outside]] - 1, texts.logs[word[outside]])
             seen, n_tokens = texts.seen()[own], texts.n_tokens[~texts.held]
-            gains += [sharpened(logs, seen, kappa).sum() - rising(n_tokens, kappa).sum() for kappa in (*KAPPAS, None)]
+            chances = np.exp(logs)
+            gains += [*(np.log(kappa * chances + seen).sum() - rising(n_tokens, kappa).sum() for kappa in KAPPAS), logs.sum()]
             size += len(logs)
         yield pa.RecordBatch.from_pylist([{"n": size, "data": packed(model.weights.ravel(), model.cells.ravel(), gains)}])
 
@@ -719,14 +771,16 @@ def _scores(spark: SparkSession, scratch: Scratch, rows: DataFrame) -> DataFrame
     def shared(counts: np.ndarray):
         return spark.sparkContext.broadcast(zlib.compress(counts.tobytes(), 1))
 
-    spelling = shared(count_contexts(lexicon))
+    lexicon, written = in_tasks(lexicon, buckets), lexicon
+    spelling = shared(count_contexts(lexicon, scratch))
     code, outside = frequent_words(lexicon, tokens)
     code, others = spark.sparkContext.broadcast(code), Others(outside, once)
-    chunks = scratch.save(join_back(word_totals(lexicon, spelling, *learn_spelling(lexicon, spelling, scratch), code), documents, buckets))
-    scratch.drop(documents, lexicon)
-    counts, groups = count_texts(chunks, code)
+    saved = scratch.save(join_back(word_totals(lexicon, spelling, *learn_spelling(lexicon, spelling, scratch), code), documents, buckets))
+    scratch.drop(documents, written)
+    chunks = in_tasks(saved, buckets)
+    counts, groups = count_texts(chunks, code, scratch)
     counts = shared(counts)
     learned = learn_texts(chunks, code, counts, others, scratch)
     scores = scratch.save(score_texts(chunks, code, counts, learned, others, groups, tokens, types))
-    scratch.drop(chunks)
+    scratch.drop(saved)
     return scores

@@ -5,6 +5,9 @@ binary decisions. Predictors hash a decision's node with nothing, the text's gro
 before to counts of zeros and ones. Their stretched predictions are combined by weights that a gate (depth, and
 which of the two word contexts were seen) selects; an adaptive map from (gate, quantised prediction) to
 observed frequencies refines the result. At every node both bits have chances that sum to one, so all leaves do.
+
+Tokens are taken in runs, longest codes first, and a run is predicted depth by depth: the tokens that go on are its first
+ones, so that contexts and sums are slices, and nothing is repeated for each decision.
 """
 
 from __future__ import annotations
@@ -12,6 +15,7 @@ from __future__ import annotations
 import heapq
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cached_property
 
 import numpy as np
 
@@ -60,6 +64,17 @@ class WordCode:
         at = np.minimum(np.searchsorted(self.keys, words), len(self.keys) - 1)
         return np.where(self.keys[at] == words, self.leaves[at], self.other).astype(np.int32)
 
+    @cached_property
+    def steps(self) -> list[np.ndarray]:
+        """For each depth, 2 * node + bit of the leaves that go through it."""
+        out = []
+        for depth in range(int(self.lengths.max(initial=0))):
+            own = np.flatnonzero(self.lengths > depth)
+            at = self.starts[own] + depth
+            out.append(np.zeros(len(self.lengths), np.int32))
+            out[-1][own] = 2 * self.nodes[at] + self.bits[at]
+        return out
+
 
 def build_code(keys: np.ndarray, counts: np.ndarray, others: int) -> WordCode:
     """Huffman code of at most ``CODE_WORDS`` words and the leaf of the ``others`` tokens."""
@@ -114,26 +129,49 @@ class Tokens:
 
 def in_order(keys: np.ndarray, leaf: np.ndarray, group: np.ndarray, lengths: np.ndarray) -> Tokens:
     """Tokens of texts of ``lengths``; contexts do not cross texts."""
-    begin = np.repeat(np.cumsum(lengths) - lengths, lengths)
-    place = np.arange(len(keys)) - begin
+    begin = (np.cumsum(lengths) - lengths)[lengths > 0]
     one, two = np.ones(len(keys), np.uint64), np.ones(len(keys), np.uint64)
     one[1:], two[2:] = keys[:-1], keys[:-2]
-    one[place < 1], two[place < 2] = 1, 1
+    one[begin], two[begin], two[begin[lengths[lengths > 0] > 1] + 1] = 1, 1, 1
     return Tokens(leaf, group, mix(one), mix(one * np.uint64(0xD6E8FEB86659FD93) + two))
 
 
-def decisions(code: WordCode, tokens: Tokens, starts: np.ndarray,
-              words_only: bool = False) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[np.ndarray]]:
-    """(token, bit, depth, slots of every predictor, or of those of words before) of all decisions of some tokens."""
-    n = code.lengths[tokens.leaf]
-    at = ragged(code.starts[tokens.leaf], n)
-    token, node = np.repeat(np.arange(len(n)), n), code.nodes[at].astype(np.int64)
-    slots = [] if words_only else [node, starts[1] + tokens.group[token] * NODES + node]
-    spread = node.astype(np.uint64)
-    for k, context in enumerate((tokens.one, tokens.two)):
-        value = (context[token] + spread) * SPREAD
-        slots.append(starts[2 + k] + (value >> np.uint64(64 - WORD_BITS[k])).astype(np.int64))
-    return token, code.bits[at], code.depths[at], slots
+class Run:
+    """Decisions of a run of tokens, depth by depth. ``order``: its tokens, longest codes first."""
+
+    def __init__(self, code: WordCode, tokens: Tokens):
+        n = code.lengths[tokens.leaf].astype(np.uint8)
+        self.order = np.argsort(np.uint8(255) - n, kind="stable")
+        self.steps = code.steps
+        self.left = len(n) - np.cumsum(np.bincount(n, minlength=len(self.steps) + 1))  # tokens that go beyond a depth
+        self.leaf = tokens.leaf[self.order].astype(np.int64)
+        self.group = tokens.group[self.order].astype(np.int64) * NODES
+        self.contexts = [c[self.order] * SPREAD for c in (tokens.one, tokens.two)]
+
+    def __iter__(self) -> Iterator[tuple[int, int, np.ndarray]]:
+        """(depth, number of tokens that go on, 2 * node + bit of each)."""
+        for depth, n in enumerate(self.left[:len(self.steps)].tolist()):
+            if n:
+                yield depth, n, self.steps[depth].take(self.leaf[:n], mode="clip")
+
+    def words_before(self, node: np.ndarray) -> list[np.ndarray]:
+        """Slots in the tables of the words before."""
+        spread = node.astype(np.uint64) * SPREAD
+        return [((c[:len(node)] + spread) >> np.uint64(64 - b)).view(np.int64) for c, b in zip(self.contexts, WORD_BITS)]
+
+
+def decisions(code: WordCode, tokens: Tokens, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[np.ndarray]]:
+    """(token, bit, depth, slots of every predictor) of all decisions of some tokens."""
+    run = Run(code, tokens)
+    found: list[list[np.ndarray]] = [[] for _ in range(3 + ORDERS)]
+    for depth, n, step in run:
+        node = step >> 1
+        one, two = run.words_before(node)
+        for held, part in zip(found, (run.order[:n], (step & 1).astype(np.uint8), np.full(n, depth, np.uint8), node.astype(np.int64),
+                                      starts[1] + run.group[:n] + node, starts[2] + one, starts[3] + two)):
+            held.append(part)
+    token, bit, depths, *slots = (np.concatenate(f) if f else np.zeros(0, np.int64) for f in found)
+    return token, bit, depths, slots
 
 
 def count_decisions(code: WordCode, tokens: Tokens, counts: np.ndarray, groups: int) -> None:
@@ -150,24 +188,22 @@ def count_decisions(code: WordCode, tokens: Tokens, counts: np.ndarray, groups:
             own = slice(b * starts[-1] + starts[order], b * starts[-1] + starts[order + 1])
             found = np.bincount(slot[bit == b] - starts[order], times[bit == b], starts[order + 1] - starts[order])
             counts[own] += found.astype(counts.dtype)
-    held: list[list[np.ndarray]] = [[] for _ in WORD_BITS]
+    one = counts.dtype.type(1)
     for _, _, part in tokens.runs():
-        _, bit, _, slots = decisions(code, part, starts, words_only=True)
-        for k, slot in enumerate(slots):
-            held[k].append((slot - starts[2 + k] + (bit.astype(np.int64) << WORD_BITS[k])).astype(np.int32))
-    for k, found in enumerate(held):
-        size, first = 1 << WORD_BITS[k], starts[2 + k]
-        got = np.concatenate(found) if found else np.zeros(0, np.int32)
-        if len(got) * 8 < size:
-            np.add.at(counts, np.where(got < size, got, got - size + starts[-1]) + first, 1)
-            continue
-        sums = np.bincount(got, minlength=2 * size)
-        counts[first:first + size] += sums[:size]
-        counts[starts[-1] + first:starts[-1] + first + size] += sums[size:]
+        run = Run(code, part)
+        for _, _, step in run:
+            bit = (step & 1) * starts[-1]
+            for k, slot in enumerate(run.words_before(step >> 1)):
+                slot += bit
+                slot += starts[2 + k]
+                np.add.at(counts, slot, one)
 
 
 def squash(x: np.ndarray) -> np.ndarray:
-    return 1 / (1 + np.exp(-x))
+    out = np.negative(x)
+    np.exp(out, out=out)
+    out += 1
+    return np.divide(1, out, out=out)
 
 
 def stretched(zeros: np.ndarray, ones: np.ndarray) -> np.ndarray:
@@ -181,53 +217,99 @@ class TextModel:
 
     def __init__(self, code: WordCode, counts: np.ndarray, groups: int, learning: bool = False,
                  weights: np.ndarray | None = None, cells: np.ndarray | None = None):
-        self.code, self.starts, n = code, table_starts(groups), len(counts) // 2
+        self.code, starts, n = code, table_starts(groups), len(counts) // 2
         zeros, ones = counts[:n], counts[n:]
-        # While learning, the coming bit's own count is taken out: all slots if it is 0, then if it is 1.
-        self.tables = (np.concatenate([stretched(zeros - 1, ones), stretched(zeros, ones - 1)]) if learning
-                       else stretched(zeros, ones))
-        self.shift = n if learning else 0
+        self.learning = learning
+        if learning:  # the coming bit's own count is taken out: a slot's entry if it is 0 is followed by that if it is 1
+            both = np.empty((n, 2), np.float32)
+            both[:, 0], both[:, 1] = stretched(zeros - 1, ones), stretched(zeros, ones - 1)
+            self.tables = [both[a:b].ravel() for a, b in zip(starts[:-1], starts[1:])]
+        else:
+            plain = stretched(zeros, ones)
+            self.tables = [plain[a:b] for a, b in zip(starts[:-1], starts[1:])]
         self.weights = np.full((GATES, ORDERS), 0.3) if weights is None else weights
         self.cells = np.zeros((2, GATES * STEPS)) if cells is None else cells
         self.curvature = np.full((GATES, ORDERS), 100.0)
 
-    def refined(self, gate: np.ndarray, mixed: np.ndarray, chance: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        cell = gate * STEPS + np.clip(np.rint((mixed + 8) * 2), 0, STEPS - 1).astype(np.int64)
+    def refining(self) -> np.ndarray:
+        """Observed frequencies of the map, a row of ``4 * STEPS`` for each depth."""
         prior = squash(np.arange(STEPS) / 2 - 8.0)
         table = (self.cells[1].reshape(GATES, STEPS) + MAP_PRIOR * prior) / (self.cells[0].reshape(GATES, STEPS) + MAP_PRIOR)
-        return cell, (chance + table.ravel().astype(np.float32)[cell]) / 2
+        return table.reshape(DEPTHS, -1).astype(np.float32)
+
+    def slots(self, run: Run, n: int, step: np.ndarray) -> list[np.ndarray]:
+        """Entries of the tables of all orders."""
+        one, two = run.words_before(step >> 1)
+        if not self.learning:
+            node = (step >> 1).astype(np.int64)
+            return [node, run.group[:n] + node, one, two]
+        step = step.astype(np.int64)
+        bit = step & 1
+        return [step, 2 * run.group[:n] + step, 2 * one + bit, 2 * two + bit]
 
     def log_leaves(self, tokens: Tokens) -> np.ndarray:
         """Natural log probability of each token's leaf."""
         out = np.zeros(len(tokens))
         for low, high, part in tokens.runs():
-            token, bit, depth, slots = decisions(self.code, part, self.starts)
-            if len(token) == 0:
-                continue
-            own = self.shift * bit.astype(np.int64)
-            x = np.empty((ORDERS, len(token)), np.float32)
-            for order in range(ORDERS):
-                np.take(self.tables, slots[order] + own if self.shift else slots[order], out=x[order])
-            gate = np.minimum(depth, DEPTHS - 1).astype(np.int64) * 4 + (x[2] != 0) + 2 * (x[3] != 0)
-            weights = np.ascontiguousarray(self.weights.T, np.float32)
-            mixed = weights[0].take(gate) * x[0]
-            for order in range(1, ORDERS):
-                mixed += weights[order].take(gate) * x[order]
-            np.clip(mixed, -15, 15, out=mixed)
-            chance = squash(mixed)
-            cell, p = self.refined(gate, mixed, chance)
-            own = np.where(bit, p, 1 - p)
-            np.clip(own, np.float32(1e-6), np.float32(1 - 1e-6), out=own)
-            out[low:high] = np.bincount(token, np.log(own), high - low)
-            if self.shift:
-                self.learn(bit, gate, x, chance, cell)
+            run = Run(self.code, part)
+            logs, sums = np.zeros(high - low), Sums() if self.learning else None
+            weights = np.ascontiguousarray(self.weights.T, np.float32).reshape(ORDERS, DEPTHS, 4)
+            refining = self.refining()
+            for depth, n, step in run:
+                d = min(depth, DEPTHS - 1)
+                bit = (step & 1).astype(np.float32)
+                x = [table.take(slot, mode="clip") for table, slot in zip(self.tables, self.slots(run, n, step))]
+                seen = (x[2] != 0).astype(np.int64)
+                seen += 2 * (x[3] != 0).view(np.int8)
+                mixed = weights[0, d].take(seen, mode="clip")
+                mixed *= x[0]
+                for order in range(1, ORDERS):
+                    term = weights[order, d].take(seen, mode="clip")
+                    term *= x[order]
+                    mixed += term
+                np.clip(mixed, -15, 15, out=mixed)
+                chance = squash(mixed)
+                mixed += 8
+                mixed *= 2
+                np.clip(np.rint(mixed, out=mixed), 0, STEPS - 1, out=mixed)
+                cell = mixed.astype(np.int64)
+                cell += STEPS * seen
+                p = refining[d].take(cell, mode="clip")
+                p += chance
+                p /= 2
+                own = np.abs(np.subtract(1 - bit, p, out=p), out=p)
+                np.clip(own, np.float32(1e-6), np.float32(1 - 1e-6), out=own)
+                logs[:n] += np.log(own, out=own)
+                if sums:
+                    sums.add(d, bit, seen, x, chance, cell)
+            out[low + run.order] = logs
+            if sums:
+                self.learn(sums)
         return out
 
-    def learn(self, bit: np.ndarray, gate: np.ndarray, x: np.ndarray, chance: np.ndarray, cell: np.ndarray) -> None:
-        error, spread = bit - chance, chance * (1 - chance)
+    def learn(self, sums: Sums) -> None:
         self.curvature *= FORGET
+        self.curvature += sums.curvature.reshape(GATES, ORDERS)
+        self.weights += LEARN * sums.slope.reshape(GATES, ORDERS) / np.maximum(self.curvature, 1)
+        zeros, ones = sums.cells.reshape(-1, 2).T
+        self.cells[0] += zeros + ones
+        self.cells[1] += ones
+
+
+class Sums:
+    """What a run teaches: by gate and order the slope and curvature of the loss, by cell of the map its bits."""
+
+    def __init__(self):
+        self.slope, self.curvature = np.zeros((DEPTHS, 4, ORDERS)), np.zeros((DEPTHS, 4, ORDERS))
+        self.cells = np.zeros((DEPTHS, 8 * STEPS))
+
+    def add(self, d: int, bit: np.ndarray, seen: np.ndarray, x: list[np.ndarray], chance: np.ndarray, cell: np.ndarray) -> None:
+        error, spread = bit - chance, chance * (1 - chance)
+        terms = np.empty((2 * ORDERS, len(bit)))
         for order in range(ORDERS):
-            self.curvature[:, order] += np.bincount(gate, spread * x[order] * x[order], GATES)
-            self.weights[:, order] += LEARN * np.bincount(gate, error * x[order], GATES) / np.maximum(self.curvature[:, order], 1)
-        self.cells[0] += np.bincount(cell, minlength=GATES * STEPS)
-        self.cells[1] += np.bincount(cell, bit, GATES * STEPS)
+            terms[order] = error * x[order]
+            terms[ORDERS + order] = spread * x[order] * x[order]
+        found = (seen == np.arange(4)[:, None]).astype(np.float64) @ terms.T
+        self.slope[d] += found[:, :ORDERS]
+        self.curvature[d] += found[:, ORDERS:]
+        self.cells[d] += np.bincount(2 * cell + (bit > 0), minlength=8 * STEPS)
