@@ -686,8 +686,10 @@ def learn_texts(chunks: DataFrame, code, counts, others: Others, scratch: Scratc
             outside = np.flatnonzero(texts.leaf[word] == code.value.other)
             logs[outside] += others.log_chance(texts.train[word[outside]] - 1, texts.logs[word[outside]])
             seen, n_tokens = texts.seen()[own], texts.n_tokens[~texts.held]
-            chances = np.exp(logs)
-            gains += [*(np.log(kappa * chances + seen).sum() - rising(n_tokens, kappa).sum() for kappa in KAPPAS), logs.sum()]
+            again = np.flatnonzero(seen)
+            chances, seen, fresh = np.exp(logs[again]), seen[again], logs.sum() - logs[again].sum()
+            gains += [*(np.log(kappa * chances + seen).sum() + fresh + (len(logs) - len(again)) * np.log(kappa)
+                        - rising(n_tokens, kappa).sum() for kappa in KAPPAS), logs.sum()]
             size += len(logs)
         yield pa.RecordBatch.from_pylist([{"n": size, "data": packed(model.weights.ravel(), model.cells.ravel(), gains)}])
 

@@ -154,10 +154,13 @@ class Run:
             if n:
                 yield depth, n, self.steps[depth].take(self.leaf[:n], mode="clip")
 
-    def words_before(self, node: np.ndarray) -> list[np.ndarray]:
-        """Slots in the tables of the words before."""
-        spread = node.astype(np.uint64) * SPREAD
-        return [((c[:len(node)] + spread) >> np.uint64(64 - b)).view(np.int64) for c, b in zip(self.contexts, WORD_BITS)]
+    def words_before(self, k: int, node: np.ndarray) -> np.ndarray:
+        """Slots in the table of one (``k`` 0) or two (1) words before."""
+        slot = node.astype(np.uint64)
+        slot *= SPREAD
+        slot += self.contexts[k][:len(node)]
+        slot >>= np.uint64(64 - WORD_BITS[k])
+        return slot.view(np.int64)
 
 
 def decisions(code: WordCode, tokens: Tokens, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[np.ndarray]]:
@@ -166,7 +169,7 @@ def decisions(code: WordCode, tokens: Tokens, starts: np.ndarray) -> tuple[np.nd
     found: list[list[np.ndarray]] = [[] for _ in range(3 + ORDERS)]
     for depth, n, step in run:
         node = step >> 1
-        one, two = run.words_before(node)
+        one, two = run.words_before(0, node), run.words_before(1, node)
         for held, part in zip(found, (run.order[:n], (step & 1).astype(np.uint8), np.full(n, depth, np.uint8), node.astype(np.int64),
                                       starts[1] + run.group[:n] + node, starts[2] + one, starts[3] + two)):
             held.append(part)
@@ -191,14 +194,20 @@ def count_decisions(code: WordCode, tokens: Tokens, counts: np.ndarray, groups:
     one = counts.dtype.type(1)
     for _, _, part in tokens.runs():
         run = Run(code, part)
-        for _, _, step in run:
-            bit = (step & 1) * starts[-1]
-            for k, slot in enumerate(run.words_before(step >> 1)):
-                slot += bit
+        steps = [step for _, _, step in run]
+        for k in range(len(WORD_BITS)):  # one table at a time, as its pages are soon all at hand
+            for step in steps:
+                slot = (step & 1) * starts[-1]
+                slot += run.words_before(k, step >> 1)
                 slot += starts[2 + k]
                 np.add.at(counts, slot, one)
 
 
+def bounded(x: np.ndarray, least: float, most: float) -> None:
+    """``np.clip`` in place, without its cost on short arrays."""
+    np.minimum(np.maximum(x, np.float32(least), out=x), np.float32(most), out=x)
+
+
 def squash(x: np.ndarray) -> np.ndarray:
     out = np.negative(x)
     np.exp(out, out=out)
@@ -237,15 +246,19 @@ class TextModel:
         table = (self.cells[1].reshape(GATES, STEPS) + MAP_PRIOR * prior) / (self.cells[0].reshape(GATES, STEPS) + MAP_PRIOR)
         return table.reshape(DEPTHS, -1).astype(np.float32)
 
-    def slots(self, run: Run, n: int, step: np.ndarray) -> list[np.ndarray]:
-        """Entries of the tables of all orders."""
-        one, two = run.words_before(step >> 1)
-        if not self.learning:
-            node = (step >> 1).astype(np.int64)
-            return [node, run.group[:n] + node, one, two]
-        step = step.astype(np.int64)
-        bit = step & 1
-        return [step, 2 * run.group[:n] + step, 2 * one + bit, 2 * two + bit]
+    def met(self, order: int, run: Run, n: int, step: np.ndarray) -> np.ndarray:
+        """Stretched predictions of an order for decisions of one depth."""
+        node = step >> 1
+        if order < 2:
+            slot = node.astype(np.int64)
+            if order:
+                slot += run.group[:n]
+        else:
+            slot = run.words_before(order - 2, node)
+        if self.learning:
+            slot += slot
+            slot += step & 1
+        return self.tables[order].take(slot, mode="clip")
 
     def log_leaves(self, tokens: Tokens) -> np.ndarray:
         """Natural log probability of each token's leaf."""
@@ -255,30 +268,33 @@ class TextModel:
             logs, sums = np.zeros(high - low), Sums() if self.learning else None
             weights = np.ascontiguousarray(self.weights.T, np.float32).reshape(ORDERS, DEPTHS, 4)
             refining = self.refining()
-            for depth, n, step in run:
+            levels = list(run)  # one table at a time, as its pages are soon all at hand
+            found = [[self.met(order, run, n, step) for _, n, step in levels] for order in range(ORDERS)]
+            for (depth, n, step), *x in zip(levels, *found):
                 d = min(depth, DEPTHS - 1)
                 bit = (step & 1).astype(np.float32)
-                x = [table.take(slot, mode="clip") for table, slot in zip(self.tables, self.slots(run, n, step))]
-                seen = (x[2] != 0).astype(np.int64)
-                seen += 2 * (x[3] != 0).view(np.int8)
+                seen = (x[3] != 0).view(np.int8)
+                seen += seen
+                seen += x[2] != 0
+                seen = seen.astype(np.int64)
                 mixed = weights[0, d].take(seen, mode="clip")
                 mixed *= x[0]
                 for order in range(1, ORDERS):
                     term = weights[order, d].take(seen, mode="clip")
                     term *= x[order]
                     mixed += term
-                np.clip(mixed, -15, 15, out=mixed)
+                bounded(mixed, -15, 15)
                 chance = squash(mixed)
                 mixed += 8
                 mixed *= 2
-                np.clip(np.rint(mixed, out=mixed), 0, STEPS - 1, out=mixed)
+                bounded(np.rint(mixed, out=mixed), 0, STEPS - 1)
                 cell = mixed.astype(np.int64)
                 cell += STEPS * seen
                 p = refining[d].take(cell, mode="clip")
                 p += chance
                 p /= 2
                 own = np.abs(np.subtract(1 - bit, p, out=p), out=p)
-                np.clip(own, np.float32(1e-6), np.float32(1 - 1e-6), out=own)
+                bounded(own, 1e-6, 1 - 1e-6)
                 logs[:n] += np.log(own, out=own)
                 if sums:
                     sums.add(d, bit, seen, x, chance, cell)
@@ -305,11 +321,17 @@ class Sums:
 
     def add(self, d: int, bit: np.ndarray, seen: np.ndarray, x: list[np.ndarray], chance: np.ndarray, cell: np.ndarray) -> None:
         error, spread = bit - chance, chance * (1 - chance)
-        terms = np.empty((2 * ORDERS, len(bit)))
+        terms = np.empty((2 * ORDERS, len(bit)), np.float32)
         for order in range(ORDERS):
-            terms[order] = error * x[order]
-            terms[ORDERS + order] = spread * x[order] * x[order]
-        found = (seen == np.arange(4)[:, None]).astype(np.float64) @ terms.T
+            np.multiply(error, x[order], out=terms[order])
+            np.multiply(spread, x[order], out=terms[ORDERS + order])
+            terms[ORDERS + order] *= x[order]
+        most = int(np.argmax(np.bincount(seen)))  # of all four, the sums of this one are what the others leave
+        rest = np.flatnonzero(seen != most)
+        found = (seen[rest] == np.arange(4)[:, None]).astype(np.float64) @ terms[:, rest].astype(np.float64).T
+        found[most] = terms.sum(axis=1, dtype=np.float64) - found.sum(axis=0)
         self.slope[d] += found[:, :ORDERS]
         self.curvature[d] += found[:, ORDERS:]
-        self.cells[d] += np.bincount(2 * cell + (bit > 0), minlength=8 * STEPS)
+        cell *= 2
+        cell += bit > 0
+        self.cells[d] += np.bincount(cell, minlength=8 * STEPS)
