@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from aislewise.operators import pairkernels
+from aislewise.operators.itemcodes import numbered_items
 from aislewise.operators.skew import BLOCK_ROWS, blocks_of, cell_join, fan_out
 from aislewise.session import drop_materialized, materialize
+from aislewise.shipping import map_batches
 
 CAP_PER_MONTH = 300
 SHORT_RANGE_CAP = 900
@@ -22,6 +26,9 @@ BITMAP_BITS = 1 << 15
 #: Pairs aimed at in a task that counts them, and in one that writes them out for those tasks.
 TASK_PAIRS = 2_000_000
 SENT_PAIRS = 32_000_000
+#: Pairs aimed at in a cell of two parts of the items, and names sent in a row.
+CELL_PAIRS = 24_000_000
+NAMES_SENT = 4096
 #: Up to so many different pairs, every task that joins them has room for all their counts.
 FEW_PAIRS = 4_000_000
 #: Pruning stops when a round takes less than this share of the rows.
@@ -181,6 +188,31 @@ def others_counted(
     return pairs.groupBy(*at, *carry, "other").agg(F.count(F.lit(1)).alias("cnt")).select(*unit, *carry, "other", "cnt")
 
 
+def counted_once(rows: DataFrame, items: DataFrame, keys: list[str], pairs: int) -> DataFrame:
+    """(item, other, cnt): how often two items meet in baskets (keys..., no), every pair in one direction only.
+
+    Items are dealt into parts, and two parts are a cell: a task that gets what each basket has of both, with the names
+    of both, counts its pairs in bounded steps (``pairkernels``) and names them. A basket is sent once per part that it
+    has items in, not once per item, and no pair is shuffled, sorted on disk or stored. Cells are as many as
+    the counted ``pairs`` ask for. A basket is a row here: far less than its pairs, which are all in the result.
+    """
+    nos = rows.dropna(subset=keys).groupBy(*keys).agg(F.collect_list("no").alias("nos"))
+    stored = materialize(nos.where(F.size("nos") > 1).select("nos"), "pair-baskets")
+    least = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    parts = math.ceil(math.sqrt(max(pairs / CELL_PAIRS, 2 * least)))
+    sent = map_batches(stored, pairkernels.cell_rows(parts), "cell int, sizes binary, left binary, others binary, right binary")
+    local = F.floor(F.col("no") / parts).cast("int")
+    names = items.groupBy(F.pmod("no", F.lit(parts)).cast("int").alias("part"), F.floor(local / NAMES_SENT).alias("chunk")).agg(
+        F.collect_list(F.struct(local.alias("no"), "item")).alias("names"))
+    met = F.explode(F.sequence(F.lit(0), F.lit(parts - 1)))
+    low, high = F.least("part", "met"), F.greatest("part", "met")
+    told = names.withColumn("met", met).select(
+        (F.floor(high * (high + 1) / 2) + low).cast("int").alias("cell"), (F.col("part") > F.col("met")).cast("int").alias("side"), "names")
+    dealt = sent.unionByName(told, allowMissingColumns=True).repartitionById(parts * (parts + 1) // 2, "cell")
+    kind = items.schema["item"].dataType.simpleString()
+    return map_batches(dealt, pairkernels.count_cells, f"item {kind}, other {kind}, cnt bigint")
+
+
 def cooccurrence(
     baskets: DataFrame, keys: list[str], bounded: bool, per: list[str] | None = None,
     block_items: int = BLOCK_ITEMS,
@@ -189,13 +221,19 @@ def cooccurrence(
 
     Counts are symmetric: only pairs with item < other are counted, and the finished counts are mirrored.
     Where there are few different pairs they are combined in the task that joins them and only partial counts are
-    shuffled; else items are sent with their mates (``others_counted``). ``per`` names basket keys that stay in the result.
+    shuffled; else parts of baskets are (``counted_once``). ``per`` names basket keys that stay in the result: baskets of
+    these are taken to be small, and items are sent with their mates (``others_counted``).
     """
     per = per or []
     rows = materialize(baskets.select(*keys, "item"), "basket-rows")
     plan = pair_plan(rows, keys, [*per, "item"], per)
     if plan.few:
         return count_pairs(basket_pairs(rows, keys, ["item"], bounded, block_items).where("item < other_item"), per)
+    if not per:
+        items = numbered_items(rows.dropna(subset=["item"]))
+        once = counted_once(rows.join(items, "item"), items, keys, plan.pairs)
+        drop_materialized(rows)
+        return mirrored_counts(once.withColumnRenamed("other", "other_item"), per)
     half = others_counted(
         rows, keys, [*per, "item"], "item", lambda mate, own: mate["item"] > own["item"], plan, bounded, block_items=block_items)
     return mirrored_counts(half.withColumnRenamed("other", "other_item"), per)
