@@ -123,10 +123,9 @@ def similar_items(units: CappedUnits, min_score: int = 0) -> DataFrame:
     if plan.few:
         scores = _half_scores(_joined_pairs(rows, units.bounded)).where(F.col("score") > min_score)
         half = named(scores, units.items, no="item", other_no="other")
-    else:  # by code: nearly all pairs stay, so naming them afterwards would shuffle each of them twice
-        counts = B.others_counted(
-            rows, ["user"], ["item"], "item", lambda mate, own: (mate["item"] > own["item"]) & _may_meet(mate, own), plan,
-            units.bounded, ["fam", "common"])
+    else:  # items that are not common may meet all here: scores above the least are those within their family only
+        counts = B.counted_once(rows, units.items, ["user"], plan.pairs)
+        drop_materialized(rows)
         same = H.prefix(F.col("item"), H.STORE_FAMILY_CHARS) == H.prefix(F.col("other"), H.STORE_FAMILY_CHARS)
         half = counts.select("item", "other", _score(same)).where(F.col("score") > min_score)
     both = F.array(F.struct("item", "other"), F.struct(F.col("other").alias("item"), F.col("item").alias("other")))

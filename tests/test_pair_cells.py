@@ -10,8 +10,9 @@ from itertools import permutations
 import numpy as np
 import pytest
 from conftest import rows
+from test_recommend import history, item, user
 
-from aislewise.operators import baskets, pairkernels
+from aislewise.operators import alsoview, baskets, pairkernels
 from aislewise.session import materialize
 
 
@@ -53,6 +54,18 @@ def test_cells_count_what_baskets_hold(spark, monkeypatch, each):
     assert "MapInArrow" in text and "count(1)" not in text
 
 
+def test_similarity_in_cells_with_a_least_score(spark, monkeypatch):
+    rng = random.Random(4)
+    codes = [item(f"{f}{s}", k) for k, (f, s) in enumerate((f, s) for f in ("AAAA", "BBBB") for s in ("11", "12", "21"))]
+    seen = history(spark, [(user(u), c, c[:6], None) for u in range(20) for c in rng.sample(codes, 4)])
+    joined = [rows(alsoview.similar_items(alsoview.capped_units(seen, None), least)) for least in (0, 8)]
+    monkeypatch.setattr(baskets, "FEW_PAIRS", -1)
+    for least, expected in zip((0, 8), joined):
+        found = alsoview.similar_items(alsoview.capped_units(seen, None), least)
+        assert expected and rows(found) == expected
+        assert "MapInArrow" in found._jdf.queryExecution().optimizedPlan().toString()
+
+
 def test_stage_tables_leave_no_shuffle_files(spark):
     def files():
         manager = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
