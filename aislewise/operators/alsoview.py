@@ -119,12 +119,12 @@ def _mirrored(half: DataFrame) -> DataFrame:
 def similar_items(units: CappedUnits, min_score: int = 0) -> DataFrame:
     """(item, other, score) above ``min_score``."""
     rows = materialize(_able_rows(units, min_score), "pair-rows")
-    plan = B.pair_plan(rows, ["user"], ["item"])
-    if plan.few:
+    pairs, few = B.pair_numbers(rows, ["user"])
+    if few:
         scores = _half_scores(_joined_pairs(rows, units.bounded)).where(F.col("score") > min_score)
         half = named(scores, units.items, no="item", other_no="other")
     else:  # items that are not common may meet all here: scores above the least are those within their family only
-        counts = B.counted_once(rows, units.items, ["user"], plan.pairs)
+        counts = B.pair_cells(rows, units.items, ["user"], pairs).counted_once()
         drop_materialized(rows)
         same = H.prefix(F.col("item"), H.STORE_FAMILY_CHARS) == H.prefix(F.col("other"), H.STORE_FAMILY_CHARS)
         half = counts.select("item", "other", _score(same)).where(F.col("score") > min_score)

@@ -6,13 +6,13 @@ import math
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from aislewise.operators import pairkernels
 from aislewise.operators.itemcodes import numbered_items
 from aislewise.operators.skew import BLOCK_ROWS, blocks_of, cell_join, fan_out
-from aislewise.session import drop_materialized, materialize
+from aislewise.session import drop_materialized, materialize, shuffles_deleted
 from aislewise.shipping import map_batches
 
 CAP_PER_MONTH = 300
@@ -135,11 +135,23 @@ def pair_plan(
     per = per or []
     totals = weights.groupBy(*per).agg(
         F.count(F.lit(1)).cast("double").alias("units"), F.sum("_n").alias("pairs"), F.count_if(F.col("_n") > TASK_PAIRS).alias("hot"))
-    found = totals.agg(F.sum(F.col("units") * F.col("units")).alias("kinds"), F.sum("pairs").alias("pairs"), F.sum("hot").alias("hot")).first()
+    with shuffles_deleted(rows.sparkSession):
+        found = totals.agg(
+            F.sum(F.col("units") * F.col("units")).alias("kinds"), F.sum("pairs").alias("pairs"), F.sum("hot").alias("hot")).first()
     hot = weights.where(F.col("_n") > TASK_PAIRS).select(*unit, F.ceil(F.col("_n") / TASK_PAIRS).cast("int").alias("_slices"))
     return PairPlan(found["pairs"] or 0, (found["kinds"] or 0) <= FEW_PAIRS, hot if found["hot"] else None)
 
 
+def pair_numbers(rows: DataFrame, keys: list[str], per: list[str] | None = None) -> tuple[int, bool]:
+    """How many ordered pairs baskets of stored ``rows`` (keys..., item) hold, and whether they are few different ones, as
+    far as estimated counts of the items tell."""
+    pairs = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).agg(F.sum(F.col("n") * F.col("n")).alias("pairs"))
+    units = rows.groupBy(*(per or [])).agg(F.approx_count_distinct("item").cast("double").alias("units"))
+    with shuffles_deleted(rows.sparkSession):
+        kinds = units.agg(F.sum(F.col("units") * F.col("units"))).first()[0] or 0
+        return pairs.first()["pairs"] or 0, kinds <= FEW_PAIRS
+
+
 def _mates(
     rows: DataFrame, keys: list[str], own: list[str], bounded: bool, plan: PairPlan, block_items: int,
 ) -> DataFrame:
@@ -188,19 +200,62 @@ def others_counted(
     return pairs.groupBy(*at, *carry, "other").agg(F.count(F.lit(1)).alias("cnt")).select(*unit, *carry, "other", "cnt")
 
 
-def counted_once(rows: DataFrame, items: DataFrame, keys: list[str], pairs: int) -> DataFrame:
-    """(item, other, cnt): how often two items meet in baskets (keys..., no), every pair in one direction only.
+@dataclass
+class PairCells:
+    """Baskets cut into cells of two parts of the items (``pair_cells``): ``dealt`` rows, a cell a task, of ``parts`` parts.
+    ``groups`` (grp, per...) names the groups of baskets."""
+
+    dealt: DataFrame
+    parts: int
+    pairs: int
+    items: DataFrame
+    groups: DataFrame
+    per: list[str]
+    baskets: DataFrame
+
+    def counted_once(self) -> DataFrame:
+        """(per..., item, other, cnt): every pair in one direction only."""
+        kind = self.items.schema["item"].dataType.simpleString()
+        counts = map_batches(self.dealt, pairkernels.count_cells, f"grp int, item {kind}, other {kind}, cnt bigint")
+        if not self.per:
+            return counts.drop("grp")
+        return counts.join(self.groups, "grp").select(*self.per, "item", "other", "cnt")
+
+    def vectors(self, min_cnt: int, limit: int | None) -> DataFrame:
+        """(no, n, at, others, cnts): the counts summed over all groups, as ``pairkernels.whole_vectors`` has them.
+
+        All of a pair's counts are in one cell, so their sums are made there."""
+        parts = map_batches(self.dealt, pairkernels.vector_parts(self.parts, min_cnt), "no int, others array<int>, cnts array<bigint>")
+        tasks = max(int(parts.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-self.pairs // TASK_PAIRS))
+        return map_batches(
+            parts.repartition(tasks, "no"), pairkernels.whole_vectors(limit, BLOCK_ROWS),
+            "no int, n int, at int, others array<int>, cnts array<bigint>")
+
+    def drop(self) -> None:
+        drop_materialized(self.baskets)
+
+
+def pair_cells(rows: DataFrame, items: DataFrame, keys: list[str], pairs: int, per: list[str] | None = None) -> PairCells:
+    """Deals baskets (keys..., no) for counting how often two items meet in one.
 
     Items are dealt into parts, and two parts are a cell: a task that gets what each basket has of both, with the names
     of both, counts its pairs in bounded steps (``pairkernels``) and names them. A basket is sent once per part that it
     has items in, not once per item, and no pair is shuffled, sorted on disk or stored. Cells are as many as
     the counted ``pairs`` ask for. A basket is a row here: far less than its pairs, which are all in the result.
     """
-    nos = rows.dropna(subset=keys).groupBy(*keys).agg(F.collect_list("no").alias("nos"))
-    stored = materialize(nos.where(F.size("nos") > 1).select("nos"), "pair-baskets")
+    per = per or []
+    kept = rows.dropna(subset=keys)
+    groups = kept.select(*per).distinct().withColumn("grp", F.row_number().over(Window.orderBy(*per))) if per else None
+    if per:  # few: the groups that stay in the result
+        groups = materialize(groups, "basket-groups")
+        kept = kept.join(groups, per)
+    grp = F.first("grp") if per else F.lit(0)
+    nos = kept.groupBy(*keys).agg(grp.alias("grp"), F.collect_list("no").alias("nos"))
+    stored = materialize(nos.where(F.size("nos") > 1).select("grp", "nos"), "pair-baskets")
     least = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     parts = math.ceil(math.sqrt(max(pairs / CELL_PAIRS, 2 * least)))
-    sent = map_batches(stored, pairkernels.cell_rows(parts), "cell int, sizes binary, left binary, others binary, right binary")
+    sent = map_batches(
+        stored, pairkernels.cell_rows(parts), ", ".join(f"{c} {'int' if c == 'cell' else 'binary'}" for c in pairkernels.CELL_COLUMNS))
     local = F.floor(F.col("no") / parts).cast("int")
     names = items.groupBy(F.pmod("no", F.lit(parts)).cast("int").alias("part"), F.floor(local / NAMES_SENT).alias("chunk")).agg(
         F.collect_list(F.struct(local.alias("no"), "item")).alias("names"))
@@ -209,8 +264,7 @@ def counted_once(rows: DataFrame, items: DataFrame, keys: list[str], pairs: int)
     told = names.withColumn("met", met).select(
         (F.floor(high * (high + 1) / 2) + low).cast("int").alias("cell"), (F.col("part") > F.col("met")).cast("int").alias("side"), "names")
     dealt = sent.unionByName(told, allowMissingColumns=True).repartitionById(parts * (parts + 1) // 2, "cell")
-    kind = items.schema["item"].dataType.simpleString()
-    return map_batches(dealt, pairkernels.count_cells, f"item {kind}, other {kind}, cnt bigint")
+    return PairCells(dealt, parts, pairs, items, groups, per, stored)
 
 
 def cooccurrence(
@@ -221,22 +275,19 @@ def cooccurrence(
 
     Counts are symmetric: only pairs with item < other are counted, and the finished counts are mirrored.
     Where there are few different pairs they are combined in the task that joins them and only partial counts are
-    shuffled; else parts of baskets are (``counted_once``). ``per`` names basket keys that stay in the result: baskets of
-    these are taken to be small, and items are sent with their mates (``others_counted``).
+    shuffled; else parts of baskets are (``pair_cells``). ``per`` names basket keys that stay in the result, with few values.
     """
     per = per or []
     rows = materialize(baskets.select(*keys, "item"), "basket-rows")
-    plan = pair_plan(rows, keys, [*per, "item"], per)
-    if plan.few:
+    pairs, few = pair_numbers(rows, keys, per)
+    if few:
         return count_pairs(basket_pairs(rows, keys, ["item"], bounded, block_items).where("item < other_item"), per)
-    if not per:
-        items = numbered_items(rows.dropna(subset=["item"]))
-        once = counted_once(rows.join(items, "item"), items, keys, plan.pairs)
-        drop_materialized(rows)
-        return mirrored_counts(once.withColumnRenamed("other", "other_item"), per)
-    half = others_counted(
-        rows, keys, [*per, "item"], "item", lambda mate, own: mate["item"] > own["item"], plan, bounded, block_items=block_items)
-    return mirrored_counts(half.withColumnRenamed("other", "other_item"), per)
+    items = numbered_items(rows.dropna(subset=["item"]))
+    cells = pair_cells(rows.join(items, "item"), items, keys, pairs, per)
+    drop_materialized(rows)
+    counted = mirrored_counts(cells.counted_once().withColumnRenamed("other", "other_item"), per)
+    counted._cells = cells
+    return counted
 
 
 def count_pairs(pairs: DataFrame, per: list[str] | None = None) -> DataFrame:

@@ -10,8 +10,11 @@ import pyarrow.compute as pc
 
 #: Pairs held at once, and values of one step that cuts baskets.
 STEP = 1 << 21
+#: Products summed at once: few enough for the cache, as they are sorted.
+PRODUCTS = 1 << 18
 #: Rows of an emitted batch.
 EMITTED = 100_000
+CELL_COLUMNS = ["cell", "grps", "sizes", "left", "others", "right"]
 
 
 def _packed(values: np.ndarray) -> bytes:
@@ -47,14 +50,15 @@ def cell_of(low: np.ndarray, high: np.ndarray) -> np.ndarray:
 
 
 def cell_rows(parts: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """From baskets (nos): rows (cell, sizes, left, others, right), one of each cell and batch.
+    """From baskets (grp, nos): rows (cell, grps, sizes, left, others, right), one of each cell and batch.
 
     A number belongs to part ``no % parts``, where it is ``no // parts``. A cell of two parts gets what each basket has of
-    either, ``sizes`` and ``others`` of them at a time; a cell of one part gets its numbers once.
+    either, ``sizes`` and ``others`` of them at a time; a cell of one part gets its numbers once. ``grps`` has the group of
+    each basket.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            lists = batch.column("nos")
+            lists, grps = batch.column("nos"), batch.column("grp").to_numpy(zero_copy_only=False)
             lengths = pc.list_value_length(lists).to_numpy(zero_copy_only=False)
             flat = lists.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
             place = np.repeat(np.arange(len(lengths)), lengths) * parts + flat % parts
@@ -79,21 +83,21 @@ def cell_rows(parts: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Re
                 for s, e in zip(begins, [*begins[1:], len(cell)]):
                     mine, other = left[s:e], right[s:e]
                     same = mine[0] == other[0]
-                    row = [int(cell[s]), _packed(size[mine]), _packed(local[ranges(first[mine], size[mine])])]
+                    row = [int(cell[s]), _packed(grps[basket[mine]]), _packed(size[mine]), _packed(local[ranges(first[mine], size[mine])])]
                     out.append([*row, b"", b""] if same else [
                         *row, _packed(size[other]), _packed(local[ranges(first[other], size[other])])])
-                cells, *data = zip(*out) if out else [()] * 5
+                cells, *data = zip(*out) if out else [()] * 6
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(cells, pa.int32()), *[pa.array(d, pa.binary()) for d in data]], ["cell", "sizes", "left", "others", "right"])
+                    [pa.array(cells, pa.int32()), *[pa.array(d, pa.binary()) for d in data]], CELL_COLUMNS)
 
     return run
 
 
 def pair_counts(
-    left: np.ndarray, sizes: np.ndarray, right: np.ndarray, others: np.ndarray, ordered: bool,
+    left: np.ndarray, sizes: np.ndarray, right: np.ndarray, others: np.ndarray, ordered: bool, own: np.ndarray | None = None,
 ) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
     """(a, b, n) by steps: how often each a of ``left`` meets each b of ``right`` in rows of ``sizes`` and ``others`` values.
-    ``ordered`` leaves only a < b. All counts of an a are in one step, so they are final."""
+    ``ordered`` leaves only a < b, or ``own[a]`` < b where given. All counts of an a are in one step, so they are final."""
     order = np.argsort(left)
     row = np.repeat(np.arange(len(sizes), dtype=np.int32), sizes)[order]
     a, starts = left[order], np.cumsum(others) - others
@@ -107,14 +111,16 @@ def pair_counts(
             for x, y in steps(others[row[lo:hi]], STEP):
                 rows = row[lo + x:lo + y]
                 found += np.bincount(right[ranges(starts[rows], others[rows])], minlength=len(found))
-            b = np.flatnonzero(found[int(a[lo]) + 1:]) + int(a[lo]) + 1 if ordered else np.flatnonzero(found)
+            least = (int(a[lo]) if own is None else int(own[a[lo]])) + 1 if ordered else 0
+            b = np.flatnonzero(found[least:]) + least
             yield np.repeat(a[lo], len(b)), b, found[b]
             continue
         rows = row[lo:hi]
         b = right[ranges(starts[rows], others[rows])]
         key = (np.repeat(a[lo:hi].astype(np.int64), others[rows]) << 32) | b
         if ordered:
-            key = key[(key >> 32) < b]
+            mine = key >> 32
+            key = key[(mine if own is None else own[mine]) < b]
         key.sort()
         at = np.flatnonzero(np.diff(key, prepend=-1))
         yield key[at] >> 32, key[at] & 0xFFFFFFFF, np.diff(np.append(at, len(key)))
@@ -126,30 +132,177 @@ def _names(chunks: list[tuple[pa.Array, pa.Array]]) -> pa.Array:
     return pa.concat_arrays([names for _, names in chunks]).take(pa.array(order))
 
 
-def count_cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(item, other, cnt) of every pair of a cell, from rows of ``cell_rows`` and, by ``side``, the names of its parts."""
+def _cells(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, list[np.ndarray], dict[int, list]]]:
+    """(cell, its columns, names by side) of rows of ``cell_rows`` and, by ``side``, the names of its parts."""
     cells: dict[int, tuple[list, dict[int, list]]] = {}
     for batch in batches:
         numbers, side, named = batch.column("cell").to_pylist(), batch.column("side").to_pylist(), batch.column("names")
         for k, cell in enumerate(numbers):
             rows, names = cells.setdefault(cell, ([], {0: [], 1: []}))
             if side[k] is None:
-                rows.append([_unpacked(batch.column(c)[k].as_buffer()) for c in ("sizes", "left", "others", "right")])
+                rows.append([_unpacked(batch.column(c)[k].as_buffer()) for c in CELL_COLUMNS[1:]])
             else:
                 entries = named[k].values
                 names[side[k]].append((entries.field(0), entries.field(1)))
     for cell in list(cells):
         rows, names = cells.pop(cell)
-        if not rows:
-            continue
-        sizes, left, others, right = (np.concatenate(x) for x in zip(*rows))
-        del rows
-        own = _names(names[0])
-        other = _names(names[1]) if names[1] else own
+        if rows:
+            yield cell, [np.concatenate(x) for x in zip(*rows)], names
+
+
+def count_cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(grp, item, other, cnt): every pair of a cell and a group."""
+    for _, (grps, sizes, left, others, right), names in _cells(batches):
+        mine = _names(names[0])
+        other = _names(names[1]) if names[1] else mine
         if not names[1]:
             others, right = sizes, left
-        for a, b, n in pair_counts(left, sizes, right, others, not names[1]):
+        # A number of each group and item that there is.
+        units, left = np.unique(np.repeat(grps.astype(np.int64), sizes) * len(mine) + left, return_inverse=True)
+        grp, own = np.divmod(units, len(mine))
+        for a, b, n in pair_counts(left, sizes, right, others, not names[1], own):
             for s in range(0, len(a), EMITTED):
-                e = s + EMITTED
+                at = a[s:s + EMITTED]
                 yield pa.RecordBatch.from_arrays(
-                    [own.take(pa.array(a[s:e])), other.take(pa.array(b[s:e])), pa.array(n[s:e], pa.int64())], ["item", "other", "cnt"])
+                    [pa.array(grp[at], pa.int32()), mine.take(pa.array(own[at])), other.take(pa.array(b[s:s + EMITTED])),
+                     pa.array(n[s:s + EMITTED], pa.int64())], ["grp", "item", "other", "cnt"])
+
+
+def _lists(no: np.ndarray, others: np.ndarray, cnts: np.ndarray, begins: np.ndarray, **more: np.ndarray) -> pa.RecordBatch:
+    """(no, ..., others, cnts): the values from each of ``begins`` on up to the next."""
+    ends = pa.array(np.append(begins, len(others)), pa.int32())
+    return pa.RecordBatch.from_arrays(
+        [pa.array(no[begins], pa.int32()), *[pa.array(m, pa.int32()) for m in more.values()],
+         pa.ListArray.from_arrays(ends, pa.array(others, pa.int32())), pa.ListArray.from_arrays(ends, pa.array(cnts, pa.int64()))],
+        ["no", *more, "others", "cnts"])
+
+
+def vector_parts(parts: int, min_cnt: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """(no, others, cnts): of every cell the pairs counted more than ``min_cnt`` times over all groups, in both directions."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for cell, (_, sizes, left, others, right), names in _cells(batches):
+            high = next(h for h in range(parts) if cell < (h + 1) * (h + 2) // 2)
+            low = cell - high * (high + 1) // 2
+            if low == high:
+                others, right = sizes, left
+            for a, b, n in pair_counts(left, sizes, right, others, low == high):
+                kept = n > min_cnt
+                a, b, n = a[kept] * parts + low, b[kept] * parts + high, n[kept]
+                if len(a):
+                    yield _lists(a, b, n, np.flatnonzero(np.diff(a, prepend=-1)))
+                    order = np.argsort(b)
+                    a, b, n = a[order], b[order], n[order]
+                    yield _lists(b, a, n, np.flatnonzero(np.diff(b, prepend=-1)))
+
+    return run
+
+
+def whole_vectors(limit: int | None, block: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """(no, n, at, others, cnts): the parts of each item's vector as one, the largest counts first, then the smaller numbers,
+    up to ``limit``; in lists of ``block`` at most, of which ``at`` partners come before, of ``n`` in all."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found = [[], [], []]
+        for batch in batches:
+            lists = batch.column("others")
+            found[0].append(np.repeat(batch.column("no").to_numpy(), pc.list_value_length(lists).to_numpy(zero_copy_only=False)))
+            found[1].append(lists.flatten().to_numpy())
+            found[2].append(batch.column("cnts").flatten().to_numpy())
+        if not found[0]:
+            return
+        no, others, cnts = (np.concatenate(x) for x in found)
+        order = np.lexsort((others, -cnts, no))
+        no, others, cnts = no[order], others[order], cnts[order]
+        first = np.flatnonzero(np.diff(no, prepend=-1))
+        size = np.diff(np.append(first, len(no)))
+        if limit is not None and len(size):
+            kept = ranges(first, np.minimum(size, limit))
+            no, others, cnts, size = no[kept], others[kept], cnts[kept], np.minimum(size, limit)
+        ends = np.cumsum(size)
+        place = np.arange(len(no)) - np.repeat(ends - size, size)
+        at = np.flatnonzero(place % block == 0)
+        n = np.repeat(size, size)[at]
+        for s in range(0, len(at), EMITTED // 100):
+            mine = at[s:s + EMITTED // 100]
+            end = at[s + len(mine)] if s + len(mine) < len(at) else len(no)
+            lo = mine[0]
+            yield _lists(no[lo:end], others[lo:end], cnts[lo:end], mine - lo, n=n[s:s + len(mine)], at=place[mine])
+
+    return run
+
+
+def _joined(found: list[np.ndarray], kind: type) -> np.ndarray:
+    return np.concatenate(found) if found else np.zeros(0, kind)
+
+
+def _first_places(sums: np.ndarray, top: int) -> np.ndarray:
+    """Places of the ``top`` largest sums, equal ones in their order."""
+    if len(sums) > top:
+        last = np.partition(sums, len(sums) - top)[len(sums) - top]
+        above = np.flatnonzero(sums > last)
+        places = np.concatenate([above, np.flatnonzero(sums == last)[:top - len(above)]])
+    else:
+        places = np.arange(len(sums))
+    return places[np.lexsort((places, -sums[places]))]
+
+
+def summed_products(top: int | None) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """(uno, no, milli, rank) from rows (takers, others, cnts, held): every taker's ``milli`` times the counts, summed by other
+    item; those ``held`` for the taker are left out. Only the ``top`` largest of a user, equal ones by number, or all."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        unos, millis, rows, lengths, all_others, all_cnts, holds, seen = [], [], [], [], [], [], [], 0
+        for batch in batches:
+            takers, others = batch.column("takers"), batch.column("others")
+            taken = takers.flatten()
+            unos.append(taken.field(0).to_numpy())
+            millis.append(taken.field(1).to_numpy())
+            rows.append(np.repeat(np.arange(seen, seen + len(takers)), pc.list_value_length(takers).to_numpy(zero_copy_only=False)))
+            lengths.append(pc.list_value_length(others).to_numpy(zero_copy_only=False))
+            all_others.append(others.flatten().to_numpy())
+            all_cnts.append(batch.column("cnts").flatten().to_numpy())
+            holds.append(batch.column("held").to_numpy(zero_copy_only=False))
+            seen += len(takers)
+        uno, milli, row = _joined(unos, np.int64), _joined(millis, np.int64), _joined(rows, np.int64)
+        length, other, cnt = _joined(lengths, np.int64).astype(np.int64), _joined(all_others, np.int32), _joined(all_cnts, np.int64)
+        del unos, millis, rows, lengths, all_others, all_cnts
+        held = _joined(holds, bool).astype(bool)[row]
+        people, user = np.unique(uno, return_inverse=True)
+        start = np.cumsum(length) - length
+
+        def keyed(places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+            """Key of user and other for each product of ``places``, and where it is among the counts."""
+            at = ranges(start[row[places]], length[row[places]])
+            return (np.repeat(user[places].astype(np.int64) << 32, length[row[places]])) | other[at], at
+
+        barred = np.unique(keyed(np.flatnonzero(held))[0])
+        wanted = np.flatnonzero(~held)
+        wanted = wanted[np.argsort(user[wanted])]
+        if not len(wanted):
+            return
+        firsts = np.flatnonzero(np.diff(user[wanted], prepend=-1))
+        ends = np.append(firsts, len(wanted))
+        for s, e in steps(np.add.reduceat(length[row[wanted]], firsts), PRODUCTS):
+            places = wanted[ends[s]:ends[e]]
+            key, at = keyed(places)
+            made = cnt[at] * np.repeat(milli[places], length[row[places]])
+            order = np.argsort(key)
+            key, made = key[order], made[order]
+            begins = np.flatnonzero(np.diff(key, prepend=-1))
+            if not len(begins):
+                continue
+            sums, key = np.add.reduceat(made, begins), key[begins]
+            if len(barred):
+                free = barred[np.minimum(np.searchsorted(barred, key), len(barred) - 1)] != key
+                sums, key = sums[free], key[free]
+            who = key >> 32
+            rank = np.zeros(len(key), np.int32)
+            if top is not None:
+                bounds = np.append(np.flatnonzero(np.diff(who, prepend=-1)), len(who))
+                chosen = [lo + _first_places(sums[lo:hi], top) for lo, hi in zip(bounds[:-1], bounds[1:])]
+                rank = _joined([np.arange(1, len(c) + 1) for c in chosen], np.int64)
+                kept = _joined(chosen, np.int64)
+                sums, key, who = sums[kept], key[kept], who[kept]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(people[who], pa.int64()), pa.array(key & 0xFFFFFFFF, pa.int32()), pa.array(sums, pa.int64()),
+                 pa.array(rank, pa.int32())], ["uno", "no", "milli", "rank"])
+
+    return run

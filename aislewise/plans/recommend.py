@@ -115,12 +115,19 @@ def store_vectors(
     """User and item vectors as stored tables.
 
     The daily counters feed both, and each vector is scanned several times by the product:
-    stored tables keep the plans short and survive lost executors.
+    stored tables keep the plans short and survive lost executors. Item vectors that the merge stored over numbers are
+    not stored again.
     """
     stored = materialize(daily, "user-item-daily")
-    users = materialize(userrec.user_vector(stored, first_day, as_of), "user-vector")
-    item_vectors = userrec.item_vector_merge(userrec.item_vector_daily(stored), min_cnt, limit)
-    return users, materialize(item_vectors, "item-vector")
+    daily_vectors = userrec.item_vector_daily(stored)
+    merged = userrec.item_vector_merge(daily_vectors, min_cnt, limit)
+    item_vectors = merged if hasattr(merged, "_vectors") else materialize(merged, "item-vector")
+    if hasattr(daily_vectors, "_cells"):
+        daily_vectors._cells.drop()
+    counts = materialize(userrec.user_counts(stored), "user-counts")
+    users = materialize(userrec.user_vector(stored, first_day, as_of, counts), "user-vector")
+    drop_materialized(stored, counts)
+    return users, item_vectors
 
 
 def similarity_vectors(interactions: DataFrame, cap: int | None) -> DataFrame:
