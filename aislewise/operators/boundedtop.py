@@ -15,16 +15,17 @@ dropped; the others get what they lack, by looking up their own counts or, where
 rows, by reading the rest. Both ways are exact, and the rows are those of the plain product.
 
 A user whose rounds would read more than ``WHOLE_SHARE`` of all their products, as where counts hardly differ, gains
-nothing by bounds: their lists are made from all products at once (``user_recommend``), which stores none of them.
+nothing by bounds: their lists are made from all products at once (``userrec.summed_products``), which stores none of them.
 That is decided before each round, from the counted products.
 
 Per user only sums by power of two are kept for these decisions, at most 64 rows each. Stage tables are
-written below the shared folder, as each feeds several steps.
+written below the shared folder, as each feeds several steps; all are over numbers of users and items (``userrec.interests``),
+which follow the item codes, and only the lists are named.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from datetime import date
 
 from pyspark.sql import Column, DataFrame, Window
@@ -32,7 +33,7 @@ from pyspark.sql import functions as F
 
 from aislewise.operators import skew
 from aislewise.operators.ranking import top_k_per_group
-from aislewise.operators.userrec import TOP_ITEMS, in_buying_cycle, score_product, user_recommend
+from aislewise.operators.userrec import TOP_ITEMS, numbered_users, score_product, summed_products
 from aislewise.session import drop_materialized, materialize
 
 #: Products that round one asks for, as a multiple of the ranks.
@@ -88,6 +89,15 @@ def _products(wanted: DataFrame, blocks: DataFrame, block_rows: int) -> DataFram
     return made.select("user", "other", (F.col("milli") * F.col("cnt")).alias("milli"))
 
 
+def _stored_products(wanted: DataFrame, blocks: DataFrame, block_rows: int, name: str) -> DataFrame:
+    """``_products``, stored; only blocks that are wanted are dealt out for them."""
+    chosen = materialize(wanted.select("user", "item", "block", "milli"), "wanted")
+    cut = materialize(blocks.join(chosen.select("item", "block").distinct(), ["item", "block"], "left_semi"), "wanted-blocks")
+    made = materialize(_products(chosen, cut, block_rows), name)
+    drop_materialized(chosen, cut)
+    return made
+
+
 def _summed(parts: DataFrame, waiting: DataFrame) -> DataFrame:
     """(user, other, milli, waiting); waiting pairs are marked where sums are made, so products need no second shuffle."""
     both = parts.withColumn("waiting", F.lit(False)).unionByName(waiting)
@@ -125,9 +135,11 @@ def bounded_top(
     block_rows: int = skew.BLOCK_ROWS, first_read: int = FIRST_READ,
 ) -> BoundedTop:
     """The rows of ``userrec.user_recommend``."""
-    everybody = users
-    waiting = in_buying_cycle(users, as_of, recommend_unbought).select(
-        "user", F.col("item").alias("other"), F.lit(0).cast("bigint").alias("milli"), F.lit(True).alias("waiting"))
+    numbered = numbered_users(users.where("user is not null"), item_vectors, as_of, recommend_unbought, block_rows)
+    users = numbered.rows.select(F.col("uno").alias("user"), F.col("no").alias("item"), "milli")
+    item_vectors = numbered.vectors.rows().select(F.col("no").alias("item"), "other", "cnt")
+    waiting = numbered.rows.where("held").select(
+        F.col("uno").alias("user"), F.col("no").alias("other"), F.lit(0).cast("bigint").alias("milli"), F.lit(True).alias("waiting"))
     cut, heads = partner_blocks(item_vectors)
     blocks = materialize(cut, "partner-blocks")
     plan = materialize(reading_plan(users, heads, block_rows), "reading-plan")
@@ -141,8 +153,7 @@ def bounded_top(
     read_all = _made_down_to(sums_by_level, starts, "first_level").where(F.col("made") > F.col("all_made") * WHOLE_SHARE)
     reach = materialize(starts.join(read_all.select("user"), "user", "left_anti").select("user", "first_level", "all_made"), "first-reach")
     begun = reach
-    first = materialize(_products(
-        plan.join(reach, "user").where("level >= first_level"), blocks, block_rows), "products-1")
+    first = _stored_products(plan.join(reach, "user").where("level >= first_level"), blocks, block_rows, "products-1")
     floor = _last_rank(_summed(first, waiting), top)
 
     # Round two: the highest level below which nothing unmet can reach the floor.
@@ -160,9 +171,12 @@ def bounded_top(
     reach = bounded
     round_one, first = first, first.join(reach.select("user"), "user", "left_semi")
     waiting = waiting.join(reach.select("user"), "user", "left_semi")
-    levels = plan.join(reach, "user")
-    second = materialize(_products(
-        levels.where("level < first_level and level >= second_level"), blocks, block_rows), "products-2")
+    # What bounded users need of the plan and the blocks: nothing where all users gain nothing by bounds.
+    levels = materialize(plan.join(reach, "user"), "levels")
+    everything = (plan, blocks)
+    blocks = materialize(blocks.join(levels.select("item").distinct(), "item", "left_semi"), "blocks-left")
+    drop_materialized(*everything)
+    second = _stored_products(levels.where("level < first_level and level >= second_level"), blocks, block_rows, "products-2")
 
     sums = materialize(_summed(first.unionByName(second), waiting).where("not waiting").drop("waiting"), "partial-sums")
     floor = _last_rank(sums.withColumn("waiting", F.lit(False)), top)
@@ -192,8 +206,11 @@ def bounded_top(
     whole = kept.select("user", "other", "milli").unionByName(rest).groupBy("user", "other").agg(F.sum("milli").alias("milli"))
     ranked = top_k_per_group(whole, ["user"], [F.desc("milli"), F.asc("other")], top).select(
         "user", "rank", F.col("other").alias("item"), "milli")
-    others = everybody.where("user is not null").join(reach.select("user"), "user", "left_anti")
-    unbounded = user_recommend(others, item_vectors, as_of, top, recommend_unbought, block_rows)
+    unread = numbered.rows.join(reach.select(F.col("user").alias("uno")), "uno", "left_anti")
+    unbounded = summed_products(replace(numbered, rows=unread), top)
+    both = ranked.select(F.col("user").alias("uno"), F.col("item").alias("no"), "milli", "rank").unionByName(unbounded)
+    others = unread.select(F.col("uno").alias("user"), F.col("no").alias("item"), "milli")
     return BoundedTop(
-        ranked.unionByName(unbounded), round_one, second, rest, score_product(others, item_vectors, block_rows),
-        (blocks, plan, *stages, round_one, second, sums, kept, rest))
+        numbered.named(both, "item").select("user", "rank", "item", "milli"), round_one, second, rest,
+        score_product(others, item_vectors, block_rows),
+        (blocks, levels, *stages, round_one, second, sums, kept, rest, numbered.rows))
