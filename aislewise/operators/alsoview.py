@@ -142,17 +142,17 @@ def ranked_items(units: CappedUnits, min_score: int = 0, top: int = TOP_ITEMS) -
     rows = materialize(_able_rows(units, min_score), "pair-rows")
     plan = B.pair_plan(rows, ["user"], ["no"])
     if plan.few:
-        scores = _mirrored(_half_scores(_joined_pairs(rows, units.bounded)))
+        scores = _mirrored(_half_scores(_joined_pairs(rows, units.bounded))).where(F.col("score") > min_score)
+        ranked = top_k_per_group(scores, ["no"], [F.desc("score"), F.asc("other_no")], top)
     else:  # numbers follow the codes, so a family is a range of numbers
         ranges = families(units.items, H.STORE_FAMILY_CHARS)
         ranged = rows.join(ranges, H.prefix(F.col("item"), H.STORE_FAMILY_CHARS) == F.col("family")).select(
             "user", "no", "low", "high", "fam", "common")
-        counts = B.others_counted(
-            ranged, ["user"], ["no"], "no", lambda mate, own: (mate["no"] != own["no"]) & _may_meet(mate, own), plan,
-            units.bounded, ["low", "high", "fam", "common"])
-        scores = counts.select("no", F.col("other").alias("other_no"), _score(F.col("other").between(F.col("low"), F.col("high"))))
-    scores = scores.where(F.col("score") > min_score)
-    ranked = top_k_per_group(scores, ["no"], [F.desc("score"), F.asc("other_no")], top)
+        ranged = materialize(ranged, "ranged-rows")
+        drop_materialized(rows)
+        ranked = B.others_ranked(
+            ranged, ["user"], ["no"], lambda mate, own: (mate["no"] != own["no"]) & _may_meet(mate, own), plan,
+            units.bounded, ["low", "high", "fam", "common"], top, min_score).withColumnRenamed("other", "other_no")
     return named(ranked, units.items, no="item", other_no="other").select("item", "rank", "other", "score")
 
 
@@ -170,15 +170,16 @@ def ranked_group_items(units: CappedUnits, level: str, top: int | None = None) -
     listed = units.rows.join(families(units.items, chars), H.prefix(F.col("grp"), chars) == F.col("family"), "left")
     rows = materialize(listed.select("user", "no", packed(F.col("grp")).alias("g"), "low", "high"), "listed-rows")
     plan = B.pair_plan(rows, ["user"], ["g", "no"])
+    top = default if top is None else top
     if plan.few:
         pairs = B.basket_pairs(rows, ["user"], ["no", "g", "low", "high"], units.bounded).where("g <> other_g")
         counts = pairs.groupBy("g", "no", "low", "high", "other_no").agg(F.count(F.lit(1)).alias("cnt"))
+        scores = counts.select("g", "no", "other_no", _score(F.col("other_no").between(F.col("low"), F.col("high"))))
+        ranked = top_k_per_group(scores, ["g", "no"], [F.desc("score"), F.asc("other_no")], top)
     else:
-        counts = B.others_counted(
-            rows, ["user"], ["g", "no"], "no", lambda mate, own: mate["g"] != own["g"], plan, units.bounded, ["low", "high"])
-        counts = counts.withColumnRenamed("other", "other_no")
-    scores = counts.select("g", "no", "other_no", _score(F.col("other_no").between(F.col("low"), F.col("high"))))
-    ranked = top_k_per_group(scores, ["g", "no"], [F.desc("score"), F.asc("other_no")], default if top is None else top)
+        ranked = B.others_ranked(
+            rows, ["user"], ["g", "no"], lambda mate, own: mate["g"] != own["g"], plan, units.bounded, ["low", "high"], top)
+        ranked = ranked.withColumnRenamed("other", "other_no")
     return named(ranked.withColumn("grp", unpacked(F.col("g"))), units.items, no="item", other_no="other").select(
         "grp", "item", "rank", "other", "score")
 

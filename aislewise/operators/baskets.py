@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import math
 from collections.abc import Callable
 from dataclasses import dataclass
@@ -11,6 +12,7 @@ from pyspark.sql import functions as F
 
 from aislewise.operators import pairkernels
 from aislewise.operators.itemcodes import numbered_items
+from aislewise.operators.ranking import top_k_per_group
 from aislewise.operators.skew import BLOCK_ROWS, blocks_of, cell_join, fan_out
 from aislewise.session import drop_materialized, materialize, shuffles_deleted
 from aislewise.shipping import map_batches
@@ -26,6 +28,9 @@ BITMAP_BITS = 1 << 15
 #: Pairs aimed at in a task that counts them, and in one that writes them out for those tasks.
 TASK_PAIRS = 2_000_000
 SENT_PAIRS = 32_000_000
+#: Lists are made in rounds of units. A round sends so many pairs, or so many for each row of the baskets, if these are more.
+ROUND_PAIRS = 200_000_000
+ROUND_SHARE = 8
 #: Pairs aimed at in a cell of two parts of the items, and names sent in a row.
 CELL_PAIRS = 24_000_000
 NAMES_SENT = 4096
@@ -139,7 +144,8 @@ def pair_plan(
         found = totals.agg(
             F.sum(F.col("units") * F.col("units")).alias("kinds"), F.sum("pairs").alias("pairs"), F.sum("hot").alias("hot")).first()
     hot = weights.where(F.col("_n") > TASK_PAIRS).select(*unit, F.ceil(F.col("_n") / TASK_PAIRS).cast("int").alias("_slices"))
-    return PairPlan(found["pairs"] or 0, (found["kinds"] or 0) <= FEW_PAIRS, hot if found["hot"] else None)
+    return PairPlan(
+        found["pairs"] or 0, (found["kinds"] or 0) <= FEW_PAIRS, materialize(hot, "hot-units") if found["hot"] else None)
 
 
 def pair_numbers(rows: DataFrame, keys: list[str], per: list[str] | None = None) -> tuple[int, bool]:
@@ -172,32 +178,51 @@ def _mates(
     return left.join(right, at).select("_rows", "_mates")
 
 
-def others_counted(
-    rows: DataFrame, keys: list[str], unit: list[str], other: str, chosen: Callable[[Column, Column], Column],
-    plan: PairPlan, bounded: bool, carry: list[str] | None = None, block_items: int = BLOCK_ITEMS,
+def others_ranked(
+    rows: DataFrame, keys: list[str], unit: list[str], chosen: Callable[[Column, Column], Column], plan: PairPlan, bounded: bool,
+    carry: list[str], top: int, min_score: int = 0, block_items: int = BLOCK_ITEMS,
 ) -> DataFrame:
-    """(unit..., carry..., other, cnt): how often each unit meets each ``other`` in baskets; ``chosen(mate, own)`` tells
-    which mates count, and ``carry`` are columns that follow from the unit.
-
-    A unit is sent to its task with an array of the others of a basket, so a pair costs one value of the array and no row, and
-    what is counted there is final. Tasks are as many as the counted pairs ask for, so that counts and the ranks made of
-    them stay in memory. Hot units are cut into slices by their others, so no task gets much more than ``TASK_PAIRS``.
+    """(unit..., other, score, rank) over numbers: the ``top`` others ``no`` by how often each unit meets them in baskets, twice
+    that for those from the unit's ``low`` to its ``high``, above ``min_score``; ``chosen(mate, own)`` tells which mates
+    count, and ``carry`` are columns that follow from the unit.
+
+    A unit is sent to its task with an array of the others of a basket, so a pair costs one value of the array and no row;
+    it is counted and ranked there in bounded steps (``pairkernels``). Tasks are as many as the counted pairs ask for. Hot units
+    are cut into slices by their others, so no task gets much more than ``TASK_PAIRS``. As what is sent grows with the pairs,
+    it is done for some of the units at a time, in rounds whose lists are stored; the stored ``rows`` are deleted then.
     """
-    carry = carry or []
-    own = [*unit, *carry, *([other] if other not in unit else [])]
-    met = _mates(rows, keys, own, bounded, plan, block_items).select(F.explode("_rows").alias("_own"), "_mates")
-    wanted = F.transform(F.filter("_mates", lambda mate: chosen(mate, F.col("_own"))), lambda mate: mate[other])
-    sent = met.select(*[F.col("_own")[c].alias(c) for c in [*unit, *carry]], wanted.alias("_others"))
-    at = list(unit)
+    own = list(dict.fromkeys([*unit, *carry, "no"]))
+    mates = _mates(rows, keys, own, bounded, plan, block_items)
+    rounds = max(1, -(-plan.pairs // max(ROUND_PAIRS, ROUND_SHARE * rows.count())))
+    if rounds > 1:
+        stored = materialize(mates.select("_rows") if bounded else mates, "mates")
+        mates = stored.withColumn("_mates", F.col("_rows")) if bounded else stored
+
+    def lists(turn: int) -> DataFrame:
+        met = mates.select(F.explode("_rows").alias("_own"), "_mates")
+        if rounds > 1:
+            met = met.where(F.pmod(F.xxhash64(*[F.col("_own")[c] for c in unit], F.lit("round")), F.lit(rounds)) == turn)
+        wanted = F.transform(F.filter("_mates", lambda mate: chosen(mate, F.col("_own"))), lambda mate: mate["no"])
+        sent = met.select(*[F.col("_own")[c].alias(c) for c in [*unit, "low", "high"]], wanted.alias("others"))
+        at = list(unit)
+        if plan.hot is not None:
+            slices = F.coalesce("_slices", F.lit(1))
+            sent = sent.join(F.broadcast(plan.hot), unit, "left").withColumn("_slice", F.explode(F.sequence(F.lit(0), slices - 1)))
+            part = F.filter("others", lambda x: F.pmod(F.xxhash64(x), F.col("_slices")) == F.col("_slice"))
+            sent = sent.withColumn("others", F.when(F.col("_slices").isNull(), F.col("others")).otherwise(part)).drop("_slices")
+            at.append("_slice")
+        dealt = sent.repartition(plan.parts(rows, TASK_PAIRS * rounds), *at)
+        schema = ", ".join(f"{c} bigint" for c in [*unit, "other", "score"]) + ", rank int"
+        return map_batches(dealt, pairkernels.ranked_others(unit, top, min_score), schema)
+
+    if rounds == 1:
+        ranked = lists(0)
+    else:
+        ranked = functools.reduce(DataFrame.unionByName, [materialize(lists(turn), "ranked-others") for turn in range(rounds)])
+        drop_materialized(stored, rows)
     if plan.hot is not None:
-        slices = F.coalesce("_slices", F.lit(1))
-        sent = sent.join(F.broadcast(plan.hot), unit, "left").withColumn("_slice", F.explode(F.sequence(F.lit(0), slices - 1)))
-        part = F.filter("_others", lambda x: F.pmod(F.xxhash64(x), F.col("_slices")) == F.col("_slice"))
-        sent = sent.withColumn("_others", F.when(F.col("_slices").isNull(), F.col("_others")).otherwise(part)).drop("_slices")
-        at.append("_slice")
-    dealt = sent.repartition(plan.parts(rows, TASK_PAIRS), *at)
-    pairs = dealt.select(*at, *carry, F.explode("_others").alias("other"))
-    return pairs.groupBy(*at, *carry, "other").agg(F.count(F.lit(1)).alias("cnt")).select(*unit, *carry, "other", "cnt")
+        ranked = top_k_per_group(ranked.drop("rank"), unit, [F.desc("score"), F.asc("other")], top)
+    return ranked
 
 
 @dataclass

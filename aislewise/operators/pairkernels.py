@@ -306,3 +306,50 @@ def summed_products(top: int | None) -> Callable[[Iterator[pa.RecordBatch]], Ite
                  pa.array(rank, pa.int32())], ["uno", "no", "milli", "rank"])
 
     return run
+
+
+def ranked_others(unit: list[str], top: int, min_score: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """(unit..., other, score, rank) from rows (unit..., low, high, others): how often each unit meets each other, twice that where
+    it is from ``low`` to ``high``; above ``min_score`` the ``top`` largest of a unit, equal ones by number."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found, lists, sizes = {c: [] for c in (*unit, "low", "high")}, [], []
+        for batch in batches:
+            for c, values in found.items():
+                values.append(pc.fill_null(batch.column(c), -1).to_numpy(zero_copy_only=False).astype(np.int64))
+            lists.append(batch.column("others").flatten().to_numpy())
+            sizes.append(pc.list_value_length(batch.column("others")).to_numpy(zero_copy_only=False))
+        other, size = _joined(lists, np.int32), _joined(sizes, np.int64).astype(np.int64)
+        columns = {c: _joined(values, np.int64) for c, values in found.items()}
+        start = np.cumsum(size) - size
+        order = np.lexsort([columns[c] for c in unit])
+        if not len(order):
+            return
+        change = np.zeros(len(order), bool)
+        change[0] = True
+        for c in unit:
+            values = columns[c][order]
+            change[1:] |= values[1:] != values[:-1]
+        firsts = np.flatnonzero(change)
+        ends, heads = np.append(firsts, len(order)), order[firsts]
+        for s, e in steps(np.add.reduceat(size[order], firsts), PRODUCTS):
+            rows = order[ends[s]:ends[e]]
+            number = np.repeat(np.arange(s, e), np.diff(ends[s:e + 1]))
+            key = (np.repeat(number, size[rows]) << 32) | other[ranges(start[rows], size[rows])]
+            key.sort()
+            at = np.flatnonzero(np.diff(key, prepend=-1))
+            count, key = np.diff(np.append(at, len(key))), key[at]
+            who, met = heads[key >> 32], key & 0xFFFFFFFF
+            score = count * np.where((met >= columns["low"][who]) & (met <= columns["high"][who]), 2, 1)
+            kept = score > min_score
+            score, who, met = score[kept], who[kept], met[kept]
+            if not len(who):
+                continue
+            bounds = np.append(np.flatnonzero(np.append(True, who[1:] != who[:-1])), len(who))
+            chosen = [lo + _first_places(score[lo:hi], top) for lo, hi in zip(bounds[:-1], bounds[1:])]
+            rank = np.concatenate([np.arange(1, len(c) + 1) for c in chosen])
+            chosen = np.concatenate(chosen)
+            yield pa.RecordBatch.from_arrays(
+                [*[pa.array(columns[c][who[chosen]], pa.int64()) for c in unit], pa.array(met[chosen], pa.int64()),
+                 pa.array(score[chosen], pa.int64()), pa.array(rank, pa.int32())], [*unit, "other", "score", "rank"])
+
+    return run

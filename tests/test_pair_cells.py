@@ -11,6 +11,7 @@ import numpy as np
 import pytest
 from conftest import rows
 from test_recommend import history, item, user
+from test_sent_pairs import lists
 
 from aislewise.operators import alsoview, baskets, pairkernels
 from aislewise.session import materialize
@@ -66,6 +67,21 @@ def test_similarity_in_cells_with_a_least_score(spark, monkeypatch):
         assert "MapInArrow" in found._jdf.queryExecution().optimizedPlan().toString()
 
 
+@pytest.mark.parametrize("cap", [None, 100])
+def test_ranked_lists_in_rounds_are_those_of_joined_pairs(spark, cap, monkeypatch):
+    """Hot units in slices, and rounds of a few units, whose lists are stored: nothing is left to shuffle but the lists."""
+    joined = list(lists(spark, cap))
+    monkeypatch.setattr(baskets, "FEW_PAIRS", -1)
+    monkeypatch.setattr(baskets, "TASK_PAIRS", 60)
+    monkeypatch.setattr(baskets, "ROUND_PAIRS", 300)
+    monkeypatch.setattr(baskets, "ROUND_SHARE", 0)
+    made = []
+    monkeypatch.setattr(baskets, "materialize", lambda df, name: made.append(name) or materialize(df, name))
+    for a, b in zip(joined, lists(spark, cap), strict=True):
+        assert a and a == b
+    assert made.count("ranked-others") >= 8 and "hot-units" in made
+
+
 def test_stage_tables_leave_no_shuffle_files(spark):
     def files():
         manager = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
