@@ -9,7 +9,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Pairs held at once, and values of one step that cuts baskets.
-STEP = 1 << 21
+STEP = 1 << 19
 #: Products summed at once: few enough for the cache, as they are sorted.
 PRODUCTS = 1 << 18
 #: Rows of an emitted batch.
@@ -146,8 +146,10 @@ def _cells(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, list[np.nda
                 names[side[k]].append((entries.field(0), entries.field(1)))
     for cell in list(cells):
         rows, names = cells.pop(cell)
-        if rows:
-            yield cell, [np.concatenate(x) for x in zip(*rows)], names
+        columns = [np.concatenate(x) for x in zip(*rows)]
+        del rows
+        if columns:
+            yield cell, columns, names
 
 
 def count_cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
